@@ -150,16 +150,20 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def equal_width_edges(df: DataFrame, value: str, bins: int) -> list[float]:
-    """Pandas ``cut(x, bins)`` edges learnt from min/max (one aggregate).
+    """``pd.cut(x, bins)``-style edges learnt from min/max (one aggregate).
 
-    The first edge is lowered by 0.1 % of the range so the minimum falls in
-    bin 0; the intervals are right-closed."""
+    Edges are ``lo + i * (hi - lo) / bins``; the first is lowered by 0.1 % of
+    the range so the minimum falls in bin 0; intervals are right-closed.
+    """
     r = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     lo, hi = float(r["lo"]), float(r["hi"])
     if lo == hi:
-        lo, hi = lo - 0.001 * abs(lo) if lo else -0.001, hi + 0.001 * abs(hi) if hi else 0.001
-        return list(np.linspace(lo, hi, bins + 1))
-    e = list(np.linspace(lo, hi, bins + 1))
+        pad = 0.001 * abs(lo) if lo else 0.001
+        lo, hi = lo - pad, hi + pad
+        step = (hi - lo) / bins
+        return [lo + i * step for i in range(bins)] + [hi]
+    step = (hi - lo) / bins
+    e = [lo + i * step for i in range(bins)] + [hi]
     e[0] = lo - (hi - lo) * 0.001
     return e
 

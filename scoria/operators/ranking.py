@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoria.session import cut_lineage
+
 __all__ = ["running_sums", "dist_row_number"]
 
 
@@ -36,6 +38,10 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
     group, order, values = list(group), list(order), list(values)
     n = _n_slices(df, slices)
     r = df.repartitionByRange(n, *[F.col(c) for c in group + order]).withColumn("_slice", F.spark_partition_id())
+    # Both branches below must see the same slice ids; range bounds come
+    # from sampling, so materialise once (reliable checkpoint in the shared
+    # folder — also survives executor loss).
+    r = cut_lineage(r)
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     w_local = Window.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(*frame)
     local = r.select("*", *[F.coalesce(F.sum(v).over(w_local), F.lit(0)).alias(f"_l_{v}") for v in values])
