@@ -25,12 +25,12 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is getattr(__import__("pandas"), "NA"):
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return round(v, 6) + 0.0
     if hasattr(v, "item"):
         v = v.item()
     if hasattr(v, "isoformat") and not isinstance(v, str):

@@ -18,7 +18,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`"), digits).alias(f.name))
+            # + 0.0 turns -0.0 into 0.0 so both engines hash zero alike
+            cols.append((F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
