@@ -335,9 +335,15 @@ class ScorecardModel:
         """M6: probability as plain column expressions."""
         return df.withColumn(prob, F.lit(1.0) / (F.lit(1.0) + F.exp(-self.linear())))
 
-    def to_sql(self, table: str, keep: Sequence[str] = (), digits: int = 6) -> str:
-        """M7: SQL text (Spark SQL and DuckDB): normalise -> WoE CASE -> logistic."""
+    def to_sql(self, table: str, keep: Sequence[str] = (), digits: int = 6, dialect: str = "spark") -> str:
+        """M7: SQL text: normalise -> WoE CASE -> logistic.
+
+        ``dialect="spark"`` quotes identifiers with backticks, ``"ansi"`` with
+        double quotes (DuckDB, most databases); everything else is shared.
+        """
         def q(s):
+            if dialect == "spark":
+                return "`" + s.replace("`", "``") + "`"
             return '"' + s.replace('"', '""') + '"'
 
         def lit(v):
@@ -353,15 +359,16 @@ class ScorecardModel:
             src = q(fb.source or fb.name)
             if fb.date_part is not None:
                 part = {"y": "year", "m": "month", "d": "day", "h": "hour", "min": "minute"}
-                src = (f"(dayofweek(CAST({src} AS DATE)) + 5) % 7" if fb.date_part == "wd"
-                       else f"{part[fb.date_part]}(CAST({src} AS DATE))")
+                wd = (f"weekday(CAST({src} AS DATE))" if dialect == "spark"
+                      else f"(isodow(CAST({src} AS DATE)) - 1)")
+                src = wd if fb.date_part == "wd" else f"{part[fb.date_part]}(CAST({src} AS DATE))"
             if fb.ftype == "real":
                 x = f"CAST({src} AS DOUBLE)"
                 parts = [f"WHEN {x} IS NULL OR isnan({x}) THEN {w(fb, fb.nan_key)}"]
                 parts += [f"WHEN {x} <= {lit(s) if digits else s} THEN {w(fb, i)}" for i, s in enumerate(fb.splits)]
                 parts.append(f"ELSE {w(fb, len(fb.splits))}")
             else:
-                x = f"CAST({src} AS VARCHAR)"
+                x = f"CAST({src} AS STRING)"
                 nan_w = w(fb, fb.nan_key) if fb.nan_key in fb.woe else w(fb, fb.cat_bins.get(fb.nan_key))
                 parts = [f"WHEN {x} IS NULL THEN {nan_w}"]
                 for k, b in sorted(fb.cat_bins.items()):
