@@ -82,15 +82,22 @@ def md5_split(df: DataFrame, key, weights: Sequence[float], name: str = "split",
 
 
 def assign_folds(df: DataFrame, k: int, key: str, target: str | None = None,
-                 group: str | None = None, name: str = "fold") -> DataFrame:
+                 group: str | None = None, name: str = "fold", method: str = "balanced") -> DataFrame:
     """Fold column.
 
     * ``group``: ``floor(md5_bucket(group) * k)`` — a group never spans folds;
     * ``target``: stratified, exactly balanced per class:
       ``(row_number over (partition by target order by md5(key), key) - 1) % k``,
       computed with distributed running counts (no class in one task);
-    * neither: ``floor(md5_bucket(key) * k)``.
+    * neither (or ``method="hash"``): ``floor(md5_bucket(key || '|fold') * k)`` —
+      no shuffle at all; each class is split evenly in expectation.
+
+    ``balanced`` sorts every row (one range shuffle); ``hash`` is the
+    choice for very large inputs.
     """
+    if method == "hash" and group is None:
+        return df.withColumn(name, F.floor(md5_bucket(F.concat(F.col(key).cast("string"), F.lit("|fold")))
+                                           * k).cast("int"))
     if group is not None:
         return df.withColumn(name, F.floor(md5_bucket(group) * k).cast("int"))
     if target is None:

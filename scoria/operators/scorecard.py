@@ -53,7 +53,7 @@ class ScorecardEstimator:
                  cat_alpha: float = 1.0, cat_merge_to: str = "to_woe_0", nan_merge_to: str = "to_woe_0",
                  oof_woe: bool = False, n_folds: int = 6, l1_base_step: int = 20, l1_exp_step: float = 4.0,
                  imp_type: str | None = "feature_imp", regularized_refit: bool = True, p_val: float = 0.05,
-                 key: str = "k", cv_binning: bool = True):
+                 key: str = "k", cv_binning: bool = True, fold_method: str = "hash"):
         self.p = dict(locals())
         self.p.pop("self")
 
@@ -84,8 +84,11 @@ class ScorecardEstimator:
 
         _tick(art, 'types')
         # Folds (a column; no positional indices)
-        dfx = assign_folds(dfx, p["n_folds"], key, target=None if group_kf else target, group=group_kf)
-        dfx = dfx.select(key, target, "fold", *feats)
+        dfx = assign_folds(dfx, p["n_folds"], key, target=None if group_kf else target, group=group_kf,
+                           method=p["fold_method"])
+        # the projected training frame feeds ~10 aggregate jobs: keep it
+        # (MEMORY_AND_DISK; released at the end of fit)
+        dfx = dfx.select(key, target, "fold", *feats).persist()
         long = W.to_long_mixed(dfx, priv, [key, target, "fold"])
 
         _tick(art, 'folds')
@@ -144,9 +147,11 @@ class ScorecardEstimator:
         enc = W.mean_target_oof(coded.where(F.col("xc").isNotNull() | F.col("code").isNotNull())
                                 .where(F.col("feature").isin([f for f in feats if ftypes[f] == "cat"])),
                                 alpha=p["cat_alpha"], target=target)
+        enc = enc.persist()  # (category, fold) rows: used by the histogram and the reverse map
         cat_rows = enc.where(F.col("enc").isNotNull()).select(
             "feature", F.col("enc").alias("x"), "fold", F.col("n"), F.col("n1"))
-        hist_real = B.histogram(real_rows, "x", "fold", target)
+        real_feats = [f for f in feats if ftypes[f] == "real"]
+        hist_real = B.histogram_wide(dfx, real_feats, "fold", target)
         hist_cat = self._cat_histogram(cat_rows)
         hist = hist_real.unionByName(hist_cat)
         mbc = {f: int((max_bin_count or {}).get(f, p["max_bin_count"])) for f in feats}
@@ -244,6 +249,8 @@ class ScorecardEstimator:
         model.intercept = float(b)
         model.p_values = pv
         coded.unpersist()
+        enc.unpersist()
+        dfx.unpersist()
         wide.unpersist()
         comp.unpersist()
         _tick(art, 'refit')
