@@ -65,8 +65,13 @@ def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     by = list(by)
     c = score_counts(df, label, score, by).withColumn("_desc", -F.col(score))
     r = running_sums(c, by, ["_desc"], ["pos", "neg"], inclusive=True, slices=slices)
-    tot = c.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    r = r.join(tot, by) if by else r.crossJoin(tot)  # tot has one row when by is empty
+    if by:
+        # one row per group; AQE broadcasts it when its measured size is small
+        tot = c.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
+        r = r.join(tot, by)
+    else:
+        t = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+        r = r.withColumn("_P", F.lit(t["P"])).withColumn("_N", F.lit(t["N"]))
     return r.select(*by, F.col(score).alias("threshold"),
                     (F.col("cum_neg") / F.col("_N")).alias("fpr"),
                     (F.col("cum_pos") / F.col("_P")).alias("tpr"))
@@ -83,11 +88,11 @@ def psi(train: DataFrame, test: DataFrame, features: Sequence[str], by: Sequence
         keep + ["_s"], list(features), "feature", "value")
     cnt = long.groupBy(*keep, "feature", "value").agg(
         F.sum("_s").alias("n_tr"), F.sum(1 - F.col("_s")).alias("n_te"))
-    # per-feature totals: one row per (by, feature) — bounded by the schema,
-    # so broadcasting it is safe; a window per feature would put all
-    # distinct values of a feature in one task.
+    # per-(by, feature) totals joined back (AQE broadcasts them at run time
+    # when small); a window per feature would put all distinct values of a
+    # feature in one task.
     tot = cnt.groupBy(*keep, "feature").agg(F.sum("n_tr").alias("_ttr"), F.sum("n_te").alias("_tte"))
-    sh = cnt.join(F.broadcast(tot), keep + ["feature"]).select(
+    sh = cnt.join(tot, keep + ["feature"]).select(
         *keep, "feature", (F.col("n_tr") / F.col("_ttr")).alias("tr"), (F.col("n_te") / F.col("_tte")).alias("te"))
     sh = sh.fillna(0.0, ["tr", "te"])
     term = (F.col("tr") - F.col("te")) * F.log((F.col("tr") + eps) / (F.col("te") + eps))

@@ -129,14 +129,19 @@ def glm_fit(comp: DataFrame, features: Sequence[str], models: list[dict], max_it
                 continue
             H, g = st[m["id"]]
             H_last[m["id"]] = H
-            Hr = H + 1e-10 * np.eye(k)
+            # optional feature subset: other coefficients stay at 0
+            idx = np.array(list(m["active"]) + [k - 1]) if m.get("active") is not None else np.arange(k)
+            Hs = H[np.ix_(idx, idx)] + 1e-10 * np.eye(len(idx))
+            gs, bs = g[idx], m["beta"][idx]
             if m["lam"] > 0:
-                nb = _cd_step(Hr, g, m["beta"], m["lam"])
+                ns = _cd_step(Hs, gs, bs, m["lam"])
             else:
                 try:
-                    nb = m["beta"] + np.linalg.solve(Hr, g)
+                    ns = bs + np.linalg.solve(Hs, gs)
                 except np.linalg.LinAlgError:
-                    nb = m["beta"] + np.linalg.lstsq(Hr, g, rcond=None)[0]
+                    ns = bs + np.linalg.lstsq(Hs, gs, rcond=None)[0]
+            nb = np.zeros(k)
+            nb[idx] = ns
             step = float(np.max(np.abs(nb - m["beta"])))
             m["beta"] = nb
             m["iters"] += 1

@@ -102,7 +102,7 @@ def tree_importance(df: DataFrame, real: Sequence[str], cat: Sequence[str], targ
     d = d.fillna(-1e30, list(real))
     d = _assemble(d, list(real) + idx_cols)
     m = GBTClassifier(labelCol=target, featuresCol="features", maxIter=max_iter, maxDepth=max_depth,
-                      seed=seed, maxBins=64).fit(d)
+                      seed=seed, maxBins=128).fit(d)
     imp = m.featureImportances.toArray()
     return pd.Series(imp, index=list(real) + list(cat))
 
