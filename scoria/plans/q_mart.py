@@ -373,3 +373,34 @@ def md5_split_q(spark, sf):
     """Random 0.6/0.2/0.2 split by md5 bucket."""
     f = P.md5_split(X.scorecard_frame(spark, sf), "k", [0.6, 0.2, 0.2], labels=["train", "valid", "test"])
     return f.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ streaming
+
+@query("streaming_mart", sql=MART_SQL)
+def streaming_mart(spark, sf):
+    """G3/U2 as Structured Streaming: file source -> stream-static joins -> event-time
+    windows aligned to the mart start -> watermark -> append of complete periods
+    into a partitioned table; read back for the complete periods before the stop date."""
+    import uuid
+
+    from scoria.session import checkpoint_dir
+    from scoria.streaming.incremental import run_available, stream_category_mart
+    path = f"{sf}/lineitem.parquet"
+    # the driver folder holds one file per table: a glob selects that table's
+    # file(s) inside the folder the stream watches
+    li = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf}/lineitem*.parquet")
+    (o,) = X.tables(spark, sf, "orders")
+    tx = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("client_id"), F.col("l_partkey").alias("merchant"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("amount"),
+        F.col("l_returnflag").alias("trans_type"), F.to_date("l_shipdate").alias("day"))
+    codes = X.merchant_codes(spark, sf)
+    mart = stream_category_mart(tx, codes, id_col="client_id", amount="amount", code="merchant", day="day",
+                                start=X.MART_START, delta=X.MART_DELTA, categories=X.CATEGORIES,
+                                type_col="trans_type", types=X.CHOSEN_TYPES)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    run_available(spark, mart, f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out").withColumn("report_dt", F.col("report_dt").cast("date"))
+    cols = ["client_id", "report_dt"] + [f"{c}_{s}_amt" for c in X.CATEGORIES for s in ("sum", "max", "min")]
+    return out.where(F.col("report_dt") <= F.lit(LAST)).select(*cols)
