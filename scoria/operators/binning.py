@@ -210,7 +210,7 @@ DEFAULT_GRID = {"min_data_in_bin_mults": (1, 2, 4), "min_gain_to_split": (0.0, 0
 
 def fit_splits(h: pd.DataFrame, max_bin_count: int = 5, min_bin_size: int = 1,
                min_bin_mults: Sequence[float] = (2, 4), min_gains: Sequence[float] = (0.0, 0.5, 1.0),
-               monotone: int = 0, cv: bool = True) -> tuple[list[float], dict]:
+               monotone: int = 0, cv: bool = True, mdb: int | None = None) -> tuple[list[float], dict]:
     """E10/E11/E13 for one feature's histogram (columns qbin, fold, n, n1, hi).
 
     Grid: min_data_in_bin in {mbs, m*mbs...} x min_gain x num_leaves 2..max;
@@ -222,7 +222,8 @@ def fit_splits(h: pd.DataFrame, max_bin_count: int = 5, min_bin_size: int = 1,
     tot = h.groupby("qbin", sort=True).agg(n=("n", "sum"), n1=("n1", "sum"), hi=("hi", "max"))
     qb = tot.index.to_numpy()
     n, n1, hi = tot["n"].to_numpy(float), tot["n1"].to_numpy(float), tot["hi"].to_numpy(float)
-    min_data_in_bin = [min_bin_size] + [int(m * min_bin_size) for m in min_bin_mults]
+    min_data_in_bin = ([mdb] if mdb is not None else
+                       [min_bin_size] + [int(m * min_bin_size) for m in min_bin_mults])
     grid = list(itertools.product(min_data_in_bin, min_gains, range(2, max(max_bin_count, 2) + 1)))
     folds = sorted(h["fold"].unique()) if cv else []
     best_key, best_params = None, None
@@ -260,7 +261,8 @@ def fit_splits(h: pd.DataFrame, max_bin_count: int = 5, min_bin_size: int = 1,
 
 def tree_bins(hist: DataFrame, max_bin_count: int | Mapping[str, int] = 5, min_bin_size: int = 1,
               min_bin_mults: Sequence[float] = (2, 4), min_gains: Sequence[float] = (0.0, 0.5, 1.0),
-              monotone: Mapping[str, int] | None = None, cv: bool = True) -> DataFrame:
+              monotone: Mapping[str, int] | None = None, cv: bool = True,
+              single_split: Mapping[str, int] | None = None) -> DataFrame:
     """E10/E11 for all features: ``groupBy(feature).applyInPandas`` on the
     histogram (<= 255 x folds rows per feature).  Returns
     ``(feature, splits ARRAY<DOUBLE>, num_leaves INT, cv_auc DOUBLE)``."""
@@ -268,10 +270,16 @@ def tree_bins(hist: DataFrame, max_bin_count: int | Mapping[str, int] = 5, min_b
     mbc = max_bin_count if isinstance(max_bin_count, Mapping) else None
     mbc_default = 5 if mbc is not None else int(max_bin_count)
 
+    single = dict(single_split or {})
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         f = pdf["feature"].iloc[0]
         k = int(mbc.get(f, mbc_default)) if mbc is not None else mbc_default
-        s, p = fit_splits(pdf, k, min_bin_size, min_bin_mults, min_gains, int(mono.get(f, 0)), cv)
+        if f in single:
+            # One split with a leaf as small as the non-dominant rows
+            s, p = fit_splits(pdf, 2, int(single[f]), (), (0.0,), int(mono.get(f, 0)), False, mdb=3)
+        else:
+            s, p = fit_splits(pdf, k, min_bin_size, min_bin_mults, min_gains, int(mono.get(f, 0)), cv)
         return pd.DataFrame({"feature": [f], "splits": [s], "num_leaves": [p.get("num_leaves", 1)],
                              "cv_auc": [p.get("cv_auc")]})
 

@@ -53,7 +53,8 @@ class ScorecardEstimator:
                  cat_alpha: float = 1.0, cat_merge_to: str = "to_woe_0", nan_merge_to: str = "to_woe_0",
                  oof_woe: bool = False, n_folds: int = 6, l1_base_step: int = 20, l1_exp_step: float = 4.0,
                  imp_type: str | None = "feature_imp", regularized_refit: bool = True, p_val: float = 0.05,
-                 key: str = "k", cv_binning: bool = True, fold_method: str = "hash"):
+                 key: str = "k", cv_binning: bool = True, fold_method: str = "hash",
+                 force_single_split: bool = False, drop_features: Sequence[str] = ()):
         self.p = dict(locals())
         self.p.pop("self")
 
@@ -70,6 +71,8 @@ class ScorecardEstimator:
         exclude = [key, target] + ([group_kf] if group_kf else [])
         if features is not None:
             df = df.select(*exclude, *features)
+        # User exclusions (drop_features / never-used lists)
+        df = df.drop(*[c for c in p["drop_features"] if c in df.columns and c not in exclude])
         n = df.count()
         th_const = W.resolve_threshold(p["th_const"], n)
         min_bin = W.resolve_threshold(p["min_bin_size"], n)
@@ -155,8 +158,16 @@ class ScorecardEstimator:
         hist_cat = self._cat_histogram(cat_rows)
         hist = hist_real.unionByName(hist_cat)
         mbc = {f: int((max_bin_count or {}).get(f, p["max_bin_count"])) for f in feats}
+        single = {}
+        if p["force_single_split"]:
+            # When min_bin_size blocks every split but the non-dominant rows
+            # exceed th_const, allow one split with a leaf of that size
+            for r in prof.itertuples():
+                small = int(r.n_rows - r.top_count)
+                if r.feature in mbc and th_const < small < min_bin:
+                    single[r.feature] = small
         splits_df = B.tree_bins(hist, mbc, min_bin, p["min_bin_mults"], p["min_gains_to_split"], mono,
-                                cv=p["cv_binning"])
+                                cv=p["cv_binning"], single_split=single)
         splits_pd = splits_df.toPandas()
         splits = {r.feature: [float(x) for x in r.splits] for r in splits_pd.itertuples()}
         for f in feats:

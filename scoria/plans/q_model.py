@@ -200,15 +200,6 @@ def loo_contribution(spark, sf):
     return _pdf(spark, R.loo_contribution(tr, te, list(FIX_WEIGHTS)), "feature string, auc_drop double")
 
 
-@query("roc_by_feature")
-def roc_by_feature(spark, sf):
-    """ROC points per WoE feature on the out-of-time sample (score = -WoE)."""
-    w = _woe_comp(spark, sf, with_fold=False).where(F.col("sample") == "oot")
-    long = w.select("target", *[(-F.col(c)).alias(c) for c in FIX_WEIGHTS]).unpivot(
-        ["target"], list(FIX_WEIGHTS), "feature", "s")
-    return roc_points(long, "target", "s", by=["feature"])
-
-
 @query("perm_importance")
 def perm_importance(spark, sf):
     """L2: permutation importance (5 md5 shuffles per feature, min AUC drop) of the fixed scorecard."""

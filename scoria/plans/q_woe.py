@@ -527,3 +527,89 @@ def psi_filter(spark, sf):
     f = _frame(spark, sf)
     p = T.psi(f.where(F.col("sample") == "train"), f.where(F.col("sample") == "oot"), X.FEATURES)
     return p.select("feature", "psi", (F.col("psi") < PSI_TH).alias("keep"))
+
+
+# ------------------------------------------------------------------ more report tables (R9, R10, R19, W1) and CSV I/O
+
+@query("roc_by_feature", sql=WOE_SQL + """,
+lw AS (""" + " UNION ALL ".join(f"SELECT '{f}' AS feature, target, -({_woe_case_sql(f)}) AS s FROM frame WHERE sample = 'oot'"
+                                 for f in FIX_WEIGHTS) + """),
+c AS (SELECT feature, round(s, 6) AS s, sum(target) AS pos, sum(1 - target) AS neg FROM lw GROUP BY 1, 2),
+r AS (SELECT feature, s, sum(pos) OVER (PARTITION BY feature ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cp,
+             sum(neg) OVER (PARTITION BY feature ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cn,
+             sum(pos) OVER (PARTITION BY feature) AS P, sum(neg) OVER (PARTITION BY feature) AS N FROM c)
+SELECT feature, s AS threshold, round(cn / N, 6) AS fpr, round(cp / P, 6) AS tpr FROM r""")
+def roc_by_feature(spark, sf):
+    """ROC points per WoE feature on the out-of-time sample (score = -WoE)."""
+    m = _fixed_model(spark, sf)
+    w = m.woe_columns(_frame(spark, sf).where(F.col("sample") == "oot"))
+    long = w.select("target", *[F.round(-F.col(f"woe__{c}"), 6).alias(c) for c in FIX_WEIGHTS]).unpivot(
+        ["target"], list(FIX_WEIGHTS), "feature", "s")
+    return T.roc_points(long, "target", "s", by=["feature"])
+
+
+def _prob_bins_sql(n: int) -> str:
+    from scoria.plans.q_metrics import _ew_bin_sql
+    return WOE_SQL + f""",
+sc AS (SELECT sample, target, 1 / (1 + exp(-({_lin_sql()}))) AS prob FROM frame),
+e AS (SELECT min(prob) AS lo, max(prob) AS hi FROM sc WHERE sample = 'train'),
+b AS (SELECT sample, target, prob, {_ew_bin_sql('prob', n)} AS bin FROM sc, e)"""
+
+
+def _prob_bins(spark, sf, n: int):
+    m = _fixed_model(spark, sf)
+    d = m.transform(_frame(spark, sf))
+    edges = T.equal_width_edges(d.where(F.col("sample") == "train"), "prob", n)
+    return d.withColumn("bin", T.cut("prob", edges))
+
+
+@query("describe_score_bins", sql=_prob_bins_sql(20) + """
+SELECT sample, bin, count(prob) AS count, round(avg(prob), 6) AS mean, round(stddev_samp(prob), 6) AS std,
+       round(min(prob), 6) AS min, round(quantile_cont(prob, 0.25), 6) AS p25, round(quantile_cont(prob, 0.5), 6) AS p50,
+       round(quantile_cont(prob, 0.75), 6) AS p75, round(max(prob), 6) AS max
+FROM b GROUP BY sample, bin""")
+def describe_score_bins(spark, sf):
+    """Describe of the probability in 20 equal-width bins (edges from train), per sample.
+    Exact percentiles: a scorecard has one distinct probability per bin combination."""
+    return T.describe(_prob_bins(spark, sf, 20), "prob", by=["sample", "bin"])
+
+
+@query("target_by_score_bin", sql=_prob_bins_sql(10) + """
+SELECT bin, round(avg(CASE WHEN sample = 'train' THEN target END), 6) AS train,
+       round(avg(CASE WHEN sample = 'oot' THEN target END), 6) AS oot
+FROM b GROUP BY bin""")
+def target_by_score_bin(spark, sf):
+    """Mean target per score bin, train and test side by side (pivot with fixed values)."""
+    b = _prob_bins(spark, sf, 10)
+    return b.groupBy("bin").pivot("sample", ["train", "oot"]).agg(F.avg("target"))
+
+
+@query("rank_weights", sql=f"""WITH {X.SQL_FRAME},
+lf AS ({X.sql_long(X.FEATURES_REAL, [])}),
+c AS (SELECT feature, xr AS s, sum(target) AS pos, sum(1 - target) AS neg FROM lf WHERE xr IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cn FROM c),
+a AS (SELECT feature, round(sum(pos * (cn + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc FROM r GROUP BY feature)
+SELECT feature, auc, round(least(greatest((rank() OVER (ORDER BY auc) + (count(*) OVER (PARTITION BY auc) - 1) / 2.0)
+                                   / count(*) OVER (), 0.05), 0.95), 6) AS weight FROM a""")
+def rank_weights(spark, sf):
+    """Average-rank / n weights of features' AUCs, clipped to [0.05, 0.95] (one row per feature)."""
+    from scoria.operators.select import rank_weights as rw
+    f = _frame(spark, sf)
+    long = T.to_long(f, X.FEATURES_REAL, ["target"], value="xr")
+    a = T.auc(long, "target", "xr", by=["feature"]).select("feature", F.round("auc", 6).alias("auc"))
+    return rw(a, "auc")
+
+
+@query("csv_roundtrip", sql=f"""WITH {X.SQL_FRAME}
+SELECT k, target, sample FROM frame WHERE ship_dt < DATE '1996-01-01'""")
+def csv_roundtrip(spark, sf):
+    """Write a sample as CSV with header into the shared folder, read it back
+    with an explicit schema (no inference pass)."""
+    import uuid
+
+    from scoria.session import checkpoint_dir
+    from scoria.sources.io import read_csv, write_csv
+    out = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    d = _frame(spark, sf).where(F.col("ship_dt") < F.lit("1996-01-01").cast("date")).select("k", "target", "sample")
+    write_csv(d, out)
+    return read_csv(spark, out, schema="k string, target int, sample string")
