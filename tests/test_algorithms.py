@@ -115,3 +115,26 @@ def test_l1_shrinks_to_zero(spark):
     fits = M.glm_fit(comp, ["a", "b", "c"], [{"id": 0, "lam": 1 / (0.3 * cmin)}, {"id": 1, "lam": 1 / (100 * cmin)}])
     assert np.all(fits[0]["beta"][:3] == 0)
     assert fits[1]["beta"][0] < 0
+
+
+def test_gini_ci_brackets_point_estimate(spark):
+    from scoria.operators.report import gini_ci
+    rnd = np.random.default_rng(7)
+    s = rnd.integers(0, 30, size=3000).astype(float)
+    y = (rnd.uniform(size=3000) < 1 / (1 + np.exp(-(s - 15) / 5))).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "s double, y int")
+    g = 2 * auc(df, "y", "s").first()["auc"] - 1
+    r = gini_ci(df, "y", "s", n=200).first()
+    assert r["gini_lo"] < g < r["gini_hi"]
+    assert r["gini_hi"] - r["gini_lo"] < 0.2
+
+
+def test_woe_bootstrap_centres_on_point_woe(spark):
+    from scoria.operators.report import woe_bootstrap
+    rows = [("a", 1)] * 30 + [("a", 0)] * 70 + [("b", 1)] * 60 + [("b", 0)] * 40
+    df = spark.createDataFrame(rows, "c string, y int")
+    b = woe_bootstrap(df, "c", "y", n=200).toPandas()
+    m = b.groupby("category")["woe"].mean()
+    pa = (70 + 0.5) / 110.5, (30 + 0.5) / 90.5
+    assert m["a"] == pytest.approx(np.log(pa[0] / pa[1]), abs=0.1)
+    assert b["rep"].nunique() == 200
