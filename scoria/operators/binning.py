@@ -283,7 +283,8 @@ def tree_bins(hist: DataFrame, max_bin_count: int | Mapping[str, int] = 5, min_b
         return pd.DataFrame({"feature": [f], "splits": [s], "num_leaves": [p.get("num_leaves", 1)],
                              "cv_auc": [p.get("cv_auc")]})
 
-    return hist.groupBy("feature").applyInPandas(
+    from scoria.session import by_group
+    return by_group(hist, "feature").groupBy("feature").applyInPandas(
         run, "feature string, splits array<double>, num_leaves int, cv_auc double")
 
 

@@ -37,16 +37,23 @@ def n_periods(start: _dt.date, stop: _dt.date, delta: int) -> int:
 
 
 def _prepare(tx: DataFrame, codes: DataFrame, id_col: str, amount: str, code: str, day: str,
-             type_col: str | None, types: Sequence | None, first: _dt.date, last: _dt.date) -> DataFrame:
-    d = F.to_date(F.col(day))
-    t = tx.where(d.between(F.lit(first), F.lit(last)))
+             type_col: str | None, types: Sequence | None, first: _dt.date, last: _dt.date,
+             code_type: str = "bigint") -> DataFrame:
+    # compare the raw column with literals of its own type so the range
+    # reaches the Parquet scan (PushedFilters) / prunes date partitions
+    dtype = dict(tx.dtypes)[day]
+    c = F.col(day)
+    lo = F.lit(str(first)).cast(dtype)
+    hi = F.lit(str(last + _dt.timedelta(days=1))).cast(dtype)
+    t = tx.where((c >= lo) & (c < hi))
+    d = F.to_date(c)
     if type_col is not None and types is not None:
         t = t.where(F.col(type_col).isin(list(types)))
     t = t.select(F.col(id_col).alias(id_col),
-                 F.col(code).try_cast("bigint").alias("merchant"),
+                 F.col(code).try_cast(code_type).alias("merchant"),
                  F.col(amount).try_cast("bigint").alias("amt"),
                  d.alias("day"))
-    c = codes.select(F.col("merchant").try_cast("bigint").alias("merchant"), "column_name")
+    c = codes.select(F.col("merchant").try_cast(code_type).alias("merchant"), "column_name")
     # codes is a dimension (one row per merchant code): Catalyst broadcasts
     # it only when its estimated size is under the broadcast threshold.
     return t.join(c, "merchant")
@@ -86,7 +93,8 @@ def category_mart(tx: DataFrame, codes: DataFrame, *, id_col: str, amount: str,
                   day: str, start: _dt.date, stop: _dt.date, delta: int,
                   categories: Sequence[str], type_col: str | None = None,
                   types: Sequence | None = None, scale: float = 100.0,
-                  with_count: bool = False, report_col: str = "report_dt") -> DataFrame:
+                  with_count: bool = False, report_col: str = "report_dt",
+                  code_type: str = "bigint") -> DataFrame:
     """The daily/periodic category mart over all complete periods in one job.
 
     Output: ``id, report_dt, <cat>_sum_amt, <cat>_max_amt, <cat>_min_amt ...``
@@ -96,7 +104,7 @@ def category_mart(tx: DataFrame, codes: DataFrame, *, id_col: str, amount: str,
     """
     k = n_periods(start, stop, delta)
     last = start + _dt.timedelta(days=k * delta - 1)
-    t = _prepare(tx, codes, id_col, amount, code, day, type_col, types, start, last)
+    t = _prepare(tx, codes, id_col, amount, code, day, type_col, types, start, last, code_type)
     t = t.where(F.col(id_col).isNotNull()).withColumn(report_col, period_end("day", start, delta))
     aggs = []
     for c in categories:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoria.operators.metrics import corr_matrix, score_counts, vif
+from scoria.session import by_group
 
 __all__ = ["gini_ci", "woe_bootstrap", "vif_table", "loo_contribution", "coef_table"]
 
@@ -51,7 +52,7 @@ def gini_ci(df: DataFrame, label: str, score: str, by: Sequence[str] = (), n: in
         out.update(rep=[rep], gini=[2 * auc - 1])
         return pd.DataFrame(out)
 
-    g = reps.groupBy(*by, "rep").applyInPandas(run, schema)
+    g = by_group(reps, [*by, "rep"], n).groupBy(*by, "rep").applyInPandas(run, schema)
     q = F.percentile("gini", F.array(F.lit(p / 2), F.lit(1 - p / 2)))
     r = g.groupBy(*by).agg(q.alias("_q"))
     return r.select(*by, F.round(F.col("_q")[0], 3).alias("gini_lo"), F.round(F.col("_q")[1], 3).alias("gini_hi"))
@@ -75,7 +76,7 @@ def woe_bootstrap(df: DataFrame, feature: str, label: str, n: int = 300, seed: i
         p1 = (n1 + 0.5) / (n1.sum() + 0.5)
         return pd.DataFrame({"rep": rep, "category": pdf["category"].to_numpy(), "woe": np.log(p0 / p1)})
 
-    return reps.groupBy("rep").applyInPandas(run, "rep int, category string, woe double")
+    return by_group(reps, "rep", n).groupBy("rep").applyInPandas(run, "rep int, category string, woe double")
 
 
 def vif_table(df: DataFrame, features: Sequence[str]) -> pd.DataFrame:

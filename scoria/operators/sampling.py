@@ -82,7 +82,8 @@ def md5_split(df: DataFrame, key, weights: Sequence[float], name: str = "split",
 
 
 def assign_folds(df: DataFrame, k: int, key: str, target: str | None = None,
-                 group: str | None = None, name: str = "fold", method: str = "balanced") -> DataFrame:
+                 group: str | None = None, name: str = "fold", method: str = "balanced",
+                 tiebreak: Sequence[str] = ()) -> DataFrame:
     """Fold column.
 
     * ``group``: ``floor(md5_bucket(group) * k)`` — a group never spans folds;
@@ -103,7 +104,9 @@ def assign_folds(df: DataFrame, k: int, key: str, target: str | None = None,
     if target is None:
         return df.withColumn(name, F.floor(md5_bucket(key) * k).cast("int"))
     h = "_h_" + name
-    r = dist_row_number(df.withColumn(h, F.md5(F.col(key).cast("string"))), [target], [h, key], name="_rn_")
+    # ties (duplicate keys) are broken by further columns so the order is total
+    r = dist_row_number(df.withColumn(h, F.md5(F.col(key).cast("string"))), [target],
+                        [h, key, *tiebreak], name="_rn_")
     return r.withColumn(name, ((F.col("_rn_") - 1) % k).cast("int")).drop("_rn_", h)
 
 

@@ -20,6 +20,7 @@ from scoria.operators import select as S
 from scoria.operators import woe as W
 from scoria.operators.metrics import auc, corr_matrix
 from scoria.operators.sampling import assign_folds
+from scoria.session import spread
 
 __all__ = ["ScorecardEstimator", "FitArtifacts"]
 
@@ -91,12 +92,15 @@ class ScorecardEstimator:
                            method=p["fold_method"])
         # the projected training frame feeds ~10 aggregate jobs: keep it
         # (MEMORY_AND_DISK; released at the end of fit)
-        dfx = dfx.select(key, target, "fold", *feats).persist()
-        long = W.to_long_mixed(dfx, priv, [key, target, "fold"])
+        dfx = spread(dfx.select(key, target, "fold", *feats)).persist()
+        # the row key is not needed once folds exist: keep the long form narrow
+        long = W.to_long_mixed(dfx, priv, [target, "fold"])
 
         _tick(art, 'folds')
-        # Constant / mostly-missing filter
-        prof = W.const_filter(W.profile(long), th_const).toPandas()
+        # Constant / mostly-missing filter.  One value-count aggregate
+        # (bounded by distinct values) serves the profile and the policy.
+        vc = W.value_counts(long).persist()
+        prof = W.const_filter(W.profile_from_counts(vc), th_const).toPandas()
         for r in prof.itertuples():
             if r.drop:
                 history[r.feature] = "NaN values" if r.reason == "NaN values" else "Constant values"
@@ -115,6 +119,8 @@ class ScorecardEstimator:
             feats = [f for f in feats if f in keep]
             art["importance"] = imp
         ftypes = {f: priv[f] for f in feats}
+        real_feats = [f for f in feats if ftypes[f] == "real"]
+        cat_feats = [f for f in feats if ftypes[f] == "cat"]
         long = long.where(F.col("feature").isin(feats))
 
         _tick(art, 'importance')
@@ -138,22 +144,22 @@ class ScorecardEstimator:
         _tick(art, 'monotone')
         # Small categories and missing values
         pol, cats = W.fit_policy(long, ftypes, n, p["th_nan"], p["th_cat"], p["cat_merge_to"],
-                                 p["nan_merge_to"])
-        coded = W.apply_policy(long, pol, cats)
-        coded = coded.persist()
+                                 p["nan_merge_to"], counts=vc.where(F.col("feature").isin(feats)))
+        # only categorical features go through the long form; real ones are
+        # binned and counted straight from the wide frame
+        long_cat = W.to_long_mixed(dfx, {f: "cat" for f in cat_feats}, [target, "fold"]) if cat_feats else \
+            long.where(F.lit(False))
+        coded = W.apply_policy(long_cat, pol, cats).persist()
         art["policy"] = pol
 
         _tick(art, 'policy')
         # E8 + histogram (E10 input): real rows directly, cat rows via OOF encoding
-        real_rows = coded.where((F.col("spec").isNull()) & F.col("xr").isNotNull()).select(
-            "feature", F.col("xr").alias("x"), "fold", target)
-        enc = W.mean_target_oof(coded.where(F.col("xc").isNotNull() | F.col("code").isNotNull())
-                                .where(F.col("feature").isin([f for f in feats if ftypes[f] == "cat"])),
-                                alpha=p["cat_alpha"], target=target)
+        enc = W.mean_target_oof(coded, alpha=p["cat_alpha"], target=target)
         enc = enc.persist()  # (category, fold) rows: used by the histogram and the reverse map
+        coded.count()
+        _tick(art, 'bin_encode')
         cat_rows = enc.where(F.col("enc").isNotNull()).select(
             "feature", F.col("enc").alias("x"), "fold", F.col("n"), F.col("n1"))
-        real_feats = [f for f in feats if ftypes[f] == "real"]
         hist_real = B.histogram_wide(dfx, real_feats, "fold", target)
         hist_cat = self._cat_histogram(cat_rows)
         hist = hist_real.unionByName(hist_cat)
@@ -166,9 +172,11 @@ class ScorecardEstimator:
                 small = int(r.n_rows - r.top_count)
                 if r.feature in mbc and th_const < small < min_bin:
                     single[r.feature] = small
+        _tick(art, 'bin_hist_edges')
         splits_df = B.tree_bins(hist, mbc, min_bin, p["min_bin_mults"], p["min_gains_to_split"], mono,
                                 cv=p["cv_binning"], single_split=single)
         splits_pd = splits_df.toPandas()
+        _tick(art, 'bin_tree')
         splits = {r.feature: [float(x) for x in r.splits] for r in splits_pd.itertuples()}
         for f in feats:
             splits.setdefault(f, [-np.inf])
@@ -178,18 +186,18 @@ class ScorecardEstimator:
 
         _tick(art, 'binning')
         # Categories -> bins
-        cat_feats = [f for f in feats if ftypes[f] == "cat"]
         cat_map_pd = pd.DataFrame(columns=["feature", "code", "bin"])
         cat_map = None
         if cat_feats:
             cat_map = W.reverse_encode(enc, sdf.where(F.col("feature").isin(cat_feats)))
             cat_map_pd = cat_map.toPandas()
-        real_splits = sdf.where(F.col("feature").isin([f for f in feats if ftypes[f] == "real"]))
+        real_splits = sdf.where(F.col("feature").isin(real_feats))
 
         _tick(art, 'reverse')
         # WoE table (one aggregate) -> per-feature dicts
-        binned = W.assign_bins(coded, real_splits, cat_map)
-        table = W.woe_table(binned, pol, p["woe_diff_th"])
+        binned = W.assign_bins(coded, None, cat_map) if cat_feats else None
+        real_stats = W.real_bin_stats(dfx, {f: splits[f] for f in real_feats}, pol, target)
+        table = W.woe_table(binned, pol, p["woe_diff_th"], extra_stats=real_stats)
         art["woe_table"] = table
         bins = self._feature_bins(feats, ftypes, pol, splits, cat_map_pd, table, types)
         model = M.ScorecardModel(bins, {}, 0.0, history=history)
@@ -197,7 +205,10 @@ class ScorecardEstimator:
         _tick(art, 'woe')
         # training WoE frame: projection for plain WoE, fold-wise for OOF WoE
         if p["oof_woe"]:
-            wl = W.woe_oof(binned, "fold", p["woe_diff_th"])
+            # out-of-fold WoE needs every (row, feature) with its key
+            lk = W.to_long_mixed(dfx, ftypes, [key, target, "fold"])
+            bk = W.assign_bins(W.apply_policy(lk, pol, cats), real_splits, cat_map)
+            wl = W.woe_oof(bk, "fold", p["woe_diff_th"])
             wide = (wl.groupBy(key, target, "fold").pivot("feature", feats).agg(F.first("woe"))
                     .fillna(0.0, feats))
         else:
@@ -260,6 +271,7 @@ class ScorecardEstimator:
         model.intercept = float(b)
         model.p_values = pv
         coded.unpersist()
+        vc.unpersist()
         enc.unpersist()
         dfx.unpersist()
         wide.unpersist()

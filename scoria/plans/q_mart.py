@@ -404,3 +404,44 @@ def streaming_mart(spark, sf):
     out = spark.read.parquet(f"{root}/out").withColumn("report_dt", F.col("report_dt").cast("date"))
     cols = ["client_id", "report_dt"] + [f"{c}_{s}_amt" for c in X.CATEGORIES for s in ("sum", "max", "min")]
     return out.where(F.col("report_dt") <= F.lit(LAST)).select(*cols)
+
+
+
+# ------------------------------------------------------------------ small variant: events as transactions
+
+# fixed values of the events stand-in: event type -> category; "error" falls to "other"
+EVENT_MAP = {"view": "browse", "click": "browse", "purchase": "buy", "signup": "account"}
+EVENT_CATS = ["browse", "buy", "account", "other"]
+EV_START, EV_STOP, EV_DELTA = _dt.date(2024, 1, 1), _dt.date(2024, 1, 29), 7
+
+
+def _events_sql_cols() -> str:
+    cols = []
+    for c in EVENT_CATS:
+        for s, agg in (("sum", "sum"), ("max", "max"), ("min", "min")):
+            cols.append(f"round(coalesce({agg}(CASE WHEN column_name = '{c}' THEN amt END) / 100.0, 0), 6) AS {c}_{s}_amt")
+    return ",\n       ".join(cols)
+
+
+_EV_LAST = EV_START + _dt.timedelta(days=M.n_periods(EV_START, EV_STOP, EV_DELTA) * EV_DELTA - 1)
+_EV_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_MAP.items()) + " ELSE 'other' END"
+
+
+@query("events_mart", sql=f"""
+WITH codes AS (SELECT DISTINCT event_type AS merchant, {_EV_CASE} AS column_name FROM events),
+t AS (SELECT e.user_id, CAST(round(e.value * 100) AS BIGINT) AS amt, codes.column_name, CAST(e.ts AS DATE) AS day
+      FROM events e JOIN codes ON e.event_type = codes.merchant
+      WHERE CAST(e.ts AS DATE) BETWEEN DATE '{EV_START}' AND DATE '{_EV_LAST}')
+SELECT user_id, {_period_sql(EV_START, EV_DELTA)} AS report_dt,
+       {_events_sql_cols()}
+FROM t WHERE user_id IS NOT NULL GROUP BY 1, 2""")
+def events_mart(spark, sf):
+    """G1-G3 on the small variant (FIXTURES): events as transactions, event type as merchant
+    code (string codes), value as amount, weekly periods over complete weeks."""
+    (ev,) = X.tables(spark, sf, "events")
+    tx = ev.select("user_id", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("amount"),
+                   F.to_date("ts").alias("day"))
+    codes = M.map_codes(ev.select("event_type").distinct(), "event_type", "event_type", EVENT_MAP)
+    return M.category_mart(tx, codes, id_col="user_id", amount="amount", code="event_type", day="day",
+                           start=EV_START, stop=EV_STOP, delta=EV_DELTA, categories=EVENT_CATS,
+                           code_type="string")

@@ -21,6 +21,7 @@ from scoria.operators.scorecard import ScorecardEstimator
 from scoria.plans import fixtures as X
 from scoria.plans.q_woe import FIX_WEIGHTS, _fixed_model
 from scoria.plans.registry import query
+from scoria.session import by_group
 
 _FITS: dict = {}
 
@@ -93,7 +94,7 @@ def merge_ci(spark, sf):
         g = B.merge_ci(t["n"].to_numpy(float), t["n1"].to_numpy(float), max_bin_count=5)
         return pd.DataFrame({"feature": pdf["feature"].iloc[0], "qbin": t["qbin"], "group": g, "hi": t["hi"]})
 
-    return h.groupBy("feature").applyInPandas(run, "feature string, qbin int, group long, hi double")
+    return by_group(h, "feature").groupBy("feature").applyInPandas(run, "feature string, qbin int, group long, hi double")
 
 
 @query("merge_folds")
@@ -111,7 +112,7 @@ def merge_folds(spark, sf):
         g = B.merge_folds(t["n"].to_numpy(float), t["n1"].to_numpy(float), fn, fn1, 5)
         return pd.DataFrame({"feature": pdf["feature"].iloc[0], "qbin": t["qbin"], "group": g})
 
-    return h.groupBy("feature").applyInPandas(run, "feature string, qbin int, group long")
+    return by_group(h, "feature").groupBy("feature").applyInPandas(run, "feature string, qbin int, group long")
 
 
 @query("special_merge")

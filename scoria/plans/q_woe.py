@@ -37,7 +37,7 @@ def _long(spark, sf, with_folds=False):
     f = _frame(spark, sf)
     keep = ["k", "target", "sample"]
     if with_folds:
-        f = assign_folds(f, N_FOLDS, "k", target="target")
+        f = assign_folds(f, N_FOLDS, "k", target="target", tiebreak=TIEBREAK)
         keep.append("fold")
     return W.to_long_mixed(f, TYPES, keep), f
 
@@ -88,7 +88,10 @@ def _fixed_model(spark, sf):
 
 # ------------------------------------------------------------------ SQL building blocks
 
-FOLD_SQL = f"CAST((row_number() OVER (PARTITION BY target ORDER BY md5(k), k) - 1) % {N_FOLDS} AS INTEGER)"
+# the row key has rare duplicates: order ties by further (never-null) columns
+TIEBREAK = ["grp", "l_linestatus", "l_returnflag", "l_extendedprice", "l_tax", "ship_dt"]
+FOLD_SQL = (f"CAST((row_number() OVER (PARTITION BY target ORDER BY md5(k), k, {', '.join(TIEBREAK)}) - 1) "
+            f"% {N_FOLDS} AS INTEGER)")
 
 
 def _bin_sql(f: str) -> str:

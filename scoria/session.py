@@ -28,12 +28,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.ui.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if (master or "").startswith("local") and "spark.driver.memory" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        # local mode: the driver JVM is the only executor; the default 1 GB heap
+        # forces cached tables to disk.  Half the machine, at most 16 GB.
+        b = b.config("spark.driver.memory", f"{_local_heap_gb()}g")
+    if os.environ.get("SCORIA_EVENT_LOG"):
+        # opt-in profiling: Spark event log (job / stage timings) to this folder
+        b = (b.config("spark.eventLog.enabled", "true")
+              .config("spark.eventLog.dir", os.environ["SCORIA_EVENT_LOG"]))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
 
 
+def _local_heap_gb() -> int:
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2 ** 30
+    except (ValueError, OSError, AttributeError):
+        total = 8
+    return int(max(2, min(16, total // 2)))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
@@ -55,3 +71,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the
+    cluster can run at once (a small file with few row groups).  On large
+    inputs — many splits already — this is a no-op and adds no shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def by_group(df: DataFrame, cols, n_groups: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` on the grouping columns with an explicit count
+    before ``groupBy(cols).applyInPandas``: AQE would coalesce a small input
+    (e.g. one histogram row set per feature) into a single task and run
+    every group's Python function serially.  The explicit partitioning also
+    satisfies the groupBy, so no second shuffle is added."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    par = df.sparkSession.sparkContext.defaultParallelism
+    n = par if n_groups is None else max(1, min(par, n_groups))
+    return df.repartition(n, *cols)
