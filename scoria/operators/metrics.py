@@ -144,14 +144,22 @@ def vif(corr: np.ndarray, ridge: float = 0.0) -> np.ndarray:
     return np.diag(np.linalg.inv(corr + ridge * np.eye(k)))
 
 
-def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, std, min, 25/50/75 % (exact, linear), max per group."""
+def describe(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = True,
+             accuracy: int = 10000) -> DataFrame:
+    """Count, mean, std, min, 25/50/75 % (linear, like pandas), max per group.
+
+    ``exact`` keeps a value -> count map per group: memory grows with the
+    number of *distinct* values, fine for bounded domains (scorecard
+    probabilities, quantities); use ``exact=False`` (sketch) otherwise."""
     v = F.col(value)
+    if exact:
+        q = [F.percentile(v, F.lit(p)) for p in (0.25, 0.5, 0.75)]
+    else:
+        q = [F.percentile_approx(v, F.lit(p), accuracy) for p in (0.25, 0.5, 0.75)]
     return df.groupBy(*by).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.percentile(v, F.lit(0.25)).alias("p25"), F.percentile(v, F.lit(0.5)).alias("p50"),
-        F.percentile(v, F.lit(0.75)).alias("p75"), F.max(v).alias("max"))
+        F.min(v).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
+        F.max(v).alias("max"))
 
 
 def equal_width_edges(df: DataFrame, value: str, bins: int) -> list[float]:
@@ -201,8 +209,12 @@ def sample_summary(df: DataFrame, label: str, by: Sequence[str] = ("sample",)) -
 def shares(df: DataFrame, by: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Count per group and its share of the total (optionally within ``within``)."""
     cnt = df.groupBy(*within, *by).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-    return cnt.withColumn("share", F.col("n") / F.sum("n").over(w))
+    # totals joined back (no single-partition window over all groups)
+    if within:
+        tot = cnt.groupBy(*within).agg(F.sum("n").alias("_tot"))
+        return cnt.join(tot, list(within)).withColumn("share", F.col("n") / F.col("_tot")).drop("_tot")
+    t = cnt.agg(F.sum("n").alias("t")).first()["t"]
+    return cnt.withColumn("share", F.col("n") / F.lit(float(t or 1)))
 
 
 def wilson(k: float, n: float, alpha: float = 0.05) -> tuple[float, float]:

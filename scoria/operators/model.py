@@ -298,11 +298,26 @@ class FeatureBins:
     small_key: str | None = None
     source: str | None = None                # raw column (dates: the date column)
     date_part: str | None = None
+    cat_table: DataFrame | None = None       # (code, bin) kept distributed for many categories
+
+    @property
+    def bin_col(self) -> str:
+        return f"__bin__{self.name}"
 
     def expr(self, col=None, expanded: bool = False):
-        """WoE column; ``expanded`` = the frame already holds ``name`` (date parts expanded)."""
+        """WoE column; ``expanded`` = the frame already holds ``name`` (date parts expanded).
+        Table-backed categorical features read the bin attached by ``attach``."""
         from scoria.operators.woe import woe_expr
         from scoria.functions.exprs import date_parts
+        if self.cat_table is not None:
+            raw = F.col(self.name if expanded else (col or self.source or self.name))
+            b = F.col(self.bin_col)
+            nan_w = self.woe.get(self.nan_key, self.woe.get(self.cat_bins.get(self.nan_key), 0.0))
+            small_w = self.woe.get(self.small_key, 0.0)
+            e = F.when(raw.isNull(), F.lit(float(nan_w or 0.0)))
+            for k, v in sorted((k, v) for k, v in self.woe.items() if isinstance(k, int)):
+                e = e.when(b == F.lit(k), F.lit(float(v)))
+            return e.otherwise(F.lit(float(small_w or 0.0)))
         if expanded:
             c = F.col(self.name)
         else:
@@ -324,13 +339,33 @@ class ScorecardModel:
     def features(self) -> list[str]:
         return list(self.weights)
 
+    def attach(self, df: DataFrame, features: Sequence[str] | None = None, expanded: bool = False) -> DataFrame:
+        """Left-join the category -> bin tables of high-cardinality features
+        (the only case where scoring is not a pure projection; AQE broadcasts
+        a table when its measured size allows)."""
+        for f in list(features or self.features):
+            fb = self.bins[f]
+            if fb.cat_table is None:
+                continue
+            src = fb.name if expanded else (fb.source or fb.name)
+            t = fb.cat_table.select(F.col("code").alias(f"__code__{f}"), F.col("bin").alias(fb.bin_col))
+            df = df.join(t, F.col(src).cast("string") == F.col(f"__code__{f}"), "left").drop(f"__code__{f}")
+        return df
+
+    def _detach(self, df: DataFrame) -> DataFrame:
+        return df.drop(*[b.bin_col for b in self.bins.values() if b.cat_table is not None])
+
     def woe_columns(self, df: DataFrame, features: Sequence[str] | None = None,
                     expanded: bool = False) -> DataFrame:
-        """One WoE column per feature — a projection, no shuffle."""
+        """One WoE column per feature — a projection (plus a join only for
+        table-backed high-cardinality categoricals)."""
         feats = list(features or self.features)
-        return df.select("*", *[self.bins[f].expr(expanded=expanded).alias(f"woe__{f}") for f in feats])
+        d = self.attach(df, feats, expanded)
+        return self._detach(d.select("*", *[self.bins[f].expr(expanded=expanded).alias(f"woe__{f}")
+                                            for f in feats]))
 
     def linear(self):
+        """Linear score column (requires ``attach`` first for table-backed features)."""
         z = F.lit(float(self.intercept))
         for f, w in self.weights.items():
             z = z + F.lit(float(w)) * self.bins[f].expr()
@@ -338,14 +373,22 @@ class ScorecardModel:
 
     def transform(self, df: DataFrame, prob: str = "prob") -> DataFrame:
         """M6: probability as plain column expressions."""
-        return df.withColumn(prob, F.lit(1.0) / (F.lit(1.0) + F.exp(-self.linear())))
+        d = self.attach(df)
+        return self._detach(d.withColumn(prob, F.lit(1.0) / (F.lit(1.0) + F.exp(-self.linear()))))
 
-    def to_sql(self, table: str, keep: Sequence[str] = (), digits: int = 6, dialect: str = "spark") -> str:
+    def to_sql(self, table: str, keep: Sequence[str] = (), digits: int = 6, dialect: str = "spark",
+               maps: Mapping[str, str] | None = None) -> str:
         """M7: SQL text: normalise -> WoE CASE -> logistic.
 
         ``dialect="spark"`` quotes identifiers with backticks, ``"ansi"`` with
         double quotes (DuckDB, most databases); everything else is shared.
+        Table-backed categorical features need ``maps={feature: table}``
+        naming a (code, bin) table in the target database.
         """
+        maps = dict(maps or {})
+        for f in self.features:
+            if self.bins[f].cat_table is not None and f not in maps:
+                raise ValueError(f"feature {f} keeps its categories in a table: pass maps={{'{f}': ...}}")
         def q(s):
             if dialect == "spark":
                 return "`" + s.replace("`", "``") + "`"
@@ -372,6 +415,13 @@ class ScorecardModel:
                 parts = [f"WHEN {x} IS NULL OR isnan({x}) THEN {w(fb, fb.nan_key)}"]
                 parts += [f"WHEN {x} <= {lit(s) if digits else s} THEN {w(fb, i)}" for i, s in enumerate(fb.splits)]
                 parts.append(f"ELSE {w(fb, len(fb.splits))}")
+            elif fb.cat_table is not None:
+                x = f"CAST({src} AS STRING)"
+                b = f"(SELECT max(m.bin) FROM {maps[f]} m WHERE m.code = {x})"
+                nan_w = w(fb, fb.nan_key) if fb.nan_key in fb.woe else w(fb, fb.cat_bins.get(fb.nan_key))
+                parts = [f"WHEN {x} IS NULL THEN {nan_w}"]
+                parts += [f"WHEN {b} = {k} THEN {w(fb, k)}" for k in sorted(k for k in fb.woe if isinstance(k, int))]
+                parts.append(f"ELSE {w(fb, fb.small_key)}")
             else:
                 x = f"CAST({src} AS STRING)"
                 nan_w = w(fb, fb.nan_key) if fb.nan_key in fb.woe else w(fb, fb.cat_bins.get(fb.nan_key))
@@ -402,6 +452,10 @@ class ScorecardModel:
                     hi = s[i] if i < len(s) else None
                     v = fb.woe.get(i, 0.0)
                     rows.append((f, interval_label(lo, hi), v, wt, v * wt))
+            elif fb.cat_table is not None:
+                for b in sorted(k for k in fb.woe if isinstance(k, int)):
+                    v = fb.woe[b]
+                    rows.append((f, f"bin {b} (categories in table)", v, wt, v * wt))
             else:
                 by_bin: dict[int, list[str]] = {}
                 for k, b in fb.cat_bins.items():

@@ -20,7 +20,7 @@ from scoria.operators import select as S
 from scoria.operators import woe as W
 from scoria.operators.metrics import auc, corr_matrix
 from scoria.operators.sampling import assign_folds
-from scoria.session import spread
+from scoria.session import cut_lineage, spread
 
 __all__ = ["ScorecardEstimator", "FitArtifacts"]
 
@@ -55,7 +55,8 @@ class ScorecardEstimator:
                  oof_woe: bool = False, n_folds: int = 6, l1_base_step: int = 20, l1_exp_step: float = 4.0,
                  imp_type: str | None = "feature_imp", regularized_refit: bool = True, p_val: float = 0.05,
                  key: str = "k", cv_binning: bool = True, fold_method: str = "hash",
-                 force_single_split: bool = False, drop_features: Sequence[str] = ()):
+                 force_single_split: bool = False, drop_features: Sequence[str] = (),
+                 max_cat_literal: int = 10000):
         self.p = dict(locals())
         self.p.pop("self")
 
@@ -74,6 +75,10 @@ class ScorecardEstimator:
             df = df.select(*exclude, *features)
         # User exclusions (drop_features / never-used lists)
         df = df.drop(*[c for c in p["drop_features"] if c in df.columns and c not in exclude])
+        # the (projected) input feeds type inference, folds and the training
+        # frame: compute it once
+        df_in = spread(df).persist()
+        df = df_in
         n = df.count()
         th_const = W.resolve_threshold(p["th_const"], n)
         min_bin = W.resolve_threshold(p["min_bin_size"], n)
@@ -92,7 +97,7 @@ class ScorecardEstimator:
                            method=p["fold_method"])
         # the projected training frame feeds ~10 aggregate jobs: keep it
         # (MEMORY_AND_DISK; released at the end of fit)
-        dfx = spread(dfx.select(key, target, "fold", *feats)).persist()
+        dfx = dfx.select(key, target, "fold", *feats).persist()
         # the row key is not needed once folds exist: keep the long form narrow
         long = W.to_long_mixed(dfx, priv, [target, "fold"])
 
@@ -188,9 +193,17 @@ class ScorecardEstimator:
         # Categories -> bins
         cat_map_pd = pd.DataFrame(columns=["feature", "code", "bin"])
         cat_map = None
+        big_cat: dict[str, DataFrame] = {}
         if cat_feats:
-            cat_map = W.reverse_encode(enc, sdf.where(F.col("feature").isin(cat_feats)))
-            cat_map_pd = cat_map.toPandas()
+            cat_map = W.reverse_encode(enc, sdf.where(F.col("feature").isin(cat_feats))).persist()
+            sizes = {r["feature"]: r["count"] for r in cat_map.groupBy("feature").count().collect()}
+            small_f = [f for f in cat_feats if sizes.get(f, 0) <= p["max_cat_literal"]]
+            # only small maps reach the driver (they become map literals); big ones
+            # stay distributed, cut from lineage into the shared checkpoint folder
+            cat_map_pd = cat_map.where(F.col("feature").isin(small_f)).toPandas()
+            for f in cat_feats:
+                if f not in small_f:
+                    big_cat[f] = cut_lineage(cat_map.where(F.col("feature") == f).select("code", "bin"))
         real_splits = sdf.where(F.col("feature").isin(real_feats))
 
         _tick(art, 'reverse')
@@ -200,6 +213,8 @@ class ScorecardEstimator:
         table = W.woe_table(binned, pol, p["woe_diff_th"], extra_stats=real_stats)
         art["woe_table"] = table
         bins = self._feature_bins(feats, ftypes, pol, splits, cat_map_pd, table, types)
+        for f, t in big_cat.items():
+            bins[f].cat_table = t
         model = M.ScorecardModel(bins, {}, 0.0, history=history)
 
         _tick(art, 'woe')
@@ -272,6 +287,9 @@ class ScorecardEstimator:
         model.p_values = pv
         coded.unpersist()
         vc.unpersist()
+        df_in.unpersist()
+        if cat_map is not None:
+            cat_map.unpersist()
         enc.unpersist()
         dfx.unpersist()
         wide.unpersist()

@@ -445,3 +445,35 @@ def events_mart(spark, sf):
     return M.category_mart(tx, codes, id_col="user_id", amount="amount", code="event_type", day="day",
                            start=EV_START, stop=EV_STOP, delta=EV_DELTA, categories=EVENT_CATS,
                            code_type="string")
+
+
+
+@query("dataset_single_key", sql=_tx_filtered_sql(D0, D1) + """,
+a AS (SELECT client_id, column_name, sum(amt) AS sum_amt, max(amt) AS max_amt, min(amt) AS min_amt
+      FROM t GROUP BY client_id, column_name),
+m AS (SELECT client_id,
+       """ + _pivot_sql_cols() + """
+      FROM a GROUP BY client_id),
+prof AS (SELECT c.c_custkey AS client_id, n.n_name AS client_city FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+b AS (SELECT DISTINCT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31')
+SELECT m.*, prof.client_city, CASE WHEN b.o_custkey IS NULL THEN 0 ELSE 1 END AS target
+FROM m JOIN prof ON m.client_id = prof.client_id LEFT JOIN b ON m.client_id = b.o_custkey""")
+def dataset_single_key(spark, sf):
+    """Scoring base on one key — 1995 pivoted features inner-join the client profile,
+    left-join next-quarter buyers, missing target -> 0."""
+    o, c, n = X.tables(spark, sf, "orders", "customer", "nation")
+    prof = c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").alias("client_id"),
+                                                            F.col("n_name").alias("client_city"))
+    buyers = (o.where(F.to_date("o_orderdate").between(F.lit("1996-01-01").cast("date"),
+                                                       F.lit("1996-03-31").cast("date")))
+               .select(F.col("o_custkey").alias("client_id")).distinct().withColumn("target", F.lit(1)))
+    feats = M.pivot_features(_agg(spark, sf), ["client_id"], X.CATEGORIES)
+    return L.build_dataset(feats, buyers, ["client_id"], profile=prof)
+
+
+@query("sampleby_sample")
+def sampleby_sample(spark, sf):
+    """P1 (Spark's seeded Bernoulli sampleBy, as in the reference): class counts of the sample."""
+    f = X.scorecard_frame(spark, sf)
+    s = P.stratified_sample(f, "target", {1: 0.5, 0: 0.1}, seed=42)
+    return s.groupBy("target").agg(F.count(F.lit(1)).alias("n"))

@@ -164,9 +164,11 @@ def l1_path(spark, sf):
 @query("wald_pvalues")
 def wald_pvalues(spark, sf):
     """Backward-elimination refit with Wald p-values (coefficients, p-values)."""
-    w = _woe_comp(spark, sf, with_fold=False).where(F.col("sample") == "train")
-    comp = M.compress(w, list(FIX_WEIGHTS), "target", [])
-    r = M.refit_backward(comp, list(FIX_WEIGHTS), p_val=0.05)
+    w = _woe_comp(spark, sf, with_fold=False)
+    comp = M.compress(w.where(F.col("sample") == "train"), list(FIX_WEIGHTS), "target", [])
+    valid = M.compress(w.where(F.col("sample") == "oot"), list(FIX_WEIGHTS), "target", [])
+    # M4: the p-value test is repeated on the out-of-time sample, refitted there
+    r = M.refit_backward(comp, list(FIX_WEIGHTS), p_val=0.05, valid=valid)
     t = R.coef_table(r["weights"], r["intercept"], r["p_values"])
     return _pdf(spark, t, "feature string, coef double, p_value double")
 

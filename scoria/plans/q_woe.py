@@ -616,3 +616,29 @@ def csv_roundtrip(spark, sf):
     d = _frame(spark, sf).where(F.col("ship_dt") < F.lit("1996-01-01").cast("date")).select("k", "target", "sample")
     write_csv(d, out)
     return read_csv(spark, out, schema="k string, target int, sample string")
+
+
+
+@query("apply_policy_unseen", sql=f"""WITH {X.SQL_FRAME},
+tr AS (SELECT * FROM frame WHERE sample = 'train'),
+th AS (SELECT CAST(floor({TH} * count(*)) AS BIGINT) AS t FROM tr),
+cc AS (SELECT l_returnflag AS xc, count(*) AS n FROM tr WHERE l_returnflag IS NOT NULL GROUP BY 1),
+ss AS (SELECT coalesce(sum(CASE WHEN cc.n < th.t THEN cc.n ELSE 0 END), 0) AS s FROM cc, th),
+nn AS (SELECT count(*) - count(l_returnflag) AS m FROM tr),
+pol AS (SELECT CASE WHEN nn.m < th.t THEN '__NaN_0__' ELSE '__NaN__' END AS nan_key FROM nn, th),
+te AS (SELECT * FROM frame WHERE sample = 'oot')
+SELECT CASE WHEN te.l_returnflag IS NULL THEN pol.nan_key
+            WHEN cc.n >= th.t THEN te.l_returnflag ELSE pol.nan_key END AS code, count(*) AS n
+FROM te CROSS JOIN th CROSS JOIN pol LEFT JOIN cc ON te.l_returnflag = cc.xc
+GROUP BY 1""")
+def apply_policy_unseen(spark, sf):
+    """Policy fitted on train applied to out-of-time rows; small and unseen
+    categories sent to the missing code (``unseen="to_nan"`` variant)."""
+    f = _frame(spark, sf)
+    types = {"l_returnflag": "cat"}
+    tr = W.to_long_mixed(f.where(F.col("sample") == "train"), types, ["target"])
+    te = W.to_long_mixed(f.where(F.col("sample") == "oot"), types, ["target"])
+    n = f.where(F.col("sample") == "train").count()
+    pol, cats = W.fit_policy(tr, types, n, TH, TH)
+    coded = W.apply_policy(te, pol, cats, unseen="to_nan")
+    return coded.groupBy("code").agg(F.count(F.lit(1)).alias("n"))

@@ -84,17 +84,23 @@ def read_jdbc(spark: SparkSession, **kw) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None,
-                      mode: str = "overwrite", fmt: str = "parquet", table: str | None = None) -> None:
+                      mode: str = "overwrite", fmt: str = "parquet", table: str | None = None,
+                      files_per_partition: int = 8) -> None:
     """Partitioned sink; ``overwrite`` replaces only partitions present
     in ``df`` (dynamic partition overwrite), ``append`` adds.
 
-    Rows are clustered by the partition columns first so each task writes
-    few files instead of one file per partition value.
+    Rows are clustered by the partition columns so each task writes few
+    files; a deterministic content-hash salt spreads one partition value over
+    up to ``files_per_partition`` tasks, so a hot day is not one task (and a
+    retried task writes the same rows).
     """
     by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = (df.repartition(*by) if by else df).write.mode(mode).format(fmt)
+    if by:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(files_per_partition, 1)))
+        df = df.repartition(*[F.col(c) for c in by], salt)
+    w = df.write.mode(mode).format(fmt)
     if by:
         w = w.partitionBy(*by)
     if table:

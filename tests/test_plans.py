@@ -114,3 +114,33 @@ def test_scorecard_end_to_end(spark):
     s = {r["k"]: r["prob"] for r in spark.sql(m.to_sql("e2e_input", keep=["k"])).collect()}
     t = {r["k"]: r["prob"] for r in m.transform(f).select("k", "prob").collect()}
     assert max(abs(s[k] - t[k]) for k in t) < 1e-5
+
+
+def test_table_backed_categories_score_like_literals(spark):
+    """High-cardinality categoricals keep (code, bin) distributed; scoring joins it
+    and must give the same probabilities as the map-literal form."""
+    import copy
+    m = _fixed_model(spark, SF_SMALL)
+    m2 = copy.deepcopy(m)
+    fb = m2.bins["l_returnflag"]
+    fb.cat_table = spark.createDataFrame(sorted(fb.cat_bins.items()), "code string, bin int")
+    fb.cat_bins = {}
+    frame = X.scorecard_frame(spark, SF_SMALL)
+    a = {r["k"]: r["prob"] for r in m.transform(frame).select("k", "prob").collect()}
+    b = {r["k"]: r["prob"] for r in m2.transform(frame).select("k", "prob").collect()}
+    assert a.keys() == b.keys()
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-12
+    spark.createDataFrame(sorted(m.bins["l_returnflag"].cat_bins.items()), "code string, bin int") \
+        .createOrReplaceTempView("rf_map")
+    frame.createOrReplaceTempView("tb_input")
+    c = {r["k"]: r["prob"] for r in spark.sql(m2.to_sql("tb_input", keep=["k"],
+                                                        maps={"l_returnflag": "rf_map"})).collect()}
+    assert max(abs(a[k] - c[k]) for k in a) < 1e-5
+
+
+def test_read_json_dict(spark, tmp_path):
+    """JSON object code -> display name as a two-column table."""
+    p = tmp_path / "partners.json"
+    p.write_text('{"p1": "Partner One", "p2": "Partner Two"}')
+    got = sorted((r["code"], r["name"]) for r in io.read_json_dict(spark, str(p)).collect())
+    assert got == [("p1", "Partner One"), ("p2", "Partner Two")]
