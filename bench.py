@@ -47,13 +47,14 @@ def main() -> None:
     from scoria.plans import fixtures as X
     from scoria.plans.q_woe import _fixed_model
     model = _fixed_model(spark, sf_dir)
-    frame = X.scorecard_frame(spark, sf_dir)
-    n_rows = frame.count()
+    frame = X.scorecard_frame(spark, sf_dir).persist()
+    n_rows = frame.count()   # cached input: the timing below is the scoring projection alone
     t0 = time.time()
     model.transform(frame).select("k", "prob").write.format("noop").mode("overwrite").save()
     dt = time.time() - t0
     times["score_only"] = round(dt, 3)
     times["score_rows_per_sec"] = round(n_rows / max(dt, 1e-9), 1)
+    frame.unpersist()
 
     # end-to-end scorecard fit on the train sample (no tree-importance pre-filter)
     from pyspark.sql import functions as F
