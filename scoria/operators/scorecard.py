@@ -160,7 +160,9 @@ class ScorecardEstimator:
         _tick(art, 'policy')
         # E8 + histogram (E10 input): real rows directly, cat rows via OOF encoding
         enc = W.mean_target_oof(coded, alpha=p["cat_alpha"], target=target)
-        enc = enc.persist()  # (category, fold) rows: used by the histogram and the reverse map
+        # (category, fold) rows, used by the histogram and the reverse map: cut
+        # from lineage (reliable checkpoint) so later plans stay small
+        enc = cut_lineage(enc)
         coded.count()
         _tick(art, 'bin_encode')
         cat_rows = enc.where(F.col("enc").isNotNull()).select(
@@ -195,7 +197,7 @@ class ScorecardEstimator:
         cat_map = None
         big_cat: dict[str, DataFrame] = {}
         if cat_feats:
-            cat_map = W.reverse_encode(enc, sdf.where(F.col("feature").isin(cat_feats))).persist()
+            cat_map = cut_lineage(W.reverse_encode(enc, sdf.where(F.col("feature").isin(cat_feats))))
             sizes = {r["feature"]: r["count"] for r in cat_map.groupBy("feature").count().collect()}
             small_f = [f for f in cat_feats if sizes.get(f, 0) <= p["max_cat_literal"]]
             # only small maps reach the driver (they become map literals); big ones
@@ -203,7 +205,7 @@ class ScorecardEstimator:
             cat_map_pd = cat_map.where(F.col("feature").isin(small_f)).toPandas()
             for f in cat_feats:
                 if f not in small_f:
-                    big_cat[f] = cut_lineage(cat_map.where(F.col("feature") == f).select("code", "bin"))
+                    big_cat[f] = cat_map.where(F.col("feature") == f).select("code", "bin")
         real_splits = sdf.where(F.col("feature").isin(real_feats))
 
         _tick(art, 'reverse')
@@ -288,9 +290,6 @@ class ScorecardEstimator:
         coded.unpersist()
         vc.unpersist()
         df_in.unpersist()
-        if cat_map is not None:
-            cat_map.unpersist()
-        enc.unpersist()
         dfx.unpersist()
         wide.unpersist()
         comp.unpersist()
