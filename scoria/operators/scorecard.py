@@ -258,7 +258,9 @@ class ScorecardEstimator:
 
         _tick(art, 'select')
         # L1 path over predefined folds (all C x folds fitted together)
-        comp = M.compress(wide, cand, target, ["fold"]).persist()
+        # distinct (WoE vector, fold) cells: small; every Newton iteration plans a
+        # job over it, so give it a flat lineage
+        comp = cut_lineage(M.compress(wide, cand, target, ["fold"]))
         folds = sorted(int(r[0]) for r in comp.select("fold").distinct().collect())
         path, _ = M.l1_path(comp, cand, folds, p["l1_base_step"], p["l1_exp_step"])
         best_c, keep, ctab = M.select_c(path, cand, p["interpreted_model"], p["auc_tol"])
@@ -292,7 +294,6 @@ class ScorecardEstimator:
         df_in.unpersist()
         dfx.unpersist()
         wide.unpersist()
-        comp.unpersist()
         _tick(art, 'refit')
         self.artifacts = art
         return model

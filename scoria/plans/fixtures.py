@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from scoria.functions.exprs import md5_bucket, row_key
 from scoria.operators.mart import map_codes
-from scoria.session import spread
 from scoria.sources.io import read_table
 
 # ---- fixed values of the stand-in mart (chosen here, not from the reference)
@@ -63,8 +62,6 @@ def scorecard_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample ('train' before OOT_PIVOT else 'oot').
     """
     (li,) = tables(spark, sf_dir, "lineitem")
-    li = spread(li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
-                          "l_tax", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"))
     k = row_key("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     u = md5_bucket(k)
     y = (F.lit(0.06) * F.col("l_quantity") + F.lit(10.0) * F.col("l_discount")
