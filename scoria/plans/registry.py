@@ -29,6 +29,8 @@ def query(name: str, sql: str | None = None, round_digits: int | None = DIGITS):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from scoria.session import ship_package
+            ship_package(spark)
             df = fn(spark, sf_dir)
             return rounded(df, round_digits) if round_digits is not None else df
         run.__name__ = fn.__name__

@@ -39,6 +39,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -93,3 +94,30 @@ def by_group(df: DataFrame, cols, n_groups: int | None = None) -> DataFrame:
     par = df.sparkSession.sparkContext.defaultParallelism
     n = par if n_groups is None else max(1, min(par, n_groups))
     return df.repartition(n, *cols)
+
+
+_SHIPPED: dict[int, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``scoria`` importable in executor Python workers (pandas UDF bodies
+    are pickled by module reference): zip the package once per process and
+    add it with ``addPyFile`` once per SparkContext — what ``--py-files`` does."""
+    import zipfile
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="scoria-pyfiles-"), "scoria.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED[key] = out
