@@ -118,9 +118,8 @@ def merge_folds(spark, sf):
 @query("special_merge")
 def special_merge(spark, sf):
     """A __NaN__ bin close in WoE to a regular bin takes the pooled WoE."""
-    from scoria.plans.q_woe import _binned
-    binned, pol = _binned(spark, sf)
-    t = W.woe_table(binned, pol, woe_diff_th=0.3)
+    from scoria.plans.q_woe import _woe_pd
+    t, _ = _woe_pd(spark, sf, woe_diff_th=0.3)
     t = t.assign(n=t["n"].astype("int64"))
     return _pdf(spark, t[["feature", "bin", "spec", "n", "woe"]], "feature string, bin double, spec string, n bigint, woe double")
 

@@ -45,10 +45,26 @@ def _long(spark, sf, with_folds=False):
 def _coded(spark, sf, with_folds=False):
     long, f = _long(spark, sf, with_folds)
     n = f.count()
-    pol, cats = W.fit_policy(long, TYPES, n, TH, TH)
+    # the policy needs category counts and missing counts only: non-missing
+    # real values are left out of its value-count aggregate
+    pol, cats = W.fit_policy(long.where(F.col("xr").isNull()), TYPES, n, TH, TH)
     return W.apply_policy(long, pol, cats), pol, cats
 
 
+def _stats_parts(spark, sf):
+    """(categorical binned rows, real-feature bin statistics, policy): real
+    features are binned and counted straight from the wide frame."""
+    f = _frame(spark, sf)
+    n = f.count()
+    keep = ["k", "target", "sample"]
+    pol_long = W.to_long_mixed(f, TYPES, keep).where(F.col("xr").isNull())
+    pol, cats = W.fit_policy(pol_long, TYPES, n, TH, TH)
+    cat_long = W.to_long_mixed(f, {c: "cat" for c in X.FEATURES_CAT}, keep)
+    binned_cat = W.assign_bins(W.apply_policy(cat_long, pol, cats), None, None)
+    real_stats = W.real_bin_stats(f, FIX_SPLITS, pol, "target")
+    return binned_cat, real_stats, pol
+
+
 def _fixed_splits_df(spark):
     return spark.createDataFrame([(k, v) for k, v in FIX_SPLITS.items()], "feature string, splits array<double>")
 
@@ -58,9 +74,9 @@ def _binned(spark, sf, with_folds=False):
     return W.assign_bins(coded, _fixed_splits_df(spark), None), pol
 
 
-def _woe_pd(spark, sf):
-    binned, pol = _binned(spark, sf)
-    return W.woe_table(binned, pol, 0.0), pol
+def _woe_pd(spark, sf, woe_diff_th: float = 0.0):
+    binned_cat, real_stats, pol = _stats_parts(spark, sf)
+    return W.woe_table(binned_cat, pol, woe_diff_th, extra_stats=real_stats), pol
 
 
 def _fixed_model(spark, sf):
@@ -248,8 +264,8 @@ def freq_encode_q(spark, sf):
 SELECT feature, bin, spec, n, CAST(n1 AS BIGINT) AS n1, CAST(n0 AS BIGINT) AS n0 FROM st""")
 def bin_stats_q(spark, sf):
     """Per (feature, bin, special) size / events / non-events — one job for all features."""
-    binned, _ = _binned(spark, sf)
-    return W.bin_stats(binned)
+    binned_cat, real_stats, _ = _stats_parts(spark, sf)
+    return W.bin_stats(binned_cat).unionByName(real_stats)
 
 
 @query("woe_table", sql=WOE_SQL + """
