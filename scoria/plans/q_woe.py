@@ -15,6 +15,7 @@ from scoria.operators import binning as B
 from scoria.operators.sampling import assign_folds
 from scoria.plans import fixtures as X
 from scoria.plans.registry import query
+from scoria.session import cut_lineage
 
 TH = 0.005                     # th_const = th_nan = th_cat (fraction of rows)
 N_FOLDS = 6
@@ -37,7 +38,8 @@ def _long(spark, sf, with_folds=False):
     f = _frame(spark, sf)
     keep = ["k", "target", "sample"]
     if with_folds:
-        f = assign_folds(f, N_FOLDS, "k", target="target", tiebreak=TIEBREAK)
+        # several jobs read the fold-assigned frame: materialise it once
+        f = cut_lineage(assign_folds(f, N_FOLDS, "k", target="target", tiebreak=TIEBREAK))
         keep.append("fold")
     return W.to_long_mixed(f, TYPES, keep), f
 
