@@ -477,3 +477,20 @@ def sampleby_sample(spark, sf):
     f = X.scorecard_frame(spark, sf)
     s = P.stratified_sample(f, "target", {1: 0.5, 0: 0.1}, seed=42)
     return s.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("transfer_partitioned", sql="""SELECT * FROM orders""")
+def transfer_partitioned(spark, sf):
+    """Copy a table into a folder partitioned by a column (salted,
+    dynamic partition overwrite), write it a second time to show the re-run
+    replaces instead of duplicating, read it back after a metadata refresh."""
+    import uuid
+
+    from scoria.session import checkpoint_dir
+    from scoria.sources.io import read_table, transfer
+    (o,) = X.tables(spark, sf, "orders")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transfer-{uuid.uuid4().hex}"
+    transfer(spark, o, f"{root}/orders.parquet", partition_by="o_orderpriority")
+    transfer(spark, o, f"{root}/orders.parquet", partition_by="o_orderpriority")   # idempotent re-run
+    back = read_table(spark, "orders", root, refresh=True)
+    return back.select(*o.columns)
