@@ -55,8 +55,8 @@ def histogram(xs: DataFrame, value: str = "x", fold: str = "fold", target: str =
                   F.min(value).alias("lo"), F.max(value).alias("hi")))
 
 
-def histogram_wide(df: DataFrame, features: Sequence[str], fold: str = "fold", target: str = "target",
-                   max_bins: int = MAX_HIST_BINS, rel_err: float = 1e-3) -> DataFrame:
+def histogram_wide(df: DataFrame, features: Sequence[str], fold: str | Sequence[str] = "fold",
+                   target: str = "target", max_bins: int = MAX_HIST_BINS, rel_err: float = 1e-3) -> DataFrame:
     """Histogram straight from the wide frame (real features).
 
     Edges: one ``approxQuantile`` pass for all columns (features x max_bins
@@ -67,11 +67,12 @@ def histogram_wide(df: DataFrame, features: Sequence[str], fold: str = "fold", t
     """
     from pyspark.ml.feature import Bucketizer
     feats = list(features)
+    folds = [fold] if isinstance(fold, str) else list(fold)
     if not feats:
         return df.sparkSession.createDataFrame(
             [], "feature string, qbin int, fold int, n bigint, n1 bigint, lo double, hi double")
     probs = [i / max_bins for i in range(1, max_bins)]
-    d = df.select(fold, target, *[F.col(f).cast("double").alias(f) for f in feats])
+    d = df.select(*folds, target, *[F.col(f).cast("double").alias(f) for f in feats])
     qs = d.approxQuantile(feats, probs, rel_err)
     splits = []
     for q in qs:
@@ -84,9 +85,9 @@ def histogram_wide(df: DataFrame, features: Sequence[str], fold: str = "fold", t
     bz = b.transform(z)
     pairs = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("x"), F.col(q).cast("int").alias("qbin"))
              for f, q in zip(feats, qcols)]
-    long = bz.select(fold, target, F.explode(F.array(*pairs)).alias("p")).select(fold, target, "p.*")
+    long = bz.select(*folds, target, F.explode(F.array(*pairs)).alias("p")).select(*folds, target, "p.*")
     long = long.where(~F.isnan("x"))
-    return (long.groupBy("feature", "qbin", fold)
+    return (long.groupBy("feature", "qbin", *folds)
                 .agg(F.count(F.lit(1)).alias("n"), F.sum(target).cast("bigint").alias("n1"),
                      F.min("x").alias("lo"), F.max("x").alias("hi")))
 
@@ -225,16 +226,18 @@ def fit_splits(h: pd.DataFrame, max_bin_count: int = 5, min_bin_size: int = 1,
     min_data_in_bin = ([mdb] if mdb is not None else
                        [min_bin_size] + [int(m * min_bin_size) for m in min_bin_mults])
     grid = list(itertools.product(min_data_in_bin, min_gains, range(2, max(max_bin_count, 2) + 1)))
-    folds = sorted(h["fold"].unique()) if cv else []
+    # Every fold assignment present (cv seeds "cvf*", else "fold") x its folds
+    fold_cols = [c for c in h.columns if (c.startswith("cvf") or c == "fold") and h[c].notna().any()]
     best_key, best_params = None, None
-    if cv and len(folds) > 1:
-        per_fold = {}
-        for f in folds:
-            part = h[h["fold"] == f].groupby("qbin").agg(n=("n", "sum"), n1=("n1", "sum")).reindex(qb, fill_value=0)
-            per_fold[f] = (part["n"].to_numpy(float), part["n1"].to_numpy(float))
+    per_fold = {}
+    for fc in (fold_cols if cv else []):
+        for f in sorted(h[fc].dropna().unique()):
+            part = h[h[fc] == f].groupby("qbin").agg(n=("n", "sum"), n1=("n1", "sum")).reindex(qb, fill_value=0)
+            per_fold[(fc, f)] = (part["n"].to_numpy(float), part["n1"].to_numpy(float))
+    if cv and len(per_fold) > 1:
         for mdb, mg, nl in grid:
             scores = []
-            for f in folds:
+            for f in per_fold:
                 fn, fn1 = per_fold[f]
                 tn, tn1 = n - fn, n1 - fn1
                 if tn.sum() <= 0:

@@ -19,6 +19,7 @@ from scoria.operators import model as M
 from scoria.operators import select as S
 from scoria.operators import woe as W
 from scoria.operators.metrics import auc, corr_matrix
+from scoria.functions.exprs import md5_bucket
 from scoria.operators.sampling import assign_folds
 from scoria.session import cut_lineage, spread
 
@@ -56,7 +57,7 @@ class ScorecardEstimator:
                  imp_type: str | None = "feature_imp", regularized_refit: bool = True, p_val: float = 0.05,
                  key: str = "k", cv_binning: bool = True, fold_method: str = "hash",
                  force_single_split: bool = False, drop_features: Sequence[str] = (),
-                 max_cat_literal: int = 10000):
+                 max_cat_literal: int = 10000, cv_seeds: int = 3, cv_folds: int = 5):
         self.p = dict(locals())
         self.p.pop("self")
 
@@ -167,9 +168,14 @@ class ScorecardEstimator:
         _tick(art, 'bin_encode')
         cat_rows = enc.where(F.col("enc").isNotNull()).select(
             "feature", F.col("enc").alias("x"), "fold", F.col("n"), F.col("n1"))
-        hist_real = B.histogram_wide(dfx, real_feats, "fold", target)
+        # Binning CV uses its own 3 seeds x 5 folds (hash folds, no shuffle)
+        cvf = [f"cvf{i}" for i in range(p["cv_seeds"])]
+        dcv = dfx.select(target, *real_feats, *[
+            F.floor(md5_bucket(F.concat(F.col(key).cast("string"), F.lit(f"|cv{i}"))) * p["cv_folds"])
+             .cast("int").alias(c) for i, c in enumerate(cvf)])
+        hist_real = B.histogram_wide(dcv, real_feats, cvf, target)
         hist_cat = self._cat_histogram(cat_rows)
-        hist = hist_real.unionByName(hist_cat)
+        hist = hist_real.unionByName(hist_cat, allowMissingColumns=True)
         mbc = {f: int((max_bin_count or {}).get(f, p["max_bin_count"])) for f in feats}
         single = {}
         if p["force_single_split"]:
