@@ -84,9 +84,24 @@ def psi(train: DataFrame, test: DataFrame, features: Sequence[str], by: Sequence
     keep = list(by)
     u = (train.select(*keep, *features).withColumn("_s", F.lit(1))
          .unionByName(test.select(*keep, *features).withColumn("_s", F.lit(0))))
-    long = u.select(*keep, "_s", *[F.col(f).cast(value_cast).alias(f) for f in features]).unpivot(
-        keep + ["_s"], list(features), "feature", "value")
-    cnt = long.groupBy(*keep, "feature", "value").agg(
+    # group on typed values (numbers as doubles, the rest as strings): the same
+    # groups as a string cast, without formatting every number
+    dtypes = dict(u.dtypes)
+    num = [f for f in features if dtypes[f] in ("double", "float", "int", "bigint", "smallint", "tinyint")
+           or dtypes[f].startswith("decimal")] if value_cast == "string" else []
+    oth = [f for f in features if f not in num]
+    parts = []
+    if num:
+        parts.append(u.select(*keep, "_s", *[F.col(f).cast("double").alias(f) for f in num])
+                      .unpivot(keep + ["_s"], num, "feature", "vr").withColumn("vc", F.lit(None).cast("string")))
+    if oth:
+        parts.append(u.select(*keep, "_s", *[F.col(f).cast(value_cast).alias(f) for f in oth])
+                      .unpivot(keep + ["_s"], oth, "feature", "vc").withColumn("vr", F.lit(None).cast("double"))
+                      .select(*keep, "_s", "feature", "vr", "vc"))
+    long = parts[0]
+    for q in parts[1:]:
+        long = long.unionByName(q)
+    cnt = long.groupBy(*keep, "feature", "vr", "vc").agg(
         F.sum("_s").alias("n_tr"), F.sum(1 - F.col("_s")).alias("n_te"))
     # per-(by, feature) totals joined back (AQE broadcasts them at run time
     # when small); a window per feature would put all distinct values of a
