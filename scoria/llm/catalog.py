@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoria.llm import langid
+from scoria.llm import chat, decontaminate, langid, licenses, mixing, simhash, topk
 from scoria.llm.common import col, crc_mod5, table
 from scoria.session import ship_package
 
@@ -28,6 +28,77 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    """Licence phrases and passages in every document."""
+    docs = table(spark, sf_dir, "documents")
+    texts = [*licenses.PHRASES, *(p for p, _ in licenses.PASSAGES.values())]
+    index = licenses.Index(*licenses.document_frequencies(docs, {w for t in texts for w in t.split()}))
+    got = licenses.scan(docs, index)
+    base = F.filter("hits", lambda h: h["kind"] == "phrase")
+    starts = F.transform(base, lambda h: h["start"])
+    names = lambda hs: F.array_join(F.array_sort(F.array_distinct(F.transform(hs, lambda h: h["label"]))), ",")
+    return got.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+                      F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                      names(base).alias("base_labels"), names(F.col("hits")).alias("labels"),
+                      F.coalesce(F.array_max(F.transform("hits", lambda h: h["share"])), F.lit(0.0)).alias("score"))
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
+@query("op2_exact_top_k", OP2_SQL)
+def op2_exact_top_k(spark, sf_dir):
+    """The 20 largest quantised inner products of every 20th vector with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP3_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, CASE WHEN regexp_matches(text, '[<\[]\\*(s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\]|ASST\]|ROLE:|/ROLE\])')
+            THEN len(regexp_replace(text, '([<\[])(\\*)(s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\]|ASST\]|ROLE:|/ROLE\])',
+                                    '\1\\\2\3', 'g')) ELSE len(text) END AS n FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(n + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 14 WHEN 'system' THEN 18 ELSE 19 + len(role) END)
+            AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op3_chat_format", OP3_SQL)
+def op3_chat_format(spark, sf_dir):
+    """All conversations and one that says control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)],
+                                "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.segments(turns.unionByName(own)))
+
+
+@query("op6_simhash_dedup")
+def op6_simhash_dedup(spark, sf_dir):
+    """3-word SimHash of every document, linked within 2 bits."""
+    got = simhash.groups(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query("op9_language_id")
 def op9_language_id(spark, sf_dir):
     """Compression classifier fitted on four fifths of the labelled ids, applied to every document."""
@@ -37,3 +108,83 @@ def op9_language_id(spark, sf_dir):
                       langid.identify(col("text"), model).alias("p"))
     return got.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"),
                       F.col("p.margin").alias("margin"), F.col("p.rejected").alias("rejected"))
+
+
+OP8_SQL = r"""
+WITH dw AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+iw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+ia AS (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS a FROM iw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[a:a + 9], ' ') AS phrase FROM ia),
+da AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS a FROM dw),
+dn AS (SELECT rid, a, n, array_to_string(w[a:a + n - 1], ' ') AS phrase
+       FROM da, (SELECT DISTINCT n FROM win) WHERE a + n - 1 <= len(w)),
+met AS (SELECT rid, a, dn.n, item_id FROM dn JOIN win ON dn.n = win.n AND dn.phrase = win.phrase),
+hit AS (SELECT rid, count(*) AS n_hit FROM
+        (SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(a, a + n)) AS p FROM met)) GROUP BY rid),
+ids AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+        FROM (SELECT DISTINCT rid, item_id FROM met) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM dw LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
+"""
+
+
+@query("op8_decontamination", OP8_SQL)
+def op8_decontamination(spark, sf_dir):
+    """Exact 10-word windows of the benchmark in every document, by the positional index."""
+    docs = table(spark, sf_dir, "documents")
+    found = decontaminate.report(docs, table(spark, sf_dir, "benchmark")).alias("f")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"),
+                    F.size(decontaminate.words(col("text"))).cast("long").alias("n_words")).alias("d")
+    both = d.join(found, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.h") == F.col("f.h")), "left")
+    return both.select(
+        "d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("item_ids", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
+        F.col("n_hit").isNotNull().alias("contaminated"))
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+  FROM d GROUP BY source),
+w AS (SELECT *, ([5, 2, 1])[r % 3 + 1] AS w, ([-0.5, 0.0, 0.5])[r % 3 + 1]::DOUBLE AS a FROM s),
+lev AS (
+  SELECT 2.0 * source_size / w AS ratio,
+         (1.5 * sum(source_size) OVER () - coalesce(sum(2.0 * source_size) OVER
+            (ORDER BY 2.0 * source_size / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(w) OVER (ORDER BY 2.0 * source_size / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+t AS (
+  SELECT *, least(2.0 * source_size, w * (SELECT level FROM lev WHERE level <= ratio ORDER BY ratio LIMIT 1))::DOUBLE AS target FROM w),
+c AS (
+  SELECT d.doc_id, size, source_size, target, a,
+         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, size
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS st
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (
+  SELECT *, CAST(greatest(0, least(size, CAST(round(target) AS BIGINT) - st))
+         + greatest(0, least(size, CAST(round(target) AS BIGINT) - st - source_size)) AS BIGINT) AS taken FROM c)
+SELECT doc_id, size, source_size, round(target, 6) AS target, taken,
+       CASE WHEN taken = 0 THEN NULL WHEN a = 0 THEN round(st / target, 6)
+            ELSE round((a - 1 + sqrt((1 - a) * (1 - a) + 4 * a * (st / target))) / (2 * a), 6) END AS position
+FROM k
+"""
+
+
+@query("op10_curriculum_mix", OP10_SQL)
+def op10_curriculum_mix(spark, sf_dir):
+    """Every document's share of the mix and the training position of its first copy."""
+    got = mixing.mix(table(spark, sf_dir, "documents"))
+    return got.withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})

@@ -7,7 +7,8 @@ from scoria.llm.catalog import QUERIES
 from scoria.llm.common import crc_mod5
 
 
-def test_held_out_accuracy(spark, sf):
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = QUERIES["op9_language_id"](spark, sf).join(docs.select("doc_id", "lang"), "doc_id")
     rows = got.where("held_out").collect()
