@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoria.llm import chat, decontaminate, langid, licenses, mixing, simhash, topk
+from scoria.llm import chat, decontaminate, langid, licenses, mixing, pii, secret_scan, simhash, topk
 from scoria.llm.common import col, crc_mod5, table
 from scoria.session import ship_package
 
@@ -92,6 +92,27 @@ def op3_chat_format(spark, sf_dir):
     return chat.digests(chat.segments(turns.unionByName(own)))
 
 
+def _joined(spans, kinds):
+    """kind:start:end of sorted spans, comma-joined."""
+    name = lambda x: F.element_at(F.array(*[F.lit(k) for k in kinds]), x["k"] + 1)
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x), x["start"].cast("string"),
+                                                                 x["end"].cast("string"))), ",")
+
+
+def _count(spans, k):
+    return F.size(F.filter(spans, lambda x: x["k"] == k)).cast("long")
+
+
+@query("op5_pii_bootstrap")
+def op5_pii_bootstrap(spark, sf_dir):
+    """Base personal data and what bootstrapped contexts add, in every document."""
+    got = pii.extract(table(spark, sf_dir, "documents"))
+    every = F.array_sort(F.array_distinct(F.concat("base", "added")))
+    return got.select("doc_id", *[_count(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+                      F.sha2(_joined(F.col("base"), pii.KINDS).cast("binary"), 256).alias("base_sha256"),
+                      _joined(every, pii.KINDS).alias("spans"))
+
+
 @query("op6_simhash_dedup")
 def op6_simhash_dedup(spark, sf_dir):
     """3-word SimHash of every document, linked within 2 bits."""
@@ -110,6 +131,54 @@ def op9_language_id(spark, sf_dir):
                       F.col("p.margin").alias("margin"), F.col("p.rejected").alias("rejected"))
 
 
+def _op7_kind(k, name, pattern, value, keep):
+    """Places of one kind: list arithmetic over what stands between and in the matches."""
+    return f"""
+  SELECT rid, doc_id, source, {k} AS k, '{name}' AS kind, unnest([{{'s': list_sum(gap[1:i]) + coalesce(list_sum(n[1:i - 1]), 0),
+         'n': n[i], 'v': v[i]}} FOR i IN range(1, len(n) + 1)]) AS m
+  FROM (SELECT rid, doc_id, source, [len(x) FOR x IN string_split_regex(text, '{pattern}')] AS gap,
+               [len(x) FOR x IN regexp_extract_all(text, '{pattern}')] AS n,
+               regexp_extract_all(text, '{pattern}', {value}) AS v
+        FROM d WHERE regexp_matches(text, '{pattern}')) WHERE true{keep}"""
+
+
+OP7_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+m AS (""" + " UNION ALL ".join(_op7_kind(k, name, pattern.replace("'", "''"), group, "")
+                               for k, (name, (pattern, group, _, _)) in enumerate(secret_scan.KINDS.items())) + """),
+c AS (
+  SELECT rid, doc_id, source, k, kind, CAST(m.s AS BIGINT) AS s, CAST(m.s + m.n AS BIGINT) AS e, m.v AS v FROM m
+  WHERE len(m.v) >= ([8, 16, 32, 24])[k + 1] AND (k < 3 OR (regexp_matches(m.v, '[a-z]') AND regexp_matches(m.v, '[A-Z]')
+        AND regexp_matches(m.v, '[0-9][^0-9]*[0-9][^0-9]*[0-9]')))),
+p AS (
+  SELECT * FROM c WHERE k < 3 OR NOT EXISTS (
+    SELECT 1 FROM c b WHERE b.rid = c.rid AND b.k < 3 AND b.s < c.e AND b.e > c.s)),
+o AS (SELECT v, count(DISTINCT coalesce('0' || source, '1')) AS owners FROM p GROUP BY v),
+r AS (SELECT p.*, owners <= 2 AS live FROM p JOIN o USING (v) WHERE k < 3 OR owners <= 2),
+a AS (
+  SELECT rid, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+         count(*) FILTER (WHERE k = 2) AS n_hex, count(*) FILTER (WHERE live) AS n_live,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+  FROM r GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+FROM d LEFT JOIN a USING (rid)
+"""
+
+
+@query("op7_secret_scan", OP7_SQL)
+def op7_secret_scan(spark, sf_dir):
+    """Secrets in every document; values that few owners hold count as live."""
+    got = secret_scan.scan(table(spark, sf_dir, "documents"))
+    kinds = list(secret_scan.KINDS)
+    base = F.filter("spans", lambda x: x["base"])
+    return got.select("doc_id", *[_count(F.col("spans"), k).alias(f"n_{kinds[k]}") for k in range(3)],
+                      F.sha2(_joined(base, kinds).cast("binary"), 256).alias("base_sha256"),
+                      _joined(F.col("spans"), kinds).alias("spans"),
+                      F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live"))
+
+
 OP8_SQL = r"""
 WITH dw AS (
   SELECT row_number() OVER () AS rid, doc_id,
