@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoria.llm import chat, decontaminate, langid, licenses, mixing, pii, secret_scan, simhash, topk
+from scoria.llm import chat, decontaminate, langid, licenses, lm, mixing, pii, secret_scan, simhash, topk
 from scoria.llm.common import col, crc_mod5, table
 from scoria.session import ship_package
 
@@ -92,6 +92,13 @@ def op3_chat_format(spark, sf_dir):
     return chat.digests(chat.segments(turns.unionByName(own)))
 
 
+@query("op4_lm_score")
+def op4_lm_score(spark, sf_dir):
+    """Unigram and automaton log10-probabilities of every document, learnt from four fifths of the ids."""
+    got = lm.score(table(spark, sf_dir, "documents"), crc_mod5() != 1)
+    return got.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def _joined(spans, kinds):
     """kind:start:end of sorted spans, comma-joined."""
     name = lambda x: F.element_at(F.array(*[F.lit(k) for k in kinds]), x["k"] + 1)
