@@ -42,7 +42,7 @@ BLOCK_TOKENS = 2_000_000
 #: Distinct words a task holds before it sends them, while the vocabulary is counted.
 HELD_WORDS = 1_000_000
 #: Weight of the unigram in the smoothing, in tokens.
-MU = 1000.0
+MU = 300.0
 END, BEGIN = b"", b" "  # neither can be a word
 _ROW = "key long, block long, kind int, bucket long, parts array<binary>"
 _SCHEMA = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int64()),
