@@ -53,9 +53,13 @@ def windows(items: DataFrame, *, id_col: str = "item_id", text_col: str = "text"
         "item_id", "at", F.size("ws").alias("n"), F.array_join("ws", " ").alias("phrase"))
 
 
+def _few(df: DataFrame) -> bool:
+    """Whether a test-side table may be broadcast, by its counted rows."""
+    return df.count() <= MAX_BROADCAST_ROWS
+
+
 def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a test-side table where its counted rows are few."""
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df) if _few(df) else df
 
 
 def term_counts(docs: DataFrame, wins: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -100,18 +104,36 @@ def exact_matches(docs: DataFrame, rare: DataFrame, *, id_col: str = "doc_id", t
     must stand at its own offset from there, then the whole phrase is compared.
     """
     second = F.try_element_at("rare", F.lit(2))
-    key = rare.select(F.col("rare")[0]["term"].alias("term"), F.col("rare")[0]["off"].alias("off"), "phrase", "n",
-                      F.coalesce(second["off"], F.col("rare")[0]["off"]).alias("off2"),
-                      F.coalesce(second["term"], F.col("rare")[0]["term"]).alias("term2"))
-    p = postings(docs, _small(cut_lineage(key)), id_col=id_col, text_col=text_col)
+    key = cut_lineage(rare.select(
+        F.col("rare")[0]["term"].alias("term"), F.col("rare")[0]["off"].alias("off"), "phrase", "n",
+        F.coalesce(second["off"], F.col("rare")[0]["off"]).alias("off2"),
+        F.coalesce(second["term"], F.col("rare")[0]["term"]).alias("term2")))
     start = F.col("pos") - F.col("off")
+    if not _few(key):
+        return _exact_shuffled(docs, postings(docs, key, id_col=id_col, text_col=text_col).where(start >= 0).select(
+            "doc_id", "h", "phrase", start.alias("start"), "n"), id_col=id_col, text_col=text_col)
+    p = postings(docs, F.broadcast(key), id_col=id_col, text_col=text_col)
     met = p.where((start >= 0) & (start + F.col("n") <= F.size("ws")) &
                   (F.lower(F.try_element_at("ws", start + F.col("off2") + 1)) == F.col("term2")))
-    met = met.where(F.translate(F.array_join(F.slice("ws", F.greatest(start, F.lit(0)) + 1, F.col("n")), " "),
-                                UPPER, LOWER) == F.col("phrase"))
+    met = met.where(_phrase_at(F.col("ws"), F.greatest(start, F.lit(0)), F.col("n")) == F.col("phrase"))
     return met.select("doc_id", "h", "phrase", start.alias("start"), "n").distinct()
 
 
+def _phrase_at(ws: Column, start: Column, n: Column) -> Column:
+    return F.translate(F.array_join(F.slice(ws, start + 1, n), " "), UPPER, LOWER)
+
+
+def _exact_shuffled(docs: DataFrame, aligned: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """The same for a test side that is too large to broadcast: alignments are brought to their document,
+    whose words stay in one row."""
+    at = aligned.distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("phrase", "start", "n")).alias("at")).alias("a")
+    d = docs.select(col(id_col).cast("long").alias("doc_id"), F.xxhash64(col(text_col)).alias("h"),
+                    words(col(text_col)).alias("ws")).alias("d")
+    both = d.join(at, F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("d.h") == F.col("a.h")))
+    met = F.filter("at", lambda x: _phrase_at(F.col("ws"), x["start"], x["n"]) == x["phrase"])
+    return both.select("d.doc_id", "d.h", F.explode(met).alias("m")).select("doc_id", "h", "m.*").distinct()
+
+
 def proximity_matches(docs: DataFrame, rare: DataFrame, *, slack: int = 5, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """(doc_id, h, phrase, near): places where a window's two rarest terms stand within ``slack`` words
