@@ -293,24 +293,35 @@ def tree_bins(hist: DataFrame, max_bin_count: int | Mapping[str, int] = 5, min_b
 
 # ------------------------------------------------------------------ merging
 
-def _wilson(k, n, alpha):
+def _wilson(k: np.ndarray, n: np.ndarray, alpha: float) -> np.ndarray:
+    """Wilson interval ends (2 x bins) of event rates k / n; (0, 1) for an empty bin."""
     from statistics import NormalDist
-    if n <= 0:
-        return 0.0, 1.0
     z = NormalDist().inv_cdf(1 - alpha / 2)
-    p = k / n
-    den = 1 + z * z / n
-    mid = (p + z * z / (2 * n)) / den
-    half = z * math.sqrt(max(p * (1 - p) / n + z * z / (4 * n * n), 0.0)) / den
-    return mid - half, mid + half
+    m = np.maximum(n, 1)
+    mid, half = k / m + z * z / (2 * m), z * np.sqrt(np.maximum(k / m * (1 - k / m) / m + z * z / (4 * m * m), 0))
+    ends = np.stack((mid - half, mid + half)) / (1 + z * z / m)
+    return np.where(n > 0, ends, np.array([[0.0], [1.0]]))
 
 
-def _local_woe(rate, n, T1, T0):
-    """Interval end (event rate) -> local WoE of a bin of size n."""
-    b = max(0.5, int(rate * n))
-    g = n - b
-    g = max(g, 0.5)
-    return math.log((b / T1) / (g / T0))
+def _log_odds(events: np.ndarray, n: np.ndarray, t1: float, t0: float) -> np.ndarray:
+    """Local WoE of bins; an empty class counts 0.5."""
+    return np.log((np.maximum(events, 0.5) / t1) / (np.maximum(n - events, 0.5) / t0))
+
+
+def _totals(n, n1) -> tuple[float, float]:
+    return max(float(np.sum(n1)), 0.5), max(float(np.sum(n) - np.sum(n1)), 0.5)
+
+
+def _merge(n_bins: int, most: float, worst) -> list[int]:
+    """Take away inner edges one by one: ``worst(edges, forced)`` names the next, or None.
+    ``edges`` are the bounds of the bins that are left; returns each first bin's merged bin."""
+    edges = np.arange(n_bins + 1)
+    while len(edges) > 3:
+        i = worst(edges, len(edges) - 1 > most)
+        if i is None:
+            break
+        edges = np.delete(edges, i + 1)
+    return (np.searchsorted(edges, np.arange(n_bins), side="right") - 1).tolist()
 
 
 def merge_ci(n: Sequence[float], n1: Sequence[float], max_bin_count: int | None = None,
@@ -323,37 +334,18 @@ def merge_ci(n: Sequence[float], n1: Sequence[float], max_bin_count: int | None
     any overlap is < 0).  Stops at 2 bins.  Returns, for each input bin,
     its merged group index.
     """
-    groups = [[i] for i in range(len(n))]
-    cnt = [[float(n[i]), float(n1[i])] for i in range(len(n))]
-    T1 = max(sum(n1), 0.5)
-    T0 = max(sum(n) - sum(n1), 0.5)
-    cap = math.inf if max_bin_count is None else max_bin_count
-
-    def ov(i):
-        (na, ka), (nb, kb) = cnt[i], cnt[i + 1]
-        la, ha = _wilson(ka, na, alpha)
-        lb, hb = _wilson(kb, nb, alpha)
-        a = (_local_woe(la, na, T1, T0), _local_woe(ha, na, T1, T0))
-        b = (_local_woe(lb, nb, T1, T0), _local_woe(hb, nb, T1, T0))
-        return min(a[1], b[1]) - max(a[0], b[0])
-
-    while len(groups) > 2:
-        ovs = [ov(i) for i in range(len(groups) - 1)]
-        if order == "as_written":
-            i = int(np.argmin(ovs))
-            if not (ovs[i] < 0 or len(groups) > cap):
-                break
-        else:
-            i = int(np.argmax(ovs))
-            if not (ovs[i] > 0 or len(groups) > cap):
-                break
-        groups[i:i + 2] = [groups[i] + groups[i + 1]]
-        cnt[i:i + 2] = [[cnt[i][0] + cnt[i + 1][0], cnt[i][1] + cnt[i + 1][1]]]
-    out = [0] * len(n)
-    for gi, g in enumerate(groups):
-        for b in g:
-            out[b] = gi
-    return out
+    cum_n, cum_1 = np.cumsum([0.0, *n]), np.cumsum([0.0, *n1])
+    t1, t0 = _totals(n, n1)
+
+    def worst(edges, forced):
+        size, events = np.diff(cum_n[edges]), np.diff(cum_1[edges])
+        low, high = _log_odds(np.maximum(np.trunc(_wilson(events, size, alpha) * size), 0.5), size, t1, t0)
+        overlap = np.minimum(high[:-1], high[1:]) - np.maximum(low[:-1], low[1:])
+        i = int(overlap.argmin() if order == "as_written" else overlap.argmax())
+        wanted = overlap[i] < 0 if order == "as_written" else overlap[i] > 0
+        return i if wanted or forced else None
+
+    return _merge(len(n), math.inf if max_bin_count is None else max_bin_count, worst)
 
 
 def merge_folds(n: np.ndarray, n1: np.ndarray, fold_n: np.ndarray, fold_n1: np.ndarray,
@@ -365,42 +357,27 @@ def merge_folds(n: np.ndarray, n1: np.ndarray, fold_n: np.ndarray, fold_n1: np.n
     lowest-penalty pair until at most ``max_bin_count`` bins remain (the
     statistic is never negative, so only the bin cap triggers merging).
     """
-    K = fold_n.shape[0]
-    c = (K - 1) / K if K > 1 else 1.0
-    T1 = max(float(np.sum(n1)), 0.5)
-    T0 = max(float(np.sum(n) - np.sum(n1)), 0.5)
-    groups = [[i] for i in range(len(n))]
-    main = [[float(n[i]), float(n1[i])] for i in range(len(n))]
-    folds = [[[float(fold_n[f, i]), float(fold_n1[f, i])] for i in range(len(n))] for f in range(K)]
-
-    def lw(nn, kk, fold=False):
-        cc = c if fold else 1.0
-        good = max(0.5, nn - kk)
-        bad = max(kk, 0.5)
-        return math.log((bad / (cc * T1)) / (good / (cc * T0)))
-
-    def stat(m0, m1, f1):
-        d = (m1 - m0) * (f1 - m0)
-        return 0.0 if np.all(d > 0) else float(-np.sum(np.minimum(d, 0)))
-
-    def pen(i):
-        m0, m1 = lw(*main[i]), lw(*main[i + 1])
-        f0 = np.array([lw(*folds[f][i], fold=True) for f in range(K)])
-        f1 = np.array([lw(*folds[f][i + 1], fold=True) for f in range(K)])
-        return min(stat(m0, m1, f1), stat(m1, m0, f0))
-
-    while len(groups) > max(max_bin_count, 2):
-        ps = [pen(i) for i in range(len(groups) - 1)]
-        i = int(np.argmin(ps))
-        groups[i:i + 2] = [groups[i] + groups[i + 1]]
-        main[i:i + 2] = [[main[i][0] + main[i + 1][0], main[i][1] + main[i + 1][1]]]
-        for f in range(K):
-            folds[f][i:i + 2] = [[folds[f][i][0] + folds[f][i + 1][0], folds[f][i][1] + folds[f][i + 1][1]]]
-    out = [0] * len(n)
-    for gi, g in enumerate(groups):
-        for b in g:
-            out[b] = gi
-    return out
+    k = len(fold_n)
+    share = (k - 1) / k if k > 1 else 1.0
+    t1, t0 = _totals(n, n1)
+    # rows: the whole sample, then each fold
+    zero = np.zeros((k + 1, 1))
+    cum_n = np.cumsum(np.hstack((zero, np.vstack((n, fold_n)))), axis=1)
+    cum_1 = np.cumsum(np.hstack((zero, np.vstack((n1, fold_n1)))), axis=1)
+    scale = np.concatenate(([1.0], np.full(k, share)))[:, None]
+
+    def against(a, b, folds_b):
+        """Per pair: how far the folds put b on the other side of a than the whole sample does."""
+        d = (b - a) * (folds_b - a)
+        return np.where((d > 0).all(axis=0), 0.0, -np.minimum(d, 0).sum(axis=0))
+
+    def worst(edges, forced):
+        w = _log_odds(np.diff(cum_1[:, edges]), np.diff(cum_n[:, edges]), t1 * scale, t0 * scale)
+        left, right = w[:, :-1], w[:, 1:]
+        penalty = np.minimum(against(left[0], right[0], right[1:]), against(right[0], left[0], left[1:]))
+        return int(penalty.argmin()) if forced else None
+
+    return _merge(len(n), max(max_bin_count, 2), worst)
 
 
 def merged_splits(splits: Sequence[float], groups: Sequence[int]) -> list[float]:

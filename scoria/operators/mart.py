@@ -81,7 +81,7 @@ def pivot_features(agg: DataFrame, id_cols: Sequence[str], categories: Sequence[
             .agg((F.first("sum_amt") / scale).alias("sum_amt"),
                  (F.first("max_amt") / scale).alias("max_amt"),
                  (F.first("min_amt") / scale).alias("min_amt")))
-    return p.fillna(0.0)
+    return p.fillna(0.0, [c for c in p.columns if c not in id_cols])  # a null client stays null
 
 
 def mart_columns(categories: Sequence[str], with_count: bool = False) -> list[str]:

@@ -115,41 +115,29 @@ def psi(train: DataFrame, test: DataFrame, features: Sequence[str], by: Sequence
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """k x k Pearson correlation in one aggregate pass (sums and cross-products).
+    """k x k Pearson correlation of the rows without missing values (one centred Gram matrix, MLlib).
 
-    Only the k x k matrix reaches the driver.  Zero-variance columns give NaN.
+    Only the k x k matrix reaches the driver.  Off the diagonal, zero-variance columns give NaN.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
     cols = list(cols)
-    k = len(cols)
     d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(c).alias(f"s{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(F.col(a) * F.col(b)).alias(f"p{i}_{j}")
-             for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-    r = d.agg(*aggs).first().asDict()
-    n = r["n"] or 0
-    s = np.array([r[f"s{i}"] or 0.0 for i in range(k)], dtype=float)
-    m = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = r[f"p{i}_{j}"] or 0.0
-    with np.errstate(invalid="ignore", divide="ignore"):
-        cov = (m - np.outer(s, s) / max(n, 1)) / max(n - 1, 1)
-        sd = np.sqrt(np.diag(cov))
-        c = cov / np.outer(sd, sd)
+    v = VectorAssembler(inputCols=cols, outputCol="__v").transform(d).select("__v")
+    c = Correlation.corr(v, "__v").first()[0].toArray()
     return c
 
 
 def corr_pairs(df: DataFrame, cols: Sequence[str], absolute: bool = False) -> DataFrame:
-    """Upper-triangle pair table (f1, f2, corr) as a DataFrame (Spark ``corr``)."""
+    """Upper-triangle pair table (f1, f2, corr); each pair over the rows that have both."""
     cols = list(cols)
-    aggs = [F.corr(a, b).alias(f"c{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
-    if not aggs:
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not pairs:
         return df.sparkSession.createDataFrame([], "f1 string, f2 string, corr double")
-    wide = df.agg(*aggs)
-    pairs = [(a, b, f"c{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
-    stack = ", ".join(f"'{a}', '{b}', {c}" for a, b, c in pairs)
-    out = wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (f1, f2, corr)")
+    # one short expression a pair and one aggregate; the pairs are exploded from the single row
+    one = df.agg(F.array(*[F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.corr(a, b).alias("corr"))
+                           for a, b in pairs]).alias("p"))
+    out = one.select(F.explode("p").alias("p")).select("p.*")
     return out.withColumn("corr", F.abs("corr")) if absolute else out
 
 
@@ -159,13 +147,13 @@ def vif(corr: np.ndarray, ridge: float = 0.0) -> np.ndarray:
     return np.diag(np.linalg.inv(corr + ridge * np.eye(k)))
 
 
-def describe(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = True,
+def describe(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = False,
              accuracy: int = 10000) -> DataFrame:
     """Count, mean, std, min, 25/50/75 % (linear, like pandas), max per group.
 
     ``exact`` keeps a value -> count map per group: memory grows with the
     number of *distinct* values, fine for bounded domains (scorecard
-    probabilities, quantities); use ``exact=False`` (sketch) otherwise."""
+    probabilities, quantities); the default is a sketch."""
     v = F.col(value)
     if exact:
         q = [F.percentile(v, F.lit(p)) for p in (0.25, 0.5, 0.75)]

@@ -15,6 +15,7 @@ driver.  The Hessian at the optimum gives the Wald variances for free.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -80,9 +81,9 @@ def _stats_job(comp: DataFrame, features: Sequence[str], models: list[dict]) ->
 
 
 def _cd_step(H: np.ndarray, g: np.ndarray, beta: np.ndarray, lam: float, nonpos: bool = False,
-             iters: int = 200, tol: float = 1e-10) -> np.ndarray:
+             iters: int = 10_000, tol: float = 1e-10) -> tuple[np.ndarray, bool]:
     """Minimise the quadratic model  -g'd + d'Hd/2 + lam*|beta+d|_1 (intercept unpenalised)
-    by coordinate descent; returns the new beta."""
+    by coordinate descent; returns the new beta and whether it settled."""
     k = len(beta)
     b = beta.copy()
     # gradient of the smooth part at b: -(g - H (b - beta))
@@ -103,20 +104,22 @@ def _cd_step(H: np.ndarray, g: np.ndarray, beta: np.ndarray, lam: float, nonpos:
             mx = max(mx, abs(nb - b[j]))
             b[j] = nb
         if mx < tol:
-            break
-    return b
+            return b, True
+    return b, False
 
 
-def glm_fit(comp: DataFrame, features: Sequence[str], models: list[dict], max_iter: int = 30,
+def glm_fit(comp: DataFrame, features: Sequence[str], models: list[dict], max_iter: int = 100,
             tol: float = 1e-7) -> dict[int, dict]:
     """Fit many L1/unpenalised logistic models at once.
 
     ``models``: dicts with ``id``, ``lam`` (L1 weight = 1/C; 0 = none) and
     optional ``exclude_fold``.  Returns per id: ``beta`` (coefs..., intercept),
-    ``H`` (Hessian at the solution), ``iters``.
+    ``H`` (Hessian at the solution), ``iters`` and ``converged``.  A step is
+    halved while it grows (separable data); fits that have not settled after
+    ``max_iter`` steps are flagged and warned about, never passed silently.
     """
     k = len(features) + 1
-    state = {m["id"]: dict(m, beta=np.zeros(k), done=False, iters=0) for m in models}
+    state = {m["id"]: dict(m, beta=np.zeros(k), done=False, converged=False, iters=0) for m in models}
     H_last: dict[int, np.ndarray] = {}
     for _ in range(max_iter):
         active = [m for m in state.values() if not m["done"]]
@@ -133,8 +136,9 @@ def glm_fit(comp: DataFrame, features: Sequence[str], models: list[dict], max_it
             idx = np.array(list(m["active"]) + [k - 1]) if m.get("active") is not None else np.arange(k)
             Hs = H[np.ix_(idx, idx)] + 1e-10 * np.eye(len(idx))
             gs, bs = g[idx], m["beta"][idx]
+            settled = True
             if m["lam"] > 0:
-                ns = _cd_step(Hs, gs, bs, m["lam"])
+                ns, settled = _cd_step(Hs, gs, bs, m["lam"])
             else:
                 try:
                     ns = bs + np.linalg.solve(Hs, gs)
@@ -143,14 +147,19 @@ def glm_fit(comp: DataFrame, features: Sequence[str], models: list[dict], max_it
             nb = np.zeros(k)
             nb[idx] = ns
             step = float(np.max(np.abs(nb - m["beta"])))
-            m["beta"] = nb
+            if m["iters"] > 2 and step > 2 * m["step"]:
+                nb = m["beta"] + (nb - m["beta"]) / 2
+            m["beta"], m["step"] = nb, step
             m["iters"] += 1
-            if step < tol:
-                m["done"] = True
+            if step < tol and settled:
+                m["done"] = m["converged"] = True
+    late = [m["id"] for m in state.values() if not m["converged"]]
+    if late:
+        warnings.warn(f"{len(late)} of {len(state)} logistic fits did not converge in {max_iter} steps", RuntimeWarning, stacklevel=2)
     # Hessian at the final beta (for Wald variances)
     fin = _stats_job(comp, features, list(state.values()))
-    return {mid: {"beta": m["beta"], "H": fin.get(mid, (H_last.get(mid), None))[0], "iters": m["iters"]}
-            for mid, m in state.items()}
+    return {mid: {"beta": m["beta"], "H": fin.get(mid, (H_last.get(mid), None))[0], "iters": m["iters"],
+                  "converged": m["converged"]} for mid, m in state.items()}
 
 
 def l1_min_c(comp: DataFrame, features: Sequence[str]) -> float:
@@ -184,8 +193,8 @@ def l1_path(comp: DataFrame, features: Sequence[str], folds: Sequence[int], l1_b
     rows = []
     for m, fit in fits.items():
         ci, c, f = meta[m]
-        rows.append([m, ci, c, f, *fit["beta"].tolist()])
-    coef = pd.DataFrame(rows, columns=["model", "ci", "C", "fold", *features, "intercept"])
+        rows.append([m, ci, c, f, *fit["beta"].tolist(), fit["converged"]])
+    coef = pd.DataFrame(rows, columns=["model", "ci", "C", "fold", *features, "intercept", "converged"])
     spark = comp.sparkSession
     cdf = spark.createDataFrame(coef[["model", "fold", *features, "intercept"]].rename(
         columns={f: f"__w{i}" for i, f in enumerate(features)}))
@@ -232,19 +241,15 @@ def refit_l1(comp: DataFrame, features: Sequence[str], max_c: float, l1_base_ste
     """M1: L1 path on all rows up to ``max_c``; interpretable -> the strongest C
     on the path whose weights are all <= 0; zero weights dropped."""
     cs = l1_min_c(comp, features) * np.logspace(0, l1_exp_step, l1_base_step)
-    cs = [c for c in cs if c <= max_c]
-    if not cs or cs[-1] < max_c:
-        cs.append(max_c)
+    cs = np.append(cs[cs < max_c], max_c)
     fits = glm_fit(comp, features, [{"id": i, "lam": 1.0 / c} for i, c in enumerate(cs)])
-    order = sorted(fits)[::-1]
-    for i in (order if interpreted else order[:1]):
-        b = fits[i]["beta"]
-        w = b[:-1]
-        if interpreted and (w > 0).any():
-            continue
-        keep = {f: float(v) for f, v in zip(features, w) if (v < 0 if interpreted else v != 0)}
-        return keep, float(b[-1])
-    raise ValueError("no negative weights on the path")
+    path = pd.DataFrame([fits[i]["beta"] for i in range(len(cs))], columns=[*features, "_b"])
+    allowed = path[(path[list(features)] <= 0).all(axis=1)] if interpreted else path
+    if allowed.empty:
+        raise ValueError("no negative weights on the path")
+    best = allowed.iloc[-1]  # rows stand by rising C
+    weights = best[list(features)]
+    return weights[weights != 0].astype(float).to_dict(), float(best["_b"])
 
 
 def wald_pvalues(H: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,29 +265,32 @@ def refit_backward(comp: DataFrame, features: Sequence[str], p_val: float = 0.05
     """M2: unpenalised refit; while any coef >= 0 drop the largest; then while
     the max p-value > p_val drop it; optionally repeat the p-value test on a
     validation sample refitted there (M4)."""
+    def tested(sample, feats):
+        fit = glm_fit(sample, feats, [{"id": 0, "lam": 0.0}])[0]
+        p, var = wald_pvalues(fit["H"], fit["beta"])
+        names = [*feats, "Intercept_"]
+        return pd.DataFrame({"beta": fit["beta"], "p": p, "var": var}, index=names)
+
+    def worst(train, held) -> str | None:
+        """The term to leave out next: a wrong sign first, then a p-value on train, then on the held sample."""
+        rules = [(train["beta"], 0.0 if interpreted else math.inf, np.greater_equal), (train["p"], p_val, np.greater)]
+        if held is not None:
+            rules.append((held()["p"], p_val, np.greater))
+        for value, limit, over in rules:
+            value = value.drop("Intercept_")
+            if over(value.max(), limit):
+                return value.idxmax()
+        return None
+
     feats = list(features)
-    while True:
-        if not feats:
-            raise ValueError("no features left to fit")
-        fit = glm_fit(comp, feats, [{"id": 0, "lam": 0.0}])[0]
-        b = fit["beta"]
-        w = b[:-1]
-        if interpreted and (w >= 0).any():
-            feats.pop(int(np.argmax(w)))
-            continue
-        p, var = wald_pvalues(fit["H"], b)
-        if p[:-1].max() > p_val:
-            feats.pop(int(np.argmax(p[:-1])))
-            continue
-        if valid is not None:
-            vf = glm_fit(valid, feats, [{"id": 0, "lam": 0.0}])[0]
-            pv, _ = wald_pvalues(vf["H"], vf["beta"])
-            if pv[:-1].max() > p_val:
-                feats.pop(int(np.argmax(pv[:-1])))
-                continue
-        return {"weights": dict(zip(feats, w.tolist())), "intercept": float(b[-1]),
-                "p_values": dict(zip(feats + ["Intercept_"], p.tolist())),
-                "variances": dict(zip(feats + ["Intercept_"], var.tolist()))}
+    while feats:
+        train = tested(comp, feats)
+        out = worst(train, None) or (worst(train, lambda: tested(valid, feats)) if valid is not None else None)
+        if out is None:
+            return {"weights": train["beta"].drop("Intercept_").to_dict(), "intercept": float(train["beta"]["Intercept_"]),
+                    "p_values": train["p"].to_dict(), "variances": train["var"].to_dict()}
+        feats.remove(out)
+    raise ValueError("no features left to fit")
 
 
 # ------------------------------------------------------------------ the model object (M6, M7)
@@ -298,26 +306,30 @@ class FeatureBins:
     small_key: str | None = None
     source: str | None = None                # raw column (dates: the date column)
     date_part: str | None = None
-    cat_table: DataFrame | None = None       # (code, bin) kept distributed for many categories
+    cat_table: DataFrame | None = None       # (code, bin) kept distributed for many categories;
+    # cat_bins then only holds the bins of the special codes
 
     @property
     def bin_col(self) -> str:
         return f"__bin__{self.name}"
 
+    def special_woe(self, code: str | None) -> float:
+        """WoE of a special code: its own, else that of the bin it was put in, else neutral."""
+        v = self.woe.get(code) if code in self.woe else self.woe.get(self.cat_bins.get(code))
+        return 0.0 if v is None or math.isnan(v) else float(v)
+
     def expr(self, col=None, expanded: bool = False):
         """WoE column; ``expanded`` = the frame already holds ``name`` (date parts expanded).
         Table-backed categorical features read the bin attached by ``attach``."""
         from scoria.operators.woe import woe_expr
-        from scoria.functions.exprs import date_parts
+        from scoria.functions.exprs import date_parts, is_missing
         if self.cat_table is not None:
             raw = F.col(self.name if expanded else (col or self.source or self.name))
             b = F.col(self.bin_col)
-            nan_w = self.woe.get(self.nan_key, self.woe.get(self.cat_bins.get(self.nan_key), 0.0))
-            small_w = self.woe.get(self.small_key, 0.0)
-            e = F.when(raw.isNull(), F.lit(float(nan_w or 0.0)))
+            e = F.when(is_missing(raw), F.lit(self.special_woe(self.nan_key)))
             for k, v in sorted((k, v) for k, v in self.woe.items() if isinstance(k, int)):
                 e = e.when(b == F.lit(k), F.lit(float(v)))
-            return e.otherwise(F.lit(float(small_w or 0.0)))
+            return e.otherwise(F.lit(self.special_woe(self.small_key)))
         if expanded:
             c = F.col(self.name)
         else:
@@ -397,6 +409,9 @@ class ScorecardModel:
         def lit(v):
             return repr(round(float(v), digits))
 
+        def sql_double(v):
+            return f"CAST('{float(v)!r}' AS DOUBLE)"
+
         def w(fb, key):
             v = fb.woe.get(key)
             return lit(0.0 if v is None or (isinstance(v, float) and math.isnan(v)) else v)
@@ -410,27 +425,22 @@ class ScorecardModel:
                 wd = (f"weekday(CAST({src} AS DATE))" if dialect == "spark"
                       else f"(isodow(CAST({src} AS DATE)) - 1)")
                 src = wd if fb.date_part == "wd" else f"{part[fb.date_part]}(CAST({src} AS DATE))"
+            text = f"CAST({src} AS {'STRING' if dialect == 'spark' else 'VARCHAR'})"
+            gone = f"WHEN {src} IS NULL OR lower({text}) = 'nan' THEN {lit(fb.special_woe(fb.nan_key))}"
             if fb.ftype == "real":
-                x = f"CAST({src} AS DOUBLE)"
-                parts = [f"WHEN {x} IS NULL OR isnan({x}) THEN {w(fb, fb.nan_key)}"]
-                parts += [f"WHEN {x} <= {lit(s) if digits else s} THEN {w(fb, i)}" for i, s in enumerate(fb.splits)]
+                # thresholds are written exactly: rounding one would move rows to another bin
+                x = f"TRY_CAST({src} AS DOUBLE)"
+                parts = [f"WHEN {x} IS NULL OR lower({text}) = 'nan' THEN {w(fb, fb.nan_key)}"]
+                parts += [f"WHEN {x} <= {sql_double(s)} THEN {w(fb, i)}" for i, s in enumerate(fb.splits)]
                 parts.append(f"ELSE {w(fb, len(fb.splits))}")
             elif fb.cat_table is not None:
-                x = f"CAST({src} AS STRING)"
-                b = f"(SELECT max(m.bin) FROM {maps[f]} m WHERE m.code = {x})"
-                nan_w = w(fb, fb.nan_key) if fb.nan_key in fb.woe else w(fb, fb.cat_bins.get(fb.nan_key))
-                parts = [f"WHEN {x} IS NULL THEN {nan_w}"]
-                parts += [f"WHEN {b} = {k} THEN {w(fb, k)}" for k in sorted(k for k in fb.woe if isinstance(k, int))]
-                parts.append(f"ELSE {w(fb, fb.small_key)}")
+                b = f"(SELECT max(m.bin) FROM {maps[f]} m WHERE m.code = {text})"
+                parts = [gone] + [f"WHEN {b} = {k} THEN {w(fb, k)}" for k in sorted(k for k in fb.woe if isinstance(k, int))]
+                parts.append(f"ELSE {lit(fb.special_woe(fb.small_key))}")
             else:
-                x = f"CAST({src} AS STRING)"
-                nan_w = w(fb, fb.nan_key) if fb.nan_key in fb.woe else w(fb, fb.cat_bins.get(fb.nan_key))
-                parts = [f"WHEN {x} IS NULL THEN {nan_w}"]
-                for k, b in sorted(fb.cat_bins.items()):
-                    kk = k.replace("'", "''")
-                    parts.append(f"WHEN {x} = '{kk}' THEN {w(fb, b)}")
-                small = w(fb, fb.small_key) if fb.small_key in fb.woe else w(fb, fb.cat_bins.get(fb.small_key))
-                parts.append(f"ELSE {small}")
+                quoted = lambda k: "'" + k.replace("'", "''") + "'"
+                parts = [gone] + [f"WHEN {text} = {quoted(k)} THEN {w(fb, b)}" for k, b in sorted(fb.cat_bins.items())]
+                parts.append(f"ELSE {lit(fb.special_woe(fb.small_key))}")
             cases.append(f"CASE {' '.join(parts)} END AS {q(f)}")
         z = " + ".join([lit(self.intercept)] + [f"{lit(wt)} * {q(f)}" for f, wt in self.weights.items()])
         keep_in = ", ".join(q(c) for c in keep)

@@ -6,8 +6,7 @@ target, one feature's distinct scores) that task becomes the job.  The
 two-level form here range-partitions on ``(g, o)`` so each slice is
 bounded, computes local sums inside each slice, and adds the totals of
 the earlier slices of the same group (a table of ``groups x slices``
-rows).  Inputs that are small as a whole (checked with one count, below
-``SMALL_ROWS``) use a plain window — the bound then holds trivially.
+rows).  Every input takes this path, whatever its size.
 """
 
 from __future__ import annotations
@@ -28,12 +27,9 @@ def _n_slices(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-SMALL_ROWS = 200_000
-
-
 def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
                  values: Sequence[str], prefix: str = "cum_", inclusive: bool = False,
-                 slices: int | None = None, small_rows: int | None = SMALL_ROWS) -> DataFrame:
+                 slices: int | None = None) -> DataFrame:
     """Add ``cum_<v>``: sum of ``v`` over earlier rows of the same group.
 
     Rows are ordered by ``order`` (which should be unique within a group
@@ -41,14 +37,9 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
     """
     group, order, values = list(group), list(order), list(values)
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    if small_rows and slices is None and df.count() <= small_rows:
-        # size-checked fast path: the whole input is small (e.g. distinct
-        # scores of WoE features), so one window per group is bounded
-        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*frame)
-        return df.select(*df.columns, *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"{prefix}{v}")
-                                        for v in values])
     n = _n_slices(df, slices)
-    r = df.repartitionByRange(n, *[F.col(c) for c in group + order]).withColumn("_slice", F.spark_partition_id())
+    # the range partitioner reads its input twice (sample, then shuffle): evaluate it once
+    r = cut_lineage(df).repartitionByRange(n, *[F.col(c) for c in group + order]).withColumn("_slice", F.spark_partition_id())
     # Both branches below must see the same slice ids; range bounds come
     # from sampling, so materialise once (reliable checkpoint in the shared
     # folder — also survives executor loss).
@@ -64,10 +55,9 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
 
 def dist_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                    name: str = "rn", slices: int | None = None,
-                    small_rows: int | None = SMALL_ROWS) -> DataFrame:
+                    name: str = "rn", slices: int | None = None) -> DataFrame:
     """1-based ``row_number() over (partition by group order by order)``, distributed."""
     one = "_one_"
     r = running_sums(df.withColumn(one, F.lit(1)), group, order, [one], prefix="_rn", inclusive=True,
-                     slices=slices, small_rows=small_rows)
+                     slices=slices)
     return r.withColumnRenamed(f"_rn{one}", name).drop(one)

@@ -30,18 +30,23 @@ class FitArtifacts(dict):
     """Intermediate tables of a fit (policy, splits, WoE table, path ...)."""
 
 
-def _tick(art, name, t0=[0.0]):
+def _tick(art, name):
+    """Time since the fit's last tick, by stage."""
     import time
-    now = time.time()
-    if t0[0]:
-        art.setdefault("timings", {})[name] = round(now - t0[0], 2)
-    t0[0] = now
+    now, last = time.time(), getattr(art, "at", None)
+    if last:
+        art.setdefault("timings", {})[name] = round(now - last, 2)
+    art.at = now
+
+
+#: Values of ``imp_type``.
+IMPORTANCE = (None, "feature_imp", "perm_imp")
 
 
 class ScorecardEstimator:
     """Interpretable WoE logistic scorecard on Spark DataFrames.
 
-    Parameters follow the reference tool's names and defaults; fractions
+    Parameter names and defaults are fixed values (public interface); fractions
     in [0, 1) of ``th_const``, ``th_nan``, ``th_cat``, ``min_bin_size`` are
     fractions of the training rows.
     """
@@ -57,9 +62,11 @@ class ScorecardEstimator:
                  imp_type: str | None = "feature_imp", regularized_refit: bool = True, p_val: float = 0.05,
                  key: str = "k", cv_binning: bool = True, fold_method: str = "hash",
                  force_single_split: bool = False, drop_features: Sequence[str] = (),
-                 max_cat_literal: int = 10000, cv_seeds: int = 3, cv_folds: int = 5):
+                 max_cat_literal: int = 256, cv_seeds: int = 3, cv_folds: int = 5):
         self.p = dict(locals())
         self.p.pop("self")
+        if imp_type not in IMPORTANCE:
+            raise ValueError(f"imp_type must be one of {IMPORTANCE}, not {imp_type!r}")
 
     # ------------------------------------------------------------------
     def fit(self, df: DataFrame, target: str, features_type: Mapping | None = None,
@@ -90,7 +97,8 @@ class ScorecardEstimator:
         types = W.infer_types(df, target, declared, exclude=exclude)
         dfx, priv = W.expand_dates(df, types)
         feats = list(priv)
-        history: dict[str, str | None] = {f: None for f in feats}
+        # feature -> None (kept) or (reason code, measured value, other feature)
+        history: dict[str, tuple | None] = {f: None for f in feats}
 
         _tick(art, 'types')
         # Folds (a column; no positional indices)
@@ -109,21 +117,24 @@ class ScorecardEstimator:
         prof = W.const_filter(W.profile_from_counts(vc), th_const).toPandas()
         for r in prof.itertuples():
             if r.drop:
-                history[r.feature] = "NaN values" if r.reason == "NaN values" else "Constant values"
+                history[r.feature] = (("missing", r.n_null / n, None) if r.reason == "NaN values" else
+                                      ("one_value", r.top_count / n, None))
         feats = [f for f in feats if history[f] is None]
 
         _tick(art, 'const')
         # L1/L2: importance filter (optional)
-        if p["imp_type"] == "feature_imp" and feats:
-            imp = S.tree_importance(dfx, [f for f in feats if priv[f] == "real"],
-                                    [f for f in feats if priv[f] == "cat"], target)
-            keep = (set(imp.sort_values(ascending=False).index[:p["select_type"]])
+        if p["imp_type"] and feats:
+            imp = S.fit_importance(dfx, [f for f in feats if priv[f] == "real"],
+                                   [f for f in feats if priv[f] == "cat"], key, target, kind=p["imp_type"])
+            keep = (set(imp.sort_values(ascending=False, kind="stable").index[:p["select_type"]])
                     if isinstance(p["select_type"], int) else set(imp.index[imp > p["imp_th"]]))
             for f in feats:
                 if f not in keep:
-                    history[f] = "Low importance"
+                    history[f] = ("importance", float(imp[f]), None)
             feats = [f for f in feats if f in keep]
             art["importance"] = imp
+            if not feats:
+                raise ValueError("no feature passes the importance filter")
         ftypes = {f: priv[f] for f in feats}
         real_feats = [f for f in feats if ftypes[f] == "real"]
         cat_feats = [f for f in feats if ftypes[f] == "cat"]
@@ -206,9 +217,10 @@ class ScorecardEstimator:
             cat_map = cut_lineage(W.reverse_encode(enc, sdf.where(F.col("feature").isin(cat_feats))))
             sizes = {r["feature"]: r["count"] for r in cat_map.groupBy("feature").count().collect()}
             small_f = [f for f in cat_feats if sizes.get(f, 0) <= p["max_cat_literal"]]
-            # only small maps reach the driver (they become map literals); big ones
-            # stay distributed, cut from lineage into the shared checkpoint folder
-            cat_map_pd = cat_map.where(F.col("feature").isin(small_f)).toPandas()
+            # only small maps reach the driver (they become map literals), of the others
+            # just the bins of the special codes: both forms score alike
+            codes = sorted({c for f in cat_feats for c in (pol[f].nan_key, pol[f].small_key)})
+            cat_map_pd = cat_map.where(F.col("feature").isin(small_f) | F.col("code").isin(codes)).toPandas()
             for f in cat_feats:
                 if f not in small_f:
                     big_cat[f] = cat_map.where(F.col("feature") == f).select("code", "bin")
@@ -226,14 +238,22 @@ class ScorecardEstimator:
         model = M.ScorecardModel(bins, {}, 0.0, history=history)
 
         _tick(art, 'woe')
-        # training WoE frame: projection for plain WoE, fold-wise for OOF WoE
+        # training WoE frame: a projection; out-of-fold WoE has one table of WoE values a fold
         if p["oof_woe"]:
-            # out-of-fold WoE needs every (row, feature) with its key
-            lk = W.to_long_mixed(dfx, ftypes, [key, target, "fold"])
-            bk = W.assign_bins(W.apply_policy(lk, pol, cats), real_splits, cat_map)
-            wl = W.woe_oof(bk, "fold", p["woe_diff_th"])
-            wide = (wl.groupBy(key, target, "fold").pivot("feature", feats).agg(F.first("woe"))
-                    .fillna(0.0, feats))
+            st = W.real_bin_stats(dfx, {f: splits[f] for f in real_feats}, pol, target, by=["fold"])
+            if binned is not None:
+                st = W.bin_stats(binned, by=["fold"], target=target).unionByName(st)
+            per_fold = {}
+            for k, t in W.oof_tables(st, "fold", p["woe_diff_th"]).items():
+                fb = self._feature_bins(feats, ftypes, pol, splits, cat_map_pd, t, types)
+                for f, big in big_cat.items():
+                    fb[f].cat_table = big
+                per_fold[k] = fb
+            art["oof_bins"] = per_fold
+            d = model.attach(dfx, feats, expanded=True)
+            wide = d.select(key, target, "fold", *[
+                F.coalesce(*[F.when(F.col("fold") == k, fb[f].expr(expanded=True)) for k, fb in per_fold.items()]).alias(f)
+                for f in feats])
         else:
             wide = model.woe_columns(dfx.withColumnRenamed(target, "__y"), feats, expanded=True)
             wide = wide.select(key, F.col("__y").alias(target), "fold",
@@ -244,21 +264,21 @@ class ScorecardEstimator:
         # Selection on WoE columns
         cand = list(feats)
         for f in S.const_woe(wide, cand):
-            history[f] = "Constant WOE value"
+            history[f] = ("constant_woe", 0.0, None)
         cand = [f for f in cand if history[f] is None]
         aucs = S.woe_aucs(wide, cand, target) if cand else pd.Series(dtype=float)
         for f in cand:
             if not aucs[f] >= p["auc_th"]:
-                history[f] = f"Low AUC value = {round(float(aucs[f]), 2)}"
+                history[f] = ("auc", float(aucs[f]), None)
         cand = [f for f in cand if history[f] is None]
         if cand:
             corr = pd.DataFrame(np.abs(corr_matrix(wide, cand)), index=cand, columns=cand)
             cand, vif_drop = S.vif_filter(corr, cand, p["vif_th"])
             for f, v in vif_drop.items():
-                history[f] = f"High VIF value = {round(v, 2)}"
+                history[f] = ("vif", v, None)
             cand, cdrop = S.corr_filter(corr, aucs, cand, p["pearson_th"])
             for f, h in cdrop.items():
-                history[f] = f"High correlation with feature {h}"
+                history[f] = ("correlated", float(corr.loc[f, h]), h)
         if not cand:
             raise ValueError("no features left after selection")
 
@@ -268,12 +288,14 @@ class ScorecardEstimator:
         # job over it, so give it a flat lineage
         comp = cut_lineage(M.compress(wide, cand, target, ["fold"]))
         folds = sorted(int(r[0]) for r in comp.select("fold").distinct().collect())
-        path, _ = M.l1_path(comp, cand, folds, p["l1_base_step"], p["l1_exp_step"])
+        path, fits = M.l1_path(comp, cand, folds, p["l1_base_step"], p["l1_exp_step"])
         best_c, keep, ctab = M.select_c(path, cand, p["interpreted_model"], p["auc_tol"])
         art["l1_path"] = ctab
+        art["auc"] = aucs
+        art["unconverged"] = sum(not f["converged"] for f in fits.values())
         for f in cand:
             if f not in keep:
-                history[f] = "Pruned by L1 selector"
+                history[f] = ("l1_path", 0.0, None)
 
         _tick(art, 'l1path')
         # M1 / M2: refit
@@ -291,7 +313,7 @@ class ScorecardEstimator:
             w, b, pv = r["weights"], r["intercept"], r["p_values"]
         for f in keep:
             if f not in w:
-                history[f] = "Pruned during regression refit"
+                history[f] = ("refit", 0.0, None)
         model.weights = dict(w)
         model.intercept = float(b)
         model.p_values = pv

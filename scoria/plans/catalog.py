@@ -6,6 +6,7 @@ from scoria.plans import q_mart  # noqa: F401
 from scoria.plans import q_metrics  # noqa: F401
 from scoria.plans import q_woe  # noqa: F401
 from scoria.plans import q_model  # noqa: F401
+from scoria.plans import q_report  # noqa: F401
 from scoria.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

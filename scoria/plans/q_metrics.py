@@ -88,7 +88,7 @@ FROM frame GROUP BY sample""")
 def describe_sample(spark, sf):
     """Describe (count, mean, std, min, quartiles, max) per group — exact percentiles
     on a bounded domain (quantity 1..50); ``exact=False`` sketches unbounded columns."""
-    return T.describe(X.scorecard_frame(spark, sf), "l_quantity", by=["sample"])
+    return T.describe(X.scorecard_frame(spark, sf), "l_quantity", by=["sample"], exact=True)
 
 
 N_BINS = 20

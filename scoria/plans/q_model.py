@@ -15,30 +15,27 @@ from scoria.operators import model as M
 from scoria.operators import report as R
 from scoria.operators import select as S
 from scoria.operators import woe as W
+from scoria.functions.exprs import md5_bucket
 from scoria.operators.metrics import auc
 from scoria.operators.sampling import assign_folds
 from scoria.operators.scorecard import ScorecardEstimator
 from scoria.plans import fixtures as X
-from scoria.plans.q_woe import FIX_WEIGHTS, _fixed_model
+from scoria.plans.q_woe import FIX_INTERCEPT, FIX_WEIGHTS, TIEBREAK, TYPES, WOE_SQL, _fixed_model, _frame, _lin_sql, _woe_case_sql
 from scoria.plans.registry import query
 from scoria.session import by_group
 
-_FITS: dict = {}
-
-
-def fitted(spark, sf):
-    """The full scorecard fitted on the train sample (cached per input folder)."""
-    key = (id(spark), sf)
-    if key not in _FITS:
-        f = X.scorecard_frame(spark, sf).where(F.col("sample") == "train")
-        est = ScorecardEstimator(imp_type=None)
-        model = est.fit(f, "target", features=X.FEATURES + ["ship_dt"])
-        _FITS[key] = (model, est.artifacts)
-    return _FITS[key]
+def fitted(spark, sf, **params):
+    """The full scorecard with its default stages, fitted on the train sample."""
+    f = X.scorecard_frame(spark, sf).where(F.col("sample") == "train")
+    est = ScorecardEstimator(**params)
+    return est.fit(f, "target", features=X.FEATURES + ["ship_dt"]), est.artifacts
 
 
 def _pdf(spark, pdf: pd.DataFrame, schema: str):
-    return spark.createDataFrame(pdf, schema)
+    """A small driver table as a DataFrame; NaN is NULL, whatever the session's Arrow setting."""
+    rows = [tuple(None if v is None or v != v else v.item() if hasattr(v, "item") else v for v in r)
+            for r in pdf.itertuples(index=False, name=None)]
+    return spark.createDataFrame(rows, schema)
 
 
 @query("scorecard_fit")
@@ -59,13 +56,22 @@ def scorecard_auc(spark, sf):
     return auc(sc, "target", "prob", by=["sample"])
 
 
+@query("scorecard_fit_oof")
+def scorecard_fit_oof(spark, sf):
+    """E23 in the estimator: selection and path on out-of-fold WoE columns; coefficients."""
+    model, _ = fitted(spark, sf, oof_woe=True)
+    rows = [("Intercept_", float(model.intercept)), *((f, float(w)) for f, w in sorted(model.weights.items()))]
+    return spark.createDataFrame(rows, "feature string, coef double")
+
+
 @query("feature_history")
 def feature_history(spark, sf):
-    """Why each feature was dropped (None = kept) with its IV."""
+    """Why each feature was dropped (no reason = kept), its Gini on WoE and its IV."""
     model, art = fitted(spark, sf)
-    t = art["woe_table"].groupby("feature", as_index=False)["iv"].first()
-    h = S.history_table(model.history).merge(t, on="feature", how="left")
-    return _pdf(spark, h, "feature string, reason string, iv double")
+    iv = art["woe_table"].groupby("feature")["iv"].first().to_dict()
+    gini = {f: 2 * float(a) - 1 for f, a in art["auc"].items()}
+    h = S.history_table(model.history, gini=gini, iv=iv)
+    return _pdf(spark, h, "feature string, reason string, value double, other string, gini double, iv double")
 
 
 @query("tree_bins")
@@ -79,15 +85,15 @@ def tree_bins(spark, sf):
     return t.select("feature", F.posexplode("splits").alias("i", "split"), "num_leaves", "cv_auc")
 
 
-def _hist_pdf(spark, sf, feature="l_quantity"):
-    f = assign_folds(X.scorecard_frame(spark, sf).where(F.col("sample") == "train"), 5, "k", method="hash")
-    return B.histogram_wide(f, [feature], "fold", "target")
+def _hist(spark, sf):
+    f = assign_folds(X.scorecard_frame(spark, sf), 5, "k", method="hash")
+    return B.histogram_wide(f, X.FEATURES_REAL, "fold", "target")
 
 
 @query("merge_ci")
 def merge_ci(spark, sf):
     """Adjacent-bin merging by Wilson-interval overlap, per feature (applyInPandas)."""
-    h = _hist_pdf(spark, sf)
+    h = _hist(spark, sf)
 
     def run(pdf):
         t = pdf.groupby("qbin", as_index=False).agg(n=("n", "sum"), n1=("n1", "sum"), hi=("hi", "max"))
@@ -100,7 +106,7 @@ def merge_ci(spark, sf):
 @query("merge_folds")
 def merge_folds(spark, sf):
     """Fold-stability merging of histogram bins to at most 5 bins, per feature."""
-    h = _hist_pdf(spark, sf)
+    h = _hist(spark, sf)
 
     def run(pdf):
         t = pdf.groupby("qbin", as_index=False).agg(n=("n", "sum"), n1=("n1", "sum"))
@@ -115,7 +121,16 @@ def merge_folds(spark, sf):
     return by_group(h, "feature").groupBy("feature").applyInPandas(run, "feature string, qbin int, group long")
 
 
-@query("special_merge")
+@query("special_merge", sql=WOE_SQL + """,
+m AS (SELECT feature, max(CASE WHEN spec = '__NaN__' THEN raw END) AS here FROM w0 GROUP BY feature),
+g AS (SELECT w0.*, CASE WHEN spec IS NULL OR NOT starts_with(spec, '__') OR spec = '__NaN__' THEN abs(raw - here) END AS gap
+      FROM w0 JOIN m USING (feature)),
+nr AS (SELECT feature, min(gap) FILTER (WHERE gap > 0) AS near FROM g GROUP BY feature),
+pl AS (SELECT g.*, coalesce(near < 0.3 AND gap <= near, false) AS pool FROM g JOIN nr USING (feature)),
+ps AS (SELECT feature, sum(n0) AS p0, sum(n1) AS p1 FROM pl WHERE pool GROUP BY feature)
+SELECT pl.feature, CAST(bin AS DOUBLE) AS bin, spec, n, round(CASE WHEN spec IN ('__NaN_0__', '__Small_0__') THEN 0.0
+       WHEN pool THEN ln((p0 / t0) / (p1 / t1)) ELSE raw END, 6) AS woe
+FROM pl JOIN tot USING (feature) LEFT JOIN ps USING (feature)""")
 def special_merge(spark, sf):
     """A __NaN__ bin close in WoE to a regular bin takes the pooled WoE."""
     from scoria.plans.q_woe import _woe_pd
@@ -172,7 +187,14 @@ def wald_pvalues(spark, sf):
     return _pdf(spark, t, "feature string, coef double, p_value double")
 
 
-@query("vif_table")
+_C = list(FIX_WEIGHTS)
+VIF_SQL = WOE_SQL + ",\nx AS (SELECT " + ", ".join(f"{_woe_case_sql(f)} AS x{i}" for i, f in enumerate(_C)) + """ FROM frame),
+c AS (SELECT corr(x0, x1) AS a, corr(x0, x2) AS b, corr(x1, x2) AS c FROM x),
+d AS (SELECT *, 1 + 2 * a * b * c - a * a - b * b - c * c AS det FROM c)
+""" + " UNION ALL ".join(f"SELECT '{f}' AS feature, round((1 - {r} * {r}) / det, 6) AS vif FROM d" for f, r in zip(_C, "cba"))
+
+
+@query("vif_table", sql=VIF_SQL)
 def vif_table(spark, sf):
     """VIF of the WoE columns (k x k correlation from one aggregate)."""
     w = _woe_comp(spark, sf, with_fold=False)
@@ -202,69 +224,119 @@ def loo_contribution(spark, sf):
     return _pdf(spark, R.loo_contribution(tr, te, list(FIX_WEIGHTS)), "feature string, auc_drop double")
 
 
-@query("perm_importance")
+_TIES = ", ".join(TIEBREAK)
+_PERM_FEATURES = list(FIX_WEIGHTS)
+PERM_SQL = WOE_SQL + f""",
+o AS (SELECT * FROM frame WHERE sample = 'oot'),
+base AS (SELECT *, row_number() OVER (ORDER BY k, {_TIES}) AS rk FROM o),
+its AS (SELECT unnest(range(0, 5)) AS it),
+perm AS (SELECT it, row_number() OVER (PARTITION BY it ORDER BY md5(k || '|' || it), k, {_TIES}) AS rk,
+                {', '.join(_PERM_FEATURES)} FROM o, its),
+v AS (""" + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, it, base.target, " + ", ".join(f"{'perm' if g == f else 'base'}.{g} AS {g}" for g in _PERM_FEATURES)
+    + " FROM base JOIN perm USING (rk)" for f in _PERM_FEATURES) + " UNION ALL SELECT '', -1, target, " + ", ".join(_PERM_FEATURES) + f""" FROM o),
+sc AS (SELECT feature, it, target, {_lin_sql()} AS s FROM v),
+c AS (SELECT feature, it, s, sum(target) AS pos, sum(1 - target) AS neg FROM sc GROUP BY 1, 2, 3),
+r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature, it ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cn FROM c),
+a AS (SELECT feature, it, sum(pos * (cn + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM r GROUP BY 1, 2)
+SELECT feature, round(min((SELECT auc FROM a WHERE it = -1) - auc), 6) AS importance FROM a WHERE it >= 0 GROUP BY feature"""
+
+
+@query("perm_importance", sql=PERM_SQL)
 def perm_importance(spark, sf):
     """L2: permutation importance (5 md5 shuffles per feature, min AUC drop) of the fixed scorecard."""
     m = _fixed_model(spark, sf)
     f = X.scorecard_frame(spark, sf).where(F.col("sample") == "oot")
-    feats = list(FIX_WEIGHTS)
-    imp = S.permutation_importance(f.select("k", "target", *feats), lambda d: m.linear(), feats, "k",
-                                   n_iter=5, reduce="min")
+    imp = S.permutation_importance(f, lambda d: d.withColumn("score", m.linear()), _PERM_FEATURES, "k",
+                                   n_iter=5, reduce="min", tiebreak=TIEBREAK)
     return spark.createDataFrame([(k, float(v)) for k, v in imp.items()], "feature string, importance double")
 
 
 @query("tree_importance")
 def tree_importance(spark, sf):
-    """Boosted-tree split importance (MLlib GBT, categories indexed)."""
+    """Split counts of boosted trees (hold-out by md5, frequency-encoded categories)."""
     f = X.scorecard_frame(spark, sf).where(F.col("sample") == "train")
-    imp = S.tree_importance(f, X.FEATURES_REAL, X.FEATURES_CAT, "target", max_iter=10, max_depth=4)
+    imp = S.tree_importance(f, X.FEATURES_REAL, X.FEATURES_CAT, "target")
+    return spark.createDataFrame([(k, float(v)) for k, v in imp.items()], "feature string, importance double")
+
+
+@query("importance_wide")
+def importance_wide(spark, sf):
+    """The same with a categorical feature of thousands of values."""
+    f = X.scorecard_frame(spark, sf).where(F.col("sample") == "train").withColumn("client", F.concat(F.lit("c"), F.col("grp") % 5000))
+    imp = S.tree_importance(f, ["l_quantity", "l_discount"], ["client"], "target", max_iter=5)
     return spark.createDataFrame([(k, float(v)) for k, v in imp.items()], "feature string, importance double")
 
 
-def _assembled(spark, sf):
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+def _splits(spark, sf):
+    """Train and valid (md5 of the key, 80 : 20) and out-of-time rows, categories frequency-encoded on train."""
     f = X.scorecard_frame(spark, sf)
-    si = StringIndexer(inputCols=X.FEATURES_CAT, outputCols=[c + "_i" for c in X.FEATURES_CAT], handleInvalid="keep")
-    f = si.fit(f.where(F.col("sample") == "train")).transform(f).fillna(-1.0, X.FEATURES_REAL)
-    va = VectorAssembler(inputCols=X.FEATURES_REAL + [c + "_i" for c in X.FEATURES_CAT], outputCol="features")
-    return va.transform(f)
+    part = F.when(F.col("sample") == "oot", "oot").when(md5_bucket(F.concat("k", F.lit("|valid"))) < 0.2, "valid").otherwise("train")
+    f = f.withColumn("part", part)
+    return S.encode_categories(f, X.FEATURES_CAT, fit_on=f.where("part = 'train'")).fillna(-1.0, X.FEATURES).persist()
+
+
+def _baseline(spark, sf, estimator):
+    """AUC per part for three feature sets: all, stable by PSI, and useful by permutation on valid."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from scoria.operators.metrics import psi
+    d = _splits(spark, sf)
+    raw = X.scorecard_frame(spark, sf)
+    drift = {r.feature: r.psi for r in psi(raw.where("sample = 'train'"), raw.where("sample = 'oot'"), X.FEATURES).collect()}
+
+    def run(features):
+        va = VectorAssembler(inputCols=features, outputCol="features")
+        rows = d.where("part <> 'oot'" if estimator.hasParam("validationIndicatorCol") else "part = 'train'")
+        m = estimator.fit(va.transform(rows.withColumn("held", F.col("part") == "valid")))
+        return lambda x: m.transform(va.transform(x)).withColumn("score", vector_to_array("probability")[1])
+
+    stable = [f for f in X.FEATURES if drift[f] < 0.25] or X.FEATURES
+    sets = {"all": X.FEATURES, "psi": stable}
+    score = run(sets["psi"])
+    imp = S.permutation_importance(d.where("part = 'valid'"), score, sets["psi"], "k", n_iter=1)
+    sets["perm"] = [f for f in sets["psi"] if imp[f] > 0] or sets["psi"]
+    out = None
+    for name, features in sets.items():
+        a = auc((score if features == sets["psi"] else run(features))(d), "target", "score", by=["part"])
+        a = a.withColumn("features", F.lit(name)).withColumn("n_features", F.lit(len(features)))
+        out = a if out is None else out.unionByName(a)
+    return out
 
 
 @query("rf_baseline")
 def rf_baseline(spark, sf):
-    """Random forest baseline (200 trees, depth 5), AUC per sample."""
+    """Random forest baseline (200 trees, depth 5), AUC per part and feature set."""
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.functions import vector_to_array
-    d = _assembled(spark, sf)
-    m = RandomForestClassifier(labelCol="target", numTrees=200, maxDepth=5, maxBins=128, seed=42).fit(
-        d.where(F.col("sample") == "train"))
-    p = m.transform(d).withColumn("p1", vector_to_array("probability")[1])
-    return auc(p, "target", "p1", by=["sample"])
+    return _baseline(spark, sf, RandomForestClassifier(labelCol="target", numTrees=200, maxDepth=5, maxBins=128, seed=27))
 
 
 @query("gbt_baseline")
 def gbt_baseline(spark, sf):
-    """M9: boosted-trees baseline (depth 4, lr 0.1), AUC per sample."""
+    """Boosted trees (up to 1000 rounds, depth 4, rate 0.1; the valid part ends them), AUC per part and feature set."""
     from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.functions import vector_to_array
-    d = _assembled(spark, sf)
-    m = GBTClassifier(labelCol="target", maxIter=50, maxDepth=4, stepSize=0.1, maxBins=128, seed=42).fit(
-        d.where(F.col("sample") == "train"))
-    p = m.transform(d).withColumn("p1", vector_to_array("probability")[1])
-    return auc(p, "target", "p1", by=["sample"])
+    return _baseline(spark, sf, GBTClassifier(labelCol="target", maxIter=1000, maxDepth=4, stepSize=0.1, maxBins=128, seed=27,
+                                              validationIndicatorCol="held", validationTol=0.001, checkpointInterval=10))
 
 
 @query("hyper_search")
 def hyper_search(spark, sf):
-    """Parameter search on a validation split (TrainValidationSplit, AUC)."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-    d = _assembled(spark, sf).where(F.col("sample") == "train")
-    rf = RandomForestClassifier(labelCol="target", maxBins=128, seed=42)
-    grid = ParamGridBuilder().addGrid(rf.maxDepth, [3, 5]).addGrid(rf.numTrees, [20, 50]).build()
-    tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=grid, trainRatio=0.8, seed=42, parallelism=4,
-                               evaluator=BinaryClassificationEvaluator(labelCol="target"))
-    m = tvs.fit(d)
-    rows = [(int(pm[rf.maxDepth]), int(pm[rf.numTrees]), float(v)) for pm, v in zip(grid, m.validationMetrics)]
-    return spark.createDataFrame(rows, "max_depth int, num_trees int, auc double")
+    """25 points over the stated bounds of the forest (depth 3-8, leaf share 0.01-0.5, feature share 0.2-0.8)
+    and 25 of the boosted trees (depth 3-6, leaf rows 100-2500), valid AUC of each."""
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    d = VectorAssembler(inputCols=X.FEATURES, outputCol="features").transform(_splits(spark, sf)).select("part", "target", "features").persist()
+    fit, held = d.where("part = 'train'"), d.where("part = 'valid'")
+    rng, out = np.random.default_rng(27), None
+    for i in range(25):
+        forest = RandomForestClassifier(labelCol="target", numTrees=20, maxDepth=int(rng.integers(3, 9)), seed=27,
+                                        minWeightFractionPerNode=min(0.499, float(rng.uniform(0.01, 0.5))),
+                                        featureSubsetStrategy=str(round(float(rng.uniform(0.2, 0.8)), 3)), maxBins=64)
+        boosted = GBTClassifier(labelCol="target", maxIter=5, maxDepth=int(rng.integers(3, 7)), stepSize=0.1, seed=27,
+                                minInstancesPerNode=int(rng.integers(100, 2501)), maxBins=64)
+        for kind, est in (("forest", forest), ("boosted", boosted)):
+            p = est.fit(fit).transform(held).withColumn("score", vector_to_array("probability")[1])
+            one = p.select(F.lit(kind).alias("model"), F.lit(i).alias("point"), F.lit(est.getMaxDepth()).alias("max_depth"), "target", "score")
+            out = one if out is None else out.unionByName(one)
+    return auc(out, "target", "score", by=["model", "point", "max_depth"]).select("model", "point", "max_depth", "auc")

@@ -78,7 +78,7 @@ def _binned(spark, sf, with_folds=False):
 
 def _woe_pd(spark, sf, woe_diff_th: float = 0.0):
     binned_cat, real_stats, pol = _stats_parts(spark, sf)
-    return W.woe_table(binned_cat, pol, woe_diff_th, extra_stats=real_stats), pol
+    return W.woe_table(binned_cat, woe_diff_th, extra_stats=real_stats), pol
 
 
 def _fixed_model(spark, sf):
@@ -239,10 +239,10 @@ def apply_policy_q(spark, sf):
 @query("date_parts", sql=f"""WITH {X.SQL_FRAME}
 SELECT k, CAST(isodow(ship_dt) - 1 AS DOUBLE) AS ship_dt__F__wd, CAST(month(ship_dt) AS DOUBLE) AS ship_dt__F__m,
        CAST(year(ship_dt) AS DOUBLE) AS ship_dt__F__y, CAST(day(ship_dt) AS DOUBLE) AS ship_dt__F__d
-FROM frame WHERE sample = 'train'""")
+FROM frame""")
 def date_parts_q(spark, sf):
     """date -> weekday (Mon=0), month, year, day features."""
-    f = _frame(spark, sf).where(F.col("sample") == "train").select("k", "ship_dt")
+    f = _frame(spark, sf).select("k", "ship_dt")
     d, _ = W.expand_dates(f, {"ship_dt": (None, ("wd", "m", "y", "d"))})
     return d.drop("ship_dt")
 
@@ -380,14 +380,14 @@ def oof_woe(spark, sf):
 # ------------------------------------------------------------------ step 6: binning
 
 @query("quantile_bins", sql=f"""WITH {X.SQL_FRAME},
-lf AS ({X.sql_long(['l_quantity', 'l_discount', 'l_tax'], [])}),
+lf AS ({X.sql_long(X.FEATURES_REAL, [])}),
 q AS (SELECT feature, unnest(list_distinct(quantile_cont(xr, [0.2, 0.4, 0.6, 0.8, 1.0]))) AS split
       FROM lf WHERE xr IS NOT NULL GROUP BY feature)
 SELECT feature, round(split, 6) AS split FROM q""")
 def quantile_bins(spark, sf):
-    """Percentile splits at step 100/q (last = 100), unique — exact (bounded-cardinality features)."""
+    """Percentile splits at step 100/q (last = 100), unique — exact here, to be checked."""
     long, _ = _long(spark, sf)
-    xs = long.where(F.col("feature").isin(["l_quantity", "l_discount", "l_tax"]) & F.col("xr").isNotNull())
+    xs = long.where(F.col("feature").isin(X.FEATURES_REAL) & F.col("xr").isNotNull())
     q = B.quantile_splits(xs, 5, "xr", exact=True)
     return q.select("feature", F.explode("splits").alias("split"))
 
@@ -592,7 +592,7 @@ FROM b GROUP BY sample, bin""")
 def describe_score_bins(spark, sf):
     """Describe of the probability in 20 equal-width bins (edges from train), per sample.
     Exact percentiles: a scorecard has one distinct probability per bin combination."""
-    return T.describe(_prob_bins(spark, sf, 20), "prob", by=["sample", "bin"])
+    return T.describe(_prob_bins(spark, sf, 20), "prob", by=["sample", "bin"], exact=True)
 
 
 @query("target_by_score_bin", sql=_prob_bins_sql(10) + """
@@ -622,17 +622,19 @@ def rank_weights(spark, sf):
 
 
 @query("csv_roundtrip", sql=f"""WITH {X.SQL_FRAME}
-SELECT k, target, sample FROM frame WHERE ship_dt < DATE '1996-01-01'""")
+SELECT k, target, sample FROM frame""")
 def csv_roundtrip(spark, sf):
-    """Write a sample as CSV with header into the shared folder, read it back
-    with an explicit schema (no inference pass)."""
+    """Write a table twice (replaced, not doubled), export it as CSV with header and
+    read that back with an explicit schema (no inference pass)."""
     import uuid
 
     from scoria.session import checkpoint_dir
-    from scoria.sources.io import read_csv, write_csv
+    from scoria.sources.io import read_csv, write_csv, write_table
     out = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
-    d = _frame(spark, sf).where(F.col("ship_dt") < F.lit("1996-01-01").cast("date")).select("k", "target", "sample")
-    write_csv(d, out)
+    d = _frame(spark, sf).select("k", "target", "sample")
+    write_table(d, f"{out}-table")
+    write_table(d, f"{out}-table")
+    write_csv(spark.read.parquet(f"{out}-table"), out)
     return read_csv(spark, out, schema="k string, target int, sample string")
 
 

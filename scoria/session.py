@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -23,8 +24,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.ui.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -52,15 +53,19 @@ def _local_heap_gb() -> int:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder used to cut lineage.
+    """The shared folder used to cut lineage and for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when it is unset, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master
+    gets a folder of its own where none is set; on a cluster a machine-local
+    folder would lose data with its machine, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="scoria-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -74,6 +79,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows up to which the smaller side of a join is broadcast (a few MB of narrow rows).
+SMALL_SIDE_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows are few, else as it is
+    (Spark then shuffles, and splits skewed keys).  The result is the same;
+    count a table that is cheap to read, e.g. one cut from its lineage."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition only when ``df`` has fewer partitions than the
     cluster can run at once (a small file with few row groups).  On large

@@ -1,9 +1,10 @@
 """Sources and sinks (inventory 2.1, S1-S12).
 
 Reads go through ``spark.read`` / ``spark.table`` so Catalyst can push
-filters and prune columns into the scan; writes are partitioned and use
-dynamic partition overwrite so a re-run of one period replaces exactly
-that period and nothing else.
+filters and prune columns into the scan.  A partitioned write replaces
+either the partitions present in the new data (a re-run of one period) or
+the whole table (a copy of a source), as the caller says; neither changes
+a setting of the session.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,22 +87,22 @@ def read_jdbc(spark: SparkSession, **kw) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None,
                       mode: str = "overwrite", fmt: str = "parquet", table: str | None = None,
-                      files_per_partition: int = 8) -> None:
-    """Partitioned sink; ``overwrite`` replaces only partitions present
-    in ``df`` (dynamic partition overwrite), ``append`` adds.
-
-    Rows are clustered by the partition columns so each task writes few
-    files; a deterministic content-hash salt spreads one partition value over
-    up to ``files_per_partition`` tasks, so a hot day is not one task (and a
-    retried task writes the same rows).
+                      replace: str = "partitions") -> None:
+    """Partitioned sink; ``append`` adds, ``overwrite`` replaces.
+
+    ``replace="partitions"`` (U2) touches only partition values present in
+    ``df``; ``replace="table"`` (S8) leaves nothing of the old table.  Rows
+    are rebalanced by the partition columns: adaptive execution joins small
+    partition values and splits a hot one by its measured size, so one big
+    day becomes as many tasks and files as its bytes ask for.
     """
+    if replace not in ("partitions", "table"):
+        raise ValueError("replace must be 'partitions' or 'table'")
     by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if by:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(files_per_partition, 1)))
-        df = df.repartition(*[F.col(c) for c in by], salt)
-    w = df.write.mode(mode).format(fmt)
+        df = df.hint("rebalance", *[F.col(c) for c in by])
+    w = df.write.mode(mode).format(fmt).option(
+        "partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     if by:
         w = w.partitionBy(*by)
     if table:
@@ -133,7 +135,9 @@ def read_list(spark: SparkSession, path: str, column: str = "value") -> DataFram
     try:
         df = spark.read.text(path)
         df.schema  # forces path resolution
-    except Exception:  # noqa: BLE001 - absent list is a documented "no filter"
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return df.select(F.trim("value").alias(column)).where(F.col(column) != "").distinct()
 
@@ -147,10 +151,10 @@ def read_json_dict(spark: SparkSession, path: str, key: str = "code", value: str
 
 
 def in_list(df: DataFrame, column: str, values: DataFrame | Sequence | None,
-            value_col: str = "value", max_literal: int = 1000) -> DataFrame:
+            value_col: str = "value") -> DataFrame:
     """Keep rows whose column is in a list.
 
-    Short literal lists become ``isin``; a list held in a table becomes a
+    A list of literals becomes ``isin`` (a hash set); a list held in a table becomes a
     left-semi join (Catalyst broadcasts it when its estimated size is under
     the broadcast threshold, else shuffles — no unchecked broadcast).
     ``None`` means no filter.
@@ -160,18 +164,14 @@ def in_list(df: DataFrame, column: str, values: DataFrame | Sequence | None,
     if isinstance(values, DataFrame):
         lst = values.select(F.col(value_col).alias("__v")).distinct()
         return df.join(lst, df[column] == lst["__v"], "left_semi")
-    values = list(values)
-    if len(values) <= max_literal:
-        return df.where(F.col(column).isin(values))
-    lst = df.sparkSession.createDataFrame([(v,) for v in values], ["__v"])
-    return df.join(F.broadcast(lst), df[column] == lst["__v"], "left_semi")
+    return df.where(F.col(column).isin(list(values)))
 
 
 def transfer(spark: SparkSession, source: Mapping | DataFrame, path: str,
              partition_by: str | Sequence[str] | None = None, mode: str = "overwrite") -> None:
-    """Copy a source (JDBC option map or DataFrame) into a table folder."""
+    """Copy a source (JDBC option map or DataFrame) into a table folder; ``overwrite`` replaces the table."""
     df = source if isinstance(source, DataFrame) else spark.read.format("jdbc").options(**source).load()
-    write_partitioned(df, path, partition_by, mode)
+    write_partitioned(df, path, partition_by, mode, replace="table")
 
 
 def dumps(obj) -> str:

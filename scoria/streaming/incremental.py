@@ -1,12 +1,13 @@
 """Incremental category mart with Structured Streaming (G3/U2/S5 as a stream).
 
-The reference appends one day of aggregates per driver-loop iteration.
-As a stream: new transaction files are picked up by the file source,
-joined to the static code table, aggregated per (client, period window)
-with a watermark on the event day, and each *complete* period is emitted
-once (append mode) into a table partitioned by ``report_dt``.  The
-checkpoint makes restarts exactly-once; a lost executor only replays the
-micro-batch.
+New transaction files are picked up by the file source and joined to the
+static code table.  Each micro-batch writes its own partial aggregates per
+(client, period, category) into a folder named by its batch id, and then
+merges all partials of the periods it touched and replaces exactly those
+periods of the mart.  Late rows are never dropped, whatever their order;
+a retried batch overwrites its own partials and gives the same mart; a
+period is there as soon as its rows are, not only when later ones arrive.
+Days are dates throughout, so no time zone shifts a period.
 """
 
 from __future__ import annotations
@@ -17,48 +18,56 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["window_start_offset", "stream_category_mart", "run_available"]
+from scoria.functions.exprs import period_end
+from scoria.operators.mart import n_periods
+from scoria.sources.io import write_partitioned
 
+__all__ = ["stream_rows", "merge_batch", "run_available"]
 
-def window_start_offset(start: _dt.date, delta: int) -> str:
-    """``startTime`` that aligns ``delta``-day windows (epoch-based) to ``start``."""
-    return f"{(start - _dt.date(1970, 1, 1)).days % delta} days"
+REPORT = "report_dt"
 
 
-def stream_category_mart(tx_stream: DataFrame, codes: DataFrame, *, id_col: str, amount: str, code: str,
-                         day: str, start: _dt.date, delta: int, categories: Sequence[str],
-                         type_col: str | None = None, types: Sequence | None = None, scale: float = 100.0,
-                         lateness: str = "0 days") -> DataFrame:
-    """Streaming version of ``mart.category_mart``: same columns, one row per
-    (client, complete period)."""
-    t = tx_stream
-    ts = F.col(day).cast("date").cast("timestamp")
-    t = t.where(ts >= F.lit(str(start)).cast("timestamp"))
+def stream_rows(tx_stream: DataFrame, codes: DataFrame, *, id_col: str, amount: str, code: str, day: str,
+                start: _dt.date, stop: _dt.date, delta: int, type_col: str | None = None,
+                types: Sequence | None = None) -> DataFrame:
+    """(id, report_dt, column_name, amt) of the complete periods in [start, stop): no state, no watermark."""
+    last = start + _dt.timedelta(days=n_periods(start, stop, delta) * delta)
+    dtype = dict(tx_stream.dtypes)[day]
+    raw = F.col(day)
+    t = tx_stream.where((raw >= F.lit(str(start)).cast(dtype)) & (raw < F.lit(str(last)).cast(dtype)))
     if type_col is not None and types is not None:
         t = t.where(F.col(type_col).isin(list(types)))
-    t = t.select(F.col(id_col), F.col(code).try_cast("bigint").alias("merchant"),
-                 F.col(amount).try_cast("bigint").alias("amt"), ts.alias("ts"))
-    t = t.where(F.col(id_col).isNotNull()).join(codes, "merchant")  # stream-static join
-    t = t.withWatermark("ts", lateness)
-    w = F.window("ts", f"{delta} days", f"{delta} days", window_start_offset(start, delta))
+    t = t.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col), F.col(code).try_cast("bigint").alias("merchant"),
+        F.col(amount).try_cast("bigint").alias("amt"), period_end(F.to_date(raw), start, delta).alias(REPORT))
+    return t.join(codes, "merchant").select(id_col, REPORT, "column_name", "amt")
+
+
+def merge_batch(batch: DataFrame, batch_id: int, root: str, *, id_col: str, categories: Sequence[str],
+                scale: float = 100.0) -> None:
+    """Write the batch's partials, then replace the periods it touches in ``root``/mart."""
+    keys = [id_col, REPORT, "column_name"]
+    part = batch.groupBy(*keys).agg(F.sum("amt").alias("s"), F.max("amt").alias("x"), F.min("amt").alias("n"))
+    write_partitioned(part, f"{root}/parts/batch={batch_id}", REPORT, replace="table")
+    spark = batch.sparkSession
+    own = spark.read.schema(part.schema).parquet(f"{root}/parts/batch={batch_id}")
+    every = spark.read.option("basePath", f"{root}/parts").schema(part.schema).parquet(f"{root}/parts")
+    merged = every.join(own.select(REPORT).distinct(), REPORT, "left_semi").groupBy(id_col, REPORT)
     aggs = []
     for c in categories:
-        v = F.when(F.col("column_name") == F.lit(c), F.col("amt"))
-        aggs += [F.sum(v).alias(f"{c}_sum_amt"), F.max(v).alias(f"{c}_max_amt"), F.min(v).alias(f"{c}_min_amt")]
-    g = t.groupBy(F.col(id_col), w.alias("w")).agg(*aggs)
-    out = [F.col(id_col), F.date_sub(F.col("w.end").cast("date"), 1).alias("report_dt")]
-    for c in categories:
-        for s in ("sum", "max", "min"):
-            out.append(F.coalesce(F.col(f"{c}_{s}_amt") / scale, F.lit(0.0)).alias(f"{c}_{s}_amt"))
-    return g.select(*out)
+        hit = F.col("column_name") == F.lit(c)
+        aggs += [F.coalesce(f(F.when(hit, F.col(v))) / scale, F.lit(0.0)).alias(f"{c}_{name}_amt")
+                 for name, f, v in (("sum", F.sum, "s"), ("max", F.max, "x"), ("min", F.min, "n"))]
+    write_partitioned(merged.agg(*aggs), f"{root}/mart", REPORT, replace="partitions")
 
 
-def run_available(spark: SparkSession, mart_stream: DataFrame, sink: str, checkpoint: str,
-                  partition_by: str = "report_dt") -> None:
-    """Process everything available now, append complete periods to ``sink``."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").partitionBy(partition_by).parquet(sink)
-
-    q = (mart_stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-         .foreachBatch(write).trigger(availableNow=True).start())
+def run_available(rows: DataFrame, root: str, *, id_col: str, categories: Sequence[str], scale: float = 100.0) -> None:
+    """Process everything available now; ``root`` (a shared folder) holds parts, mart and the stream's checkpoint."""
+    q = (rows.writeStream.outputMode("append").option("checkpointLocation", f"{root}/ckpt")
+         .foreachBatch(lambda df, i: merge_batch(df, i, root, id_col=id_col, categories=categories, scale=scale))
+         .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def read_mart(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/mart").withColumn(REPORT, F.col(REPORT).cast("date"))
