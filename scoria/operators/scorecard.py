@@ -230,7 +230,7 @@ class ScorecardEstimator:
         # WoE table (one aggregate) -> per-feature dicts
         binned = W.assign_bins(coded, None, cat_map) if cat_feats else None
         real_stats = W.real_bin_stats(dfx, {f: splits[f] for f in real_feats}, pol, target)
-        table = W.woe_table(binned, pol, p["woe_diff_th"], extra_stats=real_stats)
+        table = W.woe_table(binned, p["woe_diff_th"], extra_stats=real_stats)
         art["woe_table"] = table
         bins = self._feature_bins(feats, ftypes, pol, splits, cat_map_pd, table, types)
         for f, t in big_cat.items():
