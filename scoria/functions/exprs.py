@@ -15,10 +15,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_", "md5_bucket", "bin_index", "bin_case", "period_end", "prev_month_end",
+    "col_", "md5_bucket", "bin_index", "period_end", "prev_month_end",
     "month_end", "date_parts", "DATE_PART_NAMES", "logistic", "logit", "is_missing",
     "nan_to_null", "try_int", "try_double", "try_date", "strptime_to_java",
-    "map_lookup", "sentinel_date", "date_window", "half_open", "fmt_num",
+    "map_lookup", "sentinel_date", "fmt_num",
     "interval_label", "row_key",
 ]
 
@@ -60,19 +60,6 @@ def bin_index(x, splits: Sequence[float]) -> Column:
     return F.when(x.isNull(), F.lit(None).cast("int")).otherwise(expr.otherwise(F.lit(n))).cast("int")
 
 
-def bin_case(x, splits: Sequence[float], values: Sequence, default=None) -> Column:
-    """Map x to ``values[bin_index(x)]`` in one CASE (bin -> WoE etc.)."""
-    x = col_(x)
-    expr = None
-    for i, s in enumerate(splits):
-        cond = x <= F.lit(float(s))
-        expr = F.when(cond, F.lit(values[i])) if expr is None else expr.when(cond, F.lit(values[i]))
-    last = F.lit(values[len(splits)])
-    if expr is None:
-        return last
-    return expr.otherwise(last)
-
-
 # --- dates ---------------------------------------------------------------
 
 def period_end(day, start: _dt.date | str, delta: int) -> Column:
@@ -92,7 +79,7 @@ def month_end(day) -> Column:
     return F.last_day(col_(day))
 
 
-# Monday = 0 ... Sunday = 6, like pandas' ``dayofweek``.
+# fixed values: names of date-part features, ``<column>__F__<part>``; Monday = 0 ... Sunday = 6
 DATE_PART_NAMES = ("y", "m", "d", "wd", "h", "min")
 
 
@@ -114,21 +101,6 @@ def sentinel_date(c, value: str = "2046-01-01") -> Column:
     return F.coalesce(col_(c).cast("date"), F.lit(value).cast("date"))
 
 
-def date_window(c, first, last) -> Column:
-    """Inclusive range ``first <= c <= last`` (prunes date partitions)."""
-    return col_(c).between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-
-
-def half_open(c, first=None, last=None) -> Column:
-    """``first <= c < last``; either bound may be omitted."""
-    cond = F.lit(True)
-    if first is not None:
-        cond = cond & (col_(c) >= F.lit(str(first)).cast("date"))
-    if last is not None:
-        cond = cond & (col_(c) < F.lit(str(last)).cast("date"))
-    return cond
-
-
 # --- casts and missing values -------------------------------------------
 
 def try_int(c, to: str = "bigint") -> Column:
@@ -198,12 +170,12 @@ def fmt_num(x: float) -> str:
     return f"{x:.2f}"
 
 
-def interval_label(lo: float | None, hi: float | None) -> str:
-    """Bin label used in scorecards: ``a < f <= b``, ``f > b``, ``f <= b``."""
+def interval_label(lo: float | None, hi: float | None, name: str = "f") -> str:
+    """Bin label used in scorecards: ``a < name <= b``, ``name > b``, ``name <= b``."""
     if lo is None and hi is None:
-        return "-inf < f < +inf"
+        return f"-inf < {name} < +inf"
     if lo is None:
-        return f"f <= {fmt_num(hi)}"
+        return f"{name} <= {fmt_num(hi)}"
     if hi is None:
-        return f"f > {fmt_num(lo)}"
-    return f"{fmt_num(lo)} < f <= {fmt_num(hi)}"
+        return f"{name} > {fmt_num(lo)}"
+    return f"{fmt_num(lo)} < {name} <= {fmt_num(hi)}"

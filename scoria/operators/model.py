@@ -288,7 +288,8 @@ def refit_backward(comp: DataFrame, features: Sequence[str], p_val: float = 0.05
         out = worst(train, None) or (worst(train, lambda: tested(valid, feats)) if valid is not None else None)
         if out is None:
             return {"weights": train["beta"].drop("Intercept_").to_dict(), "intercept": float(train["beta"]["Intercept_"]),
-                    "p_values": train["p"].to_dict(), "variances": train["var"].to_dict()}
+                    "p_values": train["p"].to_dict(), "variances": train["var"].to_dict(),
+                    "p_values_valid": tested(valid, feats)["p"].to_dict() if valid is not None else None}
         feats.remove(out)
     raise ValueError("no features left to fit")
 
@@ -461,7 +462,7 @@ class ScorecardModel:
                     lo = s[i - 1] if i > 0 else None
                     hi = s[i] if i < len(s) else None
                     v = fb.woe.get(i, 0.0)
-                    rows.append((f, interval_label(lo, hi), v, wt, v * wt))
+                    rows.append((f, interval_label(lo, hi, f), v, wt, v * wt))
             elif fb.cat_table is not None:
                 for b in sorted(k for k in fb.woe if isinstance(k, int)):
                     v = fb.woe[b]

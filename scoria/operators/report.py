@@ -87,13 +87,12 @@ def vif_table(df: DataFrame, features: Sequence[str]) -> pd.DataFrame:
     return t.sort_values(["vif", "feature"], ascending=[False, True]).reset_index(drop=True)
 
 
-def coef_table(weights: dict, intercept: float, p_values: dict | None = None) -> pd.DataFrame:
-    """Coefficients (and p-values) sorted, round 6."""
-    rows = [(f, round(float(w), 6), None if p_values is None else round(float(p_values.get(f, np.nan)), 6))
-            for f, w in weights.items()]
-    rows.append(("Intercept_", round(float(intercept), 6),
-                 None if p_values is None else round(float(p_values.get("Intercept_", np.nan)), 6)))
-    return pd.DataFrame(rows, columns=["feature", "coef", "p_value"]).sort_values("feature").reset_index(drop=True)
+def coef_table(weights: dict, intercept: float, p_values: dict | None = None, p_values_valid: dict | None = None) -> pd.DataFrame:
+    """Coefficients by rising value, with p-values on train and on the held sample; round 6."""
+    coef = pd.Series({**weights, "Intercept_": intercept}, dtype=float)
+    t = pd.DataFrame({"coef": coef, "p_value": pd.Series(p_values or {}, dtype=float), "p_value_valid": pd.Series(p_values_valid or {}, dtype=float)},
+                     index=coef.sort_values(kind="stable").index).round(6)
+    return t.rename_axis("feature").reset_index()
 
 
 def loo_contribution(train_comp: DataFrame, test_comp: DataFrame, features: Sequence[str]) -> pd.DataFrame:

@@ -183,8 +183,8 @@ def wald_pvalues(spark, sf):
     valid = M.compress(w.where(F.col("sample") == "oot"), list(FIX_WEIGHTS), "target", [])
     # M4: the p-value test is repeated on the out-of-time sample, refitted there
     r = M.refit_backward(comp, list(FIX_WEIGHTS), p_val=0.05, valid=valid)
-    t = R.coef_table(r["weights"], r["intercept"], r["p_values"])
-    return _pdf(spark, t, "feature string, coef double, p_value double")
+    t = R.coef_table(r["weights"], r["intercept"], r["p_values"], r["p_values_valid"])
+    return _pdf(spark, t, "feature string, coef double, p_value double, p_value_valid double")
 
 
 _C = list(FIX_WEIGHTS)
