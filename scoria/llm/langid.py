@@ -38,16 +38,21 @@ def fit(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str
         sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
     """A dictionary per language from the rows where ``train`` holds.
 
-    The sample is the ``sample_docs`` documents of each language with the
-    smallest hash of their id (first ``sample_chars`` characters each), so
-    it does not depend on row order; the driver receives at most languages
-    x ``sample_docs`` x ``sample_chars`` characters.
+    The sample is drawn by the hash of the id: ``sample_docs`` documents of
+    each language, ``sample_chars`` characters of each, so it does not depend
+    on row order; the driver receives at most languages x ``sample_docs`` x
+    ``sample_chars`` characters.  The languages are taken to be few (one row
+    each is broadcast).
     """
     rows = docs.where(train & col(lang_col).isNotNull() & col(text_col).isNotNull()).select(
         col(lang_col).cast("string").alias("lang"), F.xxhash64(col(id_col)).alias("h"), col(text_col).alias("text"))
+    # thin out by hash first: some four times the sample of a language is left, whatever its size, so no
+    # task ranks a whole language (ids only: the texts are not read here)
+    n = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    thin = rows.select("lang", "h").join(F.broadcast(n), "lang").where(
+        F.pmod("h", F.lit(1 << 31)) < F.least(F.lit(1.0), 4.0 * sample_docs / F.col("n")) * (1 << 31))
     order = Window.partitionBy("lang").orderBy("h")
-    # ranks ids only: the texts are not read here, and each task keeps its first ranks before the shuffle
-    picks = rows.select("lang", "h").withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs)
+    picks = thin.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs)
     picks = picks.select("lang", "h").distinct()
     got = rows.join(F.broadcast(picks), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(
         F.min(F.substring("text", 1, sample_chars)).alias("text"))
