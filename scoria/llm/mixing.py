@@ -109,5 +109,6 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         F.try_divide(slope - 1 + F.sqrt((1 - slope) * (1 - slope) + 4 * slope * share), 2 * slope))
     out = placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"),
                         F.when(taken > 0, when).alias("position"))
-    return out.repartitionByRange(partitions(docs.sparkSession), F.col("position").asc_nulls_last()) \
-        .sortWithinPartitions(F.col("position").asc_nulls_last(), "doc_id")
+    # the id spreads documents without a position, too
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
+    return out.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
