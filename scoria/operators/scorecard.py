@@ -111,14 +111,24 @@ class ScorecardEstimator:
         long = W.to_long_mixed(dfx, priv, [target, "fold"])
 
         _tick(art, 'folds')
-        # Constant / mostly-missing filter.  One value-count aggregate
-        # (bounded by distinct values) serves the profile and the policy.
-        vc = W.value_counts(long).persist()
-        prof = W.const_filter(W.profile_from_counts(vc), th_const).toPandas()
+        # Constant / mostly-missing filter.  Categories and missing rows are counted
+        # exactly; a real value that holds most rows is the middle one, so counting that
+        # one is enough and no continuous value becomes a group
+        vc = cut_lineage(W.value_counts(long.where(F.col("xr").isNull())))
+        counted = {r["feature"]: r for r in W.profile_from_counts(vc).collect()}
+        reals = [f for f in feats if priv[f] == "real"]
+        if 2 * th_const < n:
+            tops = W.middle_counts(dfx, reals)
+        else:  # the limit is below half of the rows: any value may reach it
+            tops = {r["feature"]: r["top_count"] for r in W.profile(long).collect()}
+        prof = pd.DataFrame([(f, n, counted[f]["n_null"] if f in counted else 0,
+                              tops.get(f, 0) if priv[f] == "real" else counted[f]["top_count"]) for f in feats],
+                            columns=["feature", "n_rows", "n_null", "top_count"])
         for r in prof.itertuples():
-            if r.drop:
-                history[r.feature] = (("missing", r.n_null / n, None) if r.reason == "NaN values" else
-                                      ("one_value", r.top_count / n, None))
+            if r.n_null >= n - th_const:
+                history[r.feature] = ("missing", r.n_null / n, None)
+            elif r.top_count >= n - th_const:
+                history[r.feature] = ("one_value", r.top_count / n, None)
         feats = [f for f in feats if history[f] is None]
 
         _tick(art, 'const')
@@ -318,7 +328,6 @@ class ScorecardEstimator:
         model.intercept = float(b)
         model.p_values = pv
         coded.unpersist()
-        vc.unpersist()
         df_in.unpersist()
         dfx.unpersist()
         wide.unpersist()
