@@ -38,9 +38,9 @@ from scoria.llm.common import col, pack, partitions, unpack, utf8
 __all__ = ["vocabulary", "score", "Automaton", "BLOCK_TOKENS", "MU"]
 
 #: Tokens after which a task closes a block; it may pass it by one document.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: Distinct words a task holds before it sends them, while the vocabulary is counted.
-HELD_WORDS = 1_000_000
+HELD_WORDS = 400_000
 #: Weight of the unigram in the smoothing, in tokens.
 MU = 300.0
 END, BEGIN = b"", b" "  # neither can be a word
