@@ -217,3 +217,48 @@ def oof_mean_target_plain(spark, sf):
     """Out-of-fold mean target without smoothing (alpha = 0)."""
     coded, _, _ = _coded(spark, sf, with_folds=True)
     return W.mean_target_oof(coded.where(F.col("feature").isin(X.FEATURES_CAT)), alpha=0.0).select("feature", "code", "fold", "enc")
+
+
+@query("profile_left", sql="""
+WITH f AS (SELECT o_custkey AS client_id, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1, 2),
+p AS (SELECT c_custkey AS client_id, c_mktsegment AS segment FROM customer WHERE c_acctbal >= 0)
+SELECT f.client_id, f.day, f.n, p.segment FROM f LEFT JOIN p ON f.client_id = p.client_id""")
+def profile_left(spark, sf):
+    """A client profile attached by a left join, its bookkeeping columns dropped; clients without one stay."""
+    from scoria.operators.labels import attach_profile
+    o, c = X.tables(spark, sf, "orders", "customer")
+    f = o.groupBy(F.col("o_custkey").alias("client_id"), F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    p = c.where("c_acctbal >= 0").select(F.col("c_custkey").alias("client_id"), F.col("c_mktsegment").alias("segment"),
+                                         F.lit("x").alias("ctl_loading"), F.current_date().alias("report_dt"))
+    return attach_profile(f, p, ["client_id"], how="left")
+
+
+def _card_sql() -> str:
+    """Scorecard rows of the fixed model: labels from the fixed splits, WoE from the `woe` table."""
+    from scoria.functions.exprs import interval_label
+    from scoria.plans.q_woe import FIX_INTERCEPT, FIX_SPLITS, TYPES
+    parts = []
+    for f, w in FIX_WEIGHTS.items():
+        if TYPES[f] == "real":
+            ends = [None, *FIX_SPLITS[f], None]
+            for i, (lo, hi) in enumerate(zip(ends, ends[1:])):
+                parts.append(f"SELECT '{f}' AS variable, '{interval_label(lo, hi, f)}' AS value, coalesce((SELECT max(woe) FROM woe "
+                             f"WHERE feature = '{f}' AND bin = {i}), 0.0) AS woe, {w} AS coef")
+        else:
+            parts.append(f"SELECT '{f}', spec, woe, {w} FROM woe WHERE feature = '{f}' AND NOT starts_with(spec, '__')")
+            parts.append(f"SELECT '{f}', small_key, 0.0, {w} FROM pol WHERE feature = '{f}' AND small_key = '__Small_0__'")
+            parts.append(f"SELECT '{f}', spec, woe, {w} FROM woe WHERE feature = '{f}' AND spec = '__Small__'")
+        parts.append(f"SELECT '{f}', nan_key, 0.0, {w} FROM pol WHERE feature = '{f}' AND nan_key = '__NaN_0__'")
+        parts.append(f"SELECT '{f}', spec, woe, {w} FROM woe WHERE feature = '{f}' AND spec = '__NaN__'")
+    return WOE_SQL + ",\npts AS (" + "\nUNION ALL ".join(parts) + f""")
+SELECT variable, value, round(woe, 6) + 0.0 AS woe, round(coef, 6) AS coef, round(woe * coef, 6) + 0.0 AS points FROM pts
+UNION ALL SELECT 'Intercept', '', NULL, {FIX_INTERCEPT}, {FIX_INTERCEPT}"""
+
+
+@query("scorecard_rows", sql=_card_sql())
+def scorecard_rows(spark, sf):
+    """The model's own scorecard, labels with the feature's name."""
+    t = _fixed_model(spark, sf).scorecard()
+    rows = [(r.variable, r.value, None if r.woe is None or r.woe != r.woe else float(r.woe), float(r.coef), float(r.points))
+            for r in t.itertuples()]
+    return spark.createDataFrame(rows, "variable string, value string, woe double, coef double, points double")
