@@ -29,7 +29,7 @@ def _n_slices(df: DataFrame, n: int | None) -> int:
 
 def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
                  values: Sequence[str], prefix: str = "cum_", inclusive: bool = False,
-                 slices: int | None = None) -> DataFrame:
+                 slices: int | None = None, materialise: bool = True) -> DataFrame:
     """Add ``cum_<v>``: sum of ``v`` over earlier rows of the same group.
 
     Rows are ordered by ``order`` (which should be unique within a group
@@ -38,8 +38,9 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
     group, order, values = list(group), list(order), list(values)
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     n = _n_slices(df, slices)
-    # the range partitioner reads its input twice (sample, then shuffle): evaluate it once
-    r = cut_lineage(df).repartitionByRange(n, *[F.col(c) for c in group + order]).withColumn("_slice", F.spark_partition_id())
+    # the range partitioner reads its input twice (sample, then shuffle): an aggregate is
+    # evaluated once and kept; a plain projection of a scan is cheaper to read again
+    r = (cut_lineage(df) if materialise else df).repartitionByRange(n, *[F.col(c) for c in group + order]).withColumn("_slice", F.spark_partition_id())
     # Both branches below must see the same slice ids; range bounds come
     # from sampling, so materialise once (reliable checkpoint in the shared
     # folder — also survives executor loss).
@@ -55,9 +56,9 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
 
 def dist_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                    name: str = "rn", slices: int | None = None) -> DataFrame:
+                    name: str = "rn", slices: int | None = None, materialise: bool = False) -> DataFrame:
     """1-based ``row_number() over (partition by group order by order)``, distributed."""
     one = "_one_"
     r = running_sums(df.withColumn(one, F.lit(1)), group, order, [one], prefix="_rn", inclusive=True,
-                     slices=slices)
+                     slices=slices, materialise=materialise)
     return r.withColumnRenamed(f"_rn{one}", name).drop(one)
