@@ -2,9 +2,16 @@
 
 One raw-content zstandard dictionary per language is cut from a bounded
 sample of labelled documents.  A text is compressed with each dictionary;
-the language whose dictionary explains it in the fewest bytes wins.  The
-relative gap to the runner-up is the margin: a text whose margin does not
-exceed ``min_margin`` is rejected.
+the language whose dictionary explains it in the fewest bytes wins.  Texts
+are compressed in pieces of at most ``PIECE`` bytes: whole, a text teaches
+the compressor its own language, and the gap between dictionaries shrinks
+with its length.  The gap is the bytes saved against the runner-up, less
+those that other dictionaries save on single pieces, as a share of the
+runner-up; it is 0 if other dictionaries win more than ``MAX_OTHER`` of the
+pieces by more than ``min_margin``.  A text is rejected unless its gap
+passes ``min_margin``: texts in a language that was not learnt, mixed texts
+and near-ties do not.  ``margin`` is what the gap has beyond
+``min_margin``, 0 if nothing.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0
 and rejected; no labelled rows at all make every text ``und``; equal sizes
@@ -27,8 +34,12 @@ __all__ = ["fit", "identify", "SAMPLE_DOCS", "SAMPLE_CHARS", "MIN_MARGIN"]
 #: Bounds of the fitting sample: documents per language, characters of each.
 SAMPLE_DOCS = 512
 SAMPLE_CHARS = 3000
-#: A text is rejected unless the best size beats the second by this share.
-MIN_MARGIN = 0.0
+#: A text is rejected unless its gap is more than this share of the second best size.
+MIN_MARGIN = 0.08
+#: Bytes of letters that are compressed at once.
+PIECE = 250
+#: Share of the pieces that may clearly be in other languages.
+MAX_OTHER = 0.25
 LEVEL = 5
 #: Lower-cased letters of a UTF-8 text; digits, marks and layout become one space.
 LETTERS = bytes(0x20 if 0x30 <= b <= 0x39 else b for b in ALNUM)
@@ -85,15 +96,26 @@ def _letters(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(LETTERS).split())
 
 
+def _pieces(data: bytes) -> list[bytes]:
+    """Pieces of nearly equal length, at most ``PIECE`` bytes each."""
+    step = -(-len(data) // max(1, -(-len(data) // PIECE)))
+    return [data[i:i + step] for i in range(0, len(data), step)] or [data]
+
+
 def _best(text, langs, makers, min_margin):
     if text is None or not langs or not any(map(str.isalpha, text)):
         return "und", 0.0, 0.0, True
-    data = _letters(text)
-    sizes = [len(m.compress(data)) for m in makers]
+    pieces = _pieces(_letters(text))
+    by_piece = [[len(m.compress(x)) for x in pieces] for m in makers]
+    sizes = list(map(sum, by_piece))
     best = min(range(len(sizes)), key=sizes.__getitem__)
     if len(sizes) == 1:
         return langs[best], 1.0, 1.0, False
     second = min(s for i, s in enumerate(sizes) if i != best)
-    margin = (second - sizes[best]) / second
+    least = list(map(min, zip(*by_piece)))
+    gap = max(0.0, (second - 2 * sizes[best] + sum(least)) / second)
+    if sum(x < (1 - min_margin) * own for x, own in zip(least, by_piece[best])) > MAX_OTHER * len(pieces):
+        gap = 0.0
+    margin = max(0.0, gap - min_margin)
     # the score saturates: a tenth fewer bytes is as sure as it gets here
-    return langs[best], min(1.0, margin / 0.1), margin, margin <= min_margin
+    return langs[best], min(1.0, gap / 0.1), margin, margin <= 0

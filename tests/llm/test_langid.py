@@ -40,3 +40,25 @@ def test_narrow_margin_and_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert langid.fit(none, crc_mod5() != 0) == {}
     assert one.select(langid.identify(F.col("text"), {}).alias("p")).first().p.lang == "und"
+
+
+def test_rejects_unlearnt_and_mixed_keeps_clean(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs, crc_mod5() != 0)
+    held = docs.where((crc_mod5() == 0) & (F.length("text") > 1000)).select("text", "lang")
+    by = {}
+    for r in held.orderBy("doc_id").collect():
+        if len(set(r.text.split())) > 50:  # not one line over and over
+            by.setdefault(r.lang, []).append(r.text)
+    half = [(by[a][i][:500] + " " + by[b][i][:500], a) for a in by for b in by if a < b for i in range(5)]
+    long = [(" ".join(by[k][:8]), k) for k in by]
+
+    def share(rows, model):
+        one = spark.createDataFrame(rows, "text string, lang string").select("lang", langid.identify(F.col("text"), model).alias("p"))
+        return sum(r.p.rejected for r in one.collect()) / len(rows)
+
+    assert share(half, model) >= 0.75
+    clean = [(t, k) for k in by for t in by[k]]
+    assert share(clean, model) <= 0.01 and share(long, model) == 0
+    for k in by:
+        assert share([(t, k) for t in by[k]], {x: d for x, d in model.items() if x != k}) >= 0.9
