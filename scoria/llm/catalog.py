@@ -217,7 +217,12 @@ FROM dw LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
 def op8_decontamination(spark, sf_dir):
     """Exact 10-word windows of the benchmark in every document, by the positional index."""
     docs = table(spark, sf_dir, "documents")
-    found = decontaminate.report(docs, table(spark, sf_dir, "benchmark")).alias("f")
+    return _op8_rows(docs, decontaminate.report(docs, table(spark, sf_dir, "benchmark")))
+
+
+def _op8_rows(docs, found, near=None):
+    """A row per document: the exact columns and, with ``near``, those of the proximity matches."""
+    same = lambda t: F.col("d.doc_id").eqNullSafe(F.col(f"{t}.doc_id")) & (F.col("d.h") == F.col(f"{t}.h"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"),
                     F.size(decontaminate.words(col("text"))).cast("long").alias("n_words")).alias("d")
     both = d.join(found, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.h") == F.col("f.h")), "left")
@@ -225,7 +230,14 @@ def op8_decontamination(spark, sf_dir):
         "d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("item_ids", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
-        F.col("n_hit").isNotNull().alias("contaminated"))
+        F.col("n_hit").isNotNull().alias("contaminated"), *more)
+
+
+@query("op8_near_decontamination")
+def op8_near_decontamination(spark, sf_dir):
+    """op8_decontamination's columns, and the proximity matches of the benchmark in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return _op8_rows(docs, *decontaminate.near_report(docs, table(spark, sf_dir, "benchmark")))
 
 
 OP10_SQL = r"""

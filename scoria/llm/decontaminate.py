@@ -5,8 +5,11 @@ represented by its rarest terms, by their number of places in the whole
 corpus.  The index holds the postings (term, document, position) of those
 rare terms only, over all documents; lists of one window are intersected
 after subtracting each term's offset, and what is left is compared word
-for word (exact) or reported as a proximity match, where the rare terms
-of a window stand nearly as far apart as in the item.
+for word (exact) or reported as a proximity match, where two of the rarest
+three terms of a window stand nearly as far apart as in the item.  ``report`` is the
+exact half, ``near_report`` the proximity half.  The pipeline drops
+documents by exact matches alone: two rare terms near each other are a
+hint for a reader, not proof of a copy.
 
 Documents are addressed by (id, xxhash64 of the text), so repeated rows
 share their result and no row number is needed.
@@ -27,9 +30,11 @@ from scoria.llm.common import col
 from scoria.session import cut_lineage
 
 __all__ = ["words", "windows", "term_counts", "rare_terms", "postings", "exact_matches", "proximity_matches",
-           "report", "WINDOW", "MAX_BROADCAST_ROWS"]
+           "report", "near_report", "WINDOW", "SLACK", "MAX_BROADCAST_ROWS"]
 
 WINDOW = 10
+#: Words by which the distance of two rare terms may differ from the item's.
+SLACK = 5
 #: The test side is broadcast up to so many rows (some 200 bytes each); beyond, Spark shuffles the join.
 MAX_BROADCAST_ROWS = 100_000
 #: What stands between words, before A-Z are lower-cased.
@@ -134,27 +139,51 @@ def _exact_shuffled(docs: DataFrame, aligned: DataFrame, *, id_col: str, text_co
     return both.select("d.doc_id", "d.h", F.explode(met).alias("m")).select("doc_id", "h", "m.*").distinct()
 
 
-def proximity_matches(docs: DataFrame, rare: DataFrame, *, slack: int = 5, id_col: str = "doc_id",
+def proximity_matches(docs: DataFrame, rare: DataFrame, *, slack: int = SLACK, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """(doc_id, h, phrase, near): places where a window's two rarest terms stand within ``slack`` words
+    """(doc_id, h, phrase, near): places where two of a window's rare terms stand within ``slack`` words
     of their distance in the item, the window itself not being there word for word.
 
-    ``near`` counts those places.  Lists are matched by position blocks of
-    ``slack`` + 1 words, so a term that is frequent in a document does not
-    meet all places of the other.
+    With three rare terms a window, one of them may be missing.  ``near``
+    counts the distinct starts of the window, by the rarer term's place; a
+    place is not its own second term.  The second term is looked for where
+    the document's words are, without a shuffle of postings.
     """
-    two = rare.where(F.size("rare") == 2).select(
-        "phrase", "n", F.posexplode("rare").alias("which", "r")).select(
-        "phrase", "n", "which", F.col("r")["term"].alias("term"), F.col("r")["off"].alias("off"))
-    p = postings(docs, _small(cut_lineage(two)), id_col=id_col, text_col=text_col)
-    p = p.select("doc_id", "h", "phrase", "which", (F.col("pos") - F.col("off")).alias("start")).distinct()
+    key = rare.select("phrase", "n", "rare", F.posexplode("rare").alias("i", "a"))
+    key = key.select("phrase", "n", "i", "a", F.posexplode("rare").alias("j", "b")).where("i < j")
+    key = cut_lineage(key.select("phrase", "n", "i", "j", F.col("a.term").alias("term"), F.col("a.off").alias("off"),
+                                 F.col("b.term").alias("term2"), F.col("b.off").alias("off2")))
+    if not _few(key):
+        return _proximity_shuffled(docs, rare, key, slack=slack, id_col=id_col, text_col=text_col)
+    p = postings(docs, F.broadcast(key), id_col=id_col, text_col=text_col)
+    start, second = F.col("pos") - F.col("off"), F.col("pos") - F.col("off") + F.col("off2")
+    first, end = F.greatest(second - slack, F.lit(0)), second + slack + 1
+    part = lambda a, b: F.slice("ws", a + 1, F.greatest(b - a, F.lit(0)))
+    # the words around the second term's place, the first term's own excepted; no lambda over the words, as
+    # generated code keeps one array of them a document where other code copies it with every row
+    around = F.concat(part(first, F.least(end, F.col("pos"))), part(F.greatest(first, F.col("pos") + 1), end))
+    there = F.array_contains(F.split(F.lower(F.array_join(around, " ")), " "), F.col("term2"))
+    exact = (start >= 0) & (start + F.col("n") <= F.size("ws")) & (
+        _phrase_at(F.col("ws"), F.greatest(start, F.lit(0)), F.col("n")) == F.col("phrase"))
+    met = p.where(there).where(~exact).select("doc_id", "h", "phrase", start.alias("start")).distinct()
+    return met.groupBy("doc_id", "h", "phrase").agg(F.count("*").alias("near"))
+
+
+def _proximity_shuffled(docs: DataFrame, rare: DataFrame, key: DataFrame, *, slack: int, id_col: str, text_col: str) -> DataFrame:
+    """The same for a test side that is too large to broadcast.  Lists are matched by position blocks of
+    ``slack`` + 1 words, so a term that is frequent in a document does not meet all places of the other."""
+    two = key.select("phrase", "i", "j", F.posexplode(F.array(F.struct("term", "off"), F.struct(
+        F.col("term2").alias("term"), F.col("off2").alias("off")))).alias("which", "r"))
+    two = two.select("phrase", "i", "j", "which", "r.term", "r.off")
+    p = postings(docs, cut_lineage(two), id_col=id_col, text_col=text_col)
+    p = p.select("doc_id", "h", "phrase", "i", "j", "which", "pos", (F.col("pos") - F.col("off")).alias("start")).distinct()
     block = F.floor(F.col("start") / (slack + 1))
-    a = p.where("which = 0").select("doc_id", "h", "phrase", F.col("start").alias("s0"), block.alias("b"))
-    b = p.where("which = 1").select("doc_id", "h", "phrase", F.col("start").alias("s1"),
+    a = p.where("which = 0").select("doc_id", "h", "phrase", "i", "j", F.col("start").alias("s0"), F.col("pos").alias("p0"), block.alias("b"))
+    b = p.where("which = 1").select("doc_id", "h", "phrase", "i", "j", F.col("start").alias("s1"), F.col("pos").alias("p1"),
                                     F.explode(F.array(block - 1, block, block + 1)).alias("b"))
-    same = [F.col("a." + c).eqNullSafe(F.col("b." + c)) for c in ("doc_id", "h", "phrase", "b")]
-    on = same[0] & same[1] & same[2] & same[3]
-    met = a.alias("a").join(b.alias("b"), on).where(F.abs(F.col("s0") - F.col("s1")) <= slack)
+    same = [F.col("a." + c).eqNullSafe(F.col("b." + c)) for c in ("doc_id", "h", "phrase", "i", "j", "b")]
+    on = same[0] & same[1] & same[2] & same[3] & same[4] & same[5]
+    met = a.alias("a").join(b.alias("b"), on).where((F.abs(F.col("s0") - F.col("s1")) <= slack) & (F.col("p0") != F.col("p1")))
     met = met.select("a.doc_id", "a.h", "a.phrase", "s0").distinct()
     exact = exact_matches(docs, rare, id_col=id_col, text_col=text_col).select(
         F.col("doc_id").alias("xd"), F.col("h").alias("xh"), F.col("phrase").alias("xp"), F.col("start").alias("xs"))
@@ -166,8 +195,33 @@ def proximity_matches(docs: DataFrame, rare: DataFrame, *, slack: int = 5, id_co
 def report(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            item_id: str = "item_id", item_text: str = "text", n: int = WINDOW) -> DataFrame:
     """(doc_id, h, n_hit, item_ids): the contaminated documents, their hit words and the items found in them."""
+    wins, rare = _index(docs, items, text_col=text_col, item_id=item_id, item_text=item_text, n=n)
+    return _exact_report(docs, wins, rare, id_col=id_col, text_col=text_col)
+
+
+def near_report(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                item_id: str = "item_id", item_text: str = "text", n: int = WINDOW,
+                slack: int = SLACK) -> tuple[DataFrame, DataFrame]:
+    """``report`` and (doc_id, h, n_near, near_ids): the places near a window that is not there word for word,
+    summed over the distinct windows, and the items of those windows, for documents with any."""
+    wins, rare = _index(docs, items, text_col=text_col, item_id=item_id, item_text=item_text, n=n, k=3)
+    met = cut_lineage(proximity_matches(docs, rare, slack=slack, id_col=id_col, text_col=text_col))
+    by_item = wins.select("phrase", "item_id").distinct()
+    ids = met.join(by_item, "phrase").groupBy("doc_id", "h").agg(
+        F.sort_array(F.collect_set("item_id")).alias("near_ids")).alias("i")
+    s = met.groupBy("doc_id", "h").agg(F.sum("near").alias("n_near")).alias("s")
+    near = s.join(ids, F.col("s.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("s.h") == F.col("i.h"))).select(
+        "s.doc_id", "s.h", "n_near", "near_ids")
+    return _exact_report(docs, wins, rare, id_col=id_col, text_col=text_col), near
+
+
+def _index(docs: DataFrame, items: DataFrame, *, text_col: str, item_id: str, item_text: str, n: int, k: int = 2):
+    """The windows of the items and their rarest terms."""
     wins = cut_lineage(windows(items, id_col=item_id, text_col=item_text, n=n))
-    rare = cut_lineage(rare_terms(wins, term_counts(docs, wins, text_col=text_col)))
+    return wins, cut_lineage(rare_terms(wins, term_counts(docs, wins, text_col=text_col), k))
+
+
+def _exact_report(docs: DataFrame, wins: DataFrame, rare: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     met = cut_lineage(exact_matches(docs, rare, id_col=id_col, text_col=text_col))
     # words hit: the union of [start, start + n), folded over the sorted starts
     spans = met.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("s"))

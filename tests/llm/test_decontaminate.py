@@ -1,5 +1,7 @@
 """Decontamination: exact windows against SQL and a plain search, proximity, and the defined cases."""
 
+import itertools
+
 from scoria.llm import decontaminate as dc
 from scoria.llm.catalog import ORACLES, QUERIES
 from scoria.plans.check import compare, duck
@@ -58,3 +60,38 @@ def test_broadcast_is_checked(spark, monkeypatch):
     want = sorted(tuple(r) for r in dc.report(docs, items).select("doc_id", "n_hit").fillna(-1).collect())
     monkeypatch.setattr(dc, "MAX_BROADCAST_ROWS", 0)
     assert sorted(tuple(r) for r in dc.report(docs, items).select("doc_id", "n_hit").fillna(-1).collect()) == want
+
+
+def test_registered_proximity(spark, tmp_path):
+    docs, items = frames(spark)
+    alpha = ITEMS[1].split()
+    # a word of every window of ten is changed: no exact match, but a near one
+    changed = spark.createDataFrame([(20, " ".join(alpha[:5] + ["NEW"] + alpha[6:]), "z"), (21, "the cat", "z")], docs.schema)
+    docs.unionByName(changed).write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    exact = {r.doc_id: r for r in QUERIES["op8_decontamination"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r for r in QUERIES["op8_near_decontamination"](spark, str(tmp_path)).collect()}
+    assert not exact[20].contaminated and got[20].n_near > 0 and "1" in got[20].near_items.split(",")
+    assert got[10].n_near > 0 and (got[21].n_near, got[21].n_near_items, got[21].near_items) == (0, 0, "")
+    assert all(tuple(r)[:len(exact[d])] == tuple(exact[d]) for d, r in got.items())
+
+
+def test_proximity_against_plain_search(spark, monkeypatch):
+    docs, items = frames(spark)
+    wins = dc.windows(items)
+    rare = dc.rare_terms(wins, dc.term_counts(docs, wins), 3).cache()
+    want = {}
+    for r in rare.collect():
+        for d, text in set(DOCS):
+            ws, near = [w.lower() for w in brute.words(text)], set()
+            for (_, o0, t0), (_, o1, t1) in itertools.combinations(r.rare, 2):
+                near |= {p - o0 for p, w in enumerate(ws) if w == t0 and any(
+                    q != p and 0 <= q < len(ws) and ws[q] == t1 for q in range(p - o0 + o1 - 3, p - o0 + o1 + 4))}
+            near = [s for s in near if s < 0 or " ".join(brute.words(text)[s:s + r.n]) != r.phrase]
+            if near:
+                want[d, r.phrase] = len(near)
+    assert any(d == 10 for d, _ in want)
+    for limit in (dc.MAX_BROADCAST_ROWS, 0):
+        monkeypatch.setattr(dc, "MAX_BROADCAST_ROWS", limit)
+        got = {(r.doc_id, r.phrase): r.near for r in dc.proximity_matches(docs, rare, slack=3).collect()}
+        assert got == want
