@@ -8,9 +8,10 @@ Parquet in the shared folder and read again before the next.
 2. simhash_dedup: one document of each near-duplicate group stays, the
    one with the smallest id (null ids last, then the hash of the text).
 3. decontamination: documents with a word in a benchmark window go.
-4. secret_scan: documents with a live-looking secret go; widely copied
-   examples do no harm.
-5. mixing: the curriculum mix of what is left.
+4. secret_scan: documents with a live-looking secret go; examples that
+   are copied widely, by many sources or in many documents, do no harm.
+5. mixing: the curriculum mix of what is left, a row per copy in the order
+   of training; a document that is not taken has one row without a copy.
 
 Rows are addressed by (doc_id, xxhash64 of the text), so null and repeated
 ids, and other columns of any name, are carried along; an empty table

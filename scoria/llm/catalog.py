@@ -176,7 +176,7 @@ FROM d LEFT JOIN a USING (rid)
 
 @query("op7_secret_scan", OP7_SQL)
 def op7_secret_scan(spark, sf_dir):
-    """Secrets in every document; values that few owners hold count as live."""
+    """Secrets in every document; values that few owners and repositories hold count as live."""
     got = secret_scan.scan(table(spark, sf_dir, "documents"))
     kinds = list(secret_scan.KINDS)
     base = F.filter("spans", lambda x: x["base"])
@@ -186,6 +186,22 @@ def op7_secret_scan(spark, sf_dir):
                       F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live"))
 
 
+OP7_OWNERSHIP_SQL = OP7_SQL.partition("\no AS (")[0] + f"""
+o AS (SELECT v, count(DISTINCT coalesce('0' || source, '1')) AS owners,
+             count(DISTINCT coalesce('0' || doc_id, '1')) AS repos FROM p GROUP BY v),
+r AS (SELECT p.*, owners, repos, owners <= {secret_scan.MAX_OWNERS} AND repos <= {secret_scan.MAX_REPOS} AS live FROM p JOIN o USING (v))
+SELECT doc_id, kind, s AS "start", e AS "end", owners, repos, live FROM r WHERE k < 3 OR live
+"""
+
+
+@query("op7_secret_ownership", OP7_OWNERSHIP_SQL)
+def op7_secret_ownership(spark, sf_dir):
+    """The spans of op7_secret_scan, one a row, with the distinct owners and repositories of their value."""
+    got = secret_scan.scan(table(spark, sf_dir, "documents")).select("doc_id", F.explode("spans").alias("x"))
+    name = F.element_at(F.array(*[F.lit(k) for k in secret_scan.KINDS]), F.col("x.k") + 1)
+    return got.select("doc_id", name.alias("kind"), "x.start", "x.end", "x.owners", "x.repos", "x.live")
+
+
 OP8_SQL = r"""
 WITH dw AS (
   SELECT row_number() OVER () AS rid, doc_id,

@@ -7,7 +7,8 @@ strings (the base kinds) and mixed tokens of 24 or more letters, digits,
 matches of a kind; running sums of their lengths give code-point places.
 The hash of each candidate's value is aggregated over the corpus by
 distinct repositories and owners: a value that more than ``max_owners``
-owners hold is a widely copied example, the others look live.  Base spans
+owners hold, or that stands in more than ``max_repos`` repositories, be it
+of one owner, is a widely copied example; the others look live.  Base spans
 always stay; a mixed token is reported if it looks live and does not
 overlap a base span.
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from scoria.llm.common import col
 from scoria.session import cut_lineage
 
-__all__ = ["KINDS", "candidates", "places", "ownership", "scan", "MAX_OWNERS"]
+__all__ = ["KINDS", "candidates", "places", "ownership", "scan", "MAX_OWNERS", "MAX_REPOS"]
 
 #: kind -> (pattern, group that holds the value, least length of the value, base kind or not); in the order of reports.
 KINDS = {
@@ -35,6 +36,8 @@ KINDS = {
     "mixed": (r"[A-Za-z0-9_-]{24,}", 0, 24, False),
 }
 MAX_OWNERS = 2
+#: The documents table names no repositories, so by default a document is one.
+MAX_REPOS = 10
 
 
 def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
@@ -87,11 +90,12 @@ def ownership(at: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repo_col: str = "doc_id", max_owners: int = MAX_OWNERS) -> DataFrame:
+         repo_col: str = "doc_id", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """One row per document: doc_id, h and spans (start, kind number, end, base, live, owners, repos), sorted."""
     found = cut_lineage(candidates(docs, id_col=id_col, text_col=text_col, owner_col=owner_col, repo_col=repo_col))
     at = cut_lineage(places(found))
-    known = at.join(ownership(at), "value").withColumn("live", F.col("owners") <= max_owners)
+    few = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
+    known = at.join(ownership(at), "value").withColumn("live", few)
     known = known.where(F.col("base") | F.col("live"))
     spans = known.groupBy("rid").agg(F.sort_array(F.collect_list(
         F.struct("start", "k", "end", "base", "live", "owners", "repos"))).alias("spans"))

@@ -1,5 +1,7 @@
 """Secrets: the base kinds by plain patterns, ownership, the defined cases, and no Python in the plan."""
 
+import corpus_pipeline as cp
+import duckdb
 from scoria.llm import secret_scan
 from scoria.llm.catalog import ORACLES, QUERIES
 from scoria.plans.check import compare, duck
@@ -43,3 +45,27 @@ def test_native_and_empty(spark):
     assert secret_scan.scan(none).count() == 0
     plan = secret_scan.candidates(spark.createDataFrame([(1, "x", "s")], "doc_id long, text string, source string"))
     assert "Python" not in plan._jdf.queryExecution().toString() and "Arrow" not in plan._jdf.queryExecution().toString()
+
+
+def test_copied_inside_one_source(spark, tmp_path):
+    key, few = "Abc1234567890defGHIJKlmnop", "Zyx1234567890defGHIJKlmnop"
+    n = secret_scan.MAX_REPOS
+    rows = [(i, f"see {key} and token=sample_key_1", "hot") for i in range(n + 1)] + [(100 + i, f"{few} ", "hot") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    # one owner, but too many documents: a copied example; the mixed token is not reported, the assignment not live
+    assert [(s.k, s.live, s.owners, s.repos) for s in got[0]] == [(0, False, 1, n + 1)]
+    assert [(s.k, s.live, s.owners, s.repos) for s in got[100]] == [(3, True, 1, n)]
+    kept = cp.secrets(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == set(range(n + 1))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = compare(spark, con, "op7", QUERIES["op7_secret_ownership"], ORACLES["op7_secret_ownership"], str(tmp_path))
+    assert got["ok"] and got["rows"] == 2 * n + 1, got
+
+
+def test_ownership_query_against_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    got = compare(spark, duck(sf), "op7", QUERIES["op7_secret_ownership"], ORACLES["op7_secret_ownership"], sf)
+    assert got["ok"] and got["rows"] > 0, got
