@@ -71,7 +71,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return mixing.mix(docs)
+    return mixing.copies(docs)
 
 
 STAGES = [("language_id", language_id), ("simhash_dedup", simhash_dedup), ("decontamination", decontamination),

@@ -241,7 +241,12 @@ def _op8_rows(docs, found, near=None):
     same = lambda t: F.col("d.doc_id").eqNullSafe(F.col(f"{t}.doc_id")) & (F.col("d.h") == F.col(f"{t}.h"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"),
                     F.size(decontaminate.words(col("text"))).cast("long").alias("n_words")).alias("d")
-    both = d.join(found, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.h") == F.col("f.h")), "left")
+    both, more = d.join(found.alias("f"), same("f"), "left"), []
+    if near is not None:
+        both = both.join(near.alias("g"), same("g"), "left")
+        more = [F.coalesce("n_near", F.lit(0)).alias("n_near"),
+                F.coalesce(F.size("near_ids"), F.lit(0)).cast("long").alias("n_near_items"),
+                F.coalesce(F.array_join("near_ids", ","), F.lit("")).alias("near_items")]
     return both.select(
         "d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
@@ -291,4 +296,23 @@ FROM k
 def op10_curriculum_mix(spark, sf_dir):
     """Every document's share of the mix and the training position of its first copy."""
     got = mixing.mix(table(spark, sf_dir, "documents"))
+    return got.drop("positions").withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
+
+
+OP10_COPIES_SQL = OP10_SQL.partition("\nk AS (")[0] + """
+l AS (
+  SELECT *, st + lap * source_size AS place,
+         CAST(greatest(0, least(size, CAST(round(target) AS BIGINT) - st - lap * source_size)) AS BIGINT) AS part
+  FROM c, (SELECT unnest([0, 1]) AS lap))
+SELECT doc_id, size, source_size, round(target, 6) AS target, CASE WHEN part > 0 THEN lap + 1 END AS copy, part AS taken,
+       CASE WHEN part = 0 THEN NULL WHEN a = 0 THEN round(place / target, 6)
+            ELSE round((a - 1 + sqrt((1 - a) * (1 - a) + 4 * a * (place / target))) / (2 * a), 6) END AS position
+FROM l WHERE part > 0 OR lap = 0
+"""
+
+
+@query("op10_curriculum_copies", OP10_COPIES_SQL)
+def op10_curriculum_copies(spark, sf_dir):
+    """The mix as it is trained on: a row per copy of a document, by training position."""
+    got = mixing.copies(table(spark, sf_dir, "documents"))
     return got.withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})

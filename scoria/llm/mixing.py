@@ -3,8 +3,10 @@
 Each source has a weight schedule over training time t in [0, 1]: linear,
 ``base * (1 + slope * (2t - 1))``.  Its integral is the share of the
 source's demand that is met by time t; inverting it turns a document's
-place in its source's token sequence into a training position, and
-documents are range-sorted by position.
+place in its source's token sequence into a training position.  Each copy
+of a document has a position of its own: in lap ``k`` (from 0) the place is
+``start + k * source_size``.  ``copies`` gives a row per copy, range-sorted
+by position; ``mix`` a row per document, sorted by its first one.
 
 Targets: sources ordered by code point (null last) weigh ``weights`` in
 turn and share ``total`` times all words.  No target passes ``most`` times
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from scoria.llm.common import col, partitions
 from scoria.session import cut_lineage
 
-__all__ = ["n_words", "targets", "mix", "WEIGHTS", "SLOPES"]
+__all__ = ["n_words", "targets", "mix", "copies", "WEIGHTS", "SLOPES"]
 
 WEIGHTS = (5, 2, 1)
 #: Slopes of the schedules, in turn by source: early, even and late sources.
@@ -77,11 +79,46 @@ def targets(sizes: DataFrame, *, weights: Sequence[int] = WEIGHTS, slopes: Seque
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[int] = WEIGHTS, slopes: Sequence[float] = SLOPES, total: float = 1.5,
         most: float = 2.0, digits: int = 3) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, position (of its first copy), range-sorted.
+    """One row per document: doc_id, size, source_size, target, taken, position (of its first copy), positions
+    (of all copies, an array), range-sorted.
 
     ``digits`` hexadecimal digits of the hash cut a source into 16**digits
-    slices.  ``position`` is null for a document of which nothing is taken.
+    slices.  ``position`` is null for a document of which nothing is taken,
+    ``positions`` empty.
     """
+    placed = _placed(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, slopes=slopes,
+                     total=total, most=most, digits=digits)
+    out = placed.select("doc_id", "size", "source_size", "target", "taken",
+                        F.try_element_at("copies", F.lit(1))["position"].alias("position"),
+                        F.col("copies")["position"].alias("positions"))
+    return _sorted(out)
+
+
+def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+           weights: Sequence[int] = WEIGHTS, slopes: Sequence[float] = SLOPES, total: float = 1.5,
+           most: float = 2.0, digits: int = 3) -> DataFrame:
+    """One row per copy of a document: doc_id, size, source_size, target, copy (1 is the first), taken (words of
+    this copy), position, range-sorted.
+
+    A document of which nothing is taken has one row, with taken 0 and
+    without copy and position, after all others.
+    """
+    placed = _placed(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, slopes=slopes,
+                     total=total, most=most, digits=digits)
+    out = placed.select("doc_id", "size", "source_size", "target", F.explode_outer("copies").alias("c"))
+    return _sorted(out.select("doc_id", "size", "source_size", "target", "c.copy",
+                              F.coalesce("c.taken", F.lit(0)).cast("long").alias("taken"), "c.position"))
+
+
+def _sorted(out: DataFrame) -> DataFrame:
+    # the id spreads documents without a position, too
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
+    return out.repartitionByRange(partitions(out.sparkSession), *order).sortWithinPartitions(*order)
+
+
+def _placed(docs: DataFrame, *, id_col: str, text_col: str, source_col: str, weights: Sequence[int],
+            slopes: Sequence[float], total: float, most: float, digits: int) -> DataFrame:
+    """One row per document, with its copies (copy, taken, position) in the order of their laps."""
     sizes = cut_lineage(docs.select(
         col(id_col).cast("long").alias("doc_id"), n_words(col(text_col)).alias("size"),
         # a key without nulls, in the order of sources, null last
@@ -103,12 +140,15 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     part = lambda lap: F.greatest(F.lit(0), F.least(F.col("size"), want - start - lap * F.col("source_size")))
     laps = range(int(-(-most // 1)))
     taken = sum((part(lap) for lap in laps[1:]), part(0)).cast("long")
-    share, slope = F.try_divide(start.cast("double"), F.col("target")), F.col("slope")
-    # t with t + slope * (t*t - t) = share
-    when = F.when(slope == 0, share).otherwise(
-        F.try_divide(slope - 1 + F.sqrt((1 - slope) * (1 - slope) + 4 * slope * share), 2 * slope))
-    out = placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"),
-                        F.when(taken > 0, when).alias("position"))
-    # the id spreads documents without a position, too
-    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
-    return out.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    slope = F.col("slope")
+
+    def when(lap):
+        share = F.try_divide((start + lap * F.col("source_size")).cast("double"), F.col("target"))
+        # t with t + slope * (t*t - t) = share
+        return F.when(slope == 0, share).otherwise(
+            F.try_divide(slope - 1 + F.sqrt((1 - slope) * (1 - slope) + 4 * slope * share), 2 * slope))
+
+    each = [F.when(part(lap) > 0, F.struct(F.lit(lap + 1).alias("copy"), part(lap).cast("long").alias("taken"),
+                                           when(lap).alias("position"))) for lap in laps]
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"),
+                         F.array_compact(F.array(*each)).alias("copies"))

@@ -40,3 +40,34 @@ def test_rules_and_defined_cases(spark):
     assert at == sorted(at)
     assert [r["size"] for r in got if r.doc_id is None] == [3, 3]
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_copies_against_sql(spark, sf):
+    got = compare(spark, duck(sf), "op10", QUERIES["op10_curriculum_copies"], ORACLES["op10_curriculum_copies"], sf)
+    assert got["ok"], got
+
+
+def test_every_copy_has_its_place(spark):
+    # the sources beside the hot one are taken twice over
+    rows = [(i, "w " * 10, "hot") for i in range(300)] + [(1000 + i, "w " * (1 + i % 7), f"s{i % 3}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by_doc = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    got = mixing.copies(docs).collect()
+    at = [r.position for r in got if r.position is not None]
+    assert at == sorted(at) and {r.doc_id for r in got} == set(by_doc)
+    source = {d: s for d, _, s in rows}
+    slope = dict(zip(sorted(set(source.values())), [*mixing.SLOPES, mixing.SLOPES[0]]))
+    seen, many = {}, 0
+    for r in got:
+        s = source[r.doc_id]
+        many += r.copy == 2
+        if r.position is not None:
+            # the schedule's integral up to this position is the share of the words placed before it
+            t, a = r.position, slope[s]
+            assert abs((t + a * (t * t - t)) * r.target - seen.get(s, 0)) < 1e-6
+            seen[s] = seen.get(s, 0) + r.taken
+    assert many > 50 and all(seen[s] == round(r.target) for d, r in by_doc.items() for s in [source[d]])
+    for d, r in by_doc.items():
+        mine = [x for x in got if x.doc_id == d and x.copy]
+        assert [x.position for x in mine] == r.positions and sum(x.taken for x in mine) == r.taken
+        assert r.position == (r.positions[0] if r.positions else None)
