@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoria.llm import chat, decontaminate, langid, licenses, lm, mixing, pii, secret_scan, simhash, topk
+from scoria.llm import chat, decontaminate, langid, licenses, lm, mixing, pii, prefix_trie, secret_scan, simhash, topk
 from scoria.llm.common import col, crc_mod5, table
 from scoria.session import ship_package
 
@@ -316,3 +316,41 @@ def op10_curriculum_copies(spark, sf_dir):
     """The mix as it is trained on: a row per copy of a document, by training position."""
     got = mixing.copies(table(spark, sf_dir, "documents"))
     return got.withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
+         substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS key
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, list({'k': key, 'w': w} ORDER BY turn NULLS FIRST, key, w) AS t FROM t GROUP BY conv_id),
+c AS (  -- crc32 by bits: each byte is added, then shifted out eight times
+  SELECT conv_id, t, CAST(xor(list_reduce(list_concat([4294967295::BIGINT], flatten(
+           [[unicode(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(conv_id AS VARCHAR), '')])),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 4 AS INT) AS h
+  FROM s),
+r AS (
+  SELECT c.conv_id, list_concat(CASE WHEN c.h > 0 THEN coalesce(b.t, [])[1:c.h] ELSE [] END, c.t[c.h + 1:]) AS t
+  FROM c LEFT JOIN s b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, len(t) AS len, [x.k FOR x IN t] AS ks, [x.w FOR x IN t] AS ws FROM r),
+e AS (SELECT conv_id, len, ks, ws, unnest(range(0, len + 1)) AS depth FROM p),
+n AS (
+  SELECT array_to_string(ks[1:depth], '') AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         max(CASE WHEN depth > 0 THEN array_to_string(ks[1:depth - 1], '') END) AS parent,
+         (count(*) - 1) * max(CASE WHEN depth > 0 THEN ws[depth] ELSE 0 END) AS own,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len = depth), '')) AS ends_sha256
+  FROM e GROUP BY 1, 2),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+a AS (SELECT substr(n.node, 1, 32 * u) AS node, own, kids.node IS NULL AS leaf
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS u FROM n) n LEFT JOIN kids ON kids.node = n.node),
+s2 AS (SELECT node, sum(own) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves FROM a GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN s2 USING (node) LEFT JOIN kids USING (node) LEFT JOIN n up ON up.node = n.parent AND n.depth > 0
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
