@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoria.llm import chat, decontaminate, langid, licenses, lm, mixing, pii, prefix_trie, secret_scan, simhash, topk
+from scoria.llm import chat, decontaminate, langid, licenses, lm, minhash, mixing, pii, prefix_trie, ranked_search, secret_scan, simhash, topk
 from scoria.llm.common import col, crc_mod5, table
 from scoria.session import ship_package
 
@@ -354,3 +354,43 @@ FROM n JOIN s2 USING (node) LEFT JOIN kids USING (node) LEFT JOIN n up ON up.nod
 def op11_prefix_trie(spark, sf_dir):
     """Every node of the prefix trie of the rebuilt conversations."""
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+g AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+q AS (
+  SELECT item_id, text, list_distinct(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)),
+qt AS (SELECT item_id, text, unnest(w) AS term FROM q),
+p AS (SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf
+      FROM (SELECT rid, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d)
+      WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, g GROUP BY term, n_docs),
+s AS (
+  SELECT item_id, text, rid, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))))::BIGINT AS score
+  FROM qt JOIN p USING (term) JOIN f USING (term), g GROUP BY ALL)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13_ranked_search(spark, sf_dir):
+    """The ten best documents for the words of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_minhash_dedup")
+def op12_minhash_dedup(spark, sf_dir):
+    """Components of documents whose 3-word shingle sets have a similarity of 0.85 or more."""
+    got = minhash.groups(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
