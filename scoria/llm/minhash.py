@@ -12,11 +12,17 @@ similarity 0.85 miss each other in all bands with a chance of
 Documents with equal sets are one node.  In a bucket, candidate edges are
 stars: the smallest node is compared with all others.  What is confirmed
 on the full sets joins components; a bucket whose members are in one
-component is done.  In any other, members outside its largest component
-become the next centres, 8, 64, ... of them a round, and are compared with
-the members of other components only; a centre that was compared leaves
-the bucket.  So every pair of a bucket is compared, or already connected,
-or too different in size, while a bucket of near copies costs some stars.
+component is done.  The nodes of the other buckets are dealt again, now by
+the rarest shingles of their sets: similar sets share one of their
+n - ceil(0.85 n) + 1 rarest, so these buckets lose no pair.  Two sets that
+meet by shingles at places i and j of that order can share n - i and m - j
+at most, if it is the first they share; so copies that were edited in
+different places are seldom compared.  In these buckets, 8, 64, ... members
+of the largest component, and as many others, become the next centres and
+are compared with the members of other components only; a centre that was
+compared leaves the bucket.  So every pair of a bucket is compared, or
+already connected, or cannot be similar, while a bucket of near copies
+costs some stars.
 
 Full sets are computed again for the nodes that share a bucket, one
 document for each; nothing is sent to the driver but counts.
@@ -34,7 +40,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoria.llm.common import col, utf8
@@ -44,7 +50,7 @@ from scoria.session import cut_lineage, small_side
 __all__ = ["shingle_set", "signature", "bands", "nodes", "links", "groups", "BANDS", "ROWS", "GROWTH"]
 
 BANDS, ROWS = 28, 4
-#: Centres of a bucket in each round, relative to the round before.
+#: Centres of each side of a bucket in a round, relative to the round before.
 GROWTH = 8
 #: Distinct words a task remembers the hashes of.
 HELD_WORDS = 1_000_000
@@ -153,8 +159,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def links(distinct: DataFrame, sets_of, *, percent: int = 85, growth: int = GROWTH) -> DataFrame:
     """(node, root) of all nodes with a link; ``distinct`` is (node, n, keys), ``sets_of`` gives (node, s) of given nodes."""
-    shares = F.when(F.col("x.n") < F.col("y.n"), 100 * F.col("x.n") >= percent * F.col("y.n")).otherwise(
-        100 * F.col("y.n") >= percent * F.col("x.n"))
+    def may_share(x, y) -> Column:
+        """Whether sets that share ``x`` and ``y`` elements of their own at most can be similar enough."""
+        return (100 + percent) * F.least(x, y) >= percent * (F.col("x.n") + F.col("y.n"))
+
     places = distinct.select(F.explode("keys").alias("bucket"), "node", "n")
     # a node can meet a bucket twice only by a hash collision; min <> max tells buckets of several nodes
     many = places.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last")
@@ -162,32 +170,57 @@ def links(distinct: DataFrame, sets_of, *, percent: int = 85, growth: int = GROW
     sets = cut_lineage(sets_of(members.select("node").distinct()))
 
     x, y = members.where("node <> centre").alias("x"), members.where("node = centre").select("bucket", "n").alias("y")
-    pairs = x.join(y, "bucket").where(shares).select(F.col("centre").alias("u"), F.col("x.node").alias("v")).distinct()
+    pairs = x.join(y, "bucket").where(may_share(F.col("x.n"), F.col("y.n"))).select(F.col("centre").alias("u"), F.col("x.node").alias("v")).distinct()
     tested = cut_lineage(pairs)
     found = cut_lineage(_confirmed(tested, sets, percent))
-    members = members.where("node <> centre").drop("centre")
+    roots = cut_lineage(components(found))
+    members = _unresolved(members.where("node <> centre").drop("centre"), roots)
+    if members.isEmpty():
+        return roots
+    members = _rarest(members.select("node", "n").distinct(), sets, percent)
     quota = 1
     while True:
-        roots = cut_lineage(components(found))
-        named = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-        todo = sizes.groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("main"), F.sum("c").alias("c"), F.count("*").alias("roots"))
-        todo = todo.where("roots > 1").select("bucket", F.col("main.root").alias("main"), (F.col("c") - F.col("main.c")).alias("others"))
-        members = cut_lineage(named.join(todo, "bucket"))
+        members = cut_lineage(_unresolved(members, roots))
         if members.isEmpty():
             return roots
         quota *= growth
-        # a hash in [0, 1) of the node chooses ``quota`` of the others, or all
+        # a hash in [0, 1) of the node chooses ``quota`` of either side, or all
         chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / float(1 << 30)
-        centre = (F.col("root") != F.col("main")) & (chance * F.col("others") < quota)
-        members = members.withColumn("is_centre", centre)
+        side = F.when(F.col("root") == F.col("main.root"), F.col("main.c")).otherwise(F.col("others"))
+        members = members.withColumn("is_centre", chance * side < quota)
         x, y = members.alias("x"), members.where("is_centre").alias("y")
-        pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & shares).select(
+        fit = may_share(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+        pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & fit).select(
             F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v")).distinct()
         pairs = cut_lineage(pairs.join(tested, ["u", "v"], "left_anti"))
         found = cut_lineage(found.unionByName(_confirmed(pairs, sets, percent)))
         tested = tested.unionByName(pairs)
-        members = members.where(~F.col("is_centre")).select("bucket", "node", "n")
+        members = members.where(~F.col("is_centre")).select("bucket", "node", "n", "place")
+        roots = cut_lineage(components(found))
+
+
+def _unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with (root, main, others) of the buckets with several components: ``main`` is the largest
+    component (c members, root) and ``others`` the number of members outside it."""
+    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    todo = sizes.groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("main"), F.sum("c").alias("c"), F.count("*").alias("roots"))
+    todo = todo.where("roots > 1").select("bucket", "main", (F.col("c") - F.col("main.c")).alias("others"))
+    return named.join(todo, "bucket")
+
+
+def _rarest(wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, n, place): the rarest shingles of the wanted sets, by their number of these sets, as buckets.
+
+    Shingles of one set alone take the first places and pair with nothing, so only their number is used.
+    """
+    every = cut_lineage(wanted.join(sets, "node").select("node", "n", F.explode("s").alias("bucket")))
+    shared = every.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    own = every.join(shared, "bucket").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "bucket"))).alias("t"))
+    alone = F.col("n") - F.size("t")
+    most = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1 - alone
+    placed = own.where(most > 0).select("node", "n", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), most.cast("int"))))
+    return cut_lineage(placed.select("col.bucket", "node", "n", (F.col("alone") + F.col("pos")).alias("place")))
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 85) -> DataFrame:
