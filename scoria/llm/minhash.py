@@ -52,8 +52,10 @@ __all__ = ["shingle_set", "signature", "bands", "nodes", "links", "groups", "BAN
 BANDS, ROWS = 28, 4
 #: Centres of each side of a bucket in a round, relative to the round before.
 GROWTH = 8
+#: Links that one task joins to a forest.
+FOREST_LINKS = 100_000
 #: Distinct words a task remembers the hashes of.
-HELD_WORDS = 1_000_000
+HELD_WORDS = 200_000
 BINS = BANDS * ROWS
 #: For each bin the order in which it looks for a non-empty one: a random permutation, the same in every task.
 PROBES = np.argsort(np.random.Generator(np.random.PCG64(12)).random((BINS, BINS)), axis=1)
@@ -173,7 +175,7 @@ def links(distinct: DataFrame, sets_of, *, percent: int = 85, growth: int = GROW
     pairs = x.join(y, "bucket").where(may_share(F.col("x.n"), F.col("y.n"))).select(F.col("centre").alias("u"), F.col("x.node").alias("v")).distinct()
     tested = cut_lineage(pairs)
     found = cut_lineage(_confirmed(tested, sets, percent))
-    roots = cut_lineage(components(found))
+    roots = _roots(found)
     members = _unresolved(members.where("node <> centre").drop("centre"), roots)
     if members.isEmpty():
         return roots
@@ -196,7 +198,31 @@ def links(distinct: DataFrame, sets_of, *, percent: int = 85, growth: int = GROW
         found = cut_lineage(found.unionByName(_confirmed(pairs, sets, percent)))
         tested = tested.unionByName(pairs)
         members = members.where(~F.col("is_centre")).select("bucket", "node", "n", "place")
-        roots = cut_lineage(components(found))
+        roots = _roots(found)
+
+
+def _roots(edges: DataFrame) -> DataFrame:
+    """(node, root) of the links (u, v), kept: every ``FOREST_LINKS`` of them become a forest in a task, and
+    the forests are joined by star steps where there are several."""
+    def forest(batches):
+        up: dict[bytes, bytes] = {}
+
+        def root(x):
+            while up.setdefault(x, x) != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                u, v = root(u), root(v)
+                up[max(u, v)] = min(u, v)
+        for rows in (list(up)[a:a + 10_000] for a in range(0, len(up), 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(map(root, rows), pa.binary())], names=["node", "root"])
+
+    parts = max(1, -(-edges.count() // FOREST_LINKS))
+    trees = edges.select("u", "v").repartition(parts).mapInArrow(forest, "node binary, root binary")
+    return cut_lineage(trees if parts == 1 else components(trees.toDF("u", "v")))
 
 
 def _unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:

@@ -92,9 +92,10 @@ def test_signature_estimates_similarity():
     assert (one == 77).all() and len(one) == minhash.BINS
 
 
-@pytest.mark.parametrize("growth", [2, 1000])
-def test_rounds_of_centres(spark, growth):
+@pytest.mark.parametrize("growth,forest", [(2, 100_000), (1000, 3)])
+def test_rounds_of_centres(spark, growth, forest, monkeypatch):
     """All nodes in one bucket: every pair across components must be compared, whatever the centres."""
+    monkeypatch.setattr(minhash, "FOREST_LINKS", forest)
     rnd = random.Random(growth)
     sets = [sorted(rnd.sample(range(30), rnd.choice([12, 13, 14]))) for _ in range(60)]
     sets = [list(s) for s in {tuple(s) for s in sets}]
