@@ -387,8 +387,14 @@ def merged_splits(splits: Sequence[float], groups: Sequence[int]) -> list[float]
 
 def quantile_splits(xs: DataFrame, q: int, value: str = "x", exact: bool = False,
                     accuracy: int = 10000) -> DataFrame:
-    """Per-feature percentiles at step 100/q (last = 100), unique, as splits."""
+    """Per-feature percentiles at step 100/q (last = 100), unique, as splits.
+
+    ``exact`` interpolates order statistics (``metrics.quantiles``); the default takes observed
+    values from a sketch."""
     probs = [min(i / q, 1.0) for i in range(1, q + 1)]
-    agg = (F.percentile(value, F.array(*[F.lit(p) for p in probs])) if exact
-           else F.percentile_approx(value, probs, accuracy))
-    return xs.groupBy("feature").agg(F.array_sort(F.array_distinct(agg)).alias("splits"))
+    if exact:
+        from scoria.operators.metrics import quantiles
+        got = quantiles(xs, value, probs, ["feature"])
+    else:
+        got = xs.groupBy("feature").agg(F.percentile_approx(value, probs, accuracy).alias("q"))
+    return got.select("feature", F.array_sort(F.array_distinct("q")).alias("splits"))

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoria.functions.exprs import bin_index
-from scoria.operators.ranking import running_sums
+from scoria.operators.ranking import join_null_safe, running_sums
+from scoria.session import cut_lineage
 
 __all__ = ["score_counts", "auc", "roc_points", "psi", "corr_matrix", "corr_pairs",
-           "vif", "describe", "equal_width_edges", "cut", "missing_compare",
+           "vif", "quantiles", "describe", "equal_width_edges", "cut", "missing_compare",
            "sample_summary", "shares", "wilson", "to_long"]
 
 
@@ -68,7 +69,7 @@ def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     if by:
         # one row per group; AQE broadcasts it when its measured size is small
         tot = c.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-        r = r.join(tot, by)
+        r = join_null_safe(r, tot, by)
     else:
         t = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
         r = r.withColumn("_P", F.lit(t["P"])).withColumn("_N", F.lit(t["N"]))
@@ -107,7 +108,7 @@ def psi(train: DataFrame, test: DataFrame, features: Sequence[str], by: Sequence
     # when small); a window per feature would put all distinct values of a
     # feature in one task.
     tot = cnt.groupBy(*keep, "feature").agg(F.sum("n_tr").alias("_ttr"), F.sum("n_te").alias("_tte"))
-    sh = cnt.join(tot, keep + ["feature"]).select(
+    sh = join_null_safe(cnt, tot, keep + ["feature"]).select(
         *keep, "feature", (F.col("n_tr") / F.col("_ttr")).alias("tr"), (F.col("n_te") / F.col("_tte")).alias("te"))
     sh = sh.fillna(0.0, ["tr", "te"])
     term = (F.col("tr") - F.col("te")) * F.log((F.col("tr") + eps) / (F.col("te") + eps))
@@ -147,22 +148,51 @@ def vif(corr: np.ndarray, ridge: float = 0.0) -> np.ndarray:
     return np.diag(np.linalg.inv(corr + ridge * np.eye(k)))
 
 
-def describe(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = False,
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), name: str = "q") -> DataFrame:
+    """(by..., ``name`` array<double>): exact quantiles per group, interpolated linearly (like pandas); nulls do not count.
+
+    Order statistics are found by running counts over distinct values, so no task holds a
+    group: a quantile at place ``p * (n - 1)`` lies between the values whose running counts
+    cover the places on either side.  A group without values has no row.
+    """
+    by = list(by)
+    c = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    c = cut_lineage(c)
+    r = running_sums(c, by, ["__v"], ["__n"], prefix="__below", materialise=False)
+    if by:  # a row per group
+        r = join_null_safe(r, c.groupBy(*by).agg(F.sum("__n").alias("__all")), by)
+    else:
+        r = r.withColumn("__all", F.lit(c.agg(F.sum("__n")).first()[0]))
+    found = []
+    for i, p in enumerate(probs):
+        place = F.lit(float(p)) * (F.col("__all") - 1)
+        for side, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            here = (F.col("__below__n") <= at) & (at < F.col("__below__n") + F.col("__n"))
+            found.append(F.max(F.when(here, F.col("__v"))).alias(f"__{side}{i}"))
+    g = r.groupBy(*by).agg(F.max("__all").alias("__all"), *found)
+    share = [F.lit(float(p)) * (F.col("__all") - 1) - F.floor(F.lit(float(p)) * (F.col("__all") - 1)) for p in probs]
+    value_at = [F.when(w == 0, F.col(f"__lo{i}")).otherwise(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * w)
+                for i, w in enumerate(share)]
+    return g.where(F.col("__all").isNotNull()).select(*by, F.array(*value_at).alias(name))
+
+
+def describe(df: DataFrame, value: str, by: Sequence[str] = (), exact: bool = True,
              accuracy: int = 10000) -> DataFrame:
     """Count, mean, std, min, 25/50/75 % (linear, like pandas), max per group.
 
-    ``exact`` keeps a value -> count map per group: memory grows with the
-    number of *distinct* values, fine for bounded domains (scorecard
-    probabilities, quantities); the default is a sketch."""
-    v = F.col(value)
+    Quantiles are exact order statistics from distributed running counts;
+    ``exact=False`` takes observed values from a sketch in the same aggregate instead."""
+    v, by = F.col(value), list(by)
+    sketch = [] if exact else [F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("__q")]
+    base = df.groupBy(*by).agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                               F.min(v).alias("min"), F.max(v).alias("max"), *sketch)
     if exact:
-        q = [F.percentile(v, F.lit(p)) for p in (0.25, 0.5, 0.75)]
-    else:
-        q = [F.percentile_approx(v, F.lit(p), accuracy) for p in (0.25, 0.5, 0.75)]
-    return df.groupBy(*by).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
-        F.max(v).alias("max"))
+        key = by or ["__one"]  # without groups both sides have one row
+        if not by:
+            base, df = base.withColumn("__one", F.lit(1)), df.withColumn("__one", F.lit(1))
+        base = join_null_safe(base, quantiles(df, value, (0.25, 0.5, 0.75), key, "__q"), key, "left")
+    q = [F.col("__q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
+    return base.select(*by, "count", "mean", "std", "min", *q, "max")
 
 
 def equal_width_edges(df: DataFrame, value: str, bins: int) -> list[float]:
@@ -215,7 +245,7 @@ def shares(df: DataFrame, by: Sequence[str], within: Sequence[str] = ()) -> Data
     # totals joined back (no single-partition window over all groups)
     if within:
         tot = cnt.groupBy(*within).agg(F.sum("n").alias("_tot"))
-        return cnt.join(tot, list(within)).withColumn("share", F.col("n") / F.col("_tot")).drop("_tot")
+        return join_null_safe(cnt, tot, list(within)).withColumn("share", F.col("n") / F.col("_tot")).drop("_tot")
     t = cnt.agg(F.sum("n").alias("t")).first()["t"]
     return cnt.withColumn("share", F.col("n") / F.lit(float(t or 1)))
 

@@ -18,7 +18,17 @@ from pyspark.sql import functions as F
 
 from scoria.session import cut_lineage
 
-__all__ = ["running_sums", "dist_row_number"]
+__all__ = ["running_sums", "dist_row_number", "join_null_safe"]
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left.join(right, on, how)`` in which a null key meets a null key (an inner or left join)."""
+    mine = {c: f"__r_{i}" for i, c in enumerate(on)}
+    r = right.select(*[F.col(c).alias(mine[c]) for c in on], *[c for c in right.columns if c not in mine])
+    met = F.lit(True)
+    for c in on:
+        met = met & left[c].eqNullSafe(F.col(mine[c]))
+    return left.join(r, met, how).drop(*mine.values())
 
 
 def _n_slices(df: DataFrame, n: int | None) -> int:
@@ -33,7 +43,7 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
     """Add ``cum_<v>``: sum of ``v`` over earlier rows of the same group.
 
     Rows are ordered by ``order`` (which should be unique within a group
-    for a deterministic result).  Exclusive by default.
+    for a deterministic result).  Exclusive by default.  Null is a group like any other.
     """
     group, order, values = list(group), list(order), list(values)
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
@@ -51,7 +61,7 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str],
     w_off = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*group, "_slice",
                      *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in values])
-    out = local.join(off, group + ["_slice"])
+    out = join_null_safe(local, off, group + ["_slice"])
     return out.select(*df.columns, *[(F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{prefix}{v}") for v in values])
 
 

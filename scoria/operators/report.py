@@ -2,81 +2,105 @@
 
 Bootstraps work on aggregated cells — (score or category, class) counts —
 never on rows: each replicate draws Poisson(count) weights per cell
-(the standard distributed bootstrap), replicates are spread over tasks with
-``groupBy(replicate).applyInPandas``.
+(the standard distributed bootstrap) as column expressions over md5 of
+(cell, replicate), so SQL can check them.
 """
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoria.operators.metrics import corr_matrix, score_counts, vif
-from scoria.session import by_group
+from scoria.operators.metrics import auc, corr_matrix, score_counts, vif
+from scoria.operators.ranking import running_sums
+from scoria.session import cut_lineage
 
-__all__ = ["gini_ci", "woe_bootstrap", "vif_table", "loo_contribution", "coef_table"]
+__all__ = ["poisson_weight", "gini_ci", "woe_bootstrap", "vif_table", "loo_contribution", "coef_table"]
 
 
 def _replicates(cells: DataFrame, n: int) -> DataFrame:
     return cells.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
+#: Up to this mean a Poisson weight is read off its distribution function, beyond by a corrected normal.
+LADDER = 32
+
+
+def _ladder(mean: int) -> list[float]:
+    """The distribution function of Poisson(``mean``) at 0, 1, 2, ... until it is 1 to 12 digits."""
+    p = total = math.exp(-mean)
+    out = [total]
+    while 1 - total > 1e-12 and len(out) < 200:
+        p *= mean / len(out)
+        total += p
+        out.append(total)
+    return out
+
+
+LADDERS = [[2.0], *(_ladder(m) for m in range(1, LADDER + 1))]
+
+
+def poisson_weight(count: Column, key: Column) -> Column:
+    """A Poisson(``count``) draw that depends on ``key`` alone, so any retry or partitioning draws the same.
+
+    md5 of the key gives two uniforms.  Means of up to ``LADDER`` count the steps of the distribution
+    function below the first; larger ones use Box-Muller with the skewness correction (z * z - 1) / 6.
+    """
+    h = F.md5(key)
+    u, v = (F.conv(F.substring(h, a, 8), 16, 10).cast("double") / F.lit(4294967296.0) for a in (1, 9))
+    steps = F.array(*[F.array(*[F.lit(x) for x in ladder]) for ladder in LADDERS])
+    ladder = F.element_at(steps, (F.least(count, F.lit(LADDER)) + 1).cast("int"))
+    # a variable of its own: else the uniform would be computed again for every step
+    small = F.transform(F.array(u), lambda x: F.size(F.filter(ladder, lambda c: c <= x)))[0]
+    z = F.sqrt(-2 * F.log(1 - u)) * F.cos(2 * math.pi * v)
+    large = F.greatest(F.lit(0.0), F.floor(count + F.sqrt(count.cast("double")) * z + (z * z - 1) / 6 + 0.5))
+    return F.when(count <= LADDER, small.cast("double")).otherwise(large.cast("double"))
+
+
 def gini_ci(df: DataFrame, label: str, score: str, by: Sequence[str] = (), n: int = 1000,
             p: float = 0.05, seed: int = 0) -> DataFrame:
     """Bootstrap confidence interval of Gini per group.
 
-    Cells = distinct scores with class counts (bounded for a scorecard: one
-    value per bin combination).  Returns (by..., gini_lo, gini_hi), rounded 3.
+    Rows become distinct scores with class counts; each replicate draws Poisson weights per score and
+    class (the distributed bootstrap) and takes its AUC by running sums over (group, replicate).  No task
+    holds the scores of a replicate, so a continuous score works, too.  Replicates without either class
+    do not count.  Returns (by..., gini_lo, gini_hi), rounded 3.
     """
     by = list(by)
-    cells = score_counts(df, label, score, by)
-    reps = _replicates(cells, n)
-    schema = ", ".join([f"{c} string" for c in by] + ["rep int", "gini double"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(score)
-        rep = int(pdf["rep"].iloc[0])
-        key = "|".join(str(pdf[c].iloc[0]) for c in by)
-        rng = np.random.default_rng([seed, rep, zlib.crc32(key.encode())])  # stable across processes
-        pos = rng.poisson(pdf["pos"].to_numpy(float))
-        neg = rng.poisson(pdf["neg"].to_numpy(float))
-        P, N = pos.sum(), neg.sum()
-        auc = np.nan if P == 0 or N == 0 else float(
-            (pos * (np.concatenate([[0], np.cumsum(neg)[:-1]]) + neg / 2)).sum() / (P * N))
-        out = {c: [str(pdf[c].iloc[0])] for c in by}
-        out.update(rep=[rep], gini=[2 * auc - 1])
-        return pd.DataFrame(out)
-
-    g = by_group(reps, [*by, "rep"], n).groupBy(*by, "rep").applyInPandas(run, schema)
-    q = F.percentile("gini", F.array(F.lit(p / 2), F.lit(1 - p / 2)))
-    r = g.groupBy(*by).agg(q.alias("_q"))
+    cells = score_counts(df, label, score, by).withColumn("__n", F.col("pos") + F.col("neg"))
+    # the number of rows below names a score within its group
+    cells = cut_lineage(running_sums(cells, by, [score], ["__n"], prefix="__below").select(
+        *by, F.col("__below__n").alias("__at"), "pos", "neg"))
+    group = [F.coalesce(F.concat(F.lit("0"), F.col(c).cast("string")), F.lit("1")) for c in by]
+    key = F.concat_ws("|", F.lit(str(seed)), *group, F.col("__at").cast("string"), F.col("rep").cast("string"))
+    reps = _replicates(cells, n).select(*by, "rep", "__at", *[
+        poisson_weight(F.col(c), F.concat(key, F.lit(f"|{i}"))).alias(c) for i, c in enumerate(("neg", "pos"))])
+    a = auc(reps.where("pos + neg > 0"), label, "__at", [*by, "rep"], counts=True).where(F.col("gini").isNotNull())
+    q = F.percentile("gini", F.array(F.lit(p / 2), F.lit(1 - p / 2)))  # n values a group
+    r = a.groupBy(*by).agg(q.alias("_q"))
     return r.select(*by, F.round(F.col("_q")[0], 3).alias("gini_lo"), F.round(F.col("_q")[1], 3).alias("gini_hi"))
 
 
 def woe_bootstrap(df: DataFrame, feature: str, label: str, n: int = 300, seed: int = 0) -> DataFrame:
     """WoE per category for ``n`` bootstrap replicates (+0.5 smoothing):
-    ``woe = ln(((n0+.5)/(N0+.5)) / ((n1+.5)/(N1+.5)))``.  Returns (rep, category, woe)."""
+    ``woe = ln(((n0+.5)/(N0+.5)) / ((n1+.5)/(N1+.5)))``.  Returns (rep, category, woe); a missing
+    category is a null one.  A replicate's totals are summed apart, so a feature of many categories
+    is in no single task."""
     y = F.col(label).cast("int")
     cells = df.groupBy(F.col(feature).cast("string").alias("category")).agg(
-        F.sum(1 - y).alias("n0"), F.sum(y).alias("n1"))
-    reps = _replicates(cells, n)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("category", na_position="first")
-        rep = int(pdf["rep"].iloc[0])
-        rng = np.random.default_rng([seed, rep])
-        n0 = rng.poisson(pdf["n0"].to_numpy(float))
-        n1 = rng.poisson(pdf["n1"].to_numpy(float))
-        p0 = (n0 + 0.5) / (n0.sum() + 0.5)
-        p1 = (n1 + 0.5) / (n1.sum() + 0.5)
-        return pd.DataFrame({"rep": rep, "category": pdf["category"].to_numpy(), "woe": np.log(p0 / p1)})
-
-    return by_group(reps, "rep", n).groupBy("rep").applyInPandas(run, "rep int, category string, woe double")
+        F.sum(1 - y).cast("bigint").alias("n0"), F.sum(y).cast("bigint").alias("n1"))
+    name = F.coalesce(F.concat(F.lit("0"), F.col("category")), F.lit("1"))
+    key = F.concat_ws("|", F.lit(str(seed)), name, F.col("rep").cast("string"))
+    reps = cut_lineage(_replicates(cells, n).select("rep", "category", *[
+        poisson_weight(F.col(f"n{i}"), F.concat(key, F.lit(f"|{i}"))).alias(f"n{i}") for i in (0, 1)]))
+    total = reps.groupBy("rep").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
+    part = [(F.col(f"n{i}") + 0.5) / (F.col(f"t{i}") + 0.5) for i in (0, 1)]
+    return reps.join(total, "rep").select("rep", "category", F.log(part[0] / part[1]).alias("woe"))
 
 
 def vif_table(df: DataFrame, features: Sequence[str]) -> pd.DataFrame:
@@ -98,7 +122,6 @@ def coef_table(weights: dict, intercept: float, p_values: dict | None = None, p_
 def loo_contribution(train_comp: DataFrame, test_comp: DataFrame, features: Sequence[str]) -> pd.DataFrame:
     """Refit without each feature (unpenalised, all refits in one batch),
     AUC drop on test (round 4).  < 2 features -> empty."""
-    from scoria.operators.metrics import auc
     from scoria.operators.model import glm_fit
     feats = list(features)
     if len(feats) < 2:

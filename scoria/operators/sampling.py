@@ -7,16 +7,18 @@ lost executor recomputes the same sample, and a SQL engine can check it.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoria.functions.exprs import md5_bucket
-from scoria.operators.ranking import dist_row_number
+from scoria.operators.ranking import dist_row_number, join_null_safe
+from scoria.session import small_side
 
 __all__ = ["md5_sample", "stratified_sample", "class_counts", "adaptive_fractions",
-           "time_split", "assign_folds", "md5_split", "exclude_fold"]
+           "time_split", "largest_first", "assign_folds", "md5_split", "exclude_fold"]
 
 
 def md5_sample(df: DataFrame, key, fractions: Mapping, label: str | None = None,
@@ -81,12 +83,40 @@ def md5_split(df: DataFrame, key, weights: Sequence[float], name: str = "split",
     return df.withColumn(name, expr)
 
 
+#: Groups that ``largest_first`` deals one by one; the rest are dealt by hash.
+MAX_GROUPS = 100_000
+
+
+def largest_first(sizes: DataFrame, k: int, group: str, name: str = "fold", max_groups: int = MAX_GROUPS) -> DataFrame:
+    """(group, fold) of counted groups (group, n): from the largest on, each goes to the lightest fold.
+
+    Equal sizes are dealt by rising group (null first), equal loads by rising fold.  Only the
+    ``max_groups`` largest groups are dealt one by one, on the driver; the others, none of them larger
+    than those, go to ``floor(md5_bucket(group) * k)``.
+    """
+    spark = sizes.sparkSession
+    top = sizes.orderBy(F.desc("n"), F.asc_nulls_first(group)).limit(max_groups)
+    loads, dealt = [(0, f) for f in range(k)], []
+    for g, n in top.select(group, "n").collect():
+        load, f = heapq.heappop(loads)
+        heapq.heappush(loads, (load + n, f))
+        dealt.append((g, f))
+    table = spark.createDataFrame(dealt, f"`{group}` {sizes.schema[group].dataType.simpleString()}, `{name}` int")
+    if len(dealt) < max_groups:
+        return table
+    rest = join_null_safe(sizes.select(group), table.withColumnRenamed(name, "__dealt"), [group], "left")
+    return rest.select(group, F.coalesce("__dealt", F.floor(md5_bucket(
+        F.coalesce(F.col(group).cast("string"), F.lit(""))) * k).cast("int")).alias(name))
+
+
 def assign_folds(df: DataFrame, k: int, key: str, target: str | None = None,
                  group: str | None = None, name: str = "fold", method: str = "balanced",
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """Fold column.
 
-    * ``group``: ``floor(md5_bucket(group) * k)`` — a group never spans folds;
+    * ``group``: ``floor(md5_bucket(group) * k)`` — a group never spans folds; with
+      ``method="largest_first"`` counted groups go to the lightest fold, so folds have equal rows
+      as far as whole groups allow (see ``largest_first``);
     * ``target``: stratified, exactly balanced per class:
       ``(row_number over (partition by target order by md5(key), key) - 1) % k``,
       computed with distributed running counts (no class in one task);
@@ -99,6 +129,9 @@ def assign_folds(df: DataFrame, k: int, key: str, target: str | None = None,
     if method == "hash" and group is None:
         return df.withColumn(name, F.floor(md5_bucket(F.concat(F.col(key).cast("string"), F.lit("|fold")))
                                            * k).cast("int"))
+    if group is not None and method == "largest_first":
+        folds = largest_first(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), k, group, name)
+        return join_null_safe(df, small_side(folds), [group])
     if group is not None:
         return df.withColumn(name, F.floor(md5_bucket(group) * k).cast("int"))
     if target is None:

@@ -372,6 +372,31 @@ def folds_group(spark, sf):
     return P.assign_folds(f, N_FOLDS, "k", group="grp")
 
 
+@query("folds_strat_null", sql=f"""WITH {X.SQL_FRAME},
+t AS (SELECT k, CASE WHEN grp % 7 > 0 THEN target END AS target FROM frame)
+SELECT k, target, CAST((row_number() OVER (PARTITION BY target ORDER BY md5(k), k) - 1) % {N_FOLDS} AS INTEGER) AS fold FROM t""")
+def folds_strat_null(spark, sf):
+    """Stratified folds of a target with missing values, which are a class of their own."""
+    f = X.scorecard_frame(spark, sf).select("k", F.when(F.col("grp") % 7 > 0, F.col("target")).alias("target"))
+    return P.assign_folds(f, N_FOLDS, "k", target="target")
+
+
+@query("folds_group_balanced", sql=f"""WITH RECURSIVE {X.SQL_FRAME},
+f AS (SELECT k, CASE WHEN l_returnflag <> 'A' THEN l_returnflag || '-' || CAST(l_quantity AS INTEGER) END AS g FROM frame),
+s AS (SELECT g, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, g NULLS FIRST) AS i FROM f GROUP BY g),
+d AS (SELECT 0::BIGINT AS i, 0 AS fold, [{', '.join(['0::BIGINT'] * N_FOLDS)}] AS loads
+      UNION ALL
+      SELECT s.i, list_position(loads, list_min(loads)) - 1,
+             [CASE WHEN j = list_position(loads, list_min(loads)) THEN loads[j] + s.n ELSE loads[j] END FOR j IN range(1, {N_FOLDS + 1})]
+      FROM d JOIN s ON s.i = d.i + 1)
+SELECT k, f.g, CAST(d.fold AS INTEGER) AS fold FROM f JOIN s ON f.g IS NOT DISTINCT FROM s.g JOIN d USING (i)""")
+def folds_group_balanced(spark, sf):
+    """Group folds of equal rows: counted groups, the largest first, go to the lightest fold."""
+    g = F.when(F.col("l_returnflag") != "A", F.concat("l_returnflag", F.lit("-"), F.col("l_quantity").cast("int").cast("string")))
+    f = X.scorecard_frame(spark, sf).select("k", g.alias("g"))
+    return P.assign_folds(f, N_FOLDS, "k", group="g", method="largest_first")
+
+
 @query("md5_split", sql=f"""WITH {X.SQL_FRAME}
 SELECT CASE WHEN {X.sql_md5_bucket('k')} < 0.6 THEN 'train'
             WHEN {X.sql_md5_bucket('k')} < 0.8 THEN 'valid' ELSE 'test' END AS split, count(*) AS n

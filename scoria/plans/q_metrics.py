@@ -86,9 +86,31 @@ SELECT sample, count(l_quantity) AS count, round(avg(l_quantity), 6) AS mean,
        round(quantile_cont(l_quantity, 0.75), 6) AS p75, round(max(l_quantity), 6) AS max
 FROM frame GROUP BY sample""")
 def describe_sample(spark, sf):
-    """Describe (count, mean, std, min, quartiles, max) per group — exact percentiles
-    on a bounded domain (quantity 1..50); ``exact=False`` sketches unbounded columns."""
-    return T.describe(X.scorecard_frame(spark, sf), "l_quantity", by=["sample"], exact=True)
+    """Describe (count, mean, std, min, quartiles, max) per group, exact percentiles."""
+    return T.describe(X.scorecard_frame(spark, sf), "l_quantity", by=["sample"])
+
+
+@query("describe_price", sql=f"""WITH {X.SQL_FRAME}
+SELECT CASE WHEN l_returnflag IN ('A', 'N', 'R') THEN l_returnflag END AS flag, count(l_extendedprice) AS count,
+       round(avg(l_extendedprice), 6) AS mean, round(stddev_samp(l_extendedprice), 6) AS std, round(min(l_extendedprice), 6) AS min,
+       round(quantile_cont(l_extendedprice, 0.25), 6) AS p25, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50,
+       round(quantile_cont(l_extendedprice, 0.75), 6) AS p75, round(max(l_extendedprice), 6) AS max
+FROM frame GROUP BY 1""")
+def describe_price(spark, sf):
+    """Exact percentiles of a continuous column, null group included."""
+    f = X.scorecard_frame(spark, sf).withColumn("flag", F.when(F.col("l_returnflag").isin("A", "N", "R"), F.col("l_returnflag")))
+    return T.describe(f, "l_extendedprice", by=["flag"])
+
+
+@query("auc_null_group", sql=f"""WITH {X.SQL_FRAME},
+c AS (SELECT CASE WHEN l_returnflag IN ('A', 'N', 'R') THEN l_returnflag END AS flag, l_extendedprice AS s,
+             sum(target) AS pos, sum(1 - target) AS neg FROM frame GROUP BY 1, 2),
+r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY flag ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cn FROM c)
+SELECT flag, round(sum(pos * (cn + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc, sum(pos)::BIGINT AS n_pos FROM r GROUP BY flag""")
+def auc_null_group(spark, sf):
+    """AUC by a column with nulls; null is a group like any other."""
+    f = X.scorecard_frame(spark, sf).withColumn("flag", F.when(F.col("l_returnflag").isin("A", "N", "R"), F.col("l_returnflag")))
+    return T.auc(f, "target", "l_extendedprice", by=["flag"]).select("flag", "auc", "n_pos")
 
 
 N_BINS = 20

@@ -139,18 +139,58 @@ def special_merge(spark, sf):
     return _pdf(spark, t[["feature", "bin", "spec", "n", "woe"]], "feature string, bin double, spec string, n bigint, woe double")
 
 
-@query("woe_bootstrap")
+def _poisson_sql(count: str, key: str) -> str:
+    """``report.poisson_weight`` in SQL."""
+    u, v = (f"(('0x' || substr(md5({key}), {a}, 8))::BIGINT / 4294967296.0)" for a in (1, 9))
+    z = f"sqrt(-2 * ln(1 - {u})) * cos(2 * pi() * {v})"
+    steps = "[" + ", ".join("[" + ", ".join(f"{x!r}::DOUBLE" for x in ladder) + "]" for ladder in R.LADDERS) + "]"
+    return (f"CASE WHEN {count} <= {R.LADDER} THEN len([c FOR c IN {steps}[CAST(least({count}, {R.LADDER}) AS INT) + 1] IF c <= {u}])::DOUBLE "
+            f"ELSE greatest(0.0, floor({count} + sqrt({count}::DOUBLE) * {z} + (({z}) * ({z}) - 1) / 6 + 0.5)) END")
+
+
+@query("woe_bootstrap", sql=f"""WITH {X.SQL_FRAME},
+cells AS (SELECT l_returnflag AS category, sum(1 - target)::BIGINT AS n0, sum(target)::BIGINT AS n1 FROM frame GROUP BY 1),
+r AS (SELECT category, rep, n0, n1, '0|' || coalesce('0' || category, '1') || '|' || rep AS k
+      FROM cells, (SELECT unnest(range(0, 300))::INT AS rep)),
+w AS (SELECT rep, category, {_poisson_sql('n0', "k || '|0'")} AS n0, {_poisson_sql('n1', "k || '|1'")} AS n1 FROM r),
+t AS (SELECT rep, sum(n0) AS t0, sum(n1) AS t1 FROM w GROUP BY rep)
+SELECT rep, category, round(ln(((n0 + 0.5) / (t0 + 0.5)) / ((n1 + 0.5) / (t1 + 0.5))), 6) AS woe FROM w JOIN t USING (rep)""")
 def woe_bootstrap(spark, sf):
     """WoE of each return-flag category over 300 Poisson bootstrap replicates."""
     return R.woe_bootstrap(X.scorecard_frame(spark, sf), "l_returnflag", "target", n=300)
 
 
-@query("gini_ci")
+def _gini_ci_sql(n: int, scores: str) -> str:
+    """Bootstrap interval of Gini per ``g`` over ``scores`` (g, target, s)."""
+    return f"""sc AS ({scores}),
+cells AS (SELECT g, s, sum(target)::BIGINT AS pos, sum(1 - target)::BIGINT AS neg FROM sc WHERE s IS NOT NULL GROUP BY 1, 2),
+ordered AS (SELECT *, coalesce(sum(pos + neg) OVER (PARTITION BY g ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+       FROM cells),
+r AS (SELECT *, '0|' || coalesce('0' || g, '1') || '|' || place || '|' || rep AS k
+      FROM ordered, (SELECT unnest(range(0, {n}))::INT AS rep)),
+w AS (SELECT g, rep, place, {_poisson_sql('neg', "k || '|0'")} AS neg, {_poisson_sql('pos', "k || '|1'")} AS pos FROM r),
+c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY g, rep ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM w),
+a AS (SELECT g, rep, 2 * sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) - 1 AS gini FROM c
+      GROUP BY 1, 2 HAVING sum(pos) > 0 AND sum(neg) > 0)
+SELECT g, round(quantile_cont(gini, 0.025), 3) AS gini_lo, round(quantile_cont(gini, 0.975), 3) AS gini_hi FROM a GROUP BY g"""
+
+
+@query("gini_ci", sql=WOE_SQL + ", " + _gini_ci_sql(1000, f"SELECT sample AS g, target, round({_lin_sql()}, 9) AS s FROM frame").replace(
+    "SELECT g, round(quantile", "SELECT g AS sample, round(quantile"))
 def gini_ci(spark, sf):
-    """95 % bootstrap interval of the scorecard Gini per sample (1000 replicates)."""
+    """95 % bootstrap interval of the scorecard Gini per sample (1000 replicates).  Scores are rounded to
+    9 digits, so that equal sums of weights are one score in any engine."""
     m = _fixed_model(spark, sf)
-    sc = m.transform(X.scorecard_frame(spark, sf))
-    return R.gini_ci(sc, "target", "prob", by=["sample"], n=1000)
+    sc = X.scorecard_frame(spark, sf).withColumn("score", F.round(m.linear(), 9))
+    return R.gini_ci(sc, "target", "score", by=["sample"], n=1000)
+
+
+@query("gini_ci_continuous", sql=f"WITH {X.SQL_FRAME}, " + _gini_ci_sql(
+    20, "SELECT CASE WHEN grp % 3 > 0 THEN grp % 3 END AS g, target, l_extendedprice AS s FROM frame"))
+def gini_ci_continuous(spark, sf):
+    """P10: the same for a score of almost as many values as rows, with a null group (20 replicates of every row)."""
+    f = X.scorecard_frame(spark, sf).withColumn("g", F.when(F.col("grp") % 3 > 0, F.col("grp") % 3))
+    return R.gini_ci(f, "target", "l_extendedprice", by=["g"], n=20)
 
 
 def _woe_comp(spark, sf, with_fold=True):
@@ -262,9 +302,9 @@ def tree_importance(spark, sf):
 
 @query("importance_wide")
 def importance_wide(spark, sf):
-    """The same with a categorical feature of thousands of values."""
+    """The same for all features and one of thousands of categories."""
     f = X.scorecard_frame(spark, sf).where(F.col("sample") == "train").withColumn("client", F.concat(F.lit("c"), F.col("grp") % 5000))
-    imp = S.tree_importance(f, ["l_quantity", "l_discount"], ["client"], "target", max_iter=5)
+    imp = S.tree_importance(f, X.FEATURES_REAL, [*X.FEATURES_CAT, "client"], "target")
     return spark.createDataFrame([(k, float(v)) for k, v in imp.items()], "feature string, importance double")
 
 

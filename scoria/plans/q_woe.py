@@ -81,10 +81,11 @@ def _woe_pd(spark, sf, woe_diff_th: float = 0.0):
     return W.woe_table(binned_cat, woe_diff_th, extra_stats=real_stats), pol
 
 
-def _fixed_model(spark, sf):
+def _fixed_model(spark, sf, features=None):
+    """The scorecard of ``FIX_WEIGHTS``; ``features`` (default: its own) are those with bins."""
     table, pol = _woe_pd(spark, sf)
     bins = {}
-    for f, w in FIX_WEIGHTS.items():
+    for f in features or FIX_WEIGHTS:
         t = table[table["feature"] == f]
         woe = {}
         cat_bins = {}
@@ -396,7 +397,7 @@ def quantile_bins(spark, sf):
 
 def _auc_woe_sql() -> str:
     parts = " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, target, {_woe_case_sql(f)} AS w FROM frame" for f in FIX_WEIGHTS)
+        f"SELECT '{f}' AS feature, target, {_woe_case_sql(f)} AS w FROM frame" for f in X.FEATURES)
     return f""",
 lw AS ({parts}),
 c AS (SELECT feature, w AS s, sum(target) AS pos, sum(1 - target) AS neg FROM lw GROUP BY 1, 2),
@@ -410,24 +411,21 @@ AUC_TH = 0.505
 @query("auc_filter", sql=WOE_SQL + _auc_woe_sql() + f"""
 SELECT feature, round(1 - auc, 6) AS auc_woe, (1 - auc) >= {AUC_TH} AS keep FROM a""")
 def auc_filter(spark, sf):
-    """L4/R2: 1 - AUC of each WoE column, kept when >= auc_th (one job)."""
-    m = _fixed_model(spark, sf)
-    w = m.woe_columns(_frame(spark, sf))
-    long = w.select("target", *[F.col(f"woe__{f}").alias(f) for f in FIX_WEIGHTS]).unpivot(
-        ["target"], list(FIX_WEIGHTS), "feature", "w")
+    """L4/R2: 1 - AUC of each candidate's WoE column, kept when >= auc_th (one job)."""
+    w = _fixed_model(spark, sf, X.FEATURES).woe_columns(_frame(spark, sf), X.FEATURES)
+    long = w.select("target", *[F.col(f"woe__{f}").alias(f) for f in X.FEATURES]).unpivot(
+        ["target"], X.FEATURES, "feature", "w")
     a = T.auc(long, "target", "w", by=["feature"])
     return a.select("feature", (1 - F.col("auc")).alias("auc_woe"), ((1 - F.col("auc")) >= AUC_TH).alias("keep"))
 
 
 @query("const_woe", sql=WOE_SQL + """,
-lw AS (""" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {_woe_case_sql(f)} AS w FROM frame" for f in FIX_WEIGHTS) + """)
+lw AS (""" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {_woe_case_sql(f)} AS w FROM frame" for f in X.FEATURES) + """)
 SELECT feature, round(stddev_pop(w), 6) AS sd, stddev_pop(w) = 0 AS is_const FROM lw GROUP BY feature""")
 def const_woe(spark, sf):
-    """L3: single-valued WoE columns (stddev 0)."""
-    m = _fixed_model(spark, sf)
-    w = m.woe_columns(_frame(spark, sf))
-    long = w.select(*[F.col(f"woe__{f}").alias(f) for f in FIX_WEIGHTS]).unpivot([], list(FIX_WEIGHTS),
-                                                                                  "feature", "w")
+    """L3: single-valued WoE columns (stddev 0) of all candidates."""
+    w = _fixed_model(spark, sf, X.FEATURES).woe_columns(_frame(spark, sf), X.FEATURES)
+    long = w.select(*[F.col(f"woe__{f}").alias(f) for f in X.FEATURES]).unpivot([], X.FEATURES, "feature", "w")
     return long.groupBy("feature").agg(F.stddev_pop("w").alias("sd"), (F.stddev_pop("w") == 0).alias("is_const"))
 
 
@@ -592,7 +590,7 @@ FROM b GROUP BY sample, bin""")
 def describe_score_bins(spark, sf):
     """Describe of the probability in 20 equal-width bins (edges from train), per sample.
     Exact percentiles: a scorecard has one distinct probability per bin combination."""
-    return T.describe(_prob_bins(spark, sf, 20), "prob", by=["sample", "bin"], exact=True)
+    return T.describe(_prob_bins(spark, sf, 20), "prob", by=["sample", "bin"])
 
 
 @query("target_by_score_bin", sql=_prob_bins_sql(10) + """
