@@ -27,8 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoria.functions.exprs import bin_index
+from scoria.session import by_group, cut_lineage
+
 __all__ = ["quantile_edges", "histogram", "histogram_wide", "fit_splits", "tree_bins", "best_first_splits",
-           "hist_auc", "merge_ci", "merge_folds", "quantile_splits", "DEFAULT_GRID"]
+           "hist_auc", "merge_ci", "merge_folds", "special_points", "special_stats", "held_in", "merge_special",
+           "merged_splits", "quantile_splits", "DEFAULT_GRID"]
 
 MAX_HIST_BINS = 255
 
@@ -286,7 +290,6 @@ def tree_bins(hist: DataFrame, max_bin_count: int | Mapping[str, int] = 5, min_b
         return pd.DataFrame({"feature": [f], "splits": [s], "num_leaves": [p.get("num_leaves", 1)],
                              "cv_auc": [p.get("cv_auc")]})
 
-    from scoria.session import by_group
     return by_group(hist, "feature").groupBy("feature").applyInPandas(
         run, "feature string, splits array<double>, num_leaves int, cv_auc double")
 
@@ -312,58 +315,73 @@ def _totals(n, n1) -> tuple[float, float]:
     return max(float(np.sum(n1)), 0.5), max(float(np.sum(n) - np.sum(n1)), 0.5)
 
 
-def _merge(n_bins: int, most: float, worst) -> list[int]:
-    """Take away inner edges one by one: ``worst(edges, forced)`` names the next, or None.
-    ``edges`` are the bounds of the bins that are left; returns each first bin's merged bin."""
-    edges = np.arange(n_bins + 1)
-    while len(edges) > 3:
-        i = worst(edges, len(edges) - 1 > most)
+def _pairs(n_nodes: int, special: Sequence[int]) -> list[tuple[int, int]]:
+    """The neighbours: bins in a line, and each special point (the last nodes) with the bin that holds its value."""
+    n_bins = n_nodes - len(special)
+    return [(i, i + 1) for i in range(n_bins - 1)] + [(b, n_bins + j) for j, b in enumerate(special)]
+
+
+def _merge(n_nodes: int, pairs: Sequence[tuple[int, int]], most: float, worst) -> list[int]:
+    """Join neighbouring groups one pair at a time, until two are left.
+
+    ``worst(group, a, b, forced)`` gets each node's group (its first node) and the pairs (a, b) of groups
+    that touch, and names the next pair to join, or None.  A joined group touches what its parts touched.
+    Returns each node's group, numbered by first node.
+    """
+    group = np.arange(n_nodes)
+    while len(np.unique(group)) > 2:
+        touching = sorted({(min(group[i], group[j]), max(group[i], group[j])) for i, j in pairs if group[i] != group[j]})
+        if not touching:
+            break
+        a, b = np.array(touching).T
+        i = worst(group, a, b, len(np.unique(group)) > most)
         if i is None:
             break
-        edges = np.delete(edges, i + 1)
-    return (np.searchsorted(edges, np.arange(n_bins), side="right") - 1).tolist()
+        group[group == b[i]] = a[i]
+    return np.unique(group, return_inverse=True)[1].tolist()
 
 
 def merge_ci(n: Sequence[float], n1: Sequence[float], max_bin_count: int | None = None,
-             alpha: float = 0.05, order: str = "overlap") -> list[int]:
-    """Merge adjacent bins by overlap of their Wilson intervals (mapped to WoE).
+             alpha: float = 0.05, order: str = "overlap", special: Sequence[int] = ()) -> list[int]:
+    """Merge neighbouring bins by overlap of their Wilson intervals (mapped to WoE).
 
-    ``order="overlap"``: while some adjacent pair overlaps (> 0) or there
+    ``order="overlap"``: while some neighbours overlap (> 0) or there
     are too many bins, merge the most overlapping pair.  ``"as_written"``
     reproduces the original loop (merge the least overlapping pair while
-    any overlap is < 0).  Stops at 2 bins.  Returns, for each input bin,
-    its merged group index.
+    any overlap is < 0).  Stops at 2 bins.  The last ``len(special)`` entries of
+    ``n`` and ``n1`` are special points, heaped values counted apart; ``special`` names
+    the bin each hangs on, its only neighbour until they merge.  Returns, for each
+    bin and point, its merged group index.
     """
-    cum_n, cum_1 = np.cumsum([0.0, *n]), np.cumsum([0.0, *n1])
+    n, n1 = np.asarray(n, float), np.asarray(n1, float)
     t1, t0 = _totals(n, n1)
 
-    def worst(edges, forced):
-        size, events = np.diff(cum_n[edges]), np.diff(cum_1[edges])
+    def worst(group, a, b, forced):
+        size, events = np.bincount(group, n, len(n)), np.bincount(group, n1, len(n))
         low, high = _log_odds(np.maximum(np.trunc(_wilson(events, size, alpha) * size), 0.5), size, t1, t0)
-        overlap = np.minimum(high[:-1], high[1:]) - np.maximum(low[:-1], low[1:])
+        overlap = np.minimum(high[a], high[b]) - np.maximum(low[a], low[b])
         i = int(overlap.argmin() if order == "as_written" else overlap.argmax())
         wanted = overlap[i] < 0 if order == "as_written" else overlap[i] > 0
         return i if wanted or forced else None
 
-    return _merge(len(n), math.inf if max_bin_count is None else max_bin_count, worst)
+    return _merge(len(n), _pairs(len(n), special), math.inf if max_bin_count is None else max_bin_count, worst)
 
 
 def merge_folds(n: np.ndarray, n1: np.ndarray, fold_n: np.ndarray, fold_n1: np.ndarray,
-                max_bin_count: int) -> list[int]:
-    """Fold-stability merging.  ``fold_n[f, b]`` are fold-f counts.
+                max_bin_count: int, special: Sequence[int] = ()) -> list[int]:
+    """Fold-stability merging.  ``fold_n[f, b]`` are fold-f counts.
 
-    Penalty of an adjacent pair = how much the folds' WoE contradict the
+    Penalty of a neighbouring pair = how much the folds' WoE contradict the
     full-sample order of the two bins (0 when every fold agrees).  Merges the
     lowest-penalty pair until at most ``max_bin_count`` bins remain (the
     statistic is never negative, so only the bin cap triggers merging).
+    ``special`` as in ``merge_ci``.
     """
     k = len(fold_n)
     share = (k - 1) / k if k > 1 else 1.0
     t1, t0 = _totals(n, n1)
     # rows: the whole sample, then each fold
-    zero = np.zeros((k + 1, 1))
-    cum_n = np.cumsum(np.hstack((zero, np.vstack((n, fold_n)))), axis=1)
-    cum_1 = np.cumsum(np.hstack((zero, np.vstack((n1, fold_n1)))), axis=1)
+    every_n, every_1 = np.vstack((n, fold_n)).astype(float), np.vstack((n1, fold_n1)).astype(float)
     scale = np.concatenate(([1.0], np.full(k, share)))[:, None]
 
     def against(a, b, folds_b):
@@ -371,13 +389,66 @@ def merge_folds(n: np.ndarray, n1: np.ndarray, fold_n: np.ndarray, fold_n1: np.n
         d = (b - a) * (folds_b - a)
         return np.where((d > 0).all(axis=0), 0.0, -np.minimum(d, 0).sum(axis=0))
 
-    def worst(edges, forced):
-        w = _log_odds(np.diff(cum_1[:, edges]), np.diff(cum_n[:, edges]), t1 * scale, t0 * scale)
-        left, right = w[:, :-1], w[:, 1:]
+    def worst(group, a, b, forced):
+        size, events = (np.stack([np.bincount(group, r, len(r)) for r in rows]) for rows in (every_n, every_1))
+        w = _log_odds(events, size, t1 * scale, t0 * scale)
+        left, right = w[:, a], w[:, b]
         penalty = np.minimum(against(left[0], right[0], right[1:]), against(right[0], left[0], left[1:]))
         return int(penalty.argmin()) if forced else None
 
-    return _merge(len(n), max(max_bin_count, 2), worst)
+    return _merge(len(n), _pairs(len(n), special), max(max_bin_count, 2), worst)
+
+
+def special_points(df: DataFrame, features: Sequence[str], share: float = 0.05) -> dict[str, list[float]]:
+    """The heaped values of each feature: those that at least ``share`` of its non-missing rows have.
+
+    One aggregate by value; at most ``1 / share`` values per feature reach the driver."""
+    long = df.select(*[F.col(f).cast("double").alias(f) for f in features]).unpivot([], list(features), "feature", "x")
+    counts = long.where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("feature", "x").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(counts)
+    total = counts.groupBy("feature").agg(F.sum("n").alias("all"))
+    got = counts.join(total, "feature").where(F.col("n") >= share * F.col("all")).orderBy("feature", "x").collect()
+    return {f: [r.x for r in got if r.feature == f] for f in features}
+
+
+def special_stats(df: DataFrame, splits: dict[str, Sequence[float]], special: dict[str, Sequence[float]],
+                  target: str = "target", by: Sequence[str] = ()) -> DataFrame:
+    """(feature, node, by..., n, n1): rows and events of the bins 0 .. len(splits), special values left out,
+    then of the special values in their order.  Missing values are in no node."""
+    nodes = []
+    for f, s in splits.items():
+        x = F.col(f).cast("double")
+        at = bin_index(x, s)
+        for j, v in enumerate(special.get(f, ())):
+            at = F.when(x == F.lit(float(v)), F.lit(len(s) + 1 + j)).otherwise(at)
+        nodes.append(F.when(~F.isnan(x), at).alias(f))
+    long = df.select(*by, F.col(target).cast("int").alias("__y"), *nodes).unpivot([*by, "__y"], list(splits), "feature", "node")
+    return long.where(F.col("node").isNotNull()).groupBy("feature", "node", *by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("__y").cast("bigint").alias("n1"))
+
+
+def held_in(splits: Sequence[float], special: Sequence[float]) -> list[int]:
+    """The bin that holds each special value: the one at its left border."""
+    return [int(np.searchsorted(splits, v, side="left")) for v in special]
+
+
+def merge_special(stats: DataFrame, splits: dict[str, Sequence[float]], special: dict[str, Sequence[float]],
+                  max_bin_count: int = 5, fold: str = "fold") -> DataFrame:
+    """(feature, node, special, n, n1, group_ci, group_folds) from ``special_stats`` by ``fold``: both merges
+    over bins and special points, one group of nodes x folds rows per feature."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        f = pdf["feature"].iloc[0]
+        k, hang = len(splits[f]) + 1, held_in(splits[f], special.get(f, ()))
+        nodes = range(k + len(hang))
+        t = pdf.pivot_table(index="node", columns=fold, values=["n", "n1"], aggfunc="sum", fill_value=0)
+        fn, fn1 = (t[c].reindex(nodes, fill_value=0).to_numpy(float).T for c in ("n", "n1"))
+        n, n1 = fn.sum(0), fn1.sum(0)
+        return pd.DataFrame({"feature": f, "node": list(nodes), "special": [i >= k for i in nodes], "n": n.astype("int64"),
+                             "n1": n1.astype("int64"), "group_ci": merge_ci(n, n1, max_bin_count, special=hang),
+                             "group_folds": merge_folds(n, n1, fn, fn1, max_bin_count, special=hang)})
+
+    return by_group(stats, "feature").groupBy("feature").applyInPandas(
+        run, "feature string, node int, special boolean, n long, n1 long, group_ci long, group_folds long")
 
 
 def merged_splits(splits: Sequence[float], groups: Sequence[int]) -> list[float]:

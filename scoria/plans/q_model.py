@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from scoria.operators import binning as B
+from scoria.operators import boosting as G
 from scoria.operators import model as M
 from scoria.operators import report as R
 from scoria.operators import select as S
@@ -22,7 +23,7 @@ from scoria.operators.scorecard import ScorecardEstimator
 from scoria.plans import fixtures as X
 from scoria.plans.q_woe import FIX_INTERCEPT, FIX_WEIGHTS, TIEBREAK, TYPES, WOE_SQL, _fixed_model, _frame, _lin_sql, _woe_case_sql
 from scoria.plans.registry import query
-from scoria.session import by_group
+from scoria.session import by_group, cut_lineage
 
 def fitted(spark, sf, **params):
     """The full scorecard with its default stages, fitted on the train sample."""
@@ -121,6 +122,22 @@ def merge_folds(spark, sf):
     return by_group(h, "feature").groupBy("feature").applyInPandas(run, "feature string, qbin int, group long")
 
 
+@query("merge_special")
+def merge_special(spark, sf):
+    """Interval and fold merging with heaped values as special points: a third of the quantities is rounded
+    to tens and a sixth of the prices replaced by one price list value."""
+    f = assign_folds(X.scorecard_frame(spark, sf), 5, "k", method="hash")
+    u = md5_bucket(F.concat("k", F.lit("|heap")))
+    f = f.withColumn("l_quantity", F.when(u < 1 / 3, F.round("l_quantity", -1)).otherwise(F.col("l_quantity"))).withColumn(
+        "l_extendedprice", F.when(u > 5 / 6, F.lit(30000.0)).otherwise(F.col("l_extendedprice"))).persist()
+    names = ["l_quantity", "l_extendedprice"]
+    special = B.special_points(f, names, share=0.06)
+    xs = f.select(*[F.col(c).cast("double").alias(c) for c in names]).unpivot([], names, "feature", "x").where("x IS NOT NULL")
+    cuts = {r.feature: r.splits[:-1] for r in B.quantile_splits(xs, 12, "x", exact=True).collect()}
+    stats = B.special_stats(f, cuts, special, by=["fold"])
+    return B.merge_special(stats, cuts, special, max_bin_count=5)
+
+
 @query("special_merge", sql=WOE_SQL + """,
 m AS (SELECT feature, max(CASE WHEN spec = '__NaN__' THEN raw END) AS here FROM w0 GROUP BY feature),
 g AS (SELECT w0.*, CASE WHEN spec IS NULL OR NOT starts_with(spec, '__') OR spec = '__NaN__' THEN abs(raw - here) END AS gap
@@ -351,32 +368,102 @@ def rf_baseline(spark, sf):
     return _baseline(spark, sf, RandomForestClassifier(labelCol="target", numTrees=200, maxDepth=5, maxBins=128, seed=27))
 
 
+def _boost_cells(spark, sf):
+    """Encoded rows, bin edges learnt on train, and cells of all parts."""
+    d = _splits(spark, sf)
+    edges = G.bin_edges(d.where("part = 'train'"), X.FEATURES)
+    cells = cut_lineage(G.bin_cells(d, edges, "target", ["part"]))
+    return d, edges, cells, cells.where("part <> 'oot'").withColumn("held", F.col("part") == "valid")
+
+
+def _cell_auc(cells, model, by):
+    scored = cells.select(*by, F.col("n1").alias("pos"), (F.col("n") - F.col("n1")).alias("neg"), G.probability(F.col("codes"), model).alias("score"))
+    return auc(scored.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "target", "score", by=by, counts=True)
+
+
 @query("gbt_baseline")
 def gbt_baseline(spark, sf):
-    """Boosted trees (up to 1000 rounds, depth 4, rate 0.1; the valid part ends them), AUC per part and feature set."""
-    from pyspark.ml.classification import GBTClassifier
-    return _baseline(spark, sf, GBTClassifier(labelCol="target", maxIter=1000, maxDepth=4, stepSize=0.1, maxBins=128, seed=27,
-                                              validationIndicatorCol="held", validationTol=0.001, checkpointInterval=10))
+    """Boosted trees (up to 1000 rounds, depth 4, rate 0.1, L2 10, minimum gain 10; the valid part ends them), AUC per
+    part and feature set: all, stable by PSI, and useful by permutation on valid."""
+    from scoria.operators.metrics import psi
+    d, edges, cells, fit = _boost_cells(spark, sf)
+    raw = X.scorecard_frame(spark, sf)
+    drift = {r.feature: r.psi for r in psi(raw.where("sample = 'train'"), raw.where("sample = 'oot'"), X.FEATURES).collect()}
+    sets = {"all": X.FEATURES, "psi": [f for f in X.FEATURES if drift[f] < 0.25] or X.FEATURES}
+    models: dict = {}
+
+    def train(names):
+        """The models of feature sets that have none yet, grown together."""
+        new = {tuple(sets[s]): G.Booster([X.FEATURES.index(f) for f in sets[s]]) for s in names}
+        new = {k: m for k, m in new.items() if k not in models}
+        if new:
+            G.boost(fit, list(new.values()), BOOST_BINS, rounds=1000, patience=BOOST_PATIENCE)
+        models.update(new)
+
+    train(["all", "psi"])
+    stable = models[tuple(sets["psi"])]
+    imp = S.permutation_importance(d.where("part = 'valid'"), lambda x: x.withColumn("score", G.probability(G.bin_codes(edges), stable)),
+                                   sets["psi"], "k", n_iter=1)
+    sets["perm"] = [f for f in sets["psi"] if imp[f] > 0] or sets["psi"]
+    train(["perm"])
+    out = None
+    for name, features in sets.items():
+        a = _cell_auc(cells, models[tuple(features)], ["part"]).withColumn("features", F.lit(name)).withColumn("n_features", F.lit(len(features)))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+#: Bins of the boosted models: at most 64 and one of missing values.
+BOOST_BINS = 65
+#: Rounds without a better loss on the valid part that end a model.
+BOOST_PATIENCE = 10
+#: Successive halving: how many points go on, and to how many trees / rounds.
+FOREST_RUNGS = [(25, 20), (8, 60), (3, 200)]
+BOOST_RUNGS = [(25, 20), (8, 60), (3, 1000)]
 
 
 @query("hyper_search")
 def hyper_search(spark, sf):
-    """25 points over the stated bounds of the forest (depth 3-8, leaf share 0.01-0.5, feature share 0.2-0.8)
-    and 25 of the boosted trees (depth 3-6, leaf rows 100-2500), valid AUC of each."""
-    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    """25 points over the stated bounds of the forest (depth 3-8, split and leaf share 0.01-0.5, feature share 0.2-0.8)
+    and 25 of the boosted trees (depth 3-6, leaf weight 100-2500, L2 5-100, minimum gain 1-100), by successive
+    halving: small ensembles of all, larger ones of the best, and the full 200 trees or 1000 rounds (ended by the
+    valid part) of the last three; valid AUC of each point at its last size, and which is chosen."""
+    from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    d = VectorAssembler(inputCols=X.FEATURES, outputCol="features").transform(_splits(spark, sf)).select("part", "target", "features").persist()
-    fit, held = d.where("part = 'train'"), d.where("part = 'valid'")
-    rng, out = np.random.default_rng(27), None
-    for i in range(25):
-        forest = RandomForestClassifier(labelCol="target", numTrees=20, maxDepth=int(rng.integers(3, 9)), seed=27,
-                                        minWeightFractionPerNode=min(0.499, float(rng.uniform(0.01, 0.5))),
-                                        featureSubsetStrategy=str(round(float(rng.uniform(0.2, 0.8)), 3)), maxBins=64)
-        boosted = GBTClassifier(labelCol="target", maxIter=5, maxDepth=int(rng.integers(3, 7)), stepSize=0.1, seed=27,
-                                minInstancesPerNode=int(rng.integers(100, 2501)), maxBins=64)
-        for kind, est in (("forest", forest), ("boosted", boosted)):
-            p = est.fit(fit).transform(held).withColumn("score", vector_to_array("probability")[1])
-            one = p.select(F.lit(kind).alias("model"), F.lit(i).alias("point"), F.lit(est.getMaxDepth()).alias("max_depth"), "target", "score")
-            out = one if out is None else out.unionByName(one)
-    return auc(out, "target", "score", by=["model", "point", "max_depth"]).select("model", "point", "max_depth", "auc")
+    d, edges, cells, fit = _boost_cells(spark, sf)
+    rng = np.random.default_rng(27)
+    d = VectorAssembler(inputCols=X.FEATURES, outputCol="features").transform(d).select("part", "target", "features")
+    train, valid = d.where("part = 'train'").persist(), d.where("part = 'valid'").persist()
+    forests = [dict(maxDepth=int(rng.integers(3, 9)), minWeightFractionPerNode=min(0.499, float(rng.uniform(0.01, 0.5))),
+                    featureSubsetStrategy=str(round(float(rng.uniform(0.2, 0.8)), 3))) for _ in range(25)]
+    boosted = [G.Booster(range(len(X.FEATURES)), int(rng.integers(3, 7)), float(rng.uniform(5, 100)), float(rng.uniform(1, 100)),
+                         float(rng.uniform(100, 2500))) for _ in range(25)]
+    every = fit.agg(F.sum(F.when(~F.col("held"), F.col("n")))).first()[0]
+    for m in boosted:  # the bound is in Hessian, a quarter of a row at most; a small table must leave a split possible
+        m.min_child = min(m.min_child, every / 20)
+
+    def grow_forest(i, size):
+        model = RandomForestClassifier(labelCol="target", numTrees=size, seed=27, maxBins=64, **forests[i]).fit(train)
+        p = model.transform(valid).withColumn("score", vector_to_array("probability")[1])
+        return auc(p, "target", "score").first().auc
+
+    rows: dict = {}
+
+    def halve(kind, rungs, grow, depth):
+        alive = list(range(25))
+        for keep, size in rungs:
+            alive = sorted(alive, key=lambda i: (-(rows[kind, i][4] or 0), i) if (kind, i) in rows else (0, i))[:keep]
+            for i, (score, trees) in grow(alive, size).items():
+                rows[kind, i] = (kind, i, depth(i), trees, score, False)
+        best = max(alive, key=lambda i: (rows[kind, i][4] or 0, -i))
+        rows[kind, best] = (*rows[kind, best][:5], True)
+
+    def grow_boosted(alive, size):
+        G.boost(fit, [boosted[i] for i in alive], BOOST_BINS, size - len(boosted[alive[0]].trees) if size < 1000 else size, BOOST_PATIENCE)
+        held = cells.where("part = 'valid'")
+        return {i: (_cell_auc(held, boosted[i], ["part"]).first().auc, len(boosted[i].trees)) for i in alive}
+
+    halve("forest", FOREST_RUNGS, lambda alive, size: {i: (grow_forest(i, size), size) for i in alive}, lambda i: forests[i]["maxDepth"])
+    halve("boosted", BOOST_RUNGS, grow_boosted, lambda i: boosted[i].depth)
+    return spark.createDataFrame(list(rows.values()), "model string, point int, max_depth int, trees int, auc double, chosen boolean")
