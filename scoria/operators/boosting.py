@@ -104,8 +104,10 @@ def _matrix(column, width: int) -> np.ndarray:
 
 
 def boost(cells: DataFrame, models: Sequence[Booster], n_bins: int, rounds: int = 1000, patience: int = 20,
-          held: str = "held") -> list[Booster]:
-    """Grow every model that is not done by up to ``rounds`` more trees.  ``cells`` are (codes, n, n1, held)."""
+          tol: float = 0.0, held: str = "held") -> list[Booster]:
+    """Grow every model that is not done by up to ``rounds`` more trees.  ``cells`` are (codes, n, n1, held).
+
+    A round is better than the best before it if its held loss is smaller by more than the share ``tol``."""
     width = cells.select(F.size("codes")).first()[0]
     base = cells.select("codes", F.col("n").cast("double").alias("n"), F.col("n1").cast("double").alias("n1"), F.col(held).alias("held"))
     kept = [len(m.trees) for m in models]
@@ -146,8 +148,9 @@ def boost(cells: DataFrame, models: Sequence[Booster], n_bins: int, rounds: int
                 _split(models[i], trees[i], gains[i], sums[i], level)
         for i in growing:
             m = models[i]
-            best = int(np.argmin(m.losses))
-            # losses[t] is the held loss of the first t trees
+            best = 0  # losses[t] is the held loss of the first t trees
+            for t, loss in enumerate(m.losses):
+                best = t if loss < m.losses[best] * (1 - tol) else best
             if len(m.losses) - 1 - best >= patience and any(m.losses):
                 del m.trees[best:]
                 kept[i] = min(kept[i], best)

@@ -397,7 +397,7 @@ def gbt_baseline(spark, sf):
         new = {tuple(sets[s]): G.Booster([X.FEATURES.index(f) for f in sets[s]]) for s in names}
         new = {k: m for k, m in new.items() if k not in models}
         if new:
-            G.boost(fit, list(new.values()), BOOST_BINS, rounds=1000, patience=BOOST_PATIENCE)
+            G.boost(fit, list(new.values()), BOOST_BINS, rounds=1000, patience=BOOST_PATIENCE, tol=BOOST_TOL)
         models.update(new)
 
     train(["all", "psi"])
@@ -415,11 +415,11 @@ def gbt_baseline(spark, sf):
 
 #: Bins of the boosted models: at most 64 and one of missing values.
 BOOST_BINS = 65
-#: Rounds without a better loss on the valid part that end a model.
-BOOST_PATIENCE = 10
+#: A model ends after so many rounds whose loss on the valid part is not better by this share.
+BOOST_PATIENCE, BOOST_TOL = 10, 0.001
 #: Successive halving: how many points go on, and to how many trees / rounds.
-FOREST_RUNGS = [(25, 20), (8, 60), (3, 200)]
-BOOST_RUNGS = [(25, 20), (8, 60), (3, 1000)]
+FOREST_RUNGS = [(25, 10), (6, 50), (2, 200)]
+BOOST_RUNGS = [(25, 10), (6, 40), (2, 1000)]
 
 
 @query("hyper_search")
@@ -427,7 +427,7 @@ def hyper_search(spark, sf):
     """25 points over the stated bounds of the forest (depth 3-8, split and leaf share 0.01-0.5, feature share 0.2-0.8)
     and 25 of the boosted trees (depth 3-6, leaf weight 100-2500, L2 5-100, minimum gain 1-100), by successive
     halving: small ensembles of all, larger ones of the best, and the full 200 trees or 1000 rounds (ended by the
-    valid part) of the last three; valid AUC of each point at its last size, and which is chosen."""
+    valid part) of the last two; valid AUC of each point at its last size, and which is chosen."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
@@ -460,7 +460,7 @@ def hyper_search(spark, sf):
         rows[kind, best] = (*rows[kind, best][:5], True)
 
     def grow_boosted(alive, size):
-        G.boost(fit, [boosted[i] for i in alive], BOOST_BINS, size - len(boosted[alive[0]].trees) if size < 1000 else size, BOOST_PATIENCE)
+        G.boost(fit, [boosted[i] for i in alive], BOOST_BINS, size - len(boosted[alive[0]].trees) if size < 1000 else size, BOOST_PATIENCE, BOOST_TOL)
         held = cells.where("part = 'valid'")
         return {i: (_cell_auc(held, boosted[i], ["part"]).first().auc, len(boosted[i].trees)) for i in alive}
 
