@@ -222,43 +222,60 @@ met AS (SELECT rid, a, dn.n, item_id FROM dn JOIN win ON dn.n = win.n AND dn.phr
 hit AS (SELECT rid, count(*) AS n_hit FROM
         (SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(a, a + n)) AS p FROM met)) GROUP BY rid),
 ids AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
-        FROM (SELECT DISTINCT rid, item_id FROM met) GROUP BY rid)
+        FROM (SELECT DISTINCT rid, item_id FROM met) GROUP BY rid),
+low AS (SELECT rid, w, [lower(x) FOR x IN w] AS l FROM dw),
+wl AS (SELECT rid, unnest(range(0, len(l))) AS p, unnest(l) AS t FROM low WHERE len(l) > 0),
+ph AS (SELECT DISTINCT phrase, n, [lower(x) FOR x IN string_split(phrase, ' ')] AS ts FROM win),
+pt AS (SELECT phrase, n, unnest(range(0, len(ts))) AS off, unnest(ts) AS t FROM ph),
+pc AS (SELECT t, count(*) AS places FROM wl WHERE t IN (SELECT t FROM pt) GROUP BY t),
+rk AS (SELECT phrase, n, off, t, row_number() OVER (PARTITION BY phrase ORDER BY coalesce(places, 0), off, t) AS i
+       FROM pt LEFT JOIN pc USING (t)),
+ky AS (SELECT a.phrase, a.n, a.t AS t, a.off AS off, b.t AS t2, b.off AS off2
+       FROM rk a JOIN rk b ON a.phrase = b.phrase AND a.i < b.i AND b.i <= 3),
+nr AS (SELECT DISTINCT x.rid, ky.phrase, ky.n, x.p - ky.off AS st
+       FROM wl x JOIN ky ON x.t = ky.t
+       JOIN wl y ON y.rid = x.rid AND y.t = ky.t2 AND y.p <> x.p AND abs(y.p - (x.p - ky.off + ky.off2)) <= SLACK),
+nd AS (SELECT nr.rid, nr.phrase FROM nr JOIN low USING (rid) JOIN ph ON ph.phrase = nr.phrase
+       LEFT JOIN (SELECT DISTINCT rid, a - 1 AS st, phrase FROM dn JOIN ph USING (phrase)) e
+         ON e.rid = nr.rid AND e.phrase = nr.phrase AND e.st = nr.st
+       WHERE e.rid IS NULL AND len(list_intersect(ts, l[greatest(nr.st - SLACK, 0) + 1:nr.st + nr.n + SLACK])) >=
+             ceil(MIN_SHARE * len(list_distinct(ts)))),
+ns AS (SELECT rid, count(*) AS n_near FROM nd GROUP BY rid),
+ni AS (SELECT rid, count(*) AS n_near_items, string_agg(item_id, ',' ORDER BY item_id) AS near_items
+       FROM (SELECT DISTINCT rid, item_id FROM nd JOIN win USING (phrase)) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM dw LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
-"""
+       sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+       coalesce(n_near, 0) AS n_near, coalesce(n_near_items, 0) AS n_near_items, coalesce(near_items, '') AS near_items
+FROM dw LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid) LEFT JOIN ns USING (rid) LEFT JOIN ni USING (rid)
+""".replace("SLACK", str(decontaminate.SLACK)).replace("MIN_SHARE", str(decontaminate.MIN_SHARE))
 
 
 @query("op8_decontamination", OP8_SQL)
 def op8_decontamination(spark, sf_dir):
-    """Exact 10-word windows of the benchmark in every document, by the positional index."""
+    """Exact 10-word windows of the benchmark in every document and places that nearly hold one, by the positional index."""
     docs = table(spark, sf_dir, "documents")
-    return _op8_rows(docs, decontaminate.report(docs, table(spark, sf_dir, "benchmark")))
+    return _op8_rows(docs, *decontaminate.near_report(docs, table(spark, sf_dir, "benchmark")))
 
 
-def _op8_rows(docs, found, near=None):
-    """A row per document: the exact columns and, with ``near``, those of the proximity matches."""
+def _op8_rows(docs, found, near):
+    """A row per document: the exact columns and those of the proximity matches."""
     same = lambda t: F.col("d.doc_id").eqNullSafe(F.col(f"{t}.doc_id")) & (F.col("d.h") == F.col(f"{t}.h"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"),
                     F.size(decontaminate.words(col("text"))).cast("long").alias("n_words")).alias("d")
-    both, more = d.join(found.alias("f"), same("f"), "left"), []
-    if near is not None:
-        both = both.join(near.alias("g"), same("g"), "left")
-        more = [F.coalesce("n_near", F.lit(0)).alias("n_near"),
-                F.coalesce(F.size("near_ids"), F.lit(0)).cast("long").alias("n_near_items"),
-                F.coalesce(F.array_join("near_ids", ","), F.lit("")).alias("near_items")]
+    both = d.join(found.alias("f"), same("f"), "left").join(near.alias("g"), same("g"), "left")
     return both.select(
         "d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("item_ids", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
-        F.col("n_hit").isNotNull().alias("contaminated"), *more)
+        F.col("n_hit").isNotNull().alias("contaminated"), F.coalesce("n_near", F.lit(0)).alias("n_near"),
+        F.coalesce(F.size("near_ids"), F.lit(0)).cast("long").alias("n_near_items"),
+        F.coalesce(F.array_join("near_ids", ","), F.lit("")).alias("near_items"))
 
 
-@query("op8_near_decontamination")
+@query("op8_near_decontamination", OP8_SQL)
 def op8_near_decontamination(spark, sf_dir):
-    """op8_decontamination's columns, and the proximity matches of the benchmark in every document."""
-    docs = table(spark, sf_dir, "documents")
-    return _op8_rows(docs, *decontaminate.near_report(docs, table(spark, sf_dir, "benchmark")))
+    """op8_decontamination under its earlier name."""
+    return op8_decontamination(spark, sf_dir)
 
 
 OP10_SQL = r"""

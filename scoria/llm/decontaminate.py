@@ -6,8 +6,9 @@ corpus.  The index holds the postings (term, document, position) of those
 rare terms only, over all documents; lists of one window are intersected
 after subtracting each term's offset, and what is left is compared word
 for word (exact) or reported as a proximity match, where two of the rarest
-three terms of a window stand nearly as far apart as in the item.  ``report`` is the
-exact half, ``near_report`` the proximity half.  The pipeline drops
+three terms of a window stand nearly as far apart as in the item and most of its
+other words stand around.  ``near_report`` returns both from one reading,
+``report`` the exact half.  The pipeline drops
 documents by exact matches alone: two rare terms near each other are a
 hint for a reader, not proof of a copy.
 
@@ -29,12 +30,14 @@ from pyspark.sql import functions as F
 from scoria.llm.common import col
 from scoria.session import cut_lineage
 
-__all__ = ["words", "windows", "term_counts", "rare_terms", "postings", "exact_matches", "proximity_matches",
+__all__ = ["words", "windows", "term_counts", "rare_terms", "postings", "matches", "exact_matches", "proximity_matches",
            "report", "near_report", "WINDOW", "SLACK", "MAX_BROADCAST_ROWS"]
 
 WINDOW = 10
 #: Words by which the distance of two rare terms may differ from the item's.
 SLACK = 5
+#: Share of a window's distinct words that must stand around a near place.
+MIN_SHARE = 0.6
 #: The test side is broadcast up to so many rows (some 200 bytes each); beyond, Spark shuffles the join.
 MAX_BROADCAST_ROWS = 100_000
 #: What stands between words, before A-Z are lower-cased.
@@ -139,24 +142,40 @@ def _exact_shuffled(docs: DataFrame, aligned: DataFrame, *, id_col: str, text_co
     return both.select("d.doc_id", "d.h", F.explode(met).alias("m")).select("doc_id", "h", "m.*").distinct()
 
 
-def proximity_matches(docs: DataFrame, rare: DataFrame, *, slack: int = SLACK, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """(doc_id, h, phrase, near): places where two of a window's rare terms stand within ``slack`` words
-    of their distance in the item, the window itself not being there word for word.
+def _pairs_of(rare: DataFrame) -> DataFrame:
+    """(phrase, n, i, term, off, term2, off2): the pairs of a window's rare terms; a lone term is paired with itself."""
+    key = rare.select("phrase", "n", "rare", F.posexplode("rare").alias("i", "a"))
+    key = key.select("phrase", "n", "i", "a", F.size("rare").alias("of"), F.posexplode("rare").alias("j", "b")).where("i < j OR of = 1")
+    return cut_lineage(key.select("phrase", "n", "i", "j", F.col("a.term").alias("term"), F.col("a.off").alias("off"),
+                                  F.col("b.term").alias("term2"), F.col("b.off").alias("off2")))
+
+
+def _lower_slice(ws: Column, first: Column, end: Column) -> Column:
+    """The words [first, end) of a document in lower case, cut at its ends."""
+    first = F.greatest(first, F.lit(0))
+    return F.split(F.lower(F.array_join(F.slice(ws, first + 1, F.greatest(end - first, F.lit(0))), " ")), " ")
+
+
+def _dense(ws: Column, phrase: Column, start: Column, n: Column, slack: int) -> Column:
+    """Whether the words around a window's place hold ``MIN_SHARE`` of its distinct words."""
+    own = F.array_distinct(F.split(F.lower(phrase), " "))
+    return F.size(F.array_intersect(own, _lower_slice(ws, start - slack, start + n + slack))) >= F.ceil(MIN_SHARE * F.size(own))
+
+
+def matches(docs: DataFrame, rare: DataFrame, *, slack: int = SLACK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, phrase, start, n, exact): where windows stand word for word, and where they nearly do.
 
-    With three rare terms a window, one of them may be missing.  ``near``
-    counts the distinct starts of the window, by the rarer term's place; a
-    place is not its own second term.  The second term is looked for where
-    the document's words are, without a shuffle of postings.
+    Near is a place where two of the window's three rarest terms stand within ``slack`` words of their
+    distance in the item, and the words from ``slack`` before to ``slack`` after the window hold ``MIN_SHARE``
+    of its distinct words; ``start`` is aligned by the rarer of the two, and a place is not its own second term.
+    One of the three rare terms may so be missing.  Both kinds come from one reading of the documents,
+    with the words of a document beside its postings.
     """
-    key = rare.select("phrase", "n", "rare", F.posexplode("rare").alias("i", "a"))
-    key = key.select("phrase", "n", "i", "a", F.posexplode("rare").alias("j", "b")).where("i < j")
-    key = cut_lineage(key.select("phrase", "n", "i", "j", F.col("a.term").alias("term"), F.col("a.off").alias("off"),
-                                 F.col("b.term").alias("term2"), F.col("b.off").alias("off2")))
+    key = _pairs_of(rare)
     if not _few(key):
-        return _proximity_shuffled(docs, rare, key, slack=slack, id_col=id_col, text_col=text_col)
+        return _matches_shuffled(docs, rare, key, slack=slack, id_col=id_col, text_col=text_col)
     p = postings(docs, F.broadcast(key), id_col=id_col, text_col=text_col)
-    start, second = F.col("pos") - F.col("off"), F.col("pos") - F.col("off") + F.col("off2")
+    start, second, ws = F.col("pos") - F.col("off"), F.col("pos") - F.col("off") + F.col("off2"), F.col("ws")
     first, end = F.greatest(second - slack, F.lit(0)), second + slack + 1
     part = lambda a, b: F.slice("ws", a + 1, F.greatest(b - a, F.lit(0)))
     # the words around the second term's place, the first term's own excepted; no lambda over the words, as
@@ -164,39 +183,52 @@ def proximity_matches(docs: DataFrame, rare: DataFrame, *, slack: int = SLACK, i
     around = F.concat(part(first, F.least(end, F.col("pos"))), part(F.greatest(first, F.col("pos") + 1), end))
     there = F.array_contains(F.split(F.lower(F.array_join(around, " ")), " "), F.col("term2"))
     exact = (start >= 0) & (start + F.col("n") <= F.size("ws")) & (
-        _phrase_at(F.col("ws"), F.greatest(start, F.lit(0)), F.col("n")) == F.col("phrase"))
-    met = p.where(there).where(~exact).select("doc_id", "h", "phrase", start.alias("start")).distinct()
+        F.lower(F.try_element_at(ws, start + F.col("off2") + 1)) == F.col("term2")) & (
+        _phrase_at(ws, F.greatest(start, F.lit(0)), F.col("n")) == F.col("phrase"))
+    met = p.where(exact | (there & _dense(ws, F.col("phrase"), start, F.col("n"), slack)))
+    return met.select("doc_id", "h", "phrase", start.alias("start"), "n", F.coalesce(exact, F.lit(False)).alias("exact")).distinct()
+
+
+def proximity_matches(docs: DataFrame, rare: DataFrame, *, slack: int = SLACK, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """(doc_id, h, phrase, near): the number of near places of each window, those word for word excepted."""
+    met = matches(docs, rare, slack=slack, id_col=id_col, text_col=text_col).where(~F.col("exact"))
     return met.groupBy("doc_id", "h", "phrase").agg(F.count("*").alias("near"))
 
 
-def _proximity_shuffled(docs: DataFrame, rare: DataFrame, key: DataFrame, *, slack: int, id_col: str, text_col: str) -> DataFrame:
+def _matches_shuffled(docs: DataFrame, rare: DataFrame, key: DataFrame, *, slack: int, id_col: str, text_col: str) -> DataFrame:
     """The same for a test side that is too large to broadcast.  Lists are matched by position blocks of
-    ``slack`` + 1 words, so a term that is frequent in a document does not meet all places of the other."""
-    two = key.select("phrase", "i", "j", F.posexplode(F.array(F.struct("term", "off"), F.struct(
+    ``slack`` + 1 words, so a term that is frequent in a document does not meet all places of the other; what
+    is near is brought to its document, whose words stay in one row."""
+    two = key.where("i < j").select("phrase", "n", "i", "j", F.posexplode(F.array(F.struct("term", "off"), F.struct(
         F.col("term2").alias("term"), F.col("off2").alias("off")))).alias("which", "r"))
-    two = two.select("phrase", "i", "j", "which", "r.term", "r.off")
+    two = two.select("phrase", "n", "i", "j", "which", "r.term", "r.off")
     p = postings(docs, cut_lineage(two), id_col=id_col, text_col=text_col)
-    p = p.select("doc_id", "h", "phrase", "i", "j", "which", "pos", (F.col("pos") - F.col("off")).alias("start")).distinct()
+    p = p.select("doc_id", "h", "phrase", "n", "i", "j", "which", "pos", (F.col("pos") - F.col("off")).alias("start")).distinct()
     block = F.floor(F.col("start") / (slack + 1))
-    a = p.where("which = 0").select("doc_id", "h", "phrase", "i", "j", F.col("start").alias("s0"), F.col("pos").alias("p0"), block.alias("b"))
+    a = p.where("which = 0").select("doc_id", "h", "phrase", "n", "i", "j", F.col("start").alias("s0"), F.col("pos").alias("p0"), block.alias("b"))
     b = p.where("which = 1").select("doc_id", "h", "phrase", "i", "j", F.col("start").alias("s1"), F.col("pos").alias("p1"),
                                     F.explode(F.array(block - 1, block, block + 1)).alias("b"))
     same = [F.col("a." + c).eqNullSafe(F.col("b." + c)) for c in ("doc_id", "h", "phrase", "i", "j", "b")]
     on = same[0] & same[1] & same[2] & same[3] & same[4] & same[5]
     met = a.alias("a").join(b.alias("b"), on).where((F.abs(F.col("s0") - F.col("s1")) <= slack) & (F.col("p0") != F.col("p1")))
-    met = met.select("a.doc_id", "a.h", "a.phrase", "s0").distinct()
-    exact = exact_matches(docs, rare, id_col=id_col, text_col=text_col).select(
-        F.col("doc_id").alias("xd"), F.col("h").alias("xh"), F.col("phrase").alias("xp"), F.col("start").alias("xs"))
-    met = met.join(exact, F.col("doc_id").eqNullSafe(F.col("xd")) & (F.col("h") == F.col("xh")) &
-                   (F.col("phrase") == F.col("xp")) & (F.col("s0") == F.col("xs")), "left_anti")
-    return met.groupBy("doc_id", "h", "phrase").agg(F.count("*").alias("near"))
+    met = met.select("a.doc_id", "a.h", "a.phrase", F.col("s0").alias("start"), "a.n").distinct()
+    at = met.groupBy("doc_id", "h").agg(F.collect_list(F.struct("phrase", "start", "n")).alias("at")).alias("a")
+    d = docs.select(col(id_col).cast("long").alias("doc_id"), F.xxhash64(col(text_col)).alias("h"),
+                    words(col(text_col)).alias("ws")).alias("d")
+    both = d.join(at, F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("d.h") == F.col("a.h")))
+    near = F.filter("at", lambda x: _dense(F.col("ws"), x["phrase"], x["start"], x["n"], slack))
+    near = both.select("d.doc_id", "d.h", F.explode(near).alias("m")).select("doc_id", "h", "m.*", F.lit(False).alias("exact"))
+    exact = exact_matches(docs, rare, id_col=id_col, text_col=text_col).withColumn("exact", F.lit(True))
+    every = near.unionByName(exact).groupBy("doc_id", "h", "phrase", "start", "n").agg(F.max("exact").alias("exact"))
+    return every
 
 
 def report(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            item_id: str = "item_id", item_text: str = "text", n: int = WINDOW) -> DataFrame:
     """(doc_id, h, n_hit, item_ids): the contaminated documents, their hit words and the items found in them."""
     wins, rare = _index(docs, items, text_col=text_col, item_id=item_id, item_text=item_text, n=n)
-    return _exact_report(docs, wins, rare, id_col=id_col, text_col=text_col)
+    return _exact_report(cut_lineage(exact_matches(docs, rare, id_col=id_col, text_col=text_col)), wins)
 
 
 def near_report(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -205,14 +237,15 @@ def near_report(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", te
     """``report`` and (doc_id, h, n_near, near_ids): the places near a window that is not there word for word,
     summed over the distinct windows, and the items of those windows, for documents with any."""
     wins, rare = _index(docs, items, text_col=text_col, item_id=item_id, item_text=item_text, n=n, k=3)
-    met = cut_lineage(proximity_matches(docs, rare, slack=slack, id_col=id_col, text_col=text_col))
+    met = cut_lineage(matches(docs, rare, slack=slack, id_col=id_col, text_col=text_col))
+    near = met.where(~F.col("exact")).groupBy("doc_id", "h", "phrase").agg(F.count("*").alias("near"))
     by_item = wins.select("phrase", "item_id").distinct()
-    ids = met.join(by_item, "phrase").groupBy("doc_id", "h").agg(
+    ids = near.join(by_item, "phrase").groupBy("doc_id", "h").agg(
         F.sort_array(F.collect_set("item_id")).alias("near_ids")).alias("i")
-    s = met.groupBy("doc_id", "h").agg(F.sum("near").alias("n_near")).alias("s")
+    s = near.groupBy("doc_id", "h").agg(F.sum("near").alias("n_near")).alias("s")
     near = s.join(ids, F.col("s.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("s.h") == F.col("i.h"))).select(
         "s.doc_id", "s.h", "n_near", "near_ids")
-    return _exact_report(docs, wins, rare, id_col=id_col, text_col=text_col), near
+    return _exact_report(met.where("exact").drop("exact"), wins), near
 
 
 def _index(docs: DataFrame, items: DataFrame, *, text_col: str, item_id: str, item_text: str, n: int, k: int = 2):
@@ -221,8 +254,8 @@ def _index(docs: DataFrame, items: DataFrame, *, text_col: str, item_id: str, it
     return wins, cut_lineage(rare_terms(wins, term_counts(docs, wins, text_col=text_col), k))
 
 
-def _exact_report(docs: DataFrame, wins: DataFrame, rare: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    met = cut_lineage(exact_matches(docs, rare, id_col=id_col, text_col=text_col))
+def _exact_report(met: DataFrame, wins: DataFrame) -> DataFrame:
+    """(doc_id, h, n_hit, item_ids) of exact matches."""
     # words hit: the union of [start, start + n), folded over the sorted starts
     spans = met.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("s"))
     hit = F.aggregate("s", F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("hit")), lambda a, x: F.struct(

@@ -1,6 +1,7 @@
 """Decontamination: exact windows against SQL and a plain search, proximity, and the defined cases."""
 
 import itertools
+import math
 
 from scoria.llm import decontaminate as dc
 from scoria.llm.catalog import ORACLES, QUERIES
@@ -69,11 +70,31 @@ def test_registered_proximity(spark, tmp_path):
     changed = spark.createDataFrame([(20, " ".join(alpha[:5] + ["NEW"] + alpha[6:]), "z"), (21, "the cat", "z")], docs.schema)
     docs.unionByName(changed).write.parquet(f"{tmp_path}/documents.parquet")
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
-    exact = {r.doc_id: r for r in QUERIES["op8_decontamination"](spark, str(tmp_path)).collect()}
-    got = {r.doc_id: r for r in QUERIES["op8_near_decontamination"](spark, str(tmp_path)).collect()}
-    assert not exact[20].contaminated and got[20].n_near > 0 and "1" in got[20].near_items.split(",")
+    got = {r.doc_id: r for r in QUERIES["op8_decontamination"](spark, str(tmp_path)).collect()}
+    assert not got[20].contaminated and got[20].n_near > 0 and "1" in got[20].near_items.split(",")
     assert got[10].n_near > 0 and (got[21].n_near, got[21].n_near_items, got[21].near_items) == (0, 0, "")
-    assert all(tuple(r)[:len(exact[d])] == tuple(exact[d]) for d, r in got.items())
+    again = QUERIES["op8_near_decontamination"](spark, str(tmp_path)).collect()
+    assert sorted(again, key=repr) == sorted(QUERIES["op8_decontamination"](spark, str(tmp_path)).collect(), key=repr)
+
+
+def test_planted_edits(spark, sf):
+    """Benchmark passages with every eighth word changed, dropped or doubled are found; other documents are left alone."""
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    long = [(r.item_id, r.text.split()) for r in items.collect() if len(brute.words(r.text)) >= 20]
+    edits = [lambda ws, i: ["changed"], lambda ws, i: [], lambda ws, i: [ws[i], ws[i]]]
+    planted = []
+    for k, (item, ws) in enumerate(long):
+        new = [x for i, w in enumerate(ws) for x in (edits[k % 3](ws, i) if i % 8 == 5 else [w])]
+        planted.append((10**6 + k, str(item), "before it " * 30 + " ".join(new) + " after it" * 30))
+    every = spark.createDataFrame(docs + [(d, t) for d, _, t in planted], "doc_id long, text string")
+    exact, near = dc.near_report(every, items)
+    exact, near = {r.doc_id for r in exact.collect()}, {r.doc_id: set(r.near_ids) for r in near.collect()}
+    caught = sum(item in near.get(d, ()) for d, item, _ in planted)
+    assert len(planted) >= 10 and caught >= 0.9 * len(planted), (caught, len(planted))
+    own = {d for d, _ in docs}
+    false = [d for d in near if d in own and d not in exact]
+    assert len(false) <= 0.02 * len(own), len(false)
 
 
 def test_proximity_against_plain_search(spark, monkeypatch):
@@ -87,6 +108,8 @@ def test_proximity_against_plain_search(spark, monkeypatch):
             for (_, o0, t0), (_, o1, t1) in itertools.combinations(r.rare, 2):
                 near |= {p - o0 for p, w in enumerate(ws) if w == t0 and any(
                     q != p and 0 <= q < len(ws) and ws[q] == t1 for q in range(p - o0 + o1 - 3, p - o0 + o1 + 4))}
+            own = lambda r, s: set(r.phrase.lower().split()) & set(ws[max(s - 3, 0):max(s + r.n + 3, 0)])
+            near = [s for s in near if len(own(r, s)) >= math.ceil(dc.MIN_SHARE * len(set(r.phrase.lower().split())))]
             near = [s for s in near if s < 0 or " ".join(brute.words(text)[s:s + r.n]) != r.phrase]
             if near:
                 want[d, r.phrase] = len(near)
