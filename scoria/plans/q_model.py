@@ -402,8 +402,13 @@ def gbt_baseline(spark, sf):
 
     train(["all", "psi"])
     stable = models[tuple(sets["psi"])]
-    imp = S.permutation_importance(d.where("part = 'valid'"), lambda x: x.withColumn("score", G.probability(G.bin_codes(edges), stable)),
-                                   sets["psi"], "k", n_iter=1)
+
+    def score(x):
+        """``x`` has the features of the stable set; the model does not read the others."""
+        x = x.withColumns({f: F.lit(None).cast("double") for f in X.FEATURES if f not in x.columns})
+        return x.withColumn("score", G.probability(G.bin_codes(edges), stable))
+
+    imp = S.permutation_importance(d.where("part = 'valid'"), score, sets["psi"], "k", n_iter=1)
     sets["perm"] = [f for f in sets["psi"] if imp[f] > 0] or sets["psi"]
     train(["perm"])
     out = None
