@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -16,12 +17,14 @@ def test_query_against_sql(spark, sf):
 
 
 def brute(rows, k, scale=64):
-    ok = {(i, tuple(math.floor(scale * x) for x in v)) for i, v in rows
-          if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    whole = lambda x: math.floor(scale * Fraction(x))
+    ok = [(i, [whole(x) for x in v]) for i, v in rows
+          if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in ok:
+    for i, (q, a) in enumerate(ok):
         if q % 5 == 0:
-            best = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in ok if c != q and len(a) == len(b))[:k]
+            score = lambda b: max(-2**63, min(2**63 - 1, sum(x * y for x, y in zip(a, b))))
+            best = sorted((-score(b), c) for j, (c, b) in enumerate(ok) if i != j and len(a) == len(b))[:k]
             out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
     return sorted(out)
 
@@ -49,5 +52,13 @@ def test_wide_vectors_and_large_values(spark):
     assert run(spark, large, 5) == brute(large, 5)
 
 
+def test_huge_components_and_repeated_rows(spark):
+    rows = [(0, [1e301, 1.0]), (5, [1e18, -2.5]), (10, [-1e18, 0.1]), (10, [-1e18, 0.1]), (1, [1.7e308, 0.0]), (2, [0.3, 0.2]), (3, [3e15, 1.0])]
+    assert run(spark, rows, 3) == brute(rows, 3)
+    same = [(5, [1.0, 2.0])] * 3 + [(4, [1.0, 2.0])] * 2
+    got = run(spark, same, 9)
+    assert got == brute(same, 9) and len(got) == 12
+
+
 def test_empty(spark):
     assert run(spark, [], 3) == [] and run(spark, [(1, [1.0]), (2, [2.0])], 3) == []
