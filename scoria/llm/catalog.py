@@ -160,8 +160,9 @@ c AS (
 p AS (
   SELECT * FROM c WHERE k < 3 OR NOT EXISTS (
     SELECT 1 FROM c b WHERE b.rid = c.rid AND b.k < 3 AND b.s < c.e AND b.e > c.s)),
-o AS (SELECT v, count(DISTINCT coalesce('0' || source, '1')) AS owners FROM p GROUP BY v),
-r AS (SELECT p.*, owners <= 2 AS live FROM p JOIN o USING (v) WHERE k < 3 OR owners <= 2),
+o AS (SELECT v, count(DISTINCT coalesce('0' || source, '1')) AS owners,
+             count(DISTINCT coalesce('0' || doc_id, '1')) AS repos FROM p GROUP BY v),
+r AS (SELECT * FROM (SELECT p.*, owners <= MAX_OWNERS AND repos <= MAX_REPOS AS live FROM p JOIN o USING (v)) WHERE k < 3 OR live),
 a AS (
   SELECT rid, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
          count(*) FILTER (WHERE k = 2) AS n_hex, count(*) FILTER (WHERE live) AS n_live,
@@ -171,7 +172,7 @@ a AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
 FROM d LEFT JOIN a USING (rid)
-"""
+""".replace("MAX_OWNERS", str(secret_scan.MAX_OWNERS)).replace("MAX_REPOS", str(secret_scan.MAX_REPOS))
 
 
 @query("op7_secret_scan", OP7_SQL)
