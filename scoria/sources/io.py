@@ -143,11 +143,12 @@ def read_list(spark: SparkSession, path: str, column: str = "value") -> DataFram
 
 
 def read_json_dict(spark: SparkSession, path: str, key: str = "code", value: str = "name") -> DataFrame:
-    """JSON object ``{code: name}`` as a two-column table."""
-    raw = spark.read.option("multiLine", True).json(path)
-    cols = raw.columns
-    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return raw.selectExpr(f"stack({len(cols)}, {stack}) AS ({key}, {value})")
+    """JSON object ``{code: name}`` as a two-column table of strings.
+
+    Keys may hold any character and values may differ in type; a nested value is given as its JSON
+    text.  A file is one object, read whole by one task; something else gives no rows."""
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m"))
+    return raw.select(F.explode("m").alias(key, value))
 
 
 def in_list(df: DataFrame, column: str, values: DataFrame | Sequence | None,

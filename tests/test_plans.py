@@ -234,3 +234,12 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
                            sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(fake)
+
+
+def test_read_json_dict_of_odd_keys(spark, tmp_path):
+    p = tmp_path / "odd.json"
+    p.write_text('{"it\'s": "a", "b.c `d`": 2, "e": null,\n "f": 1.5, "g": true, "\u00e9": {"h": [1]}}')
+    got = {r.code: r.name for r in io.read_json_dict(spark, str(p)).collect()}
+    assert got == {"it's": "a", "b.c `d`": "2", "e": None, "f": "1.5", "g": "true", "\u00e9": '{"h":[1]}'}
+    (tmp_path / "none.json").write_text("[1, 2]")
+    assert io.read_json_dict(spark, str(tmp_path / "none.json")).count() == 0
