@@ -637,6 +637,23 @@ def csv_roundtrip(spark, sf):
 
 
 
+@query("json_dict", sql="""SELECT p_type || '''s' AS code, CAST(count(*) AS VARCHAR) AS name FROM part GROUP BY p_type
+UNION ALL SELECT n_name, CAST(n_nationkey AS VARCHAR) FROM nation""")
+def json_dict(spark, sf):
+    """Part types (with an apostrophe) and nations written as one JSON object and read back as a table."""
+    import uuid
+
+    from scoria.session import checkpoint_dir
+    from scoria.sources.io import read_json_dict, read_table
+    out = f"{checkpoint_dir(spark).rstrip('/')}/json-{uuid.uuid4().hex}"
+    part, nation = read_table(spark, "part", sf), read_table(spark, "nation", sf)
+    names = part.groupBy(F.concat("p_type", F.lit("'s")).alias("code")).agg(F.count(F.lit(1)).cast("string").alias("name"))
+    names = names.unionByName(nation.select(F.col("n_name").alias("code"), F.col("n_nationkey").cast("string").alias("name")))
+    one = names.agg(F.map_from_entries(F.collect_list(F.struct("code", "name"))).alias("m"))
+    one.select(F.to_json("m").alias("value")).write.text(out)
+    return read_json_dict(spark, out)
+
+
 @query("apply_policy_unseen", sql=f"""WITH {X.SQL_FRAME},
 tr AS (SELECT * FROM frame WHERE sample = 'train'),
 th AS (SELECT CAST(floor({TH} * count(*)) AS BIGINT) AS t FROM tr),
