@@ -156,3 +156,19 @@ def test_merge_folds_joins_an_unstable_pair():
     fold_n1 = np.array([[10.0, 34.0, 28.0], [10.0, 26.0, 36.0]])  # the folds disagree on the last two bins
     assert B.merge_folds(n, n1, fold_n, fold_n1, 2) in ([0, 1, 1], [0, 0, 1])
     assert B.merge_folds(n, n1, fold_n, fold_n1, 3) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("order", ["auc", "iv"])
+def test_estimator_keeps_the_better_of_correlated_features(spark, order):
+    """With a limit of 0 every pair is correlated, so only the first by the chosen measure stays."""
+    from scoria.operators.scorecard import ScorecardEstimator
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 1500)
+    rows = [(str(i), int(t), float(rng.normal() + t), float(rng.normal() + 2 * t * (rng.random() < 0.3))) for i, t in enumerate(y)]
+    df = spark.createDataFrame(rows, "k string, y int, a double, b double")
+    est = ScorecardEstimator(imp_type=None, pearson_th=0.0, vif_th=1e9, order_by=order, p_val=1.0)
+    model = est.fit(df, "y", features=["a", "b"])
+    measure = est.artifacts["auc"] if order == "auc" else est.artifacts["woe_table"].groupby("feature")["iv"].first().astype(float)
+    assert list(model.weights) == [max("ab", key=lambda f: measure[f])]
+    with pytest.raises(ValueError, match="order_by"):
+        ScorecardEstimator(order_by="gini")
