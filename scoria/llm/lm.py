@@ -102,7 +102,7 @@ def vocabulary(docs: DataFrame, train: Column, *, text_col: str = "text") -> tup
         words, n, size = set(), 0, 0
 
         def rows():
-            h = np.unique(_hashes(words))
+            h = np.sort(_hashes(words))
             cut = _by_bucket(h, buckets)
             out = {"bucket": [0, *[b for b, _ in cut]], "n": [n, *[0] * len(cut)], "size": [size, *[0] * len(cut)],
                    "data": [_gaps(h[:0]), *[_gaps(h[s]) for _, s in cut]]}
@@ -123,7 +123,8 @@ def vocabulary(docs: DataFrame, train: Column, *, text_col: str = "text") -> tup
         yield rows()
 
     def distinct(t: pa.Table) -> pa.Table:
-        v = len(np.unique(np.concatenate([_ungaps(x) for x in t["data"].to_pylist()])))
+        h = np.sort(np.concatenate([_ungaps(x) for x in t["data"].to_pylist()]))
+        v = int((h[1:] != h[:-1]).sum()) + (len(h) > 0)
         return pa.table({"n": [sum(t["n"].to_pylist())], "size": [sum(t["size"].to_pylist())], "v": [v]})
 
     sent = docs.select(col(text_col).cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("learn")).mapInArrow(
@@ -154,27 +155,29 @@ def _grams(h: np.ndarray, tokens: np.ndarray, ends: np.ndarray, begin: np.uint64
 class Automaton:
     """States, arcs and failure arcs that a block can reach.
 
-    ``counts[n - 1]`` are the counts of its n-grams by sorted hash (of
-    n-grams that end a text's first words, under the order they have).
+    ``counts[n - 1]`` are the training counts of its n-grams, which are
+    numbered; a count of 0 is no arc.
     """
 
-    def __init__(self, hashes: list[np.ndarray], counts: list[np.ndarray], tokens: int, distinct: int, begins: float, mu: float):
-        self.hashes, self.counts, self.begins, self.mu = hashes, counts, begins, mu
+    def __init__(self, counts: list[np.ndarray], tokens: int, distinct: int, begins: float, mu: float):
+        self.counts, self.begins, self.mu = counts, begins, mu
         self.root = np.log10((counts[0] + 0.5) / (tokens + 0.5 * (distinct + 1)))
 
-    def traverse(self, grams: list[np.ndarray], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(count, root's log10-probability, automaton's log10-probability) of the word at each place."""
+    def traverse(self, arcs: list[np.ndarray], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(count, root's log10-probability, automaton's log10-probability) of the word at each place.
+
+        ``arcs[n - 1]`` holds the number of the n-gram that ends at each place.
+        """
         starts = np.concatenate(([0], ends[:-1]))
-        place = np.arange(len(grams[0])) - np.repeat(starts, np.diff(ends, prepend=0))
-        at = np.searchsorted(self.hashes[0], grams[0])
-        met = seen = self.counts[0][at]
-        root = out = self.root[at]
-        for n in range(2, len(grams) + 1):
+        place = np.arange(len(arcs[0])) - np.repeat(starts, np.diff(ends, prepend=0))
+        met = seen = self.counts[0][arcs[0]]
+        root = out = self.root[arcs[0]]
+        for n in range(2, len(arcs) + 1):
             state = np.empty_like(met)  # count of the state that the words before lead to
             state[1:] = met[:-1]
             if n == 2:
                 state[starts] = self.begins
-            met = self.counts[n - 1][np.searchsorted(self.hashes[n - 1], grams[n - 1])]
+            met = self.counts[n - 1][arcs[n - 1]]
             fail = np.log10(self.mu / (state + self.mu))
             with np.errstate(divide="ignore"):
                 arc = np.log10((met + self.mu * 10.0 ** out) / (state + self.mu))
@@ -231,10 +234,8 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
             learnt = np.repeat(learn, np.diff(ends, prepend=0))
             rows = []
             for n, gram in enumerate(_grams(h, tokens, ends, begin, order), 1):
-                known = np.unique(gram)
-                count = np.zeros(len(known), np.uint32)
-                seen, times = np.unique(gram[learnt], return_counts=True)
-                count[np.searchsorted(known, seen)] = times
+                known, at = np.unique(gram, return_inverse=True)
+                count = np.bincount(at[learnt], minlength=len(known)).astype(np.uint32)
                 rows += [(b, block, n, digest, [_gaps(known[s]), pack(count[s])]) for b, s in _by_bucket(known, buckets)]
             yield _rows(rows)
 
@@ -266,12 +267,11 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
             raise RuntimeError("a block was cut differently when it was read again")
         tokens, ends, doc, known, learn, h = text["parts"][0].as_py()
         tokens, ends, h = unpack(tokens, np.uint32), unpack(ends, np.int64), np.frombuffer(h, np.uint64)
-        grams = _grams(h, tokens, ends, begin, order)
-        hashes = [np.unique(g) for g in grams]
+        hashes, arcs = zip(*(np.unique(g, return_inverse=True) for g in _grams(h, tokens, ends, begin, order)))
         counts = [np.concatenate([unpack(r["parts"][0], np.uint64) for r in rows if r["kind"] == n]).astype(np.float64)
                   for n in range(1, order + 1)]
-        auto = Automaton(hashes, counts, n_all, n_distinct, counts[0][np.searchsorted(hashes[0], end)], mu)
-        seen, base, full = auto.traverse(grams, ends)
+        auto = Automaton(counts, n_all, n_distinct, counts[0][np.searchsorted(hashes[0], end)], mu)
+        seen, base, full = auto.traverse(arcs, ends)
         starts = np.concatenate(([0], ends[:-1]))
         add = lambda x: np.add.reduceat(x, starts)
         return pa.table({

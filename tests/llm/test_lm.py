@@ -90,16 +90,12 @@ def test_arcs_sum_to_one():
     hashes, counts = zip(*(np.unique(g, return_counts=True) for g in lm._grams(h, tokens, ends, begin, 3)))
     n, v = len(tokens), 4
     for before in ([1, 2], [2], [1, 2, 1], []):
-        total = 0.0
         steps = [[*before, w] for w in range(4)]
         grams = lm._grams(h, np.concatenate(steps), np.cumsum([len(s) for s in steps]), begin, 3)
         # n-grams that no text holds have count 0
-        known = [np.unique(np.concatenate([a, g])) for a, g in zip(hashes, grams)]
-        full = [np.zeros(len(k)) for k in known]
-        for k, f, a, c in zip(known, full, hashes, counts):
-            f[np.searchsorted(k, a)] = c
-        auto = lm.Automaton(known, full, n, v, 3.0, 10.0)
-        out = auto.traverse(grams, np.cumsum([len(s) for s in steps]))[2]
+        known, arcs = zip(*(np.unique(g, return_inverse=True) for g in grams))
+        full = [np.array([dict(zip(a, c)).get(x, 0) for x in k], float) for k, a, c in zip(known, hashes, counts)]
+        out = lm.Automaton(full, n, v, 3.0, 10.0).traverse(arcs, np.cumsum([len(s) for s in steps]))[2]
         total = sum(10 ** out[np.cumsum([len(s) for s in steps]) - 1])
         # the unseen class: the failure arcs alone, down to the root
         held = [sum(1 for t in texts for i in range(len(t)) if ([None] + t)[max(0, i + 1 - k):i + 1] == ([None] + before)[-k:])
