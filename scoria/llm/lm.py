@@ -46,7 +46,7 @@ from scoria.llm.common import col, pack, partitions, unpack, utf8
 __all__ = ["vocabulary", "score", "Automaton", "BLOCK_TOKENS", "MU", "ORDER"]
 
 #: Tokens after which a task closes a block; it may pass it by one document.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 2_500_000
 #: Distinct words a task holds before it sends them, while the vocabulary is counted.
 HELD_WORDS = 400_000
 #: Weight of the lower order in the smoothing, in tokens.
