@@ -396,7 +396,8 @@ class ScorecardModel:
         ``dialect="spark"`` quotes identifiers with backticks, ``"ansi"`` with
         double quotes (DuckDB, most databases); everything else is shared.
         Table-backed categorical features need ``maps={feature: table}``
-        naming a (code, bin) table in the target database.
+        naming a (code, bin) table in the target database, which is joined
+        once; of a code that it repeats, the largest bin counts.
         """
         maps = dict(maps or {})
         for f in self.features:
@@ -417,10 +418,10 @@ class ScorecardModel:
             v = fb.woe.get(key)
             return lit(0.0 if v is None or (isinstance(v, float) and math.isnan(v)) else v)
 
-        cases = []
+        cases, joins = [], []
         for f in self.features:
             fb = self.bins[f]
-            src = q(fb.source or fb.name)
+            src = "i." + q(fb.source or fb.name)
             if fb.date_part is not None:
                 part = {"y": "year", "m": "month", "d": "day", "h": "hour", "min": "minute"}
                 wd = (f"weekday(CAST({src} AS DATE))" if dialect == "spark"
@@ -435,7 +436,9 @@ class ScorecardModel:
                 parts += [f"WHEN {x} <= {sql_double(s)} THEN {w(fb, i)}" for i, s in enumerate(fb.splits)]
                 parts.append(f"ELSE {w(fb, len(fb.splits))}")
             elif fb.cat_table is not None:
-                b = f"(SELECT max(m.bin) FROM {maps[f]} m WHERE m.code = {text})"
+                b = f"m{len(joins)}.bin"
+                joins.append(f" LEFT JOIN (SELECT code, max(bin) AS bin FROM {maps[f]} GROUP BY code) m{len(joins)}"
+                             f" ON m{len(joins)}.code = {text}")
                 parts = [gone] + [f"WHEN {b} = {k} THEN {w(fb, k)}" for k in sorted(k for k in fb.woe if isinstance(k, int))]
                 parts.append(f"ELSE {lit(fb.special_woe(fb.small_key))}")
             else:
@@ -444,11 +447,11 @@ class ScorecardModel:
                 parts.append(f"ELSE {lit(fb.special_woe(fb.small_key))}")
             cases.append(f"CASE {' '.join(parts)} END AS {q(f)}")
         z = " + ".join([lit(self.intercept)] + [f"{lit(wt)} * {q(f)}" for f, wt in self.weights.items()])
-        keep_in = ", ".join(q(c) for c in keep)
+        keep_in = ", ".join(f"i.{q(c)}" for c in keep)
         keep_out = ", ".join(f"t.{q(c)}" for c in keep)
         inner = ", ".join(([keep_in] if keep_in else []) + cases)
         sel = (keep_out + ", " if keep_out else "") + f"1 / (1 + exp(-({z}))) AS prob"
-        return f"SELECT {sel} FROM (SELECT {inner} FROM {table}) t"
+        return f"SELECT {sel} FROM (SELECT {inner} FROM {table} i{''.join(joins)}) t"
 
     def scorecard(self) -> pd.DataFrame:
         """Variable, value label, WoE, coefficient, points = WoE * coef; intercept first."""

@@ -136,6 +136,19 @@ def test_table_backed_categories_score_like_literals(spark):
     c = {r["k"]: r["prob"] for r in spark.sql(m2.to_sql("tb_input", keep=["k"],
                                                         maps={"l_returnflag": "rf_map"})).collect()}
     assert max(abs(a[k] - c[k]) for k in a) < 1e-5
+    # one join of the map, whatever the number of bins
+    sql = m2.to_sql("tb_input", keep=["k"], maps={"l_returnflag": "rf_map"})
+    assert sql.count("rf_map") == 1 and spark.sql(sql)._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    # a code that the map repeats scores once, by its largest bin; other databases read the same text
+    codes = sorted(m.bins["l_returnflag"].cat_bins.items())
+    spark.createDataFrame(codes + [(c, -1) for c, _ in codes], "code string, bin int").createOrReplaceTempView("rf_map")
+    d = {r["k"]: r["prob"] for r in spark.sql(sql).collect()}
+    assert d == c
+    con = duckdb.connect()
+    con.register("tb_input", frame.toPandas())
+    con.register("rf_map", spark.table("rf_map").toPandas())
+    e = dict(con.execute(m2.to_sql("tb_input", keep=["k"], dialect="ansi", maps={"l_returnflag": "rf_map"})).fetchall())
+    assert e.keys() == c.keys() and max(abs(e[k] - c[k]) for k in c) < 1e-9
 
 
 def test_read_json_dict(spark, tmp_path):
