@@ -8,10 +8,11 @@ then use distributed running sums (``ranking.running_sums``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoria.functions.exprs import bin_index
@@ -129,19 +130,96 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     return c
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str], absolute: bool = False) -> DataFrame:
-    """Upper-triangle pair table (f1, f2, corr); each pair over the rows that have both."""
+#: Columns up to which the pairs are expressions of one aggregate; beyond, sums travel by blocks of this many columns.
+CORR_BLOCK = 64
+
+
+def corr_pairs(df: DataFrame, cols: Sequence[str], absolute: bool = False, min_abs: float | None = None,
+               block: int = CORR_BLOCK) -> DataFrame:
+    """Upper-triangle pair table (f1, f2, corr); each pair over the rows that have both.
+
+    The correlation is null where a pair has no spread.  ``min_abs`` keeps the pairs of at least
+    that absolute correlation.  More than ``block`` columns are summed by pairs of column blocks,
+    so neither a plan nor the driver holds all pairs; a NaN or infinite value there makes all
+    pairs of its column null.
+    """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "f1 string, f2 string, corr double")
-    # one short expression a pair and one aggregate; the pairs are exploded from the single row
-    one = df.agg(F.array(*[F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.corr(a, b).alias("corr"))
-                           for a, b in pairs]).alias("p"))
-    out = one.select(F.explode("p").alias("p")).select("p.*")
+    if len(cols) < 2:
+        out = df.sparkSession.createDataFrame([], "f1 string, f2 string, corr double")
+    elif len(cols) <= block:
+        pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+        # one short expression a pair and one aggregate; the pairs are exploded from the single row
+        one = df.agg(F.array(*[F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), _corr(a, b).alias("corr"))
+                               for a, b in pairs]).alias("p"))
+        out = one.select(F.explode("p").alias("p")).select("p.*")
+    else:
+        out = _corr_blocks(df, cols, block)
+    if min_abs is not None:
+        out = out.where(F.abs("corr") >= min_abs)
     return out.withColumn("corr", F.abs("corr")) if absolute else out
 
 
+def _corr(a: str, b: str) -> Column:
+    """Correlation as an aggregate; null without spread, where ``corr`` would divide by zero in ANSI mode."""
+    x, y = (F.col("`" + c.replace("`", "``") + "`").cast("double") for c in (a, b))
+    both = x.isNotNull() & y.isNotNull()
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)))
+
+
+def _corr_blocks(df: DataFrame, cols: list[str], block: int) -> DataFrame:
+    """Pair correlations from sums that each task adds up per pair of column blocks.
+
+    Values are shifted by their column's middle, which leaves correlations as they are and the
+    sums small.  A task sends the sums of its rows once: n, x, y, xx, yy and xy of every pair.
+    """
+    quoted = [F.col("`" + c.replace("`", "``") + "`").cast("double") for c in cols]
+    ends = df.agg(F.array(*[F.min(c) for c in quoted]).alias("lo"), F.array(*[F.max(c) for c in quoted]).alias("hi")).first()
+    shift = np.array([0.0 if a is None or not np.isfinite(a + b) else a if a == b else a / 2 + b / 2 for a, b in zip(*ends)])
+    cuts = [(a, min(a + block, len(cols))) for a in range(0, len(cols), block)]
+    spans = [(i, j) for i in range(len(cuts)) for j in range(i, len(cuts))]
+    schema = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("sums", pa.binary())])
+
+    def add(batches):
+        total: dict = {}
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - shift
+            there = ~np.column_stack([c.is_null().to_numpy(zero_copy_only=False) for c in batch.columns])
+            x, m = np.where(there, rows, 0.0), there.astype(np.float64)
+            xx = x * x
+            for i, j in spans:
+                a, b = slice(*cuts[i]), slice(*cuts[j])
+                got = np.stack([m[:, a].T @ m[:, b], x[:, a].T @ m[:, b], m[:, a].T @ x[:, b],
+                                xx[:, a].T @ m[:, b], m[:, a].T @ xx[:, b], x[:, a].T @ x[:, b]])
+                if (i, j) in total:
+                    total[i, j] += got
+                else:
+                    total[i, j] = got
+        for (i, j), sums in total.items():
+            yield pa.RecordBatch.from_pydict({"i": [i], "j": [j], "sums": [sums.tobytes()]}, schema=schema)
+
+    def pairs(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        i, j = (k.as_py() for k in key)
+        (a, b), (c, d) = cuts[i], cuts[j]
+        sums = np.zeros((6, b - a, d - c))
+        for batch in batches:
+            for part in batch.column("sums"):
+                sums += np.frombuffer(part.as_py()).reshape(sums.shape)
+        n, x, y, xx, yy, xy = sums
+        with np.errstate(all="ignore"):
+            vx, vy = xx - x * x / n, yy - y * y / n
+            r = (xy - x * y / n) / np.sqrt(vx * vy)
+            # what rounding leaves of a constant is no spread
+            known = np.isfinite(r) & (vx > 1e-13 * xx) & (vy > 1e-13 * yy)
+        f, g = np.meshgrid(np.arange(a, b), np.arange(c, d), indexing="ij")
+        up = f < g
+        yield pa.RecordBatch.from_pydict({
+            "f1": pa.array([cols[q] for q in f[up]], pa.string()), "f2": pa.array([cols[q] for q in g[up]], pa.string()),
+            "corr": pa.array(np.clip(r[up], -1.0, 1.0), mask=~known[up])})
+
+    sent = df.select(*[c.alias(f"c{k}") for k, c in enumerate(quoted)]).mapInArrow(add, "i int, j int, sums binary")
+    return sent.groupBy("i", "j").applyInArrow(pairs, "f1 string, f2 string, corr double")
+
+
 def vif(corr: np.ndarray, ridge: float = 0.0) -> np.ndarray:
     """Diagonal of the inverse correlation matrix (k x k on the driver)."""
     k = corr.shape[0]
