@@ -8,7 +8,8 @@ words, and subtracting the template position from the place in the file
 turns postings into alignments.  A phrase is verified word for word at
 each alignment, so all its places are found (each holds the phrase's
 rarest word).  A passage gathers the alignments within ``slack`` words of
-one another; it counts if the index words met there carry at least
+one another, opening a run at every alignment, and keeps the best of the
+runs that open together; a run counts if the index words met there carry at least
 ``min_share`` of the passage's index weight and every mandatory key phrase
 stands in the aligned stretch.
 
@@ -128,26 +129,37 @@ class Index:
             if kind == "phrase":
                 out += [(label, kind, s, s + len(ws), 1.0) for s in sorted(starts) if s >= 0 and words[s:s + len(ws)] == ws]
                 continue
-            all_weight = sum(self.weight[t].values())
+            all_weight, passed = sum(self.weight[t].values()), []
             for run in _runs(sorted(starts), self.slack):
                 seen = set().union(*(starts[s] for s in run))
                 share = sum(self.weight[t][p] for p in seen) / all_weight
                 a, b = max(0, run[0]), min(len(words), run[-1] + len(ws) + self.slack)
                 if share >= self.min_share and all(_holds(words[a:b], k) for k in keys):
-                    out.append((label, kind, a, min(len(words), run[-1] + len(ws)), min(1.0, share)))
+                    passed.append((run[0], -share, run[-1] - run[0]))
+            for first, share, width in _best(passed, self.slack):
+                out.append((label, kind, max(0, first), min(len(words), first + width + len(ws)), min(1.0, -share)))
         return sorted(out, key=lambda h: (h[2], h[3], h[0]))
 
 
 def _runs(starts, slack):
-    run = []
-    for s in starts:
-        # a run is no wider than the slack, so a stretch of repeats stays several runs
-        if run and s - run[0] > slack:
-            yield run
-            run = []
-        run.append(s)
-    if run:
-        yield run
+    """The starts within ``slack`` of each start, from it on: words before a passage cannot take its start away."""
+    end = 0
+    for i, s in enumerate(starts):
+        while end < len(starts) and starts[end] - s <= slack:
+            end += 1
+        yield starts[i:end]
+
+
+def _best(passed, slack):
+    """Of the runs that open within ``slack`` of one another, that of most weight, then the narrowest, then the first."""
+    near: list = []
+    for run in passed:
+        if near and run[0] - near[0][0] > slack:
+            yield min(near, key=lambda r: (r[1], r[2], r[0]))
+            near = []
+        near.append(run)
+    if near:
+        yield min(near, key=lambda r: (r[1], r[2], r[0]))
 
 
 def _holds(words, phrase):

@@ -49,3 +49,22 @@ def test_passages_and_cases(spark):
     assert [h[0] for h in by[None][1]] == ["mit-text"] and by[8][1] == [("mit", 50_000, 50_002)]
     none = spark.createDataFrame([], "doc_id long, text string")
     assert licenses.document_frequencies(none, {"mit"}) == (0, {}) and licenses.scan(none, index(docs)).count() == 0
+
+
+def test_words_of_a_passage_before_it():
+    """One to six words of a passage in front of it leave the passage where it stands."""
+    found = licenses.Index(1000, {})
+    for label, (text, _) in TEXTS.items():
+        words = text.encode().split()
+        assert any(h[0] == label and h[2:4] == (0, len(words)) for h in found.find(words)), label
+        for k in range(1, 7):
+            for j in range(0, max(1, len(words) - k), 3):
+                hits = [h for h in found.find(words[j:j + k] + words) if h[0] == label]
+                assert any(h[2] <= k and h[3] >= len(words) and h[4] > 0.999 for h in hits), (label, k, j)
+
+
+def test_two_copies_are_two_hits():
+    words = TEXTS["bsd"][0].encode().split()
+    n = len(words)
+    hits = [h[2:4] for h in licenses.Index(1000, {}).find(words + words) if h[0] == "bsd"]
+    assert hits == [(0, n), (n, 2 * n)]
