@@ -11,7 +11,7 @@ from scoria.operators import labels as L
 from scoria.operators import mart as M
 from scoria.operators import sampling as P
 from scoria.plans import fixtures as X
-from scoria.plans.registry import query
+from scoria.plans.registry import ORACLES, query
 from scoria.sources.io import in_list
 
 D0, D1 = X.MART_START, _dt.date(1995, 12, 31)
@@ -274,6 +274,14 @@ def dataset_month(spark, sf):
     return ds.select("client_id", "report_dt_part", "spend", "n_tx", "client_city", "target")
 
 
+@query("snapshot_counts", sql=f"""
+SELECT report_dt_part, count(*) AS n_rows, CAST(sum(target) AS BIGINT) AS n_target FROM ({ORACLES["dataset_month"]}) d GROUP BY 1""")
+def snapshot_counts(spark, sf):
+    """Rows and buyers of each snapshot of the monthly training set."""
+    return dataset_month(spark, sf).groupBy("report_dt_part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("target").cast("bigint").alias("n_target"))
+
+
 DAY_STOP = _dt.date(1995, 4, 1)
 
 

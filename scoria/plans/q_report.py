@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import functions as F
@@ -262,3 +263,24 @@ def scorecard_rows(spark, sf):
     rows = [(r.variable, r.value, None if r.woe is None or r.woe != r.woe else float(r.woe), float(r.coef), float(r.points))
             for r in t.itertuples()]
     return spark.createDataFrame(rows, "variable string, value string, woe double, coef double, points double")
+
+
+@query("scorecard_joined", sql="""
+WITH b AS (SELECT n_regionkey AS bin, string_agg(n_name, ', ' ORDER BY n_name) AS value FROM nation GROUP BY 1),
+c AS (SELECT n_regionkey AS bin, sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS bad, sum(CASE WHEN c_acctbal < 0 THEN 0 ELSE 1 END) AS good
+      FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1),
+w AS (SELECT bin, ln(((bad + 0.5) / (sum(bad) OVER () + 0.5)) / ((good + 0.5) / (sum(good) OVER () + 0.5))) AS woe FROM c)
+SELECT 'nation' AS variable, value, round(woe, 6) AS woe, -0.8 AS coef, round(-0.8 * woe, 6) AS points FROM w JOIN b USING (bin)
+UNION ALL SELECT 'Intercept', '', NULL, 0.25, 0.25""")
+def scorecard_joined(spark, sf):
+    """Categories of one bin stand joined, in order, in one scorecard row (nations in bins by region)."""
+    c, n = X.tables(spark, sf, "customer", "nation")
+    per = c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_regionkey").agg(
+        F.sum((F.col("c_acctbal") < 0).cast("int")).alias("bad"), F.sum((F.col("c_acctbal") >= 0).cast("int")).alias("good")).collect()
+    bad, good = sum(r.bad for r in per), sum(r.good for r in per)
+    woe = {r.n_regionkey: math.log(((r.bad + 0.5) / (bad + 0.5)) / ((r.good + 0.5) / (good + 0.5))) for r in per}
+    bins = {r.n_name: r.n_regionkey for r in n.collect() if r.n_regionkey in woe}
+    t = M.ScorecardModel({"nation": M.FeatureBins("nation", "cat", [], bins, woe, W.NAN_KEY, W.SMALL_KEY)}, {"nation": -0.8}, 0.25).scorecard()
+    rows = [(r.variable, r.value, None if r.woe is None or r.woe != r.woe else float(r.woe), float(r.coef), float(r.points))
+            for r in t.itertuples()]
+    return spark.createDataFrame(rows, "variable string, value string, woe double, coef double, points double")
