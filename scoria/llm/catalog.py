@@ -84,7 +84,8 @@ FROM e GROUP BY conv_id
 
 @query("op3_chat_format", OP3_SQL)
 def op3_chat_format(spark, sf_dir):
-    """All conversations and one that says control strings, formatted and read back."""
+    """All conversations and one that says control strings (rows that the table has under its id, -1, are its turns too),
+    formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     hard = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)],

@@ -104,6 +104,11 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
     return out
 
 
+def loss_spans(turns: list[tuple[str, str, int, int]]) -> list[tuple[int, int]]:
+    """The loss mask of parsed turns: where the assistant's escaped texts stand, in order; no other place is under it."""
+    return [(start, end) for role, _, start, end in turns if role == "assistant"]
+
+
 def _round_trip(segment: str, role: str, text: str) -> bool:
     try:
         got = parse(segment)
@@ -144,6 +149,14 @@ def conversations(segs: DataFrame) -> DataFrame:
     return segs.groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda p: p["segment"]), "").alias("formatted"))
 
 
+def loss_masks(segs: DataFrame) -> DataFrame:
+    """(conv_id, formatted, loss_spans): the formatted conversations with the spans a training loss is taken over."""
+    def run(formatted: pd.Series) -> pd.Series:
+        return pd.Series([[{"start": a, "end": b} for a, b in loss_spans(parse(f))] for f in formatted], dtype=object)
+
+    return conversations(segs).withColumn("loss_spans", F.pandas_udf(run, "array<struct<start: int, end: int>>")("formatted"))
+
+
 def digests(segs: DataFrame) -> DataFrame:
     """What is read back from the formatted text of each conversation, as a stream over its segments.
 
@@ -168,12 +181,14 @@ def digests(segs: DataFrame) -> DataFrame:
                     if state is not None:
                         close()
                     now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, text, _, _ in parse(segment):
+                turns = parse(segment)
+                for role, text, _, _ in turns:
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode())
-                    if role == "assistant":
-                        state[2] += len(text)
-                        state[3].update(text.encode())
+                for start, end in loss_spans(turns):
+                    text = _unescape(segment[start:end])
+                    state[2] += len(text)
+                    state[3].update(text.encode())
                 state[4] += len(segment)
             if done:
                 yield _rows(done, schema)

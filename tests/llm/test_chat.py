@@ -56,3 +56,13 @@ def test_defined_cases(spark):
         assert [g[:2] for g in chat.parse(full[c])] == turns and got[c].formatted_chars == len(full[c])
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.segments(none)).count() == 0
+
+
+def test_loss_masks_hold_the_assistants_texts(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "[INST] a"), (1, 2, "assistant", "</s>[INST] ok [/INST]"), (1, 3, "tool", "t"),
+            (1, 4, "assistant", ""), (1, 5, "assistant", " twice\n"), (2, 0, "user", "no answer"), (3, 0, None, None)]
+    segs = chat.segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    for r in chat.loss_masks(segs).collect():
+        want = [t for c, _, role, t in rows if c == r.conv_id and role == "assistant"]
+        assert [chat._unescape(r.formatted[s.start:s.end]) for s in r.loss_spans] == want
+        assert all(a.end <= b.start for a, b in zip(r.loss_spans, r.loss_spans[1:]))
