@@ -7,9 +7,12 @@ WoE columns are discrete, so rows are first compressed to distinct
 aggregate whose output is bounded by the bin combinations, not by rows.
 All models of a path (every C x every held-out fold) are then fitted
 *together* by Newton / IRLS: each iteration is ONE Spark job computing, per
-model, the gradient and Hessian (``(k+1)^2`` numbers) over its training
-rows; the L1 step is coordinate descent on those tiny matrices on the
-driver.  The Hessian at the optimum gives the Wald variances for free.
+model, the gradient and Hessian over its training rows; the L1 step is
+coordinate descent on those matrices on the driver.  Frames so wide that the
+Hessians of all models pass ``STATS_BUDGET`` numbers go along the path with
+warm starts, and a job computes the Hessian among each model's working set
+only; KKT conditions on all columns decide when the set is whole.
+The Hessian at the optimum gives the Wald variances for free.
 """
 
 from __future__ import annotations
@@ -27,6 +30,9 @@ from pyspark.sql import functions as F
 __all__ = ["compress", "glm_fit", "l1_min_c", "l1_path", "select_c", "refit_l1",
            "refit_backward", "wald_pvalues", "ScorecardModel", "FeatureBins"]
 
+#: Numbers that a job of statistics takes from each task at most (unless one model needs more).
+STATS_BUDGET = 1_000_000
+
 
 def compress(df: DataFrame, features: Sequence[str], label: str = "target",
              extra: Sequence[str] = ("fold",)) -> DataFrame:
@@ -39,16 +45,16 @@ def compress(df: DataFrame, features: Sequence[str], label: str = "target",
 # ------------------------------------------------------------------ distributed Newton statistics
 
 def _stats_job(comp: DataFrame, features: Sequence[str], models: list[dict]) -> dict[int, tuple]:
-    """One Spark job: per model m, ``H = sum w p(1-p) x x'`` and ``g = sum (y - n p) x``
-    over the rows it trains on (x with a trailing 1 for the intercept)."""
+    """One Spark job: per model m, over the rows it trains on (x with a trailing 1 for the intercept),
+    ``H = sum w p(1-p) x x'`` among its working columns ``m["work"]`` and ``g = sum (y - n p) x`` of all columns."""
     feats = list(features)
     k = len(feats) + 1
-    spec = [(m["id"], np.asarray(m["beta"], float), m.get("exclude_fold")) for m in models]
+    spec = [(m["id"], np.asarray(m["work"], int), np.asarray(m["beta"], float)[m["work"]], m.get("exclude_fold")) for m in models]
     has_fold = "fold" in comp.columns
     cols = feats + (["fold"] if has_fold else []) + ["n", "n1"]
 
     def part(it):
-        acc = {mid: (np.zeros((k, k)), np.zeros(k)) for mid, _, _ in spec}
+        acc = {mid: (np.zeros((len(work), len(work))), np.zeros(k)) for mid, work, _, _ in spec}
         for pdf in it:
             if pdf.empty:
                 continue
@@ -56,28 +62,51 @@ def _stats_job(comp: DataFrame, features: Sequence[str], models: list[dict]) ->
             n = pdf["n"].to_numpy(float)
             n1 = pdf["n1"].to_numpy(float)
             fold = pdf["fold"].to_numpy() if has_fold else None
-            for mid, beta, ex in spec:
+            for mid, work, beta, ex in spec:
                 mask = np.ones(len(pdf), bool) if (ex is None or fold is None) else (fold != ex)
                 if not mask.any():
                     continue
-                Xm = X[mask]
-                p = 1.0 / (1.0 + np.exp(-(Xm @ beta)))
+                Xw = X[np.ix_(mask, work)]
+                p = 1.0 / (1.0 + np.exp(-(Xw @ beta)))
                 w = n[mask] * p * (1 - p)
                 H, g = acc[mid]
-                H += (Xm * w[:, None]).T @ Xm
-                g += Xm.T @ (n1[mask] - n[mask] * p)
-        rows = []
-        for mid, (H, g) in acc.items():
-            rows.append((mid, np.concatenate([H.ravel(), g]).tolist()))
+                H += (Xw * w[:, None]).T @ Xw
+                g += (n1[mask] - n[mask] * p) @ X[mask]
+        # the lower half of H, then g
+        rows = [(mid, np.concatenate([H[np.tril_indices(len(H))], g]).tolist()) for mid, (H, g) in acc.items()]
         yield pd.DataFrame(rows, columns=["model", "s"])
 
     parts = comp.select(*cols).mapInPandas(part, "model int, s array<double>")
     red = (parts.select("model", F.posexplode("s").alias("i", "v"))
-                .groupBy("model", "i").agg(F.sum("v").alias("v")).collect())
-    out: dict[int, np.ndarray] = {}
-    for r in red:
-        out.setdefault(r["model"], np.zeros(k * k + k))[r["i"]] = r["v"]
-    return {mid: (v[:k * k].reshape(k, k), v[k * k:]) for mid, v in out.items()}
+                .groupBy("model", "i").agg(F.sum("v").alias("v")).toArrow().sort_by([("model", "ascending"), ("i", "ascending")]))
+    ids, v = red["model"].to_numpy(), red["v"].to_numpy()
+    out = {}
+    for mid, work, _, _ in spec:
+        own = v[np.searchsorted(ids, mid):np.searchsorted(ids, mid, "right")]
+        if len(own):
+            H = np.zeros((len(work), len(work)))
+            H[np.tril_indices(len(work))] = own[:len(own) - k]
+            out[mid] = (H + np.tril(H, -1).T, own[len(own) - k:])
+    return out
+
+
+def _stats(comp: DataFrame, features: Sequence[str], models: list[dict], budget: int) -> dict[int, tuple]:
+    """``_stats_job`` over models taken together up to ``budget`` numbers a job (or one model)."""
+    out: dict[int, tuple] = {}
+    some, size = [], 0
+    for m in models:
+        more = _n_stats(len(m["work"]), len(features) + 1)
+        if some and size + more > budget:
+            out.update(_stats_job(comp, features, some))
+            some, size = [], 0
+        some.append(m)
+        size += more
+    return {**out, **(_stats_job(comp, features, some) if some else {})}
+
+
+def _n_stats(work: int, k: int) -> int:
+    """Numbers that a model with ``work`` of ``k`` columns at work takes from a job."""
+    return work * (work + 1) // 2 + k
 
 
 def _cd_step(H: np.ndarray, g: np.ndarray, beta: np.ndarray, lam: float, nonpos: bool = False,
@@ -86,56 +115,97 @@ def _cd_step(H: np.ndarray, g: np.ndarray, beta: np.ndarray, lam: float, nonpos:
     by coordinate descent; returns the new beta and whether it settled."""
     k = len(beta)
     b = beta.copy()
-    # gradient of the smooth part at b: -(g - H (b - beta))
+    left = g.copy()  # g - H (b - beta), kept up to date
     for _ in range(iters):
         mx = 0.0
         for j in range(k):
             hjj = H[j, j]
             if hjj <= 0:
                 continue
-            r = g[j] - H[j] @ (b - beta) + hjj * (b[j] - beta[j])  # partial residual
-            z = beta[j] + r / hjj
-            if j == k - 1 or lam == 0:
-                nb = z if j == k - 1 else z
-            else:
-                nb = math.copysign(max(abs(z) - lam / hjj, 0.0), z)
+            nb = b[j] + left[j] / hjj
+            if j < k - 1 and lam > 0:
+                nb = math.copysign(max(abs(nb) - lam / hjj, 0.0), nb)
             if nonpos and j < k - 1:
                 nb = min(nb, 0.0)
-            mx = max(mx, abs(nb - b[j]))
-            b[j] = nb
+            d = nb - b[j]
+            if d != 0:
+                left -= H[j] * d
+                b[j] = nb
+                mx = max(mx, abs(d))
         if mx < tol:
             return b, True
     return b, False
 
 
 def glm_fit(comp: DataFrame, features: Sequence[str], models: list[dict], max_iter: int = 100,
-            tol: float = 1e-7) -> dict[int, dict]:
+            tol: float = 1e-7, budget: int = STATS_BUDGET) -> dict[int, dict]:
     """Fit many L1/unpenalised logistic models at once.
 
     ``models``: dicts with ``id``, ``lam`` (L1 weight = 1/C; 0 = none) and
-    optional ``exclude_fold``.  Returns per id: ``beta`` (coefs..., intercept),
-    ``H`` (Hessian at the solution), ``iters`` and ``converged``.  A step is
-    halved while it grows (separable data); fits that have not settled after
-    ``max_iter`` steps are flagged and warned about, never passed silently.
+    optional ``exclude_fold`` and ``active`` (features that may enter, by
+    number).  Returns per id: ``beta`` (coefs..., intercept), ``H`` (Hessian at
+    the solution of unpenalised fits, else None), ``iters`` and ``converged``.
+    A step is halved while it grows (separable data); fits that have not
+    settled after ``max_iter`` steps are flagged and warned about, never passed
+    silently.
+
+    A job takes at most ``budget`` numbers from each task (or one model's).
+    Where the Hessians of all models fit, all are fitted together over all
+    columns.  Else the penalised ones go from the strongest penalty to the
+    weakest, the models of one penalty together: each starts from the fit of
+    the penalty before, over a working set of that fit's support and the
+    columns whose gradient there passes the new penalty.  The gradient of
+    every column comes with each job, so that a fit is checked by the KKT
+    conditions as it settles; columns that break them join the working set
+    and the fit goes on.  Both ways end in the same optimum.
     """
     k = len(features) + 1
-    state = {m["id"]: dict(m, beta=np.zeros(k), done=False, converged=False, iters=0) for m in models}
-    H_last: dict[int, np.ndarray] = {}
-    for _ in range(max_iter):
-        active = [m for m in state.values() if not m["done"]]
-        if not active:
-            break
-        st = _stats_job(comp, features, active)
-        for m in active:
+    every = {m["id"]: np.arange(k) if m.get("active") is None else np.append(np.asarray(m["active"], int), k - 1) for m in models}
+    state = {m["id"]: dict(m, beta=np.zeros(k), work=every[m["id"]], done=False, converged=False, iters=0) for m in models}
+    ms = list(state.values())
+    if sum(_n_stats(len(m["work"]), k) for m in ms) <= budget:
+        waves = [ms]
+    else:
+        waves = [[m for m in ms if m["lam"] == lam] for lam in sorted({m["lam"] for m in ms if m["lam"] > 0}, reverse=True)]
+        waves += [[m] for m in ms if m["lam"] == 0]
+    before: dict = {}
+    for wave in waves:
+        for m in wave if wave is not ms else []:
+            if m["lam"] > 0:
+                last = before.get((m.get("exclude_fold"), tuple(every[m["id"]])))
+                m["work"] = np.array([k - 1])
+                if last is not None:
+                    m["beta"] = last["beta"].copy()
+                    enter = (np.abs(last["g"]) > m["lam"]) | (m["beta"] != 0)
+                    m["work"] = np.append([j for j in every[m["id"]][:-1] if enter[j]], k - 1).astype(int)
+        _newton(comp, features, wave, every, max_iter, tol, budget)
+        before.update({(m.get("exclude_fold"), tuple(every[m["id"]])): m for m in wave if m["lam"] > 0 and "g" in m})
+    late = [m["id"] for m in ms if not m["converged"]]
+    if late:
+        warnings.warn(f"{len(late)} of {len(ms)} logistic fits did not converge in {max_iter} steps", RuntimeWarning, stacklevel=2)
+    # Hessian at the final beta (for Wald variances)
+    free = [dict(m, work=np.arange(k)) for m in ms if m["lam"] == 0]
+    fin = _stats(comp, features, free, budget)
+    return {mid: {"beta": m["beta"], "H": fin[mid][0] if mid in fin else None, "iters": m["iters"],
+                  "converged": m["converged"]} for mid, m in state.items()}
+
+
+def _newton(comp: DataFrame, features: Sequence[str], models: list[dict], every: dict, max_iter: int, tol: float, budget: int) -> None:
+    """Newton steps of ``models``, one batch of jobs a step, until each is settled and no column outside its
+    working set breaks the KKT conditions."""
+    while True:
+        going = [m for m in models if not m["done"]]
+        if not going:
+            return
+        st = _stats(comp, features, going, budget)
+        for m in going:
             if m["id"] not in st:
                 m["done"] = True
                 continue
-            H, g = st[m["id"]]
-            H_last[m["id"]] = H
-            # optional feature subset: other coefficients stay at 0
-            idx = np.array(list(m["active"]) + [k - 1]) if m.get("active") is not None else np.arange(k)
-            Hs = H[np.ix_(idx, idx)] + 1e-10 * np.eye(len(idx))
-            gs, bs = g[idx], m["beta"][idx]
+            H, m["g"] = st[m["id"]]
+            idx = m["work"]
+            Hs = H + 1e-10 * np.eye(len(idx))
+            gs, bs = m["g"][idx], m["beta"][idx]
             settled = True
             if m["lam"] > 0:
                 ns, settled = _cd_step(Hs, gs, bs, m["lam"])
@@ -144,22 +214,21 @@ def glm_fit(comp: DataFrame, features: Sequence[str], models: list[dict], max_it
                     ns = bs + np.linalg.solve(Hs, gs)
                 except np.linalg.LinAlgError:
                     ns = bs + np.linalg.lstsq(Hs, gs, rcond=None)[0]
-            nb = np.zeros(k)
+            nb = np.zeros(len(m["beta"]))
             nb[idx] = ns
             step = float(np.max(np.abs(nb - m["beta"])))
             if m["iters"] > 2 and step > 2 * m["step"]:
                 nb = m["beta"] + (nb - m["beta"]) / 2
             m["beta"], m["step"] = nb, step
             m["iters"] += 1
-            if step < tol and settled:
+            out = np.setdiff1d(every[m["id"]], idx) if step < 1e-2 else idx[:0]
+            out = out[np.abs(m["g"][out]) > m["lam"] * (1 + 1e-6)]
+            if len(out):
+                m["work"], m["iters"] = np.union1d(idx, out), 0
+            elif step < tol and settled:
                 m["done"] = m["converged"] = True
-    late = [m["id"] for m in state.values() if not m["converged"]]
-    if late:
-        warnings.warn(f"{len(late)} of {len(state)} logistic fits did not converge in {max_iter} steps", RuntimeWarning, stacklevel=2)
-    # Hessian at the final beta (for Wald variances)
-    fin = _stats_job(comp, features, list(state.values()))
-    return {mid: {"beta": m["beta"], "H": fin.get(mid, (H_last.get(mid), None))[0], "iters": m["iters"],
-                  "converged": m["converged"]} for mid, m in state.items()}
+            elif m["iters"] >= max_iter:
+                m["done"] = True
 
 
 def l1_min_c(comp: DataFrame, features: Sequence[str]) -> float:
@@ -196,14 +265,13 @@ def l1_path(comp: DataFrame, features: Sequence[str], folds: Sequence[int], l1_b
         rows.append([m, ci, c, f, *fit["beta"].tolist(), fit["converged"]])
     coef = pd.DataFrame(rows, columns=["model", "ci", "C", "fold", *features, "intercept", "converged"])
     spark = comp.sparkSession
-    cdf = spark.createDataFrame(coef[["model", "fold", *features, "intercept"]].rename(
-        columns={f: f"__w{i}" for i, f in enumerate(features)}))
+    # a dot product over arrays: the plan is as small for thousands of features as for ten
+    cdf = spark.createDataFrame([(r[0], r[3], fits[r[0]]["beta"].tolist()) for r in rows], "model int, fold int, __w array<double>")
     # held-out scoring: each compressed row meets the models of its own fold
     # (len(cs) models per fold — a small broadcast table)
     j = comp.join(F.broadcast(cdf), "fold")
-    score = F.col("intercept")
-    for i, f in enumerate(features):
-        score = score + F.col(f"__w{i}") * F.col(f)
+    terms = F.zip_with(F.array(*[F.col(f).cast("double") for f in features]), F.slice("__w", 1, len(features)), lambda x, w: x * w)
+    score = F.aggregate(terms, F.element_at("__w", -1), lambda acc, x: acc + x)
     sc = j.select("model", score.alias("score"), "n", "n1")
     counts = sc.groupBy("model", "score").agg(F.sum("n1").cast("bigint").alias("pos"),
                                               F.sum(F.col("n") - F.col("n1")).cast("bigint").alias("neg"))
