@@ -315,7 +315,7 @@ FROM k
 def op10_curriculum_mix(spark, sf_dir):
     """Every document's share of the mix and the training position of its first copy."""
     got = mixing.mix(table(spark, sf_dir, "documents"))
-    return got.drop("positions").withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
+    return got.drop("positions", "text_hash").withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
 
 
 OP10_COPIES_SQL = OP10_SQL.partition("\nk AS (")[0] + """
@@ -334,7 +334,7 @@ FROM l WHERE part > 0 OR lap = 0
 def op10_curriculum_copies(spark, sf_dir):
     """The mix as it is trained on: a row per copy of a document, by training position."""
     got = mixing.copies(table(spark, sf_dir, "documents"))
-    return got.withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
+    return got.drop("text_hash").withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
 
 
 OP11_SQL = r"""

@@ -1,5 +1,9 @@
 """The curriculum mix: targets, totals, positions, against SQL and by its rules."""
 
+import random
+
+from pyspark.sql import functions as F
+
 from scoria.llm import mixing
 from scoria.llm.catalog import ORACLES, QUERIES
 from scoria.plans.check import compare, duck
@@ -21,6 +25,39 @@ def test_targets(spark):
         assert r.target <= 2 * sizes[s] and (r.target == 2 * sizes[s] or abs(r.target / r.weight - level) < 1e-9)
 
 
+def test_targets_of_many_sources(spark):
+    # against the rounds that the contract names: cap what is above, share again until none is above
+    rnd = random.Random(8)
+    for n in (1, 2, 60):
+        sizes = {f"s{i:03d}": rnd.choice([0, 3, 50, 1000, 40_000]) for i in range(n)}
+        got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()}
+        weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(sorted(sizes))}
+        full: set = set()
+        while True:
+            free = [s for s in sizes if s not in full]
+            level = (1.5 * sum(sizes.values()) - sum(2 * sizes[s] for s in full)) / max(1, sum(weight[s] for s in free))
+            more = {s for s in free if level * weight[s] > 2 * sizes[s]}
+            if not more:
+                break
+            full |= more
+        for s in sizes:
+            assert abs(got[s] - (2 * sizes[s] if s in full else level * weight[s])) < 1e-6
+
+
+def test_hot_ids_and_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 7)
+    rows = [(None, "a b c", "s")] * 40 + [(None, "d e f", "s")] * 20 + [(3, "x y", "s")] * 15 + [(i, "w " * i, "t") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    texts = {r.h: r.text for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    assert sorted((str(r.doc_id), texts[r.text_hash]) for r in got) == sorted((str(d), t) for d, t, _ in rows)
+    for size in {r.source_size for r in got}:
+        mine = [r for r in got if r.source_size == size]
+        assert sum(r.taken for r in mine) == round(mine[0].target) and all(r.taken <= 2 * r["size"] for r in mine)
+    at = [p for r in got for p in r.positions if r.doc_id is None or r.doc_id == 3]
+    assert len(at) == len(set(at)) and sum(r.copy is not None for r in mixing.copies(docs).collect()) == sum(len(r.positions) for r in got)
+
+
 def test_rules_and_defined_cases(spark):
     rows = [(i, "w " * (i % 17), f"s{i % 3}") for i in range(400)] + [(1000, None, "s0"), (None, "a b c\x1f d", None), (None, "a b c\x1f d", None),
             (7, "w " * 7, "s1"), (8, "x " * 100_000, "é"), (9, "", "s9")]
