@@ -28,7 +28,8 @@ def test_stages(spark, sf):
             owners.setdefault(v, set()).add(rows(three)[d].source)
     assert set(rows(four)) == {d for d, vs in secret.items() if all(len(owners[v]) > 2 for v in vs)}
     five = cp.mix(spark, four, sf)
-    assert {r.doc_id for r in five.collect()} == set(rows(four))
+    hashes = four.select("doc_id", F.xxhash64("text").alias("h")).collect()
+    assert {(r.doc_id, r.text_hash) for r in five.collect()} == {(r.doc_id, r.h) for r in hashes}
     assert [n for n, _ in cp.STAGES] == ["language_id", "simhash_dedup", "decontamination", "secret_scan", "mixing"]
 
 
@@ -44,11 +45,12 @@ def test_odd_rows(spark, sf):
     long = base.first().text
     odd = spark.createDataFrame([(None, long + " token=abcdefgh1", "en", None), (None, None, None, None), (10**6, "", "en", "s"), (10**6 + 1, long * 50, "en", "s"),
                                  (10**6 + 2, long + " unlike words", None, "s"), (10**6 + 2, long + " unlike words", None, "s")], base.schema)
-    docs = base.unionByName(odd).withColumns({"h": F.lit("x"), "fp": F.array(F.lit(1)), "root.n": F.map_from_arrays(F.array(F.lit("a")), F.array(F.lit(1)))})
+    docs = base.unionByName(odd).withColumns({"h": F.lit("x"), "fp": F.array(F.lit(1)), "__llm_lang": F.lit(1), "text_hash": F.lit("t"), "root.n": F.map_from_arrays(F.array(F.lit("a")), F.array(F.lit(1)))})
     for name, f in cp.STAGES[:-1]:
         out = f(spark, docs, sf).cache()
         assert out.columns == docs.columns and out.count() <= docs.count(), name
         docs = out
+    assert docs.where("__llm_lang = 1").count() == docs.count()
     assert docs.where("doc_id = 1000002").count() <= 1
     for name, f in cp.STAGES:
         assert f(spark, docs.limit(0), sf).count() == 0, name
