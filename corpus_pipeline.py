@@ -12,6 +12,7 @@ Parquet in the shared folder and read again before the next.
    are copied widely, by many sources or in many documents, do no harm.
 5. mixing: the curriculum mix of what is left, a row per copy in the order
    of training; a document that is not taken has one row without a copy.
+   ``doc_id`` and ``text_hash`` (xxhash64) lead back to the document.
 
 Rows are addressed by (doc_id, xxhash64 of the text), so null and repeated
 ids, and other columns of any name, are carried along; an empty table
@@ -40,8 +41,7 @@ def _matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     model = langid.fit(docs, crc_mod5() != 0)
-    got = docs.withColumn("__llm_lang", langid.identify(col("text"), model))
-    return got.where(~F.col("__llm_lang.rejected")).drop("__llm_lang")
+    return docs.where(~langid.identify(col("text"), model)["rejected"])
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
