@@ -14,28 +14,31 @@ a model when their log loss has not improved for ``patience`` rounds; its
 trees up to the best round are kept.
 
 What reaches the driver is bounded by models x nodes x features x bins.
-Margins are stored with the cells every ``KEEP`` rounds (a reliable
-checkpoint), in between they are added up again from the latest trees.
+The cells stay in blocks of arrays with the margins of all models.  Each
+round adds its new trees to them once and keeps the result; every ``KEEP``
+rounds a reliable checkpoint cuts the lineage.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoria.functions.exprs import bin_index
-from scoria.session import cut_lineage
+from scoria.session import checkpoint_dir
 
 __all__ = ["Booster", "bin_edges", "bin_codes", "bin_cells", "boost", "probability", "KEEP"]
 
 #: Rounds after which margins are stored.
 KEEP = 25
+#: Up to so many bytes the sums of all partitions are added up on the driver, beyond by a shuffle first.
+PARTS_BYTES = 1 << 24
 
 
 @dataclass
@@ -53,24 +56,47 @@ class Booster:
     done: bool = False
 
 
-def _place(tree, codes: np.ndarray) -> np.ndarray:
-    """The heap position at which each row ends in the tree as it is."""
-    feature, at, _ = tree
-    node = np.zeros(len(codes), np.int64)
-    rows = np.arange(len(codes))
-    for _ in range(len(feature).bit_length() - 1):
-        f = feature[node]
-        node = np.where(f >= 0, 2 * node + 1 + (codes[rows, f] > at[node]), node)
-    return node
+def _complete(tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tree with every path as long as the deepest: a leaf above the last level sends its rows left, to its own value."""
+    feature, at, value = (x.copy() for x in tree)
+    for node in range(len(feature) // 2):
+        if feature[node] < 0:
+            feature[node], at[node] = 0, np.iinfo(np.int64).max
+            value[2 * node + 1] = value[node]
+    return feature, at, value
+
+
+#: Rows that a tree walks at once (a few arrays of them stay in the processor's cache).
+WALK = 1 << 14
 
 
 def _margin(trees, codes: np.ndarray) -> np.ndarray:
+    """Sum of the trees' values for each row of ``codes``."""
     out = np.zeros(len(codes))
-    for tree in trees:
-        out += tree[2][_place(tree, codes)]
+    trees = [_complete(t) for t in trees]
+    for lo in range(0, len(out) if trees else 0, WALK):
+        part = np.ascontiguousarray(codes[lo:lo + WALK].T)
+        rows, flat = np.arange(part.shape[1]), part.ravel()
+        for feature, at, value in trees:
+            start = feature * part.shape[1]
+            node = np.zeros(len(rows), np.intp)
+            for _ in range(len(feature).bit_length() - 1):
+                node = 2 * node + 1 + (flat[start[node] + rows] > at[node])
+            out[lo:lo + WALK] += value[node]
     return out
 
 
+def _place(tree, level: int, codes: np.ndarray) -> np.ndarray:
+    """The number of each row's node among those of a level, -1 or less where its path ends above; ``codes`` are features x rows."""
+    feature, at, _ = tree
+    rows, flat = np.arange(codes.shape[1]), codes.ravel()
+    node = np.zeros(len(rows), np.intp)
+    for _ in range(level):
+        f = feature[node]
+        node = np.where(f >= 0, 2 * node + 1 + (flat[f * len(rows) + rows] > at[node]), node)
+    return node - (2 ** level - 1)
+
+
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int = 64) -> dict[str, list[float]]:
     """Inner edges of at most ``bins`` quantile bins per feature (one sketch pass)."""
     num = df.select(*[F.col(f).cast("double").alias(f) for f in features])
@@ -79,8 +105,21 @@ def bin_edges(df: DataFrame, features: Sequence[str], bins: int = 64) -> dict[st
 
 
 def bin_codes(edges: dict[str, Sequence[float]]) -> Column:
-    """The bins of a row as an array; missing values are bin 0, below all others."""
-    return F.array(*[F.coalesce(bin_index(F.col(f).cast("double"), e) + 1, F.lit(0)) for f, e in edges.items()])
+    """The bins of a row as an array; missing values are bin 0, below all others, NaN is in the last."""
+    inner = [np.asarray(e, float) for e in edges.values()]
+
+    def run(*columns: pa.Array) -> pa.Array:
+        codes = np.empty((len(columns[0]), len(inner)), np.int32)
+        for i, (c, e) in enumerate(zip(columns, inner)):
+            x = c.to_numpy(zero_copy_only=False)  # null becomes NaN
+            codes[:, i] = np.where(c.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(e, x) + 1)
+        return _lists(codes)
+
+    return F.arrow_udf(run, "array<int>")(*[F.col(f).cast("double") for f in edges])
+
+
+def _lists(m: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32), m.ravel())
 
 
 def bin_cells(df: DataFrame, edges: dict[str, Sequence[float]], label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -93,14 +132,34 @@ def probability(codes: Column, model: Booster) -> Column:
     """The model's probability of rows given by their bins (an Arrow-batched column)."""
     trees = model.trees
 
-    def run(s: pd.Series) -> pd.Series:
-        return pd.Series(1 / (1 + np.exp(-_margin(trees, np.stack(s.to_numpy()).astype(np.int64))))) if len(s) else pd.Series([], dtype=float)
+    def run(codes: pa.Array) -> pa.Array:
+        width = len(codes.flatten()) // max(1, len(codes))
+        return pa.array(1 / (1 + np.exp(-_margin(trees, _matrix(codes, width)))))
 
-    return F.pandas_udf(run, "double")(codes)
+    return F.arrow_udf(run, "double")(codes)
 
 
 def _matrix(column, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if len(column) else np.zeros((0, width))
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if len(column) else np.zeros((0, width), np.int32)
+
+
+def _blocks(cells: DataFrame, width: int, held: str) -> RDD:
+    """Cells as arrays: (held, bins as features x cells, n, n1), learnt and held cells in blocks of their own."""
+    spark = cells.sparkSession
+
+    def run(batches):
+        for b in batches:
+            codes, aside = _matrix(b.column(0), width), b.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            for side in (False, True):
+                if (aside == side).any():
+                    own = np.ascontiguousarray(codes[aside == side].T)
+                    own = own.astype(np.min_scalar_type(int(own.max())))
+                    n, n1 = (b.column(c).to_numpy()[aside == side] for c in (1, 2))
+                    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((side, own, n, n1))], pa.binary())], names=["block"])
+
+    base = cells.select("codes", F.col("n").cast("double").alias("n"), F.col("n1").cast("double").alias("n1"), F.col(held).alias("held"))
+    packed = base.repartition(spark.sparkContext.defaultParallelism).mapInArrow(run, "block binary")
+    return packed.rdd.map(lambda r: pickle.loads(bytes(r.block)))
 
 
 def boost(cells: DataFrame, models: Sequence[Booster], n_bins: int, rounds: int = 1000, patience: int = 20,
@@ -108,43 +167,33 @@ def boost(cells: DataFrame, models: Sequence[Booster], n_bins: int, rounds: int
     """Grow every model that is not done by up to ``rounds`` more trees.  ``cells`` are (codes, n, n1, held).
 
     A round is better than the best before it if its held loss is smaller by more than the share ``tol``."""
+    checkpoint_dir(cells.sparkSession)
     width = cells.select(F.size("codes")).first()[0]
-    base = cells.select("codes", F.col("n").cast("double").alias("n"), F.col("n1").cast("double").alias("n1"), F.col(held).alias("held"))
-    kept = [len(m.trees) for m in models]
-
-    def with_margins(frame: DataFrame, stored: bool, since: list[int]) -> DataFrame:
-        """Cells with the margins of all models' trees, added to the stored ones."""
-        new = [m.trees[s:] for m, s in zip(models, since)]
-
-        def run(batches):
-            for b in batches:
-                codes = _matrix(b.column(0), width).astype(np.int64)
-                f = np.stack([_margin(t, codes) for t in new], 1)
-                if stored:
-                    f += _matrix(b.column(4), len(new))
-                flat = pa.ListArray.from_arrays(np.arange(0, f.size + 1, len(new), dtype=np.int32), f.ravel())
-                yield pa.RecordBatch.from_arrays([*b.columns[:4], flat], names=["codes", "n", "n1", "held", "f"])
-        return frame.mapInArrow(run, "codes array<int>, n double, n1 double, held boolean, f array<double>")
-
-    state = cut_lineage(with_margins(base.repartition(base.sparkSession.sparkContext.defaultParallelism), False, [0] * len(models)))
+    blocks = _blocks(cells, width, held)
+    old = [list(m.trees) for m in models]
+    state = blocks.map(lambda b: (*b, [_margin(t, b[1].T) for t in old])).persist(StorageLevel.MEMORY_AND_DISK)
+    before = None
 
     for step in range(rounds):
         growing = [i for i, m in enumerate(models) if not m.done]
         if not growing:
             break
-        if step and step % KEEP == 0:
-            state = cut_lineage(with_margins(state, True, kept))
-            kept = [len(m.trees) for m in models]
+        if step:
+            before, state = state, _advance(state, {i: models[i].trees[-1] for i in growing})
+            if step % KEEP == 0:
+                state.checkpoint()
         trees = {i: _empty(models[i].depth) for i in growing}
         gains = {i: np.zeros(len(trees[i][0])) for i in growing}
         for level in range(max(models[i].depth for i in growing)):
             open_models = [i for i in growing if level < models[i].depth and (level == 0 or (trees[i][0][2 ** (level - 1) - 1:2 ** level - 1] >= 0).any())]
             if not open_models:
                 break
-            sums, losses = _histograms(state, models, kept, trees, open_models, level, width, n_bins)
+            sums, losses = _histograms(state, trees, open_models, level, width, n_bins)
+            if level == 0 and before is not None:
+                before.unpersist()
             for i in open_models:
                 if level == 0:
-                    models[i].losses.append(losses.get(i, 0.0))
+                    models[i].losses.append(losses[i])
                 _split(models[i], trees[i], gains[i], sums[i], level)
         for i in growing:
             m = models[i]
@@ -153,58 +202,62 @@ def boost(cells: DataFrame, models: Sequence[Booster], n_bins: int, rounds: int
                 best = t if loss < m.losses[best] * (1 - tol) else best
             if len(m.losses) - 1 - best >= patience and any(m.losses):
                 del m.trees[best:]
-                kept[i] = min(kept[i], best)
                 m.done = True
                 continue
             _prune(m, trees[i], gains[i])
             m.trees.append(trees[i])
+    state.unpersist()
     return list(models)
 
 
+def _advance(state: RDD, newest: dict) -> RDD:
+    """The blocks with the newest tree of each model that still grows added to its margins."""
+    return state.map(lambda b: (*b[:4], [f + _margin([newest[i]], b[1].T) if i in newest else None for i, f in enumerate(b[4])])).persist(
+        StorageLevel.MEMORY_AND_DISK)
+
+
 def _empty(depth: int):
     size = 2 ** (depth + 1) - 1
     return np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
 
 
-def _histograms(state, models, kept, trees, open_models, level, width, n_bins):
+def _histograms(state, trees, open_models, level, width, n_bins):
     """Per open model the sums (G, H) by (node of the level, feature, bin) over cells that are not held, and at the
     root the log loss of the held ones."""
-    nodes, latest = 2 ** level, {i: models[i].trees[kept[i]:] for i in open_models}
-    size = nodes * width * n_bins
+    nodes = 2 ** level
 
-    def run(batches):
-        g, h, loss = ({i: np.zeros(s) for i in open_models} for s in (size, size, 1))
-        for b in batches:
-            codes = _matrix(b.column(0), width).astype(np.int64)
-            n, n1, held = (b.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3))
-            f = _matrix(b.column(4), len(models))
-            learn = ~held.astype(bool)
+    def run(blocks):
+        sums = {i: np.zeros((2, nodes, width, n_bins)) for i in open_models}
+        loss = dict.fromkeys(open_models, 0.0)
+        for held, codes, n, n1, margins in blocks:
+            if held and level:
+                continue
             for i in open_models:
-                margin = f[:, i] + _margin(latest[i], codes)
+                margin = margins[i]
+                if held:
+                    loss[i] += float((n * np.logaddexp(0, margin) - n1 * margin).sum())
+                    continue
                 p = 1 / (1 + np.exp(-margin))
-                if level == 0:
-                    loss[i] += (n[~learn] * np.logaddexp(0, margin[~learn]) - n1[~learn] * margin[~learn]).sum()
-                node = _place(trees[i], codes) - (nodes - 1)
-                use = learn & (node >= 0)
-                at = (node[use, None] * width + np.arange(width)) * n_bins + codes[use]
-                for out, v in ((g[i], (n * p - n1)[use]), (h[i], (n * p * (1 - p))[use])):
-                    out += np.bincount(at.ravel(), np.repeat(v, width), size)
-        for i in open_models:
-            at = np.nonzero((g[i] != 0) | (h[i] != 0))[0]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at) + 1, i)), pa.array(np.append(at, -1)),
-                                              pa.array(np.append(g[i][at], loss[i])), pa.array(np.append(h[i][at], 0.0))],
-                                             names=["model", "at", "g", "h"])
-
-    got = state.mapInArrow(run, "model long, at long, g double, h double").groupBy("model", "at").agg(
-        F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
-    sums, losses = {}, {}
-    for i in open_models:
-        own = got[got["model"] == i]
-        losses[i] = float(own.loc[own["at"] == -1, "g"].sum())
-        own = own[own["at"] >= 0]
-        both = np.zeros((2, size))
-        both[:, own["at"].to_numpy()] = own[["g", "h"]].to_numpy().T
-        sums[i] = both.reshape(2, nodes, width, n_bins)
+                g, h, own, start = n * p - n1, n * p * (1 - p), codes, 0
+                if level:
+                    node = _place(trees[i], level, codes)
+                    use = node >= 0
+                    if not use.all():
+                        node, g, h, own = node[use], g[use], h[use], codes[:, use]
+                    start = node * n_bins
+                for f in range(width):
+                    at = start + own[f].astype(np.intp)
+                    for out, v in zip(sums[i], (g, h)):
+                        out[:, f] += np.bincount(at, v, nodes * n_bins).reshape(nodes, n_bins)
+        return [(i, (sums[i], loss[i])) for i in open_models]
+
+    parts = state.mapPartitions(run)
+    if 16 * len(open_models) * nodes * width * n_bins * state.getNumPartitions() > PARTS_BYTES:
+        parts = parts.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]), min(len(open_models), state.getNumPartitions()))
+    sums, losses = {}, dict.fromkeys(open_models, 0.0)
+    for i, (s, loss) in parts.collect():
+        sums[i] = sums[i] + s if i in sums else s
+        losses[i] += loss
     return sums, losses
 
 
