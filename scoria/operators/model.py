@@ -511,7 +511,10 @@ class ScorecardModel:
                 parts.append(f"ELSE {lit(fb.special_woe(fb.small_key))}")
             else:
                 quoted = lambda k: "'" + k.replace("'", "''") + "'"
-                parts = [gone] + [f"WHEN {text} = {quoted(k)} THEN {w(fb, b)}" for k, b in sorted(fb.cat_bins.items())]
+                by_bin: dict = {}
+                for k, b in sorted(fb.cat_bins.items()):
+                    by_bin.setdefault(b, []).append(quoted(k))
+                parts = [gone] + [f"WHEN {text} IN ({', '.join(codes)}) THEN {w(fb, b)}" for b, codes in by_bin.items()]
                 parts.append(f"ELSE {lit(fb.special_woe(fb.small_key))}")
             cases.append(f"CASE {' '.join(parts)} END AS {q(f)}")
         z = " + ".join([lit(self.intercept)] + [f"{lit(wt)} * {q(f)}" for f, wt in self.weights.items()])
