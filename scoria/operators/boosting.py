@@ -154,7 +154,7 @@ def _blocks(cells: DataFrame, width: int, held: str) -> RDD:
                 if (aside == side).any():
                     own = np.ascontiguousarray(codes[aside == side].T)
                     own = own.astype(np.min_scalar_type(int(own.max())))
-                    n, n1 = (b.column(c).to_numpy()[aside == side] for c in (1, 2))
+                    n, n1 = (b.column(c).to_numpy(zero_copy_only=False)[aside == side] for c in (1, 2))
                     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((side, own, n, n1))], pa.binary())], names=["block"])
 
     base = cells.select("codes", F.col("n").cast("double").alias("n"), F.col("n1").cast("double").alias("n1"), F.col(held).alias("held"))
