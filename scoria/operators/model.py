@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoria.session import small_side
+
 __all__ = ["compress", "glm_fit", "l1_min_c", "l1_path", "select_c", "refit_l1",
            "refit_backward", "wald_pvalues", "ScorecardModel", "FeatureBins"]
 
@@ -422,15 +424,16 @@ class ScorecardModel:
 
     def attach(self, df: DataFrame, features: Sequence[str] | None = None, expanded: bool = False) -> DataFrame:
         """Left-join the category -> bin tables of high-cardinality features
-        (the only case where scoring is not a pure projection; AQE broadcasts
-        a table when its measured size allows)."""
+        (the only case where scoring is not a pure projection).  A table whose
+        counted rows are few is broadcast: AQE would learn its size only after
+        the scored rows are shuffled."""
         for f in list(features or self.features):
             fb = self.bins[f]
             if fb.cat_table is None:
                 continue
             src = fb.name if expanded else (fb.source or fb.name)
             t = fb.cat_table.select(F.col("code").alias(f"__code__{f}"), F.col("bin").alias(fb.bin_col))
-            df = df.join(t, F.col(src).cast("string") == F.col(f"__code__{f}"), "left").drop(f"__code__{f}")
+            df = df.join(small_side(t), F.col(src).cast("string") == F.col(f"__code__{f}"), "left").drop(f"__code__{f}")
         return df
 
     def _detach(self, df: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from scoria.plans import fixtures as X
 from scoria.plans.q_metrics import _ew_bin_sql
 from scoria.plans.q_woe import FIX_WEIGHTS, WOE_SQL, _coded, _coded_sql, _fixed_model, _frame, _lin_sql, _woe_case_sql
 from scoria.plans.registry import query
+from scoria.session import small_side
 
 _WOE = list(FIX_WEIGHTS)
 
@@ -153,16 +154,17 @@ def score_high_card(spark, sf):
     bins = lambda cats, t: M.ScorecardModel({"client": M.FeatureBins(
         "client", "cat", [], cats, dict(_WIDE["woe"]), W.NAN_KEY, W.SMALL_KEY, cat_table=t)}, {"client": -1.0}, -0.5)
     literal, backed = bins({**learnt, **special}, None), bins(special, table)
-    rows, codes = f"wide_{uuid.uuid4().hex}", f"codes_{uuid.uuid4().hex}"
-    f.createOrReplaceTempView(rows)
-    table.createOrReplaceTempView(codes)
-    forms = {"literal": literal.transform(f), "table": backed.transform(f), "sql_literal": spark.sql(literal.to_sql(rows, keep=["k"])),
-             "sql_table": spark.sql(backed.to_sql(rows, keep=["k"], maps={"client": codes}))}
-    out = None
-    for name, d in forms.items():
-        d = d.select(F.lit(name).alias("form"), "k", "prob")
-        out = d if out is None else out.unionByName(d)
-    return out
+    rows, more, codes = (f"{n}_{uuid.uuid4().hex}" for n in ("wide", "more", "codes"))
+    small_side(table).createOrReplaceTempView(codes)
+    # one pass: each form adds its probabilities to the rows of the form before ("code": the SQL's "client" is its WoE)
+    d = backed.transform(literal.transform(f, "literal"), "table")
+    d.withColumn("code", F.col("client")).createOrReplaceTempView(rows)
+    d = spark.sql(literal.to_sql(rows, keep=["k", "code", "literal", "table"]))
+    d = d.withColumnsRenamed({"code": "client", "prob": "sql_literal"})
+    d.createOrReplaceTempView(more)
+    d = spark.sql(backed.to_sql(more, keep=["k", "literal", "table", "sql_literal"], maps={"client": codes}))
+    return d.withColumnRenamed("prob", "sql_table").unpivot(
+        "k", ["literal", "table", "sql_literal", "sql_table"], "form", "prob").select("form", "k", "prob")
 
 
 # ------------------------------------------------------------------ odd inputs
