@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoria.functions.exprs import md5_bucket
-from scoria.operators.metrics import auc
-from scoria.session import cut_lineage, small_side
+from scoria.operators.metrics import auc, score_counts
+from scoria.session import cut_lineage, free_shuffles, small_side
 
 __all__ = ["woe_aucs", "const_woe", "auc_filter", "vif_filter", "corr_filter", "topk",
            "encode_categories", "fit_importance", "tree_importance", "permutation_importance", "history_table", "rank_weights"]
@@ -161,24 +161,30 @@ def permutation_importance(scored: DataFrame, score: Callable[[DataFrame], DataF
     md5(key || iter)``: each row meets another row, deterministically.  One
     join per iteration brings the other row's values of all features; the
     variants, one a feature, are exploded from it.  ``score`` adds a column
-    ``score`` to a frame with the features; one job gives all AUCs.
+    ``score`` to a frame with the features.  Iterations follow one another, each leaves its counts by score only.
     """
-    from scoria.operators.ranking import dist_row_number
-    rows = scored.select(key, target, *features, *[c for c in tiebreak if c not in features])
-    base = cut_lineage(dist_row_number(rows, [], [key, *tiebreak], name="_rk"))
+    from scoria.operators.ranking import hash_row_number, stored_row_number
+    rows = scored.select(*dict.fromkeys([key, target, *features, *tiebreak]))
+    base, n = stored_row_number(rows, [key, *tiebreak], list(dict.fromkeys([key, target, *features])), name="_rk")
     names = [f"_p{i}" for i in range(len(features))]
-    every = None
-    for it in range(n_iter):
-        h = rows.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{it}"))))
-        other = dist_row_number(h, [], ["_h", key, *tiebreak], name="_rk").select(
-            "_rk", *[F.col(f).alias(p) for f, p in zip(features, names)])
-        both = base.join(other, "_rk")
+
+    def counted(it: int) -> DataFrame:
+        # rows of one hash follow each other by key and tiebreak, which is by their number
+        other = hash_row_number(base.select(key, "_rk", *features), F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{it}"))), ["_rk"], features, n,
+                                name="_to").select("_to", *[F.col(f).alias(p) for f, p in zip(features, names)])
+        both = base.select("_rk", target, *features).join(other, F.col("_rk") == F.col("_to"))
         variants = F.array(*[F.struct(F.lit(f).alias("feature"), *[F.col(p if g == f else g).alias(g) for g, p in zip(features, names)])
                              for f in features])
         one = both.select(F.col(target), F.explode(variants).alias("v")).select(target, F.lit(it).alias("iter"), "v.*")
+        return cut_lineage(score_counts(score(one).select(target, "feature", "iter", "score"), target, "score", ["feature", "iter"]))
+
+    every = None
+    for it in range(n_iter):
+        one = counted(it)
+        free_shuffles(scored.sparkSession)
         every = one if every is None else every.unionByName(one)
-    base_auc = auc(score(rows).select(target, "score"), target, "score").first()["auc"]
-    a = auc(score(every).select(target, "feature", "iter", "score"), target, "score", by=["feature", "iter"]).toPandas()
+    base_auc = auc(score(base.select(target, *features)).select(target, "score"), target, "score").first()["auc"]
+    a = auc(every, target, "score", by=["feature", "iter"], counts=True).toPandas()
     a["drop"] = base_auc - a["auc"]
     return a.groupby("feature")["drop"].agg(reduce).reindex(list(features))
 
