@@ -17,6 +17,7 @@ import math
 import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -78,25 +79,37 @@ def _hash(codes: np.ndarray, y: np.ndarray) -> np.ndarray:
     return h
 
 
+@cache
+def _steps() -> tuple[np.ndarray, np.ndarray]:
+    """By mean, the steps of its distribution function in units of 2 ** -32, and how many are at or below each multiple of 2 ** 20."""
+    own = [[at for at in (math.ceil(step * 2 ** 32) for step in ladder) if at < 2 ** 32] for ladder in LADDERS]
+    steps = np.full((len(own), max(map(len, own)) + 1), 2 ** 32 - 1, np.uint32)
+    for row, s in zip(steps, own):
+        row[:len(s)] = s
+    return steps, np.stack([np.searchsorted(np.array(s, float), np.arange(4097) * 2.0 ** 20, side="right") for s in own]).astype(np.uint8)
+
+
 def _copies(key: np.ndarray, count: np.ndarray, seed: int, number: int) -> np.ndarray:
     """Poisson(``count``) copies in a tree's bootstrap; ``count`` is sorted."""
     x = _mix(key ^ _mix(np.array([(seed << 32) + number + 1], np.uint64)))
-    out = np.zeros(len(x))
-    means, first = np.unique(count, return_index=True)
-    for mean, lo, hi in zip(means.tolist(), first, [*first[1:], len(x)]):
-        u = (x[lo:hi] >> np.uint64(32)).astype(np.uint32)
-        if mean < len(LADDERS):
-            w = np.zeros(hi - lo, np.uint8)
-            for step in LADDERS[mean]:
-                at = math.ceil(step * 2 ** 32)
-                if at >= 2 ** 32:
-                    break
-                w += u >= np.uint32(at)
-            out[lo:hi] = w
-        else:
-            v = (x[lo:hi] & np.uint64(0xFFFFFFFF)).astype(float) / 2.0 ** 32
-            z = np.sqrt(-2 * np.log(1 - u / 2.0 ** 32)) * np.cos(2 * math.pi * v)
-            out[lo:hi] = np.maximum(0.0, np.floor(mean + math.sqrt(mean) * z + (z * z - 1) / 6 + 0.5))
+    out = np.empty(len(x))
+    few = int(np.searchsorted(count, len(LADDERS)))
+    u, mean = (x[:few] >> np.uint64(32)).astype(np.uint32), count[:few]
+    steps, below = _steps()
+    at = mean * below.shape[1] + (u >> np.uint32(20))
+    w, most = below.ravel()[at], below.ravel()[at + 1]
+    start = mean * steps.shape[1]
+    w = w + ((w < most) & (u >= steps.ravel()[start + w]))
+    left = np.nonzero(w < most)[0]
+    while len(left):  # steps that share a multiple
+        left = left[u[left] >= steps.ravel()[start[left] + w[left]]]
+        w[left] += 1
+        left = left[w[left] < most[left]]
+    out[:few] = w
+    mean, x = count[few:].astype(float), x[few:]
+    u, v = (x >> np.uint64(32)).astype(float) / 2.0 ** 32, (x & np.uint64(0xFFFFFFFF)).astype(float) / 2.0 ** 32
+    z = np.sqrt(-2 * np.log(1 - u)) * np.cos(2 * math.pi * v)
+    out[few:] = np.maximum(0.0, np.floor(mean + np.sqrt(mean) * z + (z * z - 1) / 6 + 0.5))
     return out
 
 

@@ -93,6 +93,13 @@ def test_copies_are_poisson():
         assert abs(w.mean() - mean) < 5 * (mean / 40_000) ** 0.5 and w.var() / mean == pytest.approx(1, abs=0.06)
 
 
+def test_copies_count_the_steps_of_the_ladder():
+    count = np.sort(np.random.default_rng(8).integers(1, len(T.LADDERS), 20_000))
+    key = np.random.default_rng(9).integers(0, 2 ** 63, len(count)).astype(np.uint64)
+    u = (T._mix(key ^ T._mix(np.array([(3 << 32) + 8], np.uint64))) >> np.uint64(32)).astype(float) / 2.0 ** 32
+    assert T._copies(key, count, 3, 7).tolist() == [np.searchsorted(T.LADDERS[c], x, side="right") for c, x in zip(count, u)]
+
+
 def test_edges_of_few_values_are_the_values(spark):
     df = spark.range(3000).select((F.col("id") % 5).cast("double").alias("a"), F.col("id").cast("double").alias("b"),
                                   F.when(F.col("id") < 2, F.lit(float("nan"))).otherwise(F.when(F.col("id") < 4, 9.0).otherwise(1.0)).alias("c"))
